@@ -40,9 +40,12 @@ SELECT p_partkey AS item_key,
   p_brand AS model, p_name AS description, p_type AS type, CAST(p_size AS BIGINT) AS size,
   (CASE WHEN p_type IN ({_lst(B.SILVER_TYPES)}) THEN 'SILVER' ELSE 'GOLD' END) AS metal,
   (p_size % 3 = 0) AS orderable, (p_size % 5 <> 0) AS active,
-  round(p_retailprice * p_size, 2) AS price
+  round(p_retailprice * p_size, 2) AS price, p_retailprice AS cost
 FROM part""")
 
+cte("collections", [], """
+SELECT DISTINCT p_brand AS model, 'COLLECTION ' || upper(p_brand) AS collection_desc FROM part""")
+
 cte("stock_lines", ["items"], f"""
 SELECT i.code, i.family, i.group_name, i.metal, i.orderable, i.active, i.price,
   CAST(10 + l.l_linenumber % 13 AS BIGINT) AS size_code,
@@ -147,8 +150,10 @@ q("stock_by_site", ["stock_by_site"], "SELECT * FROM stock_by_site")
 q("stock_rollup", ["stock_by_site"], """
 SELECT code, warehouse_id, ref, CAST(SUM(total_quantity) AS BIGINT) AS total_quantity
 FROM stock_by_site GROUP BY code, warehouse_id, ref""")
-q("stock_by_item", ["sellable"], """
-SELECT code, CAST(trunc(SUM(qty)) AS BIGINT) AS stock_qty FROM sellable GROUP BY code""")
+cte("shop_stock", ["stock_lines"], f"""
+SELECT code, CAST(trunc(SUM(qty)) AS BIGINT) AS stock_qty FROM stock_lines
+WHERE site NOT IN ({_lst(B.OTHER_SITES)}) AND account NOT IN ({_lst(B.EXCLUDED_ACCOUNTS)}) GROUP BY code""")
+q("stock_by_item", ["shop_stock"], "SELECT * FROM shop_stock")
 
 _PHYS = f"location_name NOT LIKE '%{B.ORDERABLE_MARKER}%'"
 cte("stock_delta", ["channel_levels", "erp_stock"], f"""
@@ -204,3 +209,64 @@ q("distinct_counts", ["stock_by_site", "channel_levels"], """
 SELECT 'erp' AS source, count(*) AS n_rows, count(DISTINCT code) AS n_codes, count(DISTINCT ref) AS n_refs FROM stock_by_site
 UNION ALL
 SELECT 'store', count(*), count(DISTINCT split_part(variant_sku, '-', 1)), count(DISTINCT variant_sku) FROM channel_levels""")
+
+
+# -------------------------------------------------------------- catalog ----
+from .plans import catalog as C  # noqa: E402
+
+
+def _bands() -> str:
+    arms = []
+    for m, lst in C.PRICE_BANDS.items():
+        for bound, label in lst:
+            cond = f"metal = '{m}'" if bound is None else f"price <= {bound} AND metal = '{m}'"
+            arms.append(f"WHEN {cond} THEN '{label}'")
+    return "(CASE " + " ".join(arms) + " ELSE '' END)"
+
+
+cte("item_base", ["items", "collections", "shop_stock"], f"""
+SELECT i.*, c.collection_desc, s.stock_qty,
+  CAST(trunc(i.price) AS BIGINT) AS price_int, {_bands()} AS price_band,
+  CASE WHEN i.orderable THEN '{C.YES}' ELSE '{C.NO}' END AS orderable_text,
+  CASE WHEN i.active THEN '{C.ACTIVE_TXT}' ELSE '{C.INACTIVE_TXT}' END AS status_text,
+  CAST(CASE WHEN s.stock_qty > 0 THEN s.stock_qty ELSE 0 END AS BIGINT) AS stock,
+  CASE WHEN i.orderable THEN '{C.FINAL_ACTIVE}' WHEN s.stock_qty > 0 THEN '{C.FINAL_ACTIVE}' ELSE '{C.FINAL_INACTIVE}' END AS final_status,
+  CASE WHEN c.collection_desc LIKE '%{C.COLLECTION_WORD}%' THEN replace(c.collection_desc, '{C.COLLECTION_WORD}', '')
+       ELSE c.collection_desc END AS collection
+FROM items i JOIN collections c ON i.model = c.model LEFT JOIN shop_stock s ON i.code = s.code""")
+_MASTER = ", ".join(C.MASTER_COLS)
+q("item_master", ["item_base"], f"SELECT {_MASTER} FROM item_base WHERE price > 1 ORDER BY model, group_name, code")
+q("item_export_full", ["item_base"], f"""
+SELECT model, collection, family AS group_code, group_name, type AS subgroup_code, code, description,
+  round(CASE WHEN cost = 0 THEN NULL ELSE price / cost END, 2) AS markup, round(cost, 2) AS cost,
+  CAST(round(price, 0) AS BIGINT) AS price_dec, price_band, '{C.FINISHED_GROUP}' AS goods_group, metal,
+  '{C.PHOTO_BASE_URL}' || code || '.JPG' AS photo_url, orderable_text, status_text, stock, final_status,
+  CAST(DATE '1995-01-01' + CAST(item_key % 3650 AS INTEGER) AS DATE) AS inclusion_date, round(size * CAST(0.37 AS DOUBLE), 2) AS weight
+FROM item_base""")
+TITLE = ("array_to_string(list_transform(range(1, length({x}) + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_matches("
+         "substr(lower({x}), i - 1, 1), '\\p{{L}}') THEN upper(substr(lower({x}), i, 1)) ELSE substr(lower({x}), i, 1) END), '')")
+q("item_texts", ["item_base"], f"""
+SELECT {_MASTER}, {TITLE.format(x='description')} AS title, d.text AS description_text, d.lang,
+  concat_ws(' ', type, metal) AS composition
+FROM item_base b LEFT JOIN documents d ON d.doc_id = b.item_key WHERE price > 1""")
+q("item_seo", ["item_base"], f"""
+SELECT {_MASTER}, collection,
+  CASE group_name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.TAXONOMY.items())} ELSE '{C.TAXONOMY_DEFAULT}' END AS taxonomy_code,
+  CASE WHEN description LIKE '%{C.KEYWORD}%' THEN '{C.KEYWORD.upper()}' ELSE '' END AS keyword
+FROM item_base WHERE price > 1""")
+q("items_active", ["item_base"], f"""
+SELECT {_MASTER} FROM item_base WHERE price > 1 AND final_status = '{C.FINAL_ACTIVE}'
+  AND model NOT IN ({_lst(C.ACTIVE_EXCLUDED_MODELS)})""")
+q("items_inactive", ["item_base"], f"""
+SELECT {_MASTER} FROM item_base WHERE price > 1 AND final_status = '{C.FINAL_INACTIVE}'
+  AND model NOT IN ({_lst(C.INACTIVE_EXCLUDED_MODELS)})""")
+q("price_list", ["items", "stock_lines"], """
+SELECT i.code, i.code || '-' || coalesce(CAST(t.size_code AS VARCHAR), '') AS ref, CAST(trunc(i.price) AS BIGINT) AS price_int
+FROM items i LEFT JOIN (SELECT DISTINCT code, size_code FROM stock_lines) t ON i.code = t.code""")
+q("composition_flag", ["items"], f"""
+SELECT DISTINCT i.code, 'Plated' AS formation
+FROM lineitem l JOIN items i ON l.l_partkey = i.item_key
+WHERE l.l_linenumber % 2 = 0 AND upper(i.type) || ' PLATING' LIKE '%PROMO%'
+  AND i.code NOT LIKE 'CO%' AND i.code NOT IN ({_lst(C.COMPOSITION_EXCLUDED)})""")
+q("scan_item", ["items"], "SELECT * FROM items")
+q("scan_full", [], "SELECT * FROM part")

@@ -39,6 +39,8 @@ SILVER_TYPES = ["ECONOMY", "SMALL", "MEDIUM"]
 SIZE_FIRST, SIZE_LAST = 10, 22
 SIZED_FAMILIES = ["AN", "AL"]
 CHANNEL_CUTOFF = "1999-06-01"
+# Sites whose stock the item extracts leave out (the "four sites" set).
+OTHER_SITES = ["S4", "S5"]
 # ---------------------------------------------------------------------------
 
 
@@ -60,9 +62,17 @@ def items(spark: SparkSession, d: str) -> DataFrame:
         (F.col("p_size") % 3 == 0).alias("orderable"),
         (F.col("p_size") % 5 != 0).alias("active"),
         F.round(F.col("p_retailprice") * F.col("p_size"), 2).alias("price"),
+        F.col("p_retailprice").alias("cost"),
     )
 
 
+def collections(spark: SparkSession, d: str) -> DataFrame:
+    """Collection dimension (sljcol): one row per model, from ``part``."""
+    p = read_table(spark, d, "part")
+    return (p.select(F.col("p_brand").alias("model")).distinct()
+            .withColumn("collection_desc", F.concat(F.lit("COLLECTION "), F.upper(F.col("model")))))
+
+
 def ref_of(code, family, size_code):
     """Sized families carry the size in the ref: ``code-size``."""
     return F.when(family.isin(SIZED_FAMILIES), F.concat(code, F.lit("-"), size_code.cast("string"))).otherwise(code)

@@ -72,8 +72,9 @@ def erp_stock(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stock_by_item(spark: SparkSession, d: str) -> DataFrame:
-    """Sellable stock per item code (A1)."""
-    return sellable_lines(spark, d).groupBy("code").agg(F.sum("qty").cast("bigint").alias("stock_qty"))
+    """Sellable stock per item code outside the other-sites set (A1)."""
+    from .catalog import shop_stock
+    return shop_stock(spark, d)
 
 
 def _physical(levels: DataFrame, marker: str) -> DataFrame:

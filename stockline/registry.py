@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import bindings as B
+from .plans import catalog as C
 from .plans import stock as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +36,8 @@ register("inactive_with_stock")(lambda s, d: S.inactive_with_stock(s, d))
 register("inactive_other_sites")(lambda s, d: S.inactive_with_stock(s, d, other_sites=True))
 register("variant_stock_split")(lambda s, d: S.variant_stock_split(B.channel_levels(s, d)))
 register("distinct_counts")(lambda s, d: S.distinct_counts(s, d))
+
+# -------------------------------------------------------------- catalog ----
+for _n in ["item_master", "item_export_full", "item_texts", "item_seo", "items_active", "items_inactive",
+           "price_list", "composition_flag", "scan_item", "scan_full"]:
+    register(_n)(getattr(C, _n))
