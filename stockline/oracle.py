@@ -90,6 +90,19 @@ SELECT 'lvl-' || ref || '@' || location_id AS level_id, ref AS variant_sku, 'var
   'inv-' || ref AS inventory_item_id, location_id, location_name, qty
 FROM (SELECT * FROM phys UNION ALL SELECT * FROM orde)""")
 
+cte("channel_variants", ["items"], f"""
+SELECT 'var-' || sku AS variant_id, sku, coalesce(CAST(size_code AS VARCHAR), 'Default Title') AS title,
+  CASE WHEN item_key % 50 = 0 THEN NULL WHEN item_key % 7 = 0 THEN round(price * CAST(1.1 AS DOUBLE), 2) ELSE price END AS price,
+  CASE WHEN item_key % 11 = 0 THEN NULL WHEN item_key % 3 <> 0 THEN price ELSE round(price * CAST(1.2 AS DOUBLE), 2) END AS compare_at_price,
+  CAST(item_key % 6 AS BIGINT) AS inventory_quantity, 'prod-' || CAST(item_key AS VARCHAR) AS product_id,
+  description AS product_title, CAST(n_var * (item_key % 6) AS BIGINT) AS total_inventory, CAST(n_var AS BIGINT) AS total_variants,
+  CAST(item_key % 4 AS BIGINT) AS media_count, code AS sku_2
+FROM (SELECT i.*, s.size_code,
+        CASE WHEN i.family IN ({_lst(B.SIZED_FAMILIES)}) THEN i.code || '-' || CAST(s.size_code AS VARCHAR) ELSE i.code END AS sku,
+        CASE WHEN i.family IN ({_lst(B.SIZED_FAMILIES)}) THEN {B.SIZE_LAST - B.SIZE_FIRST + 1} ELSE 1 END AS n_var
+      FROM items i, LATERAL (SELECT unnest(CASE WHEN i.family IN ({_lst(B.SIZED_FAMILIES)})
+                                   THEN range({B.SIZE_FIRST}, {B.SIZE_LAST + 1}) ELSE [NULL] END) AS size_code) s)""")
+
 cte("orderables", ["items"], f"""
 SELECT i.code, CAST({B.ORDERABLE_QTY} AS BIGINT) AS total_quantity,
   CASE i.metal WHEN 'GOLD' THEN '{_GOLD[0]}' WHEN 'SILVER' THEN '{_SILVER[0]}' ELSE '{B.ORDERABLE_FALLBACK_LOCATION[0]}' END AS warehouse_id,
@@ -127,6 +140,8 @@ def with_ctes(sql: str, needs: list[str]) -> str:
     if not order:
         return sql
     body = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    if sql[:5].upper() == "WITH ":
+        return f"WITH {body},\n{sql[5:]}"
     return f"WITH {body}\n{sql}"
 
 
@@ -270,3 +285,80 @@ WHERE l.l_linenumber % 2 = 0 AND upper(i.type) || ' PLATING' LIKE '%PROMO%'
   AND i.code NOT LIKE 'CO%' AND i.code NOT IN ({_lst(C.COMPOSITION_EXCLUDED)})""")
 q("scan_item", ["items"], "SELECT * FROM items")
 q("scan_full", [], "SELECT * FROM part")
+
+
+# ---------------------------------------------------- prices, texts, flags ----
+_RING = "substr({x}, 1, 2) IN ('AN', 'AL')"
+cte("price_sides", ["channel_variants"], """
+SELECT sku_2 AS sku, variant_id, product_id, price, compare_at_price FROM channel_variants
+WHERE product_id IS NOT NULL AND product_id <> ''""")
+q("price_sides", ["price_sides"], "SELECT * FROM price_sides")
+cte("price_delta", ["price_sides", "items"], """
+SELECT v.sku, v.variant_id, v.product_id, v.price, i.price AS erp_price, round(i.price - v.price, 2) AS delta
+FROM price_sides v LEFT JOIN items i ON i.code = v.sku
+WHERE (round(i.price - v.price, 2) <> 0 OR v.price IS NULL) AND i.price IS NOT NULL""")
+q("price_delta", ["price_delta"], "SELECT * FROM price_delta")
+cte("compare_price_delta", ["price_sides", "items"], """
+SELECT v.sku, v.variant_id, v.product_id, i.price AS compare_at_price, i.price AS erp_price, round(i.price - v.price, 2) AS delta
+FROM price_sides v LEFT JOIN items i ON i.code = v.sku
+WHERE i.price IS NOT NULL AND (v.compare_at_price IS NULL OR v.compare_at_price <> i.price)""")
+q("compare_price_delta", ["compare_price_delta"], "SELECT * FROM compare_price_delta")
+q("split_ring_items", ["channel_variants"], f"""
+SELECT sku, {_RING.format(x='sku')} AS is_ring, regexp_matches(sku, '^(AN|AL)') AS is_ring_rx,
+  (sku LIKE 'AN%' OR sku LIKE 'AL%') AS is_ring_like FROM channel_variants""")
+q("first_per_base", ["channel_variants"], """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY sku_2 ORDER BY sku) AS rn FROM channel_variants) WHERE rn = 1""")
+cte("ring_price_feed", ["price_delta", "channel_levels"], f"""
+WITH rings AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY variant_id) AS rn
+               FROM price_delta WHERE {_RING.format(x='sku')}) WHERE rn = 1),
+inv AS (SELECT variant_sku, variant_id, split_part(variant_sku, '-', 1) AS sku_2 FROM (
+          SELECT *, row_number() OVER (PARTITION BY variant_sku ORDER BY level_id) AS rn FROM channel_levels
+          WHERE variant_sku IS NOT NULL AND variant_sku <> '') WHERE rn = 1),
+u AS (SELECT inv.variant_sku AS sku, inv.variant_id, r.product_id, r.price, r.erp_price, r.delta, 0 AS src
+      FROM inv JOIN rings r ON r.sku = inv.sku_2
+      UNION ALL
+      SELECT sku, variant_id, product_id, price, erp_price, delta, 1 AS src FROM price_delta WHERE NOT {_RING.format(x='sku')})
+SELECT sku, variant_id, product_id, price, erp_price, delta FROM (
+  SELECT *, row_number() OVER (PARTITION BY sku ORDER BY src, variant_id) AS rn FROM u) WHERE rn = 1""")
+q("ring_price_feed", ["ring_price_feed"], "SELECT * FROM ring_price_feed")
+q("union_priority", ["price_delta", "compare_price_delta"], """
+SELECT variant_id, sku, erp_price, change FROM (
+  SELECT *, row_number() OVER (PARTITION BY variant_id ORDER BY src, sku, erp_price) AS rn FROM (
+    SELECT variant_id, sku, erp_price, 'price' AS change, 0 AS src FROM price_delta
+    UNION ALL SELECT variant_id, sku, erp_price, 'compare_at_price', 1 FROM compare_price_delta)) WHERE rn = 1""")
+q("feed_price", ["ring_price_feed"], """
+SELECT sku, variant_id, to_json({'id': variant_id, 'price': printf('%.2f', erp_price)}) AS payload FROM ring_price_feed""")
+_NORM = "coalesce(regexp_replace(trim({x}), '\\s+', ' ', 'g'), '')"
+q("text_diff", [], f"""
+WITH s AS (SELECT doc_id AS sku, source AS title,
+             CASE WHEN doc_id % 7 = 0 THEN text || ' extra' ELSE replace(text, ' ', '  ') END AS description,
+             lang AS composition FROM documents),
+e AS (SELECT doc_id AS sku, source AS title, text AS description, lang AS composition FROM documents),
+j AS (SELECT s.sku,
+        {_NORM.format(x='s.title')} <> {_NORM.format(x='e.title')} AS title_diff,
+        {_NORM.format(x='s.description')} <> {_NORM.format(x='e.description')} AS description_diff,
+        {_NORM.format(x='s.composition')} <> {_NORM.format(x='e.composition')} AS composition_diff,
+        e.title AS new_title, e.description AS new_description, e.composition AS new_composition
+      FROM s LEFT JOIN e ON s.sku = e.sku)
+SELECT * FROM j WHERE (title_diff OR description_diff OR composition_diff)
+  AND (new_title IS NOT NULL OR new_description IS NOT NULL OR new_composition IS NOT NULL)""")
+_G, _S = B.ORDERABLE_LOCATION["GOLD"], B.ORDERABLE_LOCATION["SILVER"]
+cte("flag_orderable", ["channel_levels"], f"""
+SELECT variant_sku, variant_id,
+  CAST(SUM(CASE WHEN location_name = '{_G[1]}' THEN qty ELSE 0 END) AS BIGINT) AS orderable_gold,
+  CAST(SUM(CASE WHEN location_name = '{_S[1]}' THEN qty ELSE 0 END) AS BIGINT) AS orderable_silver,
+  SUM(CASE WHEN location_name = '{_G[1]}' THEN qty ELSE 0 END) + SUM(CASE WHEN location_name = '{_S[1]}' THEN qty ELSE 0 END) > 0 AS is_orderable
+FROM channel_levels
+WHERE variant_sku IS NOT NULL AND variant_sku <> '' AND variant_id IS NOT NULL AND location_id IN ('{_G[0]}', '{_S[0]}')
+GROUP BY variant_sku, variant_id""")
+q("flag_orderable", ["flag_orderable"], "SELECT * FROM flag_orderable")
+q("flag_in_stock", ["channel_variants", "flag_orderable"], f"""
+SELECT v.variant_id, v.sku, v.product_id, v.inventory_quantity, f.is_orderable,
+  CASE WHEN (NOT f.is_orderable AND v.inventory_quantity = 0) OR (f.is_orderable AND v.inventory_quantity = {B.ORDERABLE_QTY})
+       THEN false ELSE true END AS in_stock
+FROM channel_variants v JOIN flag_orderable f ON v.variant_id = f.variant_id""")
+q("ready_list", ["stock_by_site", "channel_variants"], """
+WITH fv AS (SELECT sku_2, sku, product_id FROM (SELECT *, row_number() OVER (PARTITION BY sku_2 ORDER BY sku) AS rn
+            FROM channel_variants) WHERE rn = 1),
+j AS (SELECT c.code, fv.sku_2, fv.product_id FROM (SELECT DISTINCT code FROM stock_by_site) c JOIN fv ON c.code = fv.sku_2)
+SELECT code, sku_2, product_id FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY code) AS rn FROM j) WHERE rn = 1""")

@@ -147,3 +147,33 @@ def channel_levels(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("var-"), F.col("ref")).alias("variant_id"),
         F.concat(F.lit("inv-"), F.col("ref")).alias("inventory_item_id"),
         "location_id", "location_name", "qty")
+
+
+def channel_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Store variants (product_test_Sku): every item, sized families
+    exploded to sizes 10–22. Price NULL for key % 50 = 0, ERP price × 1.1
+    for key % 7 = 0, else the ERP price; list price NULL for key % 11 = 0,
+    ERP price where key % 3 <> 0, else ERP price × 1.2."""
+    it = items(spark, d)
+    sized = F.col("family").isin(SIZED_FAMILIES)
+    e = it.select("*", F.explode(F.when(sized, F.sequence(F.lit(SIZE_FIRST), F.lit(SIZE_LAST)))
+                                 .otherwise(F.array(F.lit(None).cast("int")))).alias("size_code"))
+    k = F.col("item_key")
+    sku = ref_of(F.col("code"), F.col("family"), F.col("size_code"))
+    n_var = F.when(sized, F.lit(SIZE_LAST - SIZE_FIRST + 1)).otherwise(F.lit(1)).cast("bigint")
+    return e.select(
+        F.concat(F.lit("var-"), sku).alias("variant_id"),
+        sku.alias("sku"),
+        F.coalesce(F.col("size_code").cast("string"), F.lit("Default Title")).alias("title"),
+        F.when(k % 50 == 0, F.lit(None).cast("double"))
+        .when(k % 7 == 0, F.round(F.col("price") * F.lit(1.1), 2)).otherwise(F.col("price")).alias("price"),
+        F.when(k % 11 == 0, F.lit(None).cast("double"))
+        .when(k % 3 != 0, F.col("price")).otherwise(F.round(F.col("price") * F.lit(1.2), 2)).alias("compare_at_price"),
+        (k % 6).cast("bigint").alias("inventory_quantity"),
+        F.concat(F.lit("prod-"), k.cast("string")).alias("product_id"),
+        F.col("description").alias("product_title"),
+        (n_var * (k % 6)).alias("total_inventory"),
+        n_var.alias("total_variants"),
+        (k % 4).cast("bigint").alias("media_count"),
+        F.col("code").alias("sku_2"),
+    )

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import bindings as B
 from .plans import catalog as C
+from .plans import flags as FL
+from .plans import prices as P
+from .plans import texts as TX
 from .plans import stock as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +44,19 @@ register("distinct_counts")(lambda s, d: S.distinct_counts(s, d))
 for _n in ["item_master", "item_export_full", "item_texts", "item_seo", "items_active", "items_inactive",
            "price_list", "composition_flag", "scan_item", "scan_full"]:
     register(_n)(getattr(C, _n))
+
+# ---------------------------------------------------- prices, texts, flags ----
+_V = B.channel_variants
+register("price_sides")(lambda s, d: P.price_sides(_V(s, d)))
+register("price_delta")(lambda s, d: P.price_delta(_V(s, d), B.items(s, d)))
+register("compare_price_delta")(lambda s, d: P.compare_price_delta(_V(s, d), B.items(s, d)))
+register("split_ring_items")(lambda s, d: P.split_ring_items(_V(s, d)))
+register("first_per_base")(lambda s, d: P.first_per_base(_V(s, d)))
+register("ring_price_feed")(lambda s, d: P.ring_price_feed(_V(s, d), B.items(s, d), B.channel_levels(s, d)))
+register("union_priority")(lambda s, d: P.price_change_priority(_V(s, d), B.items(s, d)))
+register("feed_price")(lambda s, d: P.feed_price(P.ring_price_feed(_V(s, d), B.items(s, d), B.channel_levels(s, d))))
+register("text_diff")(lambda s, d: TX.text_diff(TX.store_texts(s, d), TX.erp_texts(s, d)))
+register("feed_text")(lambda s, d: TX.feed_text(TX.text_diff(TX.store_texts(s, d), TX.erp_texts(s, d))))
+register("flag_orderable")(lambda s, d: FL.flag_orderable(B.channel_levels(s, d)))
+register("flag_in_stock")(lambda s, d: FL.flag_in_stock(_V(s, d), FL.flag_orderable(B.channel_levels(s, d))))
+register("ready_list")(lambda s, d: FL.ready_list(S.stock_by_site(s, d), _V(s, d)))
