@@ -362,3 +362,49 @@ WITH fv AS (SELECT sku_2, sku, product_id FROM (SELECT *, row_number() OVER (PAR
             FROM channel_variants) WHERE rn = 1),
 j AS (SELECT c.code, fv.sku_2, fv.product_id FROM (SELECT DISTINCT code FROM stock_by_site) c JOIN fv ON c.code = fv.sku_2)
 SELECT code, sku_2, product_id FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY code) AS rn FROM j) WHERE rn = 1""")
+
+
+# ------------------------------------------------------------------ nested ----
+q("jsonl_levels", ["channel_levels", "channel_variants"], """
+SELECT l.level_id, v.sku, v.product_id, v.product_title, v.total_variants, 'inv-' || v.sku AS inventory_item_id,
+  v.variant_id, v.sku AS variant_sku, v.title AS variant_title, l.location_id, l.location_name, l.qty,
+  split_part(v.sku, '-', 1) AS sku_2
+FROM channel_levels l JOIN channel_variants v ON l.variant_id = v.variant_id""")
+_VCOLS = ("variant_id, sku, title, price, compare_at_price, inventory_quantity, product_id, product_title, "
+          "total_inventory, total_variants, media_count, split_part(sku, '-', 1) AS sku_2")
+q("jsonl_variants", ["channel_variants"], f"SELECT {_VCOLS} FROM channel_variants")
+q("jsonl_texts", ["channel_variants"], f"""
+SELECT {_VCOLS}, d.text AS description, CASE WHEN k % 3 = 0 THEN NULL ELSE d.lang END AS metafield_value
+FROM (SELECT *, CAST(split_part(product_id, '-', 2) AS BIGINT) AS k FROM channel_variants) v
+LEFT JOIN documents d ON d.doc_id = v.k""")
+q("jsonl_metafields", ["items"], """
+SELECT 'prod-' || CAST(item_key AS VARCHAR) AS product_id, description AS title,
+  'mf-' || CAST(item_key AS VARCHAR) || '-c' AS metafield_id, 'composition' AS key, type AS value FROM items WHERE item_key % 9 <> 0
+UNION ALL
+SELECT 'prod-' || CAST(item_key AS VARCHAR), description, 'mf-' || CAST(item_key AS VARCHAR) || '-m', 'metal', metal FROM items WHERE item_key % 9 <> 0
+UNION ALL
+SELECT 'prod-' || CAST(item_key AS VARCHAR), description, NULL, NULL, NULL FROM items WHERE item_key % 9 = 0""")
+cte("json_pages", [], """
+SELECT 'col-' || CAST(num AS VARCHAR) AS id, model AS title, lower(replace(model, '#', '-')) AS handle,
+  '2024-01-01T00:00:00Z' AS updated_at, n AS products_count,
+  CASE WHEN num % 2 = 0 THEN 'BEST_SELLING' ELSE 'MANUAL' END AS sort_order
+FROM (SELECT p_brand AS model, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS num, count(*) AS n FROM part GROUP BY p_brand)""")
+q("json_pages", ["json_pages"], "SELECT * FROM json_pages")
+q("page_limit", ["json_pages"], "SELECT * FROM json_pages ORDER BY id LIMIT 250")
+q("lookup_items", ["items", "channel_variants"], """
+SELECT i.code, v.product_id, v.variant_id, v.sku AS variant_sku,
+  CASE WHEN v.sku_2 IS NULL THEN NULL ELSE 'https://cdn.example/' || v.sku_2 || '-1.jpg' END AS image_url,
+  CASE WHEN v.product_id IS NULL THEN 'not in channel' ELSE 'found' END AS status
+FROM items i LEFT JOIN (SELECT * FROM channel_variants WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> 3) v
+  ON i.code = v.sku_2""")
+q("lookup_sizes", ["items", "channel_variants"], f"""
+SELECT g.code, CAST(g.size AS BIGINT) AS size, g.sku, v.variant_id,
+  CASE WHEN v.variant_id IS NOT NULL THEN 'inv-' || g.sku END AS inventory_item_id, v.variant_id IS NOT NULL AS found
+FROM (SELECT code, s.size, code || '-' || CAST(s.size AS VARCHAR) AS sku
+      FROM items, (SELECT unnest(range({B.SIZE_FIRST}, {B.SIZE_LAST + 1})) AS size) s
+      WHERE family IN ({_lst(B.SIZED_FAMILIES)})) g
+LEFT JOIN channel_variants v ON v.sku = g.sku""")
+q("ffill_by_key", [], """
+SELECT user_id, event_id, last_value(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS)
+  OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+FROM events""")

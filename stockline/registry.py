@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import bindings as B
 from .plans import catalog as C
 from .plans import flags as FL
+from .plans import nested as N
 from .plans import prices as P
 from .plans import texts as TX
 from .plans import stock as S
@@ -60,3 +61,9 @@ register("feed_text")(lambda s, d: TX.feed_text(TX.text_diff(TX.store_texts(s, d
 register("flag_orderable")(lambda s, d: FL.flag_orderable(B.channel_levels(s, d)))
 register("flag_in_stock")(lambda s, d: FL.flag_in_stock(_V(s, d), FL.flag_orderable(B.channel_levels(s, d))))
 register("ready_list")(lambda s, d: FL.ready_list(S.stock_by_site(s, d), _V(s, d)))
+
+# ------------------------------------------------------------------ nested ----
+for _n in ["jsonl_levels", "jsonl_variants", "jsonl_texts", "jsonl_metafields", "json_pages", "page_limit",
+           "lookup_items", "lookup_sizes"]:
+    register(_n)(getattr(N, _n))
+register("ffill_by_key")(lambda s, d: N.ffill_events(s, d))
