@@ -408,3 +408,89 @@ q("ffill_by_key", [], """
 SELECT user_id, event_id, last_value(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS)
   OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
 FROM events""")
+
+
+# ------------------------------------------------------------------ cycles ----
+cte("snap_today", [], """
+SELECT o_orderkey AS order_key, o_orderstatus AS status, o_totalprice AS price FROM orders WHERE o_orderkey % 10 <> 0""")
+cte("snap_base", [], """
+SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS status,
+  o_totalprice AS price FROM orders WHERE o_orderkey % 10 <> 1""")
+_NSE = ("{a}.order_key IS NOT DISTINCT FROM {b}.order_key AND {a}.status IS NOT DISTINCT FROM {b}.status "
+        "AND {a}.price IS NOT DISTINCT FROM {b}.price")
+q("row_diff", ["snap_today", "snap_base"], f"""
+SELECT * FROM snap_today t WHERE NOT EXISTS (SELECT 1 FROM snap_base b WHERE {_NSE.format(a='t', b='b')})""")
+q("cycle_flags", ["snap_today", "snap_base"], f"""
+SELECT *, true AS is_active FROM snap_today t WHERE NOT EXISTS (SELECT 1 FROM snap_base b WHERE {_NSE.format(a='t', b='b')})
+UNION ALL
+SELECT *, false FROM snap_base b WHERE NOT EXISTS (SELECT 1 FROM snap_today t WHERE {_NSE.format(a='t', b='b')})""")
+cte("key_changes", ["snap_today", "snap_base"], """
+SELECT coalesce(t.order_key, b.order_key) AS order_key,
+  CASE WHEN t.order_key IS NULL THEN b.status ELSE t.status END AS status,
+  CASE WHEN t.order_key IS NULL THEN b.price ELSE t.price END AS price,
+  CASE WHEN b.order_key IS NULL THEN 'enter' WHEN t.order_key IS NULL THEN 'leave' ELSE 'keep' END AS change
+FROM snap_today t FULL JOIN snap_base b ON t.order_key = b.order_key""")
+q("cycle_diff", ["key_changes"], "SELECT * FROM key_changes WHERE change <> 'keep'")
+q("cycle_next_base", ["key_changes"], "SELECT order_key, status, price FROM key_changes WHERE change <> 'leave'")
+q("ledger_todo", ["items"], "SELECT code FROM items WHERE item_key % 4 <> 0 AND item_key % 9 <> 0")
+q("ledger_append", ["items"], """
+SELECT code FROM items WHERE item_key % 4 = 0 UNION ALL SELECT code FROM items WHERE item_key % 4 <> 0 AND item_key % 9 <> 0""")
+q("audit_log", ["stock_delta"], "SELECT *, '2024-01-01T00:00:00' AS run_ts FROM stock_delta")
+q("csv_roundtrip", ["channel_variants"], "SELECT * FROM channel_variants")
+
+# ---------------------------------------------------------------- campaign ----
+from .plans import campaign as CP  # noqa: E402
+
+_MEMBER_MODELS = [m for lst in CP.MEMBER_LISTS for m in lst]
+cte("campaign_members", ["items"], f"""
+SELECT DISTINCT 'prod-' || CAST(item_key AS VARCHAR) AS product_id FROM items
+WHERE model IN ({_lst(_MEMBER_MODELS)}) AND item_key % {CP.EXCLUDED_PRODUCT_MOD} <> 0""")
+q("campaign_members", ["campaign_members"], "SELECT * FROM campaign_members")
+cte("campaign_candidates", ["campaign_members", "channel_variants"], """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY sku) AS rn
+  FROM channel_variants WHERE product_id IN (SELECT product_id FROM campaign_members)) WHERE rn = 1""")
+q("campaign_candidates", ["campaign_candidates"], "SELECT * FROM campaign_candidates")
+cte("item_stats", [], """
+SELECT l_partkey AS item_key, CAST(trunc(SUM(l_quantity)) AS BIGINT) AS total_inventory, count(*) AS total_variants
+FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_partkey""")
+_R = "CAST(total_inventory AS DOUBLE) / CAST(total_variants AS DOUBLE)"
+_FIVE = f"coalesce(round({_R}) % {CP.TARGET_RATIO} = 0, false)"
+q("campaign_split", ["item_stats"], f"""
+SELECT item_key, total_inventory, total_variants, round({_R}, 4) AS ratio, NOT {_FIVE} AS tagged
+FROM item_stats WHERE total_inventory <> 0""")
+q("badge_removal", ["item_stats", "items"], f"""
+SELECT * FROM (SELECT s.item_key, i.orderable,
+  CASE WHEN NOT i.orderable THEN 'not orderable' WHEN s.total_inventory = 0 THEN 'no stock' WHEN {_FIVE} THEN 'ratio' END AS reason
+  FROM item_stats s JOIN items i ON s.item_key = i.item_key) WHERE reason IS NOT NULL""")
+_RULES = ", ".join(f"('{m}', {r}, '{o}')" for m, r, o in CP.CAMPAIGN_RULES)
+cte("campaign_price", ["campaign_candidates", "items"], f"""
+SELECT c.sku, c.variant_id, c.product_id, coalesce(c.compare_at_price, c.price) AS list_price,
+  CAST(coalesce(r.rate, {CP.DEFAULT_RATE}) AS BIGINT) AS rate, coalesce(r.on_order, 'Nao') AS on_order,
+  round(coalesce(c.compare_at_price, c.price) * (1.0 - CAST(coalesce(r.rate, {CP.DEFAULT_RATE}) AS DOUBLE) / 100.0), 2) AS campaign_price
+FROM campaign_candidates c JOIN items i ON i.code = c.sku_2
+LEFT JOIN (VALUES {_RULES}) r(model, rate, on_order) ON r.model = i.model
+WHERE NOT coalesce(i.description LIKE '%{CP.EXCLUDED_TITLE_WORD}%', false)""")
+q("campaign_price", ["campaign_price"], "SELECT * FROM campaign_price")
+q("feed_campaign_price", ["campaign_price"], """
+SELECT variant_id, 'apply' AS mode, to_json({'id': variant_id, 'price': printf('%.2f', campaign_price),
+  'compareAtPrice': printf('%.2f', list_price)}) AS payload FROM campaign_price WHERE list_price IS NOT NULL
+UNION ALL
+SELECT variant_id, 'restore', to_json({'id': variant_id, 'price': printf('%.2f', list_price)})
+FROM campaign_price WHERE list_price IS NOT NULL""")
+q("metafield_cleanup", ["items"], """
+SELECT 'mf-' || CAST(item_key AS VARCHAR) || '-' || sfx AS metafield_id, 'prod-' || CAST(item_key AS VARCHAR) AS product_id,
+  CASE sfx WHEN 'c' THEN 'composition' ELSE 'metal' END AS key
+FROM items, (VALUES ('c'), ('m')) k(sfx) WHERE item_key % 9 <> 0""")
+q("feed_flags", ["flag_orderable", "channel_variants", "stock_by_site", "items"], f"""
+WITH fis AS (SELECT v.variant_id, CASE WHEN (NOT f.is_orderable AND v.inventory_quantity = 0)
+                OR (f.is_orderable AND v.inventory_quantity = {B.ORDERABLE_QTY}) THEN false ELSE true END AS in_stock
+             FROM channel_variants v JOIN flag_orderable f ON v.variant_id = f.variant_id),
+fv AS (SELECT sku_2, sku, product_id FROM (SELECT *, row_number() OVER (PARTITION BY sku_2 ORDER BY sku) AS rn
+       FROM channel_variants) WHERE rn = 1),
+rl AS (SELECT DISTINCT fv.product_id FROM (SELECT DISTINCT code FROM stock_by_site) c JOIN fv ON c.code = fv.sku_2),
+u AS (SELECT variant_id AS owner_id, 'custom' AS namespace, 'orderable' AS key, 'boolean' AS type,
+        CASE WHEN is_orderable THEN 'true' ELSE 'false' END AS value FROM flag_orderable
+      UNION ALL SELECT variant_id, 'custom', 'in_stock', 'boolean', CASE WHEN in_stock THEN 'true' ELSE 'false' END FROM fis
+      UNION ALL SELECT product_id, 'custom', 'ready_to_ship', 'boolean', 'true' FROM rl
+      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'composition', 'single_line_text_field', type FROM items)
+SELECT *, to_json({{'ownerId': owner_id, 'namespace': namespace, 'key': key, 'type': type, 'value': value}}) AS payload FROM u""")

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import bindings as B
+from .plans import campaign as CP
 from .plans import catalog as C
+from .plans import cycles as CY
 from .plans import flags as FL
 from .plans import nested as N
 from .plans import prices as P
@@ -67,3 +69,30 @@ for _n in ["jsonl_levels", "jsonl_variants", "jsonl_texts", "jsonl_metafields",
            "lookup_items", "lookup_sizes"]:
     register(_n)(getattr(N, _n))
 register("ffill_by_key")(lambda s, d: N.ffill_events(s, d))
+
+# ------------------------------------------------------------------ cycles ----
+register("row_diff")(lambda s, d: CY.cycle_row_diff(*CY.snapshots(s, d)))
+register("cycle_flags")(lambda s, d: CY.cycle_flags(*CY.snapshots(s, d)))
+register("cycle_diff")(lambda s, d: CY.cycle_diff(*CY.snapshots(s, d)))
+register("cycle_next_base")(lambda s, d: CY.cycle_next_base(*CY.snapshots(s, d)))
+register("ledger_todo")(lambda s, d: CY.ledger_todo(*CY.ledger_sets(s, d)))
+register("ledger_append")(lambda s, d: CY.ledger_append(
+    CY.ledger_sets(s, d)[1], CY.ledger_todo(*CY.ledger_sets(s, d))))
+register("audit_log")(lambda s, d: CY.audit_log(
+    S.stock_delta(B.channel_levels(s, d), S.erp_stock(s, d)), "2024-01-01T00:00:00"))
+register("csv_roundtrip")(CY.csv_roundtrip)
+
+# ---------------------------------------------------------------- campaign ----
+register("campaign_members")(CP.campaign_members)
+register("campaign_candidates")(lambda s, d: CP.campaign_candidates(CP.campaign_members(s, d), _V(s, d)))
+register("campaign_split")(lambda s, d: CP.campaign_split(CP.item_stock_ratio(s, d)))
+register("badge_removal")(lambda s, d: CP.badge_removal(CP.item_stock_ratio(s, d), B.items(s, d)))
+register("campaign_price")(lambda s, d: CP.campaign_price(
+    s, CP.campaign_candidates(CP.campaign_members(s, d), _V(s, d)), B.items(s, d)))
+register("feed_campaign_price")(lambda s, d: CP.feed_campaign_price(CP.campaign_price(
+    s, CP.campaign_candidates(CP.campaign_members(s, d), _V(s, d)), B.items(s, d))))
+register("metafield_cleanup")(lambda s, d: CP.metafield_cleanup(N.jsonl_metafields(s, d)))
+register("feed_flags")(lambda s, d: CP.feed_flags(
+    FL.flag_orderable(B.channel_levels(s, d)),
+    FL.flag_in_stock(_V(s, d), FL.flag_orderable(B.channel_levels(s, d))),
+    FL.ready_list(S.stock_by_site(s, d), _V(s, d)), B.items(s, d)))
