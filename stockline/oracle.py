@@ -494,3 +494,61 @@ u AS (SELECT variant_id AS owner_id, 'custom' AS namespace, 'orderable' AS key,
       UNION ALL SELECT product_id, 'custom', 'ready_to_ship', 'boolean', 'true' FROM rl
       UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'composition', 'single_line_text_field', type FROM items)
 SELECT *, to_json({{'ownerId': owner_id, 'namespace': namespace, 'key': key, 'type': type, 'value': value}}) AS payload FROM u""")
+
+
+# ------------------------------------------------------------------- sales ----
+from .plans import sales as SA  # noqa: E402
+
+_SITE = "('S' || CAST(l_suppkey % 6 AS VARCHAR))"
+_COMPANY = f"coalesce(nullif({_case(_SITE, {k: v[1] for k, v in B.SITE_WAREHOUSE.items()})}, ''), 'WEB')"
+q("sales_fact", ["items"], f"""
+WITH lk AS (SELECT o_orderkey AS lk_key, o_custkey AS lk_cust, o_orderdate AS lk_date, o_orderpriority AS lk_event
+            FROM orders WHERE o_orderpriority IN ({_lst(SA.LOOKUP_PRIORITIES)})),
+j AS (SELECT l.*, o.o_custkey, o.o_orderstatus, i.code, i.family, i.group_name, i.model, i.cost,
+        c.c_name, c.c_nationkey, n.n_name, s.s_name, lk.*,
+        CASE WHEN l_shipdate < TIMESTAMP '2001-01-01' THEN
+               CASE WHEN l_linestatus = 'F' AND l_linenumber % 2 = 0 THEN 'a' WHEN l_linestatus = 'F' THEN 'b'
+                    WHEN o_orderstatus = 'O' THEN 'c' END
+             ELSE CASE WHEN l_suppkey % 6 <> 0 THEN 'd' ELSE 'e' END END AS branch,
+        CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS sgn,
+        o.o_custkey % {SA.HOUSE_ACCOUNT_MOD} = 0 AS house,
+        coalesce(CAST(lk.lk_date AS DATE), CAST(l.l_shipdate AS DATE)) AS sdate,
+        CAST(l_extendedprice AS DECIMAL(15,2)) AS ext,
+        CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2))) AS tot,
+        CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(15,2)) AS dsc,
+        ({_SITE} IN ({_lst(SA.WEB_SELLER_SITES)}) OR s.s_name IS NULL) AS web_seller,
+        {_COMPANY} AS company
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+      JOIN items i ON l.l_partkey = i.item_key
+      LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+      LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+      LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+      LEFT JOIN lk ON l.l_orderkey = lk.lk_key AND o.o_custkey = lk.lk_cust),
+k AS (SELECT *, CASE WHEN branch = 'b' OR l_returnflag = 'R' THEN 'S' || CAST(l_suppkey AS VARCHAR)
+                     ELSE 'N' || CAST(c_nationkey AS VARCHAR) END AS cpty
+      FROM j WHERE branch IS NOT NULL AND (branch = 'e' OR l_extendedprice <> 0))
+SELECT company,
+  CASE branch {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in SA.OPERATION.items())} END AS operation,
+  l_orderkey AS op_number, sdate AS sale_date,
+  CASE WHEN house THEN cpty ELSE 'C' || CAST(o_custkey AS VARCHAR) END AS customer_id,
+  CASE WHEN house THEN (CASE WHEN cpty LIKE 'S%' THEN s_name ELSE n_name END) ELSE c_name END AS customer_name,
+  CASE WHEN web_seller THEN 'WEB' ELSE 'V' || CAST(l_suppkey AS VARCHAR) END AS seller_id,
+  CASE WHEN web_seller THEN 'WEB' ELSE s_name END AS seller_name,
+  'N' || CAST(c_nationkey AS VARCHAR) AS companion_id, n_name AS companion_name,
+  group_name AS big_group, model, code,
+  CASE WHEN branch = 'b' THEN NULL ELSE 'B' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS barcode,
+  CASE WHEN family IN ({_lst(B.SIZED_FAMILIES)}) THEN CAST(10 + l_linenumber % 13 AS VARCHAR) ELSE '' END AS size,
+  CAST(trunc(l_quantity) AS BIGINT) * sgn AS qty,
+  CAST((CASE WHEN branch IN ('c', 'd', 'e') THEN round(tot + dsc, 2) ELSE round(tot, 2) END) * sgn AS DOUBLE) AS net_total,
+  CAST(round(dsc, 2) AS DOUBLE) AS discount,
+  CAST(CASE WHEN branch IN ('c', 'd', 'e') THEN round(CAST(cost AS DECIMAL(15,2)) * CAST(l_quantity AS DECIMAL(15,2)), 2)
+       ELSE round(ext * CAST({SA.COST_RATE} AS DECIMAL(15,2)), 2) END AS DOUBLE) AS cost,
+  CAST(CASE WHEN branch = 'a' THEN round(ext, 0) * sgn WHEN branch = 'b' THEN round(ext * (1 + CAST(l_tax AS DECIMAL(15,2))), 0)
+       ELSE round(ext, 0) END AS BIGINT) AS gross_total,
+  CASE WHEN lk_key IS NOT NULL THEN 'NF' || CAST(l_orderkey AS VARCHAR) END AS invoice_no,
+  concat_ws('-', company, CAST(l_orderkey AS VARCHAR),
+            strftime(CASE WHEN branch = 'd' THEN CAST(l_shipdate AS DATE) ELSE sdate END, '%Y-%m-%d')) AS sale_id,
+  'P' || CAST(l_orderkey AS VARCHAR) AS order_id,
+  CASE WHEN branch = 'e' THEN 'W' || CAST(l_orderkey AS VARCHAR) END AS web_id,
+  lk_event AS event
+FROM k ORDER BY sale_date DESC""")

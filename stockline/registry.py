@@ -13,6 +13,7 @@ from .plans import cycles as CY
 from .plans import flags as FL
 from .plans import nested as N
 from .plans import prices as P
+from .plans import sales as SA
 from .plans import texts as TX
 from .plans import stock as S
 
@@ -96,3 +97,6 @@ register("feed_flags")(lambda s, d: CP.feed_flags(
     FL.flag_orderable(B.channel_levels(s, d)),
     FL.flag_in_stock(_V(s, d), FL.flag_orderable(B.channel_levels(s, d))),
     FL.ready_list(S.stock_by_site(s, d), _V(s, d)), B.items(s, d)))
+
+# ------------------------------------------------------------------- sales ----
+register("sales_fact")(lambda s, d: SA.sales_fact(s, d))
