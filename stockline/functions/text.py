@@ -44,7 +44,7 @@ def title_case(x) -> Column:
 def phone_digits(x) -> Column:
     """Phone text such as '5511900000001.0' → '+5511900000001' via
     float → int → text, truncating like ``int(float(x))`` (X9)."""
-    n = F.try_cast(_c(x), "double").cast("bigint")
+    n = _c(x).try_cast("double").cast("bigint")
     return F.when(n.isNull(), F.lit(None).cast("string")).otherwise(F.concat(F.lit("+"), n.cast("string")))
 
 

@@ -552,3 +552,89 @@ SELECT company,
   CASE WHEN branch = 'e' THEN 'W' || CAST(l_orderkey AS VARCHAR) END AS web_id,
   lk_event AS event
 FROM k ORDER BY sale_date DESC""")
+
+
+# ------------------------------------------------------- intake and feeds ----
+from .plans import intake as IN  # noqa: E402
+
+_T = TITLE.format
+q("customer_class", [], f"""
+WITH c AS (SELECT c.c_custkey AS k, c.c_name, n.n_name,
+             CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN '119' || CAST(c_custkey AS VARCHAR) || '.0'
+                  ELSE CAST(5511900000000 + c_custkey AS VARCHAR) || '.0' END AS phone_raw,
+             CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE 'Street ' || CAST(c_custkey AS VARCHAR) END AS address
+           FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+p AS (SELECT *, CASE WHEN phone_raw IS NULL THEN NULL
+                     ELSE '+' || CAST(CAST(trunc(TRY_CAST(phone_raw AS DOUBLE)) AS BIGINT) AS VARCHAR) END AS phone,
+             split_part(c_name, '#', 1) AS fn FROM c),
+r AS (SELECT *, coalesce(length(phone), 0) AS plen FROM p)
+SELECT 'C' || CAST(k AS VARCHAR) AS customer_id, {_T(x='fn')} AS first_name, split_part(c_name, '#', 2) AS last_name,
+  lower({_T(x='fn')}) || CAST(k AS VARCHAR) || '@example.com' AS email, phone, CAST(plen AS BIGINT) AS phone_len, address,
+  {_T(x='n_name')} AS city,
+  CASE WHEN plen <= {IN.SHORT_PHONE_MAX} AND address IS NULL THEN '{IN.CUSTOMER_CLASSES[0]}'
+       WHEN plen <= {IN.SHORT_PHONE_MAX} THEN '{IN.CUSTOMER_CLASSES[1]}'
+       WHEN address IS NULL THEN '{IN.CUSTOMER_CLASSES[2]}' ELSE '{IN.CUSTOMER_CLASSES[3]}' END AS class
+FROM r""")
+cte("intake_prepare", ["items"], f"""
+SELECT code, title, collection_id, to_json(coalesce(string_split(st, ', '), CAST([] AS VARCHAR[]))) AS stones,
+  CAST(coalesce(len(string_split(st, ', ')), 0) AS BIGINT) AS stone_count, metal_title, family, item_key
+FROM (SELECT i.*, {_T(x='i.description')} AS title, {_T(x='i.metal')} AS metal_title,
+        CASE WHEN c.model IS NULL THEN NULL ELSE 'col-' || split_part(c.model, '#', 2) END AS collection_id,
+        CASE WHEN i.item_key % 3 = 0 THEN NULL WHEN i.item_key % 3 = 1 THEN 'ruby' ELSE 'ruby, pearl' END AS st
+      FROM items i LEFT JOIN (SELECT DISTINCT p_brand AS model FROM part) c ON i.model = c.model
+      WHERE i.item_key % 10 = 0 OR i.item_key % 10 = {IN.CHANNEL_MISSING_MOD})""")
+q("intake_prepare", ["intake_prepare"], "SELECT * FROM intake_prepare")
+q("intake_new", ["intake_prepare", "channel_variants", "items"], f"""
+SELECT * FROM intake_prepare WHERE code NOT IN (SELECT sku_2 FROM channel_variants
+    WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> {IN.CHANNEL_MISSING_MOD})
+  AND code NOT IN (SELECT code FROM items WHERE NOT active)""")
+q("activation_plan", ["channel_variants"], f"""
+SELECT 'inv-' || sku AS inventory_item_id, sku, unnest([{_lst(IN.ACTIVATION_LOCATIONS)}]) AS location_id FROM channel_variants""")
+q("publication_plan", ["channel_variants"], f"""
+SELECT product_id, unnest([{_lst(IN.SALES_CHANNELS)}]) AS channel FROM (SELECT DISTINCT product_id FROM channel_variants)""")
+q("feed_stock", ["stock_change_set"], """
+SELECT phase, variant_sku, location_id, to_json({'reason': 'correction', 'name': 'available',
+  'changes': [{'delta': delta, 'inventoryItemId': inventory_item_id, 'locationId': location_id}]}) AS payload
+FROM stock_change_set""")
+q("feed_delete", ["channel_variants", "items"], """
+SELECT product_id, to_json({'id': product_id}) AS payload FROM (SELECT DISTINCT product_id FROM channel_variants
+  WHERE sku_2 IN (SELECT code FROM items WHERE NOT active))""")
+q("response_split", ["stock_change_set"], """
+SELECT variant_sku, location_id, CASE WHEN delta < -50 THEN 'rejected' ELSE 'applied' END AS status,
+  CASE WHEN delta < -50 THEN 'Quantity below limit' END AS message FROM stock_change_set""")
+
+# ------------------------------------------------------------------ scalars ----
+q("scalar_strings", [], f"""
+SELECT p_partkey AS item_key, rtrim(p_name || '   ') AS rtrimmed, trim('  ' || p_name || '  ') AS trimmed,
+  regexp_replace(trim(replace(p_name, ' ', '   ')), '\\s+', ' ', 'g') AS collapsed,
+  p_name || '/' || coalesce(CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_brand END, '') AS concat_blank,
+  p_name || '/' || (CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_brand END) AS concat_plus,
+  replace(p_name, 'rod', 'bar') AS replaced, regexp_replace(p_name, '(?i)RING', 'band', 'g') AS replaced_ci,
+  split_part(p_name, ' ', 1) AS word1,
+  CASE WHEN len(string_split(p_name, ' ')) >= 3 THEN string_split(p_name, ' ')[3] END AS word3,
+  CAST(len(string_split(p_name, ' ')) AS BIGINT) AS n_words, upper(p_name) AS upper,
+  {_T(x="(p_name || ' d''agua-x2')")} AS title, CAST(length(p_name) AS BIGINT) AS length,
+  CASE WHEN p_name LIKE '%gear%' THEN 'GEAR' ELSE '' END AS keyword,
+  CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 5 = 1 THEN '' ELSE trim(p_name) END AS cleaned
+FROM part""")
+q("scalar_bands", ["items", "shop_stock"], f"""
+SELECT i.code,
+  CASE i.group_name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.TAXONOMY.items())} ELSE '{C.TAXONOMY_DEFAULT}' END AS taxonomy_code,
+  {_bands().replace("price", "i.price").replace("metal", "i.metal")} AS price_band,
+  CASE WHEN i.orderable OR s.stock_qty - 100 > 0 THEN 'ATIVO' ELSE 'INATIVO' END AS final_status,
+  CASE WHEN i.active THEN 'Ativo' ELSE 'Inativo' END AS status_text,
+  CAST(CASE WHEN s.stock_qty - 100 > 0 THEN s.stock_qty - 100 ELSE 0 END AS BIGINT) AS stock_floor
+FROM items i LEFT JOIN shop_stock s ON i.code = s.code""")
+q("scalar_casts", [], """
+SELECT o_orderkey AS order_key, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'open' END AS iif,
+  coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END, 0.0) AS isnull_price,
+  coalesce(CAST(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate END AS DATE), DATE '2001-01-01') AS date_or_asof,
+  CASE WHEN o_custkey % 50 = 0 THEN (CASE WHEN o_orderstatus = 'F' THEN 'origin' ELSE 'destination' END) ELSE 'customer' END AS party,
+  CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE -o_totalprice END AS signed,
+  CAST(CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(10,0)) AS BIGINT) AS price_dec0,
+  lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS char8, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date_text,
+  CAST(o_orderdate AS DATE) < DATE '2001-01-01' AS before_as_of,
+  CAST(round(CAST(o_totalprice AS DECIMAL(15,2)) * CAST(0.9 AS DECIMAL(15,2)), 2) AS DOUBLE) AS discounted,
+  round(CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_totalprice / CAST(o_orderkey % 4 AS DOUBLE) END, 4) AS ratio,
+  printf('%.2f', CAST(o_totalprice AS DECIMAL(15,2))) AS price_text
+FROM orders""")

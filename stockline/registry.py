@@ -10,10 +10,13 @@ from .plans import bindings as B
 from .plans import campaign as CP
 from .plans import catalog as C
 from .plans import cycles as CY
+from .plans import feeds as FD
 from .plans import flags as FL
+from .plans import intake as IN
 from .plans import nested as N
 from .plans import prices as P
 from .plans import sales as SA
+from .plans import scalars as SC
 from .plans import texts as TX
 from .plans import stock as S
 
@@ -100,3 +103,21 @@ register("feed_flags")(lambda s, d: CP.feed_flags(
 
 # ------------------------------------------------------------------- sales ----
 register("sales_fact")(lambda s, d: SA.sales_fact(s, d))
+
+# ------------------------------------------------------- intake and feeds ----
+_CS = lambda s, d: S.stock_change_set(B.channel_levels(s, d), S.erp_stock(s, d), S.orderable_sizes(s, d))
+register("customer_class")(lambda s, d: IN.customer_class(IN.customers(s, d)))
+register("intake_prepare")(IN.intake_prepare)
+register("intake_new")(IN.intake_new)
+register("activation_plan")(lambda s, d: IN.activation_plan(_V(s, d)))
+register("publication_plan")(lambda s, d: IN.publication_plan(_V(s, d)))
+register("feed_stock")(lambda s, d: FD.feed_stock(_CS(s, d)))
+register("feed_activation")(lambda s, d: FD.feed_activation(IN.activation_plan(_V(s, d))))
+register("feed_create")(lambda s, d: FD.feed_create(IN.intake_new(s, d)))
+register("feed_create_letters")(lambda s, d: FD.feed_create_letters(IN.intake_new(s, d)))
+register("feed_customer")(lambda s, d: FD.feed_customer(IN.customer_class(IN.customers(s, d))))
+register("feed_delete")(lambda s, d: FD.feed_delete(_V(s, d), B.items(s, d)))
+register("response_split")(lambda s, d: FD.response_split(FD.landed_responses(_CS(s, d))))
+register("scalar_strings")(SC.scalar_strings)
+register("scalar_bands")(SC.scalar_bands)
+register("scalar_casts")(SC.scalar_casts)
