@@ -66,9 +66,12 @@ def erp_stock(spark: SparkSession, d: str) -> DataFrame:
     the lines on the join key (equal to E6 then A3, one shuffle fewer)."""
     s = sellable_lines(spark, d)
     s = s.withColumn("warehouse_id", B.site_warehouse_id(F.col("site"))).filter(F.col("warehouse_id") != "")
-    return (s.groupBy("ref", "warehouse_id")
-            .agg(F.sum("qty").cast("bigint").alias("total_quantity"), F.max("code").alias("code"),
-                 F.max(B.site_warehouse_name(F.col("site"))).alias("warehouse_name")))
+    g = s.groupBy("ref", "warehouse_id").agg(F.sum("qty").cast("bigint").alias("total_quantity"))
+    # code and warehouse name follow from the keys: derive them after the
+    # aggregate (a string max would force a sort-based aggregate)
+    names = F.create_map(*[x for v in B.SITE_WAREHOUSE.values() for x in (F.lit(v[0]), F.lit(v[1]))])
+    return g.select("ref", "warehouse_id", "total_quantity", F.substring_index("ref", "-", 1).alias("code"),
+                    F.try_element_at(names, F.col("warehouse_id")).alias("warehouse_name"))
 
 
 def stock_by_item(spark: SparkSession, d: str) -> DataFrame:
