@@ -13,6 +13,24 @@ from pyspark.sql import functions as F
 
 from ..sources import read_table
 
+_FRAMES: dict = {}
+
+
+def _per_session(fn):
+    """Build a binding's plan once per (session, table folder). The result
+    is a lazy plan; reusing it avoids re-analysing the same sub-plan in
+    every query that needs the role."""
+    def wrapper(spark: SparkSession, d: str) -> DataFrame:
+        key = (fn.__name__, id(spark), d)
+        hit = _FRAMES.get(key)
+        if hit is None or hit[0] is not spark:
+            hit = (spark, fn(spark, d))
+            _FRAMES[key] = hit
+        return hit[1]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
 # ---- fixed values of the binding (not derived from data) -------------------
 # Site code → (warehouse id, warehouse name). Sites S0–S3 are mapped,
 # S4 is an excluded site, S5 is a site without mapping (CASE … ELSE '').
@@ -44,6 +62,7 @@ OTHER_SITES = ["S4", "S5"]
 # ---------------------------------------------------------------------------
 
 
+@_per_session
 def items(spark: SparkSession, d: str) -> DataFrame:
     """Item master role (sljpro) from ``part``."""
     p = read_table(spark, d, "part")
@@ -66,6 +85,7 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_per_session
 def collections(spark: SparkSession, d: str) -> DataFrame:
     """Collection dimension (sljcol): one row per model, from ``part``."""
     p = read_table(spark, d, "part")
@@ -78,6 +98,7 @@ def ref_of(code, family, size_code):
     return F.when(family.isin(SIZED_FAMILIES), F.concat(code, F.lit("-"), size_code.cast("string"))).otherwise(code)
 
 
+@_per_session
 def stock_lines(spark: SparkSession, d: str) -> DataFrame:
     """Stock-by-tag role (sljeti ⋈ sljpro) from ``lineitem ⋈ part``: one row
     per line with site, size, stock account and stock group."""
@@ -107,6 +128,7 @@ def site_warehouse_name(site):
     return case_map(site, {k: v[1] for k, v in SITE_WAREHOUSE.items()}, "")
 
 
+@_per_session
 def channel_levels(spark: SparkSession, d: str) -> DataFrame:
     """Store inventory levels (variant × location), flat.
 
@@ -149,6 +171,7 @@ def channel_levels(spark: SparkSession, d: str) -> DataFrame:
         "location_id", "location_name", "qty")
 
 
+@_per_session
 def channel_variants(spark: SparkSession, d: str) -> DataFrame:
     """Store variants (product_test_Sku): every item, sized families
     exploded to sizes 10–22. Price NULL for key % 50 = 0, ERP price × 1.1

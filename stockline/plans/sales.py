@@ -24,6 +24,10 @@ WEB_SELLER_SITES = ["S4", "S5"]
 OPERATION = {"a": "SETTLED", "b": "SETTLED_NO_BARCODE", "c": "OPEN_ORDER", "d": "TODAY_STORE", "e": "TODAY_WEB"}
 COST_RATE = 0.6
 # ---------------------------------------------------------------------------
+# Money is DECIMAL(12,2) and rates DECIMAL(4,2): every product below stays
+# within 18 digits, so Spark keeps decimals in a 64-bit long instead of
+# falling back to java.math.BigDecimal for each row.
+MONEY, RATE, QTY = "decimal(12,2)", "decimal(4,2)", "decimal(7,2)"
 
 COLUMNS = ["company", "operation", "op_number", "sale_date", "customer_id", "customer_name", "seller_id",
            "seller_name", "companion_id", "companion_name", "big_group", "model", "code", "barcode", "size",
@@ -57,66 +61,75 @@ def sales_fact(spark: SparkSession, d: str, as_of: str = "2001-01-01", sort: boo
          .join(su, li.l_suppkey == su.s_suppkey, "left")
          .join(lk, (li.l_orderkey == lk.lk_key) & (o.o_custkey == lk.lk_cust), "left"))
 
-    before = F.col("l_shipdate") < F.lit(as_of).cast("timestamp")
-    branch = (F.when(before & (F.col("l_linestatus") == "F") & (F.col("l_linenumber") % 2 == 0), "a")
-              .when(before & (F.col("l_linestatus") == "F"), "b")
-              .when(before & (F.col("o_orderstatus") == "O"), "c")
-              .when(~before & (F.col("l_suppkey") % 6 != 0), "d")
-              .when(~before, "e"))
+    # Each derived value is computed once in its own projection stage and
+    # referenced by name afterwards, so no expression is re-evaluated inside
+    # every CASE arm that uses it.
+    c = F.col
+    j = j.withColumns({
+        "site": F.concat(F.lit("S"), (c("l_suppkey") % 6).cast("string")),
+        "before": c("l_shipdate") < F.lit(as_of).cast("timestamp"),
+        "sign": F.when(c("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1)),
+        "house": c("o_custkey") % HOUSE_ACCOUNT_MOD == 0,
+        "line_date": F.to_date("l_shipdate"),
+        # money in DECIMAL(15,2) as in the ERP, so rounding is exact (no binary ties)
+        "ext": c("l_extendedprice").cast(MONEY),
+        "dsc_rate": c("l_discount").cast(RATE),
+        "tax": c("l_tax").cast(RATE),
+    })
+    branch = (F.when(c("before") & (c("l_linestatus") == "F") & (c("l_linenumber") % 2 == 0), "a")
+              .when(c("before") & (c("l_linestatus") == "F"), "b")
+              .when(c("before") & (c("o_orderstatus") == "O"), "c")
+              .when(~c("before") & (c("l_suppkey") % 6 != 0), "d")
+              .when(~c("before"), "e"))
     j = j.withColumn("branch", branch)
     # F8: value filters per branch (e has none)
-    j = j.filter(F.col("branch").isNotNull()
-                 & ((F.col("branch") == "e") | (F.col("l_extendedprice") != 0)))
-
-    br = F.col("branch")
-    site = F.concat(F.lit("S"), (F.col("l_suppkey") % 6).cast("string"))
-    sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
-    house = F.col("o_custkey") % HOUSE_ACCOUNT_MOD == 0
-    line_date = F.to_date("l_shipdate")
-    sale_date = F.coalesce(F.to_date("lk_date"), line_date)
-    # money in DECIMAL(15,2) as in the ERP, so rounding is exact (no binary ties)
-    ext, dsc_rate, tax = (F.col(c).cast("decimal(15,2)") for c in ("l_extendedprice", "l_discount", "l_tax"))
-    total = ext * (F.lit(1) - dsc_rate)
-    disc = ext * dsc_rate
-    counterparty = (F.when(br == "b", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
-                    .when(F.col("l_returnflag") == "R", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
-                    .otherwise(F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))))
-    customer_id = F.when(house, counterparty).otherwise(F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
-    customer_name = F.when(house, F.when(counterparty.startswith("S"), F.col("s_name")).otherwise(F.col("n_name"))) \
-        .otherwise(F.col("c_name"))
-    web_seller = site.isin(WEB_SELLER_SITES) | F.col("s_name").isNull()
-    company = F.coalesce(B.site_warehouse_name(site), F.lit(""))
-    company = F.when(company == "", F.lit("WEB")).otherwise(company)
-    sized = F.col("family").isin(B.SIZED_FAMILIES)
-    op_date = F.when(br == "d", line_date).otherwise(sale_date)
-    qty = (F.col("l_quantity").cast("bigint") * sign)
-    gross = (F.when(br == "b", F.round(ext * (F.lit(1) + tax), 0)).otherwise(F.round(ext, 0)))
+    j = j.filter(c("branch").isNotNull() & ((c("branch") == "e") | (c("l_extendedprice") != 0)))
+    br = c("branch")
+    company = F.coalesce(B.site_warehouse_name(c("site")), F.lit(""))
+    j = j.withColumns({
+        "sale_date": F.coalesce(F.to_date("lk_date"), c("line_date")),
+        "total": c("ext") * (F.lit(1) - c("dsc_rate")),
+        "disc": c("ext") * c("dsc_rate"),
+        "company": F.when(company == "", F.lit("WEB")).otherwise(company),
+        "web_seller": c("site").isin(WEB_SELLER_SITES) | c("s_name").isNull(),
+        "counterparty": (F.when((br == "b") | (c("l_returnflag") == "R"),
+                                F.concat(F.lit("S"), c("l_suppkey").cast("string")))
+                         .otherwise(F.concat(F.lit("N"), c("c_nationkey").cast("string")))),
+        "gross": F.when(br == "b", F.round(c("ext") * (F.lit(1) + c("tax")), 0)).otherwise(F.round(c("ext"), 0)),
+        "late": br.isin("c", "d", "e"),
+    })
+    sized = c("family").isin(B.SIZED_FAMILIES)
+    op_date = F.when(br == "d", c("line_date")).otherwise(c("sale_date"))
     out = j.select(
-        company.alias("company"),
+        "company",
         F.coalesce(*[F.when(br == k, F.lit(v)) for k, v in OPERATION.items()]).alias("operation"),
-        F.col("l_orderkey").alias("op_number"),
-        sale_date.alias("sale_date"),
-        customer_id.alias("customer_id"), customer_name.alias("customer_name"),
-        F.when(web_seller, "WEB").otherwise(F.concat(F.lit("V"), F.col("l_suppkey").cast("string"))).alias("seller_id"),
-        F.when(web_seller, "WEB").otherwise(F.col("s_name")).alias("seller_name"),
-        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("companion_id"),
-        F.col("n_name").alias("companion_name"),
-        F.col("group_name").alias("big_group"), "model", "code",
+        c("l_orderkey").alias("op_number"),
+        "sale_date",
+        F.when(c("house"), c("counterparty")).otherwise(F.concat(F.lit("C"), c("o_custkey").cast("string")))
+        .alias("customer_id"),
+        F.when(c("house"), F.when(c("counterparty").startswith("S"), c("s_name")).otherwise(c("n_name")))
+        .otherwise(c("c_name")).alias("customer_name"),
+        F.when(c("web_seller"), "WEB").otherwise(F.concat(F.lit("V"), c("l_suppkey").cast("string"))).alias("seller_id"),
+        F.when(c("web_seller"), "WEB").otherwise(c("s_name")).alias("seller_name"),
+        F.concat(F.lit("N"), c("c_nationkey").cast("string")).alias("companion_id"),
+        c("n_name").alias("companion_name"),
+        c("group_name").alias("big_group"), "model", "code",
         F.when(br == "b", F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("B"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                            F.col("l_linenumber").cast("string"))).alias("barcode"),
-        F.when(sized, (F.lit(10) + F.col("l_linenumber") % 13).cast("string")).otherwise(F.lit("")).alias("size"),
-        qty.alias("qty"),
-        (F.when(br.isin("c", "d", "e"), F.round(total + disc, 2)).otherwise(F.round(total, 2)) * sign)
+        .otherwise(F.concat(F.lit("B"), c("l_orderkey").cast("string"), F.lit("-"),
+                            c("l_linenumber").cast("string"))).alias("barcode"),
+        F.when(sized, (F.lit(10) + c("l_linenumber") % 13).cast("string")).otherwise(F.lit("")).alias("size"),
+        (c("l_quantity").cast("bigint") * c("sign")).alias("qty"),
+        (F.when(c("late"), F.round(c("total") + c("disc"), 2)).otherwise(F.round(c("total"), 2)) * c("sign"))
         .cast("double").alias("net_total"),
-        F.round(disc, 2).cast("double").alias("discount"),
-        F.when(br.isin("c", "d", "e"), F.round(F.col("cost").cast("decimal(15,2)") * F.col("l_quantity").cast("decimal(15,2)"), 2))
-        .otherwise(F.round(ext * F.lit(COST_RATE).cast("decimal(15,2)"), 2)).cast("double").alias("cost"),
-        (F.when(br == "a", gross * sign).otherwise(gross)).cast("bigint").alias("gross_total"),
-        F.when(F.col("lk_key").isNotNull(), F.concat(F.lit("NF"), F.col("l_orderkey").cast("string"))).alias("invoice_no"),
-        F.concat_ws("-", company, F.col("l_orderkey").cast("string"), F.date_format(op_date, "yyyy-MM-dd")).alias("sale_id"),
-        F.concat(F.lit("P"), F.col("l_orderkey").cast("string")).alias("order_id"),
-        F.when(br == "e", F.concat(F.lit("W"), F.col("l_orderkey").cast("string"))).alias("web_id"),
-        F.col("lk_event").alias("event"),
+        F.round(c("disc"), 2).cast("double").alias("discount"),
+        F.when(c("late"), F.round(c("cost").cast(MONEY) * c("l_quantity").cast(QTY), 2))
+        .otherwise(F.round(c("ext") * F.lit(COST_RATE).cast(RATE), 2)).cast("double").alias("cost"),
+        (F.when(br == "a", c("gross") * c("sign")).otherwise(c("gross"))).cast("bigint").alias("gross_total"),
+        F.when(c("lk_key").isNotNull(), F.concat(F.lit("NF"), c("l_orderkey").cast("string"))).alias("invoice_no"),
+        F.concat_ws("-", c("company"), c("l_orderkey").cast("string"), F.date_format(op_date, "yyyy-MM-dd"))
+        .alias("sale_id"),
+        F.concat(F.lit("P"), c("l_orderkey").cast("string")).alias("order_id"),
+        F.when(br == "e", F.concat(F.lit("W"), c("l_orderkey").cast("string"))).alias("web_id"),
+        c("lk_event").alias("event"),
     )
     return out.orderBy(F.col("sale_date").desc()) if sort else out

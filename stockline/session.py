@@ -15,6 +15,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Whole-stage codegen emits methods larger than the JIT's 8000-byte
+    # limit for wide joins + projections; without this flag they stay
+    # interpreted. Launchers on a cluster should pass the same option.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+_RELATIONS: dict = {}
+
+
 def read_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     """One Parquet relation. Column pruning and filters reach the scan
-    through Catalyst, so callers just select what they need."""
-    return spark.read.parquet(f"{table_dir.rstrip('/')}/{name}.parquet")
+    through Catalyst, so callers just select what they need. The relation
+    (file listing and footer schema) is resolved once per session and
+    path: it is a plan, not data, so reusing it caches nothing."""
+    path = f"{table_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    hit = _RELATIONS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _RELATIONS[key] = hit
+    return hit[1]
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str | None = None,
