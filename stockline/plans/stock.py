@@ -84,29 +84,34 @@ def _physical(levels: DataFrame, marker: str) -> DataFrame:
     return levels.filter(~F.col("location_name").contains(marker))
 
 
-def stock_delta(levels: DataFrame, erp: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
-    """Physical stock delta (R1, J11): store levels outside made-to-order
-    locations joined to ERP stock on (sku, location); delta = erp − store;
-    only non-zero deltas."""
+def physical_changes(levels: DataFrame, erp: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
+    """Deltas and zero-outs of physical locations from ONE left join of the
+    store levels to ERP stock on (sku, location): matched rows carry
+    delta = erp − store (R1), unmatched rows go to 0 (R2); zero deltas are
+    dropped. Both feeds share the join instead of an inner plus an anti."""
     lv = _physical(levels, marker).filter(F.col("variant_sku").isNotNull())
-    j = lv.join(erp.withColumnRenamed("ref", "variant_sku").withColumnRenamed("warehouse_id", "location_id"),
-                ["variant_sku", "location_id"], "inner")
+    e = erp.select(F.col("ref").alias("variant_sku"), F.col("warehouse_id").alias("location_id"),
+                   "total_quantity", "warehouse_name", F.lit(True).alias("matched"))
+    j = lv.join(e, ["variant_sku", "location_id"], "left")
+    erp_qty = F.coalesce(F.col("total_quantity"), F.lit(0).cast("bigint"))
     out = j.select("variant_sku", "inventory_item_id", "location_id", "location_name",
-                   F.col("qty").alias("store_qty"), "warehouse_name",
-                   F.col("total_quantity").alias("erp_qty"),
-                   (F.col("total_quantity") - F.col("qty")).alias("delta"))
+                   F.col("qty").alias("store_qty"), "warehouse_name", erp_qty.alias("erp_qty"),
+                   (erp_qty - F.col("qty")).alias("delta"),
+                   F.coalesce(F.col("matched"), F.lit(False)).alias("matched"))
     return out.filter(F.col("delta") != 0)
 
 
+def stock_delta(levels: DataFrame, erp: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
+    """Physical stock delta (R1, J11): store levels outside made-to-order
+    locations that have an ERP row; delta = erp − store, non-zero only."""
+    return physical_changes(levels, erp, marker).filter(F.col("matched")).drop("matched")
+
+
 def stock_zero_out(levels: DataFrame, erp: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
-    """Store levels with no ERP row go to 0 (R2, J13 as a direct anti join)."""
-    lv = _physical(levels, marker).filter(F.col("variant_sku").isNotNull())
-    keys = erp.select(F.col("ref").alias("variant_sku"), F.col("warehouse_id").alias("location_id"))
-    a = lv.join(keys, ["variant_sku", "location_id"], "left_anti")
-    out = a.select("variant_sku", "inventory_item_id", "location_id", "location_name",
-                   F.col("qty").alias("store_qty"), F.lit(0).cast("bigint").alias("erp_qty"),
-                   (-F.col("qty")).alias("delta"))
-    return out.filter(F.col("delta") != 0)
+    """Store levels with no ERP row go to 0 (R2, J13: the unmatched side of
+    the left join, i.e. the anti join)."""
+    return (physical_changes(levels, erp, marker).filter(~F.col("matched"))
+            .drop("matched", "warehouse_name"))
 
 
 def orderable_sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -143,39 +148,42 @@ def _orderable_erp(orderables: DataFrame) -> DataFrame:
     return first_per_key(o, ["variant_sku", "location_id", "metal"], ["code"])
 
 
-def orderable_delta(levels: DataFrame, orderables: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
-    """Made-to-order delta (R3): key adds the metal read from the location
-    name; both sides first-per-key on the same key, so the two
-    aggregates' partitioning feeds the join without another shuffle."""
-    j = _orderable_store(levels, marker).join(_orderable_erp(orderables), ["variant_sku", "location_id", "metal"])
+def orderable_changes(levels: DataFrame, orderables: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
+    """Made-to-order deltas and zero-outs (R3, R4) from one left join. The
+    key adds the metal read from the location name; both sides are first
+    per key on the same key, so the aggregates' partitioning feeds the
+    join without another shuffle."""
+    erp = _orderable_erp(orderables).select("variant_sku", "location_id", "metal", "total_quantity",
+                                            F.lit(True).alias("matched"))
+    j = _orderable_store(levels, marker).join(erp, ["variant_sku", "location_id", "metal"], "left")
+    erp_qty = F.coalesce(F.col("total_quantity"), F.lit(0).cast("bigint"))
     out = j.select("variant_sku", "inventory_item_id", "location_id", "location_name", "metal",
-                   F.col("qty").alias("store_qty"), F.col("total_quantity").alias("erp_qty"),
-                   (F.col("total_quantity") - F.col("qty")).alias("delta"))
+                   F.col("qty").alias("store_qty"), erp_qty.alias("erp_qty"), (erp_qty - F.col("qty")).alias("delta"),
+                   F.coalesce(F.col("matched"), F.lit(False)).alias("matched"))
     return out.filter(F.col("delta") != 0)
 
 
+def orderable_delta(levels: DataFrame, orderables: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
+    """Made-to-order delta."""
+    return orderable_changes(levels, orderables, marker).filter(F.col("matched")).drop("matched")
+
+
 def orderable_zero_out(levels: DataFrame, orderables: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
     """Made-to-order levels with no ERP row go to 0."""
-    keys = _orderable_erp(orderables).select("variant_sku", "location_id", "metal")
-    a = _orderable_store(levels, marker).join(keys, ["variant_sku", "location_id", "metal"], "left_anti")
-    out = a.select("variant_sku", "inventory_item_id", "location_id", "location_name", "metal",
-                   F.col("qty").alias("store_qty"), F.lit(0).cast("bigint").alias("erp_qty"),
-                   (-F.col("qty")).alias("delta"))
-    return out.filter(F.col("delta") != 0)
+    return orderable_changes(levels, orderables, marker).filter(~F.col("matched")).drop("matched")
 
 
 def stock_change_set(levels: DataFrame, erp: DataFrame, orderables: DataFrame,
                      marker: str = B.ORDERABLE_MARKER) -> DataFrame:
     """All stock changes with their apply phase (R5): made-to-order zero-out
-    1, made-to-order 2, physical zero-out 3, physical 4."""
+    1, made-to-order 2, physical zero-out 3, physical 4. Two joins in all
+    (one per location kind), not four."""
     cols = ["variant_sku", "inventory_item_id", "location_id", "store_qty", "erp_qty", "delta"]
-    parts = [(1, orderable_zero_out(levels, orderables, marker)), (2, orderable_delta(levels, orderables, marker)),
-             (3, stock_zero_out(levels, erp, marker)), (4, stock_delta(levels, erp, marker))]
-    out = None
-    for phase, df in parts:
-        df = df.select(F.lit(phase).cast("bigint").alias("phase"), *cols)
-        out = df if out is None else out.unionByName(df)
-    return out
+    o = orderable_changes(levels, orderables, marker)
+    p = physical_changes(levels, erp, marker)
+    o = o.select(F.when(F.col("matched"), F.lit(2)).otherwise(F.lit(1)).cast("bigint").alias("phase"), *cols)
+    p = p.select(F.when(F.col("matched"), F.lit(4)).otherwise(F.lit(3)).cast("bigint").alias("phase"), *cols)
+    return o.unionByName(p)
 
 
 def inactive_with_stock(spark: SparkSession, d: str, other_sites: bool = False,
