@@ -458,10 +458,11 @@ _FIVE = f"coalesce(round({_R}) % {CP.TARGET_RATIO} = 0, false)"
 q("campaign_split", ["item_stats"], f"""
 SELECT item_key, total_inventory, total_variants, round({_R}, 4) AS ratio, NOT {_FIVE} AS tagged
 FROM item_stats WHERE total_inventory <> 0""")
-q("badge_removal", ["item_stats", "items"], f"""
+cte("badge_removal", ["item_stats", "items"], f"""
 SELECT * FROM (SELECT s.item_key, i.orderable,
   CASE WHEN NOT i.orderable THEN 'not orderable' WHEN s.total_inventory = 0 THEN 'no stock' WHEN {_FIVE} THEN 'ratio' END AS reason
   FROM item_stats s JOIN items i ON s.item_key = i.item_key) WHERE reason IS NOT NULL""")
+q("badge_removal", ["badge_removal"], "SELECT * FROM badge_removal")
 _RULES = ", ".join(f"('{m}', {r}, '{o}')" for m, r, o in CP.CAMPAIGN_RULES)
 cte("campaign_price", ["campaign_candidates", "items"], f"""
 SELECT c.sku, c.variant_id, c.product_id, coalesce(c.compare_at_price, c.price) AS list_price,
@@ -477,11 +478,12 @@ SELECT variant_id, 'apply' AS mode, to_json({'id': variant_id, 'price': printf('
 UNION ALL
 SELECT variant_id, 'restore', to_json({'id': variant_id, 'price': printf('%.2f', list_price)})
 FROM campaign_price WHERE list_price IS NOT NULL""")
-q("metafield_cleanup", ["items"], """
+cte("metafield_cleanup", ["items"], """
 SELECT 'mf-' || CAST(item_key AS VARCHAR) || '-' || sfx AS metafield_id, 'prod-' || CAST(item_key AS VARCHAR) AS product_id,
   CASE sfx WHEN 'c' THEN 'composition' ELSE 'metal' END AS key
 FROM items, (VALUES ('c'), ('m')) k(sfx) WHERE item_key % 9 <> 0""")
-q("feed_flags", ["flag_orderable", "channel_variants", "stock_by_site", "items"], f"""
+q("metafield_cleanup", ["metafield_cleanup"], "SELECT * FROM metafield_cleanup")
+q("feed_flags", ["flag_orderable", "channel_variants", "stock_by_site", "items", "badge_removal", "metafield_cleanup"], f"""
 WITH fis AS (SELECT v.variant_id, CASE WHEN (NOT f.is_orderable AND v.inventory_quantity = 0)
                 OR (f.is_orderable AND v.inventory_quantity = {B.ORDERABLE_QTY}) THEN false ELSE true END AS in_stock
              FROM channel_variants v JOIN flag_orderable f ON v.variant_id = f.variant_id),
@@ -492,7 +494,14 @@ u AS (SELECT variant_id AS owner_id, 'custom' AS namespace, 'orderable' AS key,
         CASE WHEN is_orderable THEN 'true' ELSE 'false' END AS value FROM flag_orderable
       UNION ALL SELECT variant_id, 'custom', 'in_stock', 'boolean', CASE WHEN in_stock THEN 'true' ELSE 'false' END FROM fis
       UNION ALL SELECT product_id, 'custom', 'ready_to_ship', 'boolean', 'true' FROM rl
-      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'composition', 'single_line_text_field', type FROM items)
+      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'composition', 'single_line_text_field', type FROM items
+      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'metal', 'single_line_text_field',
+                       upper(substr(metal, 1, 1)) || lower(substr(metal, 2)) FROM items
+      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'template_suffix', 'single_line_text_field',
+                       '{CP.TEMPLATE_SUFFIX}' FROM items
+      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'badges', 'list.single_line_text_field', '[]'
+                FROM badge_removal
+      UNION ALL SELECT metafield_id, 'custom', 'metafield_delete', 'delete', product_id FROM metafield_cleanup)
 SELECT *, to_json({{'ownerId': owner_id, 'namespace': namespace, 'key': key, 'type': type, 'value': value}}) AS payload FROM u""")
 
 
@@ -638,3 +647,12 @@ SELECT o_orderkey AS order_key, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE
   round(CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_totalprice / CAST(o_orderkey % 4 AS DOUBLE) END, 4) AS ratio,
   printf('%.2f', CAST(o_totalprice AS DECIMAL(15,2))) AS price_text
 FROM orders""")
+
+q("product_taxonomy", ["items"], f"""
+SELECT 'prod-' || CAST(item_key AS VARCHAR) AS product_id, description AS title,
+  CASE group_name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.TAXONOMY.items())} ELSE '{C.TAXONOMY_DEFAULT}' END AS category_id,
+  group_name AS category_name,
+  CASE WHEN item_key % 2 = 0 THEN 'col-new' ELSE 'col-' || split_part(model, '#', 2) END AS first_collection_id,
+  CASE WHEN item_key % 2 = 0 THEN 'New' ELSE model END AS first_collection_title,
+  CAST(CASE WHEN item_key % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_collections
+FROM items""")

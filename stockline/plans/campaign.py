@@ -113,17 +113,31 @@ def flag_rows(owner: F.Column, key: str, value: F.Column, type_: str = "boolean"
             F.lit(type_).alias("type"), value.alias("value")]
 
 
-def feed_flags(orderable: DataFrame, in_stock: DataFrame, ready: DataFrame, items: DataFrame) -> DataFrame:
+TEMPLATE_SUFFIX = "product-custom"
+
+
+def feed_flags(orderable: DataFrame, in_stock: DataFrame, ready: DataFrame, items: DataFrame,
+               badges: DataFrame | None = None, metafields: DataFrame | None = None) -> DataFrame:
     """One parametrised flag feed (P6–P8): (owner, namespace, key, type,
-    value) rows for orderable, in-stock, ready-to-ship and composition,
-    each with its payload."""
+    value) rows for orderable, in-stock and ready-to-ship flags (P6),
+    badge clear and metafield delete (P7), composition, metal and
+    template (P8), each with its payload."""
     b = lambda c: F.when(c, "true").otherwise("false")
+    text = "single_line_text_field"
     parts = [
         orderable.select(*flag_rows(F.col("variant_id"), "orderable", b(F.col("is_orderable")))),
         in_stock.select(*flag_rows(F.col("variant_id"), "in_stock", b(F.col("in_stock")))),
         ready.select(*flag_rows(F.col("product_id"), "ready_to_ship", F.lit("true"))),
-        items.select(*flag_rows(_product_id(F.col("item_key")), "composition", F.col("type"), "single_line_text_field")),
+        items.select(*flag_rows(_product_id(F.col("item_key")), "composition", F.col("type"), text)),
+        items.select(*flag_rows(_product_id(F.col("item_key")), "metal", F.initcap(F.col("metal")), text)),
+        items.select(*flag_rows(_product_id(F.col("item_key")), "template_suffix", F.lit(TEMPLATE_SUFFIX), text)),
     ]
+    if badges is not None:
+        parts.append(badges.select(*flag_rows(_product_id(F.col("item_key")), "badges", F.lit("[]"),
+                                              "list.single_line_text_field")))
+    if metafields is not None:
+        parts.append(metafields.select(*flag_rows(F.col("metafield_id"), "metafield_delete", F.col("product_id"),
+                                                  "delete")))
     u = parts[0]
     for x in parts[1:]:
         u = u.unionByName(x)

@@ -41,6 +41,9 @@ VARIANTS_SCHEMA = _st(
 METAFIELDS_SCHEMA = _st(("id", S), ("title", S),
                         ("metafields", T.ArrayType(_st(("id", S), ("key", S), ("value", S)))))
 NODE = _st(("id", S), ("title", S), ("handle", S), ("updatedAt", S), ("productsCount", L), ("sortOrder", S))
+PRODUCT_PAGE_SCHEMA = _st(("data", _st(("product", _st(
+    ("id", S), ("title", S), ("category", _st(("id", S), ("name", S))),
+    ("collections", _st(("edges", T.ArrayType(_st(("node", _st(("id", S), ("title", S)))))))))))))
 COLLECTION_PAGE_SCHEMA = _st(("data", _st(("collections", _st(("edges", T.ArrayType(_st(("node", NODE)))))))))
 
 
@@ -185,6 +188,39 @@ def json_pages(spark: SparkSession, d: str) -> DataFrame:
                     F.col("e.node.sortOrder").alias("sort_order"))
 
 
+def product_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Landed product pages (binding): one page per product with its
+    category (taxonomy code of the item group) and its collections — the
+    item's model, plus a fixed 'New' collection first for even keys."""
+    from .catalog import TAXONOMY, TAXONOMY_DEFAULT
+    from ..functions import case_map
+    it = B.items(spark, d)
+    num = F.split(F.col("model"), "#").getItem(1)
+    own = F.struct(F.struct(F.concat(F.lit("col-"), num).alias("id"), F.col("model").alias("title")).alias("node"))
+    new = F.struct(F.struct(F.lit("col-new").alias("id"), F.lit("New").alias("title")).alias("node"))
+    edges = F.when(F.col("item_key") % 2 == 0, F.array(new, own)).otherwise(F.array(own))
+    prod = F.struct(F.concat(F.lit("prod-"), F.col("item_key").cast("string")).alias("id"),
+                    F.col("description").alias("title"),
+                    F.struct(case_map(F.col("group_name"), TAXONOMY, TAXONOMY_DEFAULT).alias("id"),
+                             F.col("group_name").alias("name")).alias("category"),
+                    F.struct(edges.alias("edges")).alias("collections"))
+    return it.select(F.to_json(F.struct(F.struct(prod.alias("product")).alias("data"))).alias("value"))
+
+
+def product_taxonomy(spark: SparkSession, d: str) -> DataFrame:
+    """Product taxonomy and first collection (N9): struct access and
+    ``edges[0].node``; a product without collections gets NULLs."""
+    raw = parse_json_lines(product_pages(spark, d), PRODUCT_PAGE_SCHEMA)
+    p = F.col("data.product")
+    first = F.get(p.getField("collections").getField("edges"), 0).getField("node")
+    return raw.select(p.getField("id").alias("product_id"), p.getField("title").alias("title"),
+                      p.getField("category").getField("id").alias("category_id"),
+                      p.getField("category").getField("name").alias("category_name"),
+                      first.getField("id").alias("first_collection_id"),
+                      first.getField("title").alias("first_collection_title"),
+                      F.size(p.getField("collections").getField("edges")).cast("bigint").alias("n_collections"))
+
+
 def page_limit(spark: SparkSession, d: str, first: int = 250) -> DataFrame:
     """Page size ``first: N`` (W6): the first N collection rows by id; the
     limit is the feature (the source truncates at 250 members)."""

@@ -72,6 +72,7 @@ register("ready_list")(lambda s, d: FL.ready_list(S.stock_by_site(s, d), _V(s, d
 for _n in ["jsonl_levels", "jsonl_variants", "jsonl_texts", "jsonl_metafields", "json_pages", "page_limit",
            "lookup_items", "lookup_sizes"]:
     register(_n)(getattr(N, _n))
+register("product_taxonomy")(N.product_taxonomy)
 register("ffill_by_key")(lambda s, d: N.ffill_events(s, d))
 
 # ------------------------------------------------------------------ cycles ----
@@ -99,7 +100,8 @@ register("metafield_cleanup")(lambda s, d: CP.metafield_cleanup(N.jsonl_metafiel
 register("feed_flags")(lambda s, d: CP.feed_flags(
     FL.flag_orderable(B.channel_levels(s, d)),
     FL.flag_in_stock(_V(s, d), FL.flag_orderable(B.channel_levels(s, d))),
-    FL.ready_list(S.stock_by_site(s, d), _V(s, d)), B.items(s, d)))
+    FL.ready_list(S.stock_by_site(s, d), _V(s, d)), B.items(s, d),
+    CP.badge_removal(CP.item_stock_ratio(s, d), B.items(s, d)), CP.metafield_cleanup(N.jsonl_metafields(s, d))))
 
 # ------------------------------------------------------------------- sales ----
 register("sales_fact")(lambda s, d: SA.sales_fact(s, d))

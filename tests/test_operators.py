@@ -85,7 +85,8 @@ def test_golden_zero_out_one_row(spark):
     lv = spark.createDataFrame([("lvl-1", "AN000001-12", "var-x", "inv-x", "loc-1001", "North", 1)],
                                "level_id string, variant_sku string, variant_id string, inventory_item_id string, "
                                "location_id string, location_name string, qty long")
-    erp = spark.createDataFrame([("PX000002", "loc-1001", 3)], "ref string, warehouse_id string, total_quantity long")
+    erp = spark.createDataFrame([("PX000002", "loc-1001", 3, "North")],
+                                "ref string, warehouse_id string, total_quantity long, warehouse_name string")
     r = stock_zero_out(lv, erp).collect()
     assert len(r) == 1 and r[0].delta == -1 and r[0].erp_qty == 0
 

@@ -54,3 +54,22 @@ def test_stream_cycle(spark):
     assert store.latest() == 2
     assert sorted(r.order_key for r in store.read().collect()) == [2, 3]
     assert spark.read.parquet(f"{root}/outbox").filter(F.col("change") == "leave").count() == 1
+
+
+def test_audit_and_ledger_append(spark):
+    from stockline.sources import append_ledger, write_audit
+    root = _root(spark)
+    df = spark.createDataFrame([("a", 1), ("b", -2)], "sku string, delta int")
+    write_audit(df, f"{root}/audit", "2024-01-01T00:00:00")
+    write_audit(df.limit(1), f"{root}/audit", "2024-01-02T00:00:00")
+    a = spark.read.parquet(f"{root}/audit")
+    assert a.count() == 3 and a.select("run_ts").distinct().count() == 2
+    append_ledger(df.select("sku"), f"{root}/ledger")
+    append_ledger(spark.createDataFrame([("c",)], "sku string"), f"{root}/ledger")
+    assert sorted(r.sku for r in spark.read.parquet(f"{root}/ledger").collect()) == ["a", "b", "c"]
+
+
+def test_j8_header_key_unique(spark, sf001):
+    """The order header self-join (J8) is dropped because the key is unique."""
+    o = spark.read.parquet(f"{sf001}/orders.parquet")
+    assert o.count() == o.select("o_orderkey").distinct().count()

@@ -97,3 +97,46 @@ def test_t14_missing_store_price_is_kept(spark):
     it = spark.createDataFrame([("A", 7.0), ("B", 10.0), ("C", 6.0)], "code string, price double")
     got = {r.variant_id: r.delta for r in price_delta(v, it).collect()}
     assert got == {"v1": None, "v3": 1.0}
+
+
+def test_t1_blank_filter_drops_missing(spark):
+    """pandas keeps NaN under ``x != ''``; our intent is "drop blanks", and
+    Spark's three-valued logic drops NULL too."""
+    df = spark.createDataFrame([("a",), ("",), (None,)], "x string")
+    assert [r.x for r in df.filter(F.col("x") != "").collect()] == ["a"]
+
+
+def test_t3_rtrim_at_ingestion(spark):
+    df = spark.createDataFrame([("ADTO ENCOMENDA ",)], "x string")
+    assert df.filter(F.col("x") == "ADTO ENCOMENDA").count() == 0
+    assert df.filter(F.rtrim("x") == "ADTO ENCOMENDA").count() == 1
+
+
+def test_t4_not_in_with_null_is_unknown(spark):
+    df = spark.createDataFrame([("a",), (None,)], "x string")
+    assert df.filter(~F.col("x").isin("b")).count() == 1
+    # pandas ``~isin`` keeps the missing row: coalesce to true to reproduce it
+    assert df.filter(F.coalesce(~F.col("x").isin("b"), F.lit(True))).count() == 2
+
+
+def test_t11_boolean_text_parses(spark, tmp_path):
+    from pyspark.sql import types as T
+    from stockline.sources import read_delimited
+    p = tmp_path / "b.csv"
+    p.write_text("sku;flag\na;True\nb;false\n")
+    schema = T.StructType([T.StructField("sku", T.StringType()), T.StructField("flag", T.BooleanType())])
+    assert [r.flag for r in read_delimited(spark, str(p), schema).orderBy("sku").collect()] == [True, False]
+
+
+def test_t12_unlimited_literal_and_intended(spark, sf001):
+    from stockline.plans.stock import stock_by_site
+    lit = stock_by_site(spark, sf001, literal_unlimited=True)
+    assert lit.filter("unlimited_quantity").count() == 0
+    intended = stock_by_site(spark, sf001)
+    bad = intended.filter("unlimited_quantity AND total_quantity > 0").count()
+    assert bad == 0
+
+
+def test_t17_dotted_names_need_backticks(spark):
+    df = spark.createDataFrame([("x",)], "`variant.sku` string")
+    assert df.select(F.col("`variant.sku`").alias("variant_sku")).first()["variant_sku"] == "x"
