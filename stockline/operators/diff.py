@@ -19,7 +19,9 @@ def row_diff(today: DataFrame, base: DataFrame, cols: Sequence[str] | None = Non
     duplicates in ``today`` are kept (T7). Runs as one hash anti join:
     Catalyst turns each ``<=>`` into hashable keys."""
     cols = list(cols or today.columns)
-    b = base.select(*cols).alias("b")
+    # only existence matters on the base side: de-duplicating first
+    # collapses a hot group of identical copies map-side to one row
+    b = base.select(*cols).distinct().alias("b")
     t = today.alias("t")
     cond = reduce(lambda a, c: a & c, [F.col(f"t.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in cols])
     return t.join(b, cond, "left_anti")
@@ -37,22 +39,23 @@ def row_diff_both(today: DataFrame, base: DataFrame, cols: Sequence[str] | None
 
 def key_changes(today: DataFrame, base: DataFrame, keys: Sequence[str],
                 status: str = "change") -> DataFrame:
-    """Key cycle in one full outer join (one shuffle for both directions).
-
-    ``status`` is 'enter' (key only today), 'leave' (key only in base) or
-    'keep'. Value columns come from today when present, else from base, so
-    ``status <> 'leave'`` is exactly the next base (C3: base ∪ enter ∖
-    leave). NULL keys are dropped first: they never match (T6)."""
+    """Key cycle (C3, J16): 'enter' = today's rows whose key is not in base,
+    'leave' = base rows whose key is not today, 'keep' = today's rows whose
+    key is in both. Value columns come from today when present, else from
+    base, so ``status <> 'leave'`` is the next base (base ∪ enter ∖ leave).
+
+    Semi and anti joins against the *distinct* keys of the other side: they
+    never multiply rows, so duplicate keys cannot pair up, and a hot key
+    collapses map-side before the shuffle. NULL keys are dropped first: they
+    never match (T6)."""
     keys = list(keys)
     vals = [c for c in today.columns if c not in keys]
-    t = today.dropna(subset=keys).select(*keys, *vals, F.lit(True).alias("_in_t")).alias("t")
-    b = base.dropna(subset=keys).select(*keys, *[c for c in vals if c in base.columns],
-                                         F.lit(True).alias("_in_b")).alias("b")
-    j = t.join(b, keys, "full")
-    st = (F.when(F.col("_in_b").isNull(), F.lit("enter"))
-          .when(F.col("_in_t").isNull(), F.lit("leave")).otherwise(F.lit("keep")))
-    sel = [F.col(k) for k in keys]
-    for c in vals:
-        sel.append(F.when(F.col("_in_t").isNull(), F.col(f"b.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
-                   if c in base.columns else F.col(f"t.`{c}`").alias(c))
-    return j.select(*sel, st.alias(status))
+    t = today.dropna(subset=keys)
+    b = base.dropna(subset=keys)
+    t_keys = t.select(*keys).distinct()
+    b_keys = b.select(*keys).distinct()
+    enter = t.join(b_keys, keys, "left_anti").withColumn(status, F.lit("enter"))
+    keep = t.join(b_keys, keys, "left_semi").withColumn(status, F.lit("keep"))
+    b_vals = [F.col(c) if c in base.columns else F.lit(None).cast(today.schema[c].dataType).alias(c) for c in vals]
+    leave = (b.join(t_keys, keys, "left_anti").select(*keys, *b_vals).withColumn(status, F.lit("leave")))
+    return enter.unionByName(keep).unionByName(leave).select(*keys, *vals, status)

@@ -231,14 +231,21 @@ def page_limit(spark: SparkSession, d: str, first: int = 250) -> DataFrame:
 def lookup_items(spark: SparkSession, d: str) -> DataFrame:
     """Product lookup (N6): every ERP item × its store variants with the
     product's first image; items the store lacks get one explicit row
-    with status 'not in channel'. Products exist for key % 10 <> 3."""
+    with status 'not in channel'. Products exist for key % 10 <> 3.
+
+    The variants (many per code) are the streamed side of an inner join
+    to the unique items, so a hot code can be split by AQE's skew join;
+    items without variants come from an anti join against distinct codes."""
     it = B.items(spark, d).select("item_key", "code")
     v = B.channel_variants(spark, d).filter(F.substring_index("product_id", "-", -1).cast("bigint") % 10 != 3)
-    prod = v.select("sku_2", "product_id", F.col("variant_id"), F.col("sku").alias("variant_sku"),
+    prod = v.select(F.col("sku_2").alias("code"), "product_id", F.col("variant_id"), F.col("sku").alias("variant_sku"),
                     F.concat(F.lit("https://cdn.example/"), F.col("sku_2"), F.lit("-1.jpg")).alias("image_url"))
-    j = it.join(prod, it.code == prod.sku_2, "left")
-    return j.select("code", "product_id", "variant_id", "variant_sku", "image_url",
-                    F.when(F.col("product_id").isNull(), "not in channel").otherwise("found").alias("status"))
+    found = prod.join(it.select("code"), "code", "inner").withColumn("status", F.lit("found"))
+    missing = (it.select("code").join(prod.select("code").distinct(), "code", "left_anti")
+               .select("code", *[F.lit(None).cast("string").alias(c) for c in
+                                 ["product_id", "variant_id", "variant_sku", "image_url"]],
+                       F.lit("not in channel").alias("status")))
+    return found.unionByName(missing)
 
 
 def lookup_sizes(spark: SparkSession, d: str, ledger: DataFrame | None = None) -> DataFrame:

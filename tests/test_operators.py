@@ -106,3 +106,18 @@ def test_base_code(spark):
     from stockline.functions import base_code
     df = spark.createDataFrame([("AN000001-12",), ("PX000003",)], "s string")
     assert [r.b for r in df.select(base_code(F.col("s")).alias("b")).collect()] == ["AN000001", "PX000003"]
+
+
+def test_key_changes_duplicate_keys_do_not_pair(spark):
+    """A hot key with many copies on both sides must not emit n × m rows."""
+    today = spark.createDataFrame([(1, f"t{i}") for i in range(300)] + [(2, "x")], "k int, v string")
+    base = spark.createDataFrame([(1, f"b{i}") for i in range(200)] + [(3, "y")], "k int, v string")
+    ch = key_changes(today, base, ["k"])
+    got = {r.change: r["count"] for r in ch.groupBy("change").count().collect()}
+    assert got == {"keep": 300, "enter": 1, "leave": 1}
+
+
+def test_row_diff_hot_copies(spark):
+    today = spark.createDataFrame([("hot", 1)] * 500 + [("new", 2)] * 3, "k string, v int")
+    base = spark.createDataFrame([("hot", 1)] * 400, "k string, v int")
+    assert sorted((r.k, r.v) for r in row_diff(today, base).collect()) == [("new", 2)] * 3
