@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from ..functions import base_code
 from ..operators import ffill_by_key, first_per_key
-from ..sources import parse_json_lines, read_table
+from ..session import ensure_checkpoint_dir
+from ..sources import parse_json_lines, read_jsonl, read_table
 from . import bindings as B
 
 S, L, D, BOOL = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
@@ -122,9 +123,21 @@ def flatten_variants(raw: DataFrame, with_text: bool = False) -> DataFrame:
     return raw.select(*cols)
 
 
+def land_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
+    """Land export lines as a JSON Lines file under the shared checkpoint
+    folder (what the store's bulk export delivers) and return its path."""
+    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
 def jsonl_levels(spark: SparkSession, d: str) -> DataFrame:
+    """N1 end to end: the export is landed as a file, then read with the
+    declared nested schema and flattened. Parents and children are two
+    filters of the same scan joined on ``__parentId``."""
     lines = levels_export_lines(B.channel_variants(spark, d), B.channel_levels(spark, d))
-    return flatten_levels(parse_json_lines(lines, LEVELS_SCHEMA))
+    return flatten_levels(read_jsonl(spark, land_lines(spark, lines, "levels"), LEVELS_SCHEMA))
 
 
 def jsonl_variants(spark: SparkSession, d: str) -> DataFrame:
