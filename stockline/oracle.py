@@ -40,7 +40,7 @@ SELECT p_partkey AS item_key,
   p_brand AS model, p_name AS description, p_type AS type, CAST(p_size AS BIGINT) AS size,
   (CASE WHEN p_type IN ({_lst(B.SILVER_TYPES)}) THEN 'SILVER' ELSE 'GOLD' END) AS metal,
   (p_size % 3 = 0) AS orderable, (p_size % 5 <> 0) AS active,
-  round(p_retailprice * p_size, 2) AS price, p_retailprice AS cost
+  CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * p_size, 2) AS DOUBLE) AS price, p_retailprice AS cost
 FROM part""")
 
 cte("collections", [], """
@@ -92,8 +92,10 @@ FROM (SELECT * FROM phys UNION ALL SELECT * FROM orde)""")
 
 cte("channel_variants", ["items"], f"""
 SELECT 'var-' || sku AS variant_id, sku, coalesce(CAST(size_code AS VARCHAR), 'Default Title') AS title,
-  CASE WHEN item_key % 50 = 0 THEN NULL WHEN item_key % 7 = 0 THEN round(price * CAST(1.1 AS DOUBLE), 2) ELSE price END AS price,
-  CASE WHEN item_key % 11 = 0 THEN NULL WHEN item_key % 3 <> 0 THEN price ELSE round(price * CAST(1.2 AS DOUBLE), 2) END AS compare_at_price,
+  CASE WHEN item_key % 50 = 0 THEN NULL WHEN item_key % 7 = 0
+       THEN CAST(round(CAST(price AS DECIMAL(12,2)) * CAST(1.1 AS DECIMAL(3,1)), 2) AS DOUBLE) ELSE price END AS price,
+  CASE WHEN item_key % 11 = 0 THEN NULL WHEN item_key % 3 <> 0 THEN price
+       ELSE CAST(round(CAST(price AS DECIMAL(12,2)) * CAST(1.2 AS DECIMAL(3,1)), 2) AS DOUBLE) END AS compare_at_price,
   CAST(item_key % 6 AS BIGINT) AS inventory_quantity, 'prod-' || CAST(item_key AS VARCHAR) AS product_id,
   description AS product_title, CAST(n_var * (item_key % 6) AS BIGINT) AS total_inventory, CAST(n_var AS BIGINT) AS total_variants,
   CAST(item_key % 4 AS BIGINT) AS media_count, code AS sku_2
@@ -334,7 +336,7 @@ WITH s AS (SELECT doc_id AS sku, source AS title,
              CASE WHEN doc_id % 7 = 0 THEN text || ' extra' ELSE replace(text, ' ', '  ') END AS description,
              lang AS composition FROM documents),
 e AS (SELECT doc_id AS sku, source AS title, text AS description, lang AS composition FROM documents),
-j AS (SELECT s.sku,
+j AS (SELECT s.sku, s.title, s.description, s.composition,
         {_NORM.format(x='s.title')} <> {_NORM.format(x='e.title')} AS title_diff,
         {_NORM.format(x='s.description')} <> {_NORM.format(x='e.description')} AS description_diff,
         {_NORM.format(x='s.composition')} <> {_NORM.format(x='e.composition')} AS composition_diff,
@@ -465,9 +467,10 @@ SELECT * FROM (SELECT s.item_key, i.orderable,
 q("badge_removal", ["badge_removal"], "SELECT * FROM badge_removal")
 _RULES = ", ".join(f"('{m}', {r}, '{o}')" for m, r, o in CP.CAMPAIGN_RULES)
 cte("campaign_price", ["campaign_candidates", "items"], f"""
-SELECT c.sku, c.variant_id, c.product_id, coalesce(c.compare_at_price, c.price) AS list_price,
+SELECT c.sku, c.variant_id, c.product_id, c.compare_at_price AS list_price,
   CAST(coalesce(r.rate, {CP.DEFAULT_RATE}) AS BIGINT) AS rate, coalesce(r.on_order, 'Nao') AS on_order,
-  round(coalesce(c.compare_at_price, c.price) * (1.0 - CAST(coalesce(r.rate, {CP.DEFAULT_RATE}) AS DOUBLE) / 100.0), 2) AS campaign_price
+  CAST(round(CAST(c.compare_at_price AS DECIMAL(12,2))
+             * (CAST(100 - coalesce(r.rate, {CP.DEFAULT_RATE}) AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2))), 2) AS DOUBLE) AS campaign_price
 FROM campaign_candidates c JOIN items i ON i.code = c.sku_2
 LEFT JOIN (VALUES {_RULES}) r(model, rate, on_order) ON r.model = i.model
 WHERE NOT coalesce(i.description LIKE '%{CP.EXCLUDED_TITLE_WORD}%', false)""")

@@ -80,7 +80,7 @@ def items(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("p_type").isin(SILVER_TYPES), "SILVER").otherwise("GOLD").alias("metal"),
         (F.col("p_size") % 3 == 0).alias("orderable"),
         (F.col("p_size") % 5 != 0).alias("active"),
-        F.round(F.col("p_retailprice") * F.col("p_size"), 2).alias("price"),
+        F.round(F.col("p_retailprice").cast("decimal(12,2)") * F.col("p_size"), 2).cast("double").alias("price"),
         F.col("p_retailprice").alias("cost"),
     )
 
@@ -171,6 +171,11 @@ def channel_levels(spark: SparkSession, d: str) -> DataFrame:
         "location_id", "location_name", "qty")
 
 
+def _times(price, factor: str):
+    """price × factor rounded half-up to cents, in exact decimals."""
+    return F.round(price.cast("decimal(12,2)") * F.lit(factor).cast("decimal(3,1)"), 2).cast("double")
+
+
 @_per_session
 def channel_variants(spark: SparkSession, d: str) -> DataFrame:
     """Store variants (product_test_Sku): every item, sized families
@@ -189,9 +194,9 @@ def channel_variants(spark: SparkSession, d: str) -> DataFrame:
         sku.alias("sku"),
         F.coalesce(F.col("size_code").cast("string"), F.lit("Default Title")).alias("title"),
         F.when(k % 50 == 0, F.lit(None).cast("double"))
-        .when(k % 7 == 0, F.round(F.col("price") * F.lit(1.1), 2)).otherwise(F.col("price")).alias("price"),
+        .when(k % 7 == 0, _times(F.col("price"), "1.1")).otherwise(F.col("price")).alias("price"),
         F.when(k % 11 == 0, F.lit(None).cast("double"))
-        .when(k % 3 != 0, F.col("price")).otherwise(F.round(F.col("price") * F.lit(1.2), 2)).alias("compare_at_price"),
+        .when(k % 3 != 0, F.col("price")).otherwise(_times(F.col("price"), "1.2")).alias("compare_at_price"),
         (k % 6).cast("bigint").alias("inventory_quantity"),
         F.concat(F.lit("prod-"), k.cast("string")).alias("product_id"),
         F.col("description").alias("product_title"),

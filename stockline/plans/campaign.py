@@ -85,10 +85,13 @@ def campaign_price(spark: SparkSession, candidates: DataFrame, items: DataFrame)
     c = c.filter(~F.coalesce(F.col("description").contains(EXCLUDED_TITLE_WORD), F.lit(False)))
     j = c.join(rules, "model", "left")
     rate = F.coalesce(F.col("rate"), F.lit(DEFAULT_RATE)).cast("bigint")
-    lst = F.coalesce(F.col("compare_at_price"), F.col("price"))
+    # the rule prices off the list price only; a missing list price stays missing
+    lst = F.col("compare_at_price")
+    # exact decimal: list × (100 − rate) × 0.01, rounded half-up to cents
+    factor = (F.lit(100) - rate).cast("decimal(5,0)") * F.lit(0.01).cast("decimal(3,2)")
+    price = F.round(lst.cast("decimal(12,2)") * factor, 2).cast("double")
     return j.select("sku", "variant_id", "product_id", lst.alias("list_price"), rate.alias("rate"),
-                    F.coalesce(F.col("on_order"), F.lit("Nao")).alias("on_order"),
-                    F.round(lst * (F.lit(1.0) - rate / F.lit(100.0)), 2).alias("campaign_price"))
+                    F.coalesce(F.col("on_order"), F.lit("Nao")).alias("on_order"), price.alias("campaign_price"))
 
 
 def feed_campaign_price(prices: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def text_diff(store: DataFrame, erp: DataFrame) -> DataFrame:
     e = erp.select("sku", *[F.col(c).alias(f"erp_{c}") for c in ["title", "description", "composition"]])
     j = store.join(e, "sku", "left")
     flags = {c: _norm(F.col(c)) != _norm(F.col(f"erp_{c}")) for c in ["title", "description", "composition"]}
-    out = j.select("sku", *[flags[c].alias(f"{c}_diff") for c in flags],
+    out = j.select("sku", "title", "description", "composition", *[flags[c].alias(f"{c}_diff") for c in flags],
                    F.col("erp_title").alias("new_title"), F.col("erp_description").alias("new_description"),
                    F.col("erp_composition").alias("new_composition"))
     any_diff = F.col("title_diff") | F.col("description_diff") | F.col("composition_diff")

@@ -100,6 +100,8 @@ def test_golden_campaign_rule_match(spark):
                                    ("S3", "Brand#1", "an anvil")], "code string, model string, description string")
     got = {r.sku: r.campaign_price for r in campaign_price(spark, cand, items).collect()}
     assert got == {"S0": 160.0, "S1": 140.0, "S2": 180.0}
+    nolist = cand.limit(1).withColumn("compare_at_price", F.lit(None).cast("double"))
+    assert campaign_price(spark, nolist, items).first().campaign_price is None
 
 
 def test_base_code(spark):
