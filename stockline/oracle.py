@@ -580,7 +580,7 @@ p AS (SELECT *, CASE WHEN phone_raw IS NULL THEN NULL
                      ELSE '+' || CAST(CAST(trunc(TRY_CAST(phone_raw AS DOUBLE)) AS BIGINT) AS VARCHAR) END AS phone,
              split_part(c_name, '#', 1) AS fn FROM c),
 r AS (SELECT *, coalesce(length(phone), 0) AS plen FROM p)
-SELECT 'C' || CAST(k AS VARCHAR) AS customer_id, {_T(x='fn')} AS first_name, split_part(c_name, '#', 2) AS last_name,
+SELECT 'C' || CAST(k AS VARCHAR) AS customer_id, {_T(x='fn')} AS first_name, {_T(x="split_part(c_name, '#', 2)")} AS last_name,
   lower({_T(x='fn')}) || CAST(k AS VARCHAR) || '@example.com' AS email, phone, CAST(plen AS BIGINT) AS phone_len, address,
   {_T(x='n_name')} AS city,
   CASE WHEN plen <= {IN.SHORT_PHONE_MAX} AND address IS NULL THEN '{IN.CUSTOMER_CLASSES[0]}'

@@ -48,7 +48,7 @@ def customer_class(cust: DataFrame) -> DataFrame:
     first = title_case(split_part(F.col("c_name"), "#", 0))
     return cust.select(
         F.concat(F.lit("C"), F.col("cust_key").cast("string")).alias("customer_id"),
-        first.alias("first_name"), split_part(F.col("c_name"), "#", 1).alias("last_name"),
+        first.alias("first_name"), title_case(split_part(F.col("c_name"), "#", 1)).alias("last_name"),
         F.concat(F.lower(first), F.col("cust_key").cast("string"), F.lit("@example.com")).alias("email"),
         phone.alias("phone"), plen.cast("bigint").alias("phone_len"), "address",
         title_case(F.col("city")).alias("city"), cls.alias("class"))

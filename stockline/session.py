@@ -46,6 +46,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the setting is unset (local tests) do we create a scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        try:
+            path = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - older API or remote session
+            path = None
     if not path:
         path = tempfile.mkdtemp(prefix="stockline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
