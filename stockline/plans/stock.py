@@ -64,7 +64,7 @@ def erp_stock(spark: SparkSession, d: str) -> DataFrame:
     """ERP side of the physical reconciliation: sellable stock of mapped
     warehouses, one row per (ref, warehouse_id). Aggregated straight from
     the lines on the join key (equal to E6 then A3, one shuffle fewer)."""
-    s = sellable_lines(spark, d)
+    s = sellable_lines(spark, d).filter(F.col("ref").isNotNull())  # NULL refs never match (T6)
     s = s.withColumn("warehouse_id", B.site_warehouse_id(F.col("site"))).filter(F.col("warehouse_id") != "")
     g = s.groupBy("ref", "warehouse_id").agg(F.sum("qty").cast("bigint").alias("total_quantity"))
     # code and warehouse name follow from the keys: derive them after the
