@@ -61,7 +61,7 @@ def run_cycle(store: SnapshotStore, today: DataFrame, outbox_path: str, keys=SNA
     base yet, today becomes version 1 and everything counts as entering."""
     base = store.read()
     if base is None:
-        base = today.limit(0)
+        base = today.filter(F.lit(False))  # no committed base yet: empty, same schema
     changes = cycle_diff(today, base, keys)
     changes.write.mode("append").parquet(outbox_path)
     return store.commit(cycle_next_base(today, base, keys))

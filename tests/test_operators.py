@@ -123,3 +123,24 @@ def test_row_diff_hot_copies(spark):
     today = spark.createDataFrame([("hot", 1)] * 500 + [("new", 2)] * 3, "k string, v int")
     base = spark.createDataFrame([("hot", 1)] * 400, "k string, v int")
     assert sorted((r.k, r.v) for r in row_diff(today, base).collect()) == [("new", 2)] * 3
+
+
+def test_golden_orderable_flag(spark):
+    from stockline.plans.flags import flag_orderable
+    from stockline.plans import bindings as B
+    g, s = B.ORDERABLE_LOCATION["GOLD"], B.ORDERABLE_LOCATION["SILVER"]
+    rows = [("a", "va", g[0], g[1], 1), ("a", "va", s[0], s[1], 0), ("b", "vb", g[0], g[1], 0),
+            ("b", "vb", s[0], s[1], 0), ("c", "vc", s[0], s[1], 5), ("d", "vd", "loc-1000", "Center", 9)]
+    lv = spark.createDataFrame(rows, "variant_sku string, variant_id string, location_id string, "
+                                     "location_name string, qty long")
+    got = {r.variant_sku: (r.orderable_gold, r.orderable_silver, r.is_orderable) for r in flag_orderable(lv).collect()}
+    assert got == {"a": (1, 0, True), "b": (0, 0, False), "c": (0, 5, True)}
+
+
+def test_golden_metafield_ids_distinct(spark):
+    from stockline.plans.campaign import metafield_cleanup
+    rows = [(f"mf{i % 580}", f"p{i}", "k") for i in range(811)] + [("", "px", "k"), (None, "py", "k")]
+    m = spark.createDataFrame(rows, "metafield_id string, product_id string, key string")
+    out = metafield_cleanup(m)
+    assert out.count() == 580
+    assert out.filter("metafield_id = 'mf0'").first().product_id == "p0"

@@ -92,6 +92,15 @@ def test_change_set_applies(spark, sf001):
                                 "total_quantity"), ["variant_sku", "location_id"], "left")
     bad = chk.filter(F.col("q") != F.coalesce("total_quantity", F.lit(0))).count()
     assert bad == 0
+    # made-to-order phases: store level + delta = 5 where the ERP lists the ref, else 0
+    o = B.channel_levels(spark, sf001).filter(F.col("location_name").contains(B.ORDERABLE_MARKER))
+    ocs = QUERIES["stock_change_set"](spark, sf001).filter("phase IN (1, 2)")
+    erp_o = S.orderable_sizes(spark, sf001).select(F.col("ref").alias("variant_sku"),
+                                                   F.col("warehouse_id").alias("location_id"), "total_quantity")
+    after = (o.join(ocs.select("variant_sku", "location_id", "delta"), ["variant_sku", "location_id"], "left")
+             .select("variant_sku", "location_id", (F.col("qty") + F.coalesce("delta", F.lit(0))).alias("q"))
+             .join(erp_o, ["variant_sku", "location_id"], "left"))
+    assert after.filter(F.col("q") != F.coalesce("total_quantity", F.lit(0))).count() == 0
 
 
 @pytest.mark.parametrize("name", sorted(k for k in QUERIES if k in SQL))
