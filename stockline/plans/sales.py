@@ -126,7 +126,7 @@ def sales_fact(spark: SparkSession, d: str, as_of: str = "2001-01-01", sort: boo
         .otherwise(F.round(c("ext") * F.lit(COST_RATE).cast(RATE), 2)).cast("double").alias("cost"),
         (F.when(br == "a", c("gross") * c("sign")).otherwise(c("gross"))).cast("bigint").alias("gross_total"),
         F.when(c("lk_key").isNotNull(), F.concat(F.lit("NF"), c("l_orderkey").cast("string"))).alias("invoice_no"),
-        F.concat_ws("-", c("company"), c("l_orderkey").cast("string"), F.date_format(op_date, "yyyy-MM-dd"))
+        F.concat_ws("-", c("company"), c("l_orderkey").cast("string"), op_date.cast("string"))
         .alias("sale_id"),
         F.concat(F.lit("P"), c("l_orderkey").cast("string")).alias("order_id"),
         F.when(br == "e", F.concat(F.lit("W"), c("l_orderkey").cast("string"))).alias("web_id"),

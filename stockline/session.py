@@ -42,19 +42,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there and we only read it. Only when
-    the setting is unset (local tests) do we create a scratch folder.
+    A cluster names a shared folder there (or on the SparkContext) and we
+    only read it. Only when it is unset (local tests) do we create a
+    scratch folder and register it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         try:
             path = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - older API or remote session
+        except Exception:  # noqa: BLE001 - remote session or older API
             path = None
     if not path:
         path = tempfile.mkdtemp(prefix="stockline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - read-only core conf in this session
+            pass
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote session
+        pass
     return path
 
 
