@@ -34,7 +34,10 @@ def feed_activation(plan: DataFrame) -> DataFrame:
     """Tracking on and activation per inventory item (P2): the item's
     locations collected (at most the fixed list, so the group is bounded)
     and sorted for a stable payload."""
-    g = plan.groupBy("inventory_item_id").agg(F.array_sort(F.collect_list("location_id")).alias("locs"))
+    # de-duplicate (item, location) first: the collected group is then at
+    # most the fixed location list even if an item's rows arrive as copies
+    pairs = plan.select("inventory_item_id", "location_id").distinct()
+    g = pairs.groupBy("inventory_item_id").agg(F.array_sort(F.collect_list("location_id")).alias("locs"))
     payload = F.to_json(F.struct(
         F.col("inventory_item_id").alias("inventoryItemId"), F.lit(True).alias("tracked"),
         F.transform("locs", lambda x: F.struct(x.alias("locationId"), F.lit(0).alias("available"))).alias("activations")))

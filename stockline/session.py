@@ -39,6 +39,29 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster, sized from the input volume.
+
+    The initial shuffle partition count gives ~``target_partition_bytes``
+    per partition for a shuffle as large as the input (AQE then coalesces
+    small ones and splits skewed ones), and never fewer than three waves
+    of tasks over all cores. Scans split at the same size. Example: 100 TiB
+    over 1000 executors × 8 cores → 409,600 shuffle partitions, 24,000-core
+    floor, 256 MB splits.
+    """
+    parts = max(3 * executor_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # runtime broadcast only below a measured size
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
