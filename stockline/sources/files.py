@@ -18,9 +18,13 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
             .option("enforceSchema", True).csv(path))
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:
-    """';'-separated UTF-8 with a header (S4, S5). Spark has no BOM option;
-    spreadsheet consumers read UTF-8 without it."""
+def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite", bom: bool = False) -> None:
+    """';'-separated UTF-8 with a header (S4). With ``bom`` (S5, for
+    spreadsheets) every part file starts with a UTF-8 byte-order mark: the
+    writer has no BOM option, so the mark is carried as the first character
+    of the header, which is the first thing each part file holds."""
+    if bom and df.columns:
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     (df.write.mode(mode).option("sep", sep).option("header", True)
      .option("quote", '"').option("escape", '"').csv(path))
 

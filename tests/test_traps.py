@@ -140,3 +140,17 @@ def test_t12_unlimited_literal_and_intended(spark, sf001):
 def test_t17_dotted_names_need_backticks(spark):
     df = spark.createDataFrame([("x",)], "`variant.sku` string")
     assert df.select(F.col("`variant.sku`").alias("variant_sku")).first()["variant_sku"] == "x"
+
+
+def test_s5_csv_with_bom_round_trip(spark, tmp_path):
+    import glob
+    from pyspark.sql import types as T
+    from stockline.sources import read_delimited, write_delimited
+    df = spark.createDataFrame([("a", 1.5), ("b;c", None)], "id string, price double")
+    out = str(tmp_path / "out")
+    write_delimited(df.coalesce(1), out, bom=True)
+    part = [p for p in glob.glob(out + "/part-*") if p.endswith(".csv")][0]
+    assert open(part, "rb").read(3) == b"\xef\xbb\xbf"
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("price", T.DoubleType())])
+    back = sorted((r.id, r.price) for r in read_delimited(spark, out, schema).collect())
+    assert back == [("a", 1.5), ("b;c", None)]
