@@ -659,3 +659,61 @@ SELECT 'prod-' || CAST(item_key AS VARCHAR) AS product_id, description AS title,
   CASE WHEN item_key % 2 = 0 THEN 'New' ELSE model END AS first_collection_title,
   CAST(CASE WHEN item_key % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_collections
 FROM items""")
+
+
+# ---------------------------------------------------- JSON feeds (P2, P5, P9, P10, P12) ----
+from .plans import feeds as FD  # noqa: E402
+
+_CLEAN = "CASE WHEN lower(trim({x})) = 'nan' THEN '' ELSE coalesce(trim({x}), '') END"
+cte("text_diff", [], SQL["text_diff"])
+q("feed_text", ["text_diff"], f"""
+SELECT sku, to_json({{'id': CAST(sku AS VARCHAR), 'title': {_CLEAN.format(x='new_title')},
+  'descriptionHtml': {_CLEAN.format(x='new_description')},
+  'metafield': {{'namespace': 'custom', 'key': 'composition', 'value': {_CLEAN.format(x='new_composition')}}}}}) AS payload
+FROM text_diff""")
+q("feed_activation", ["channel_variants"], f"""
+SELECT inventory_item_id, to_json({{'inventoryItemId': inventory_item_id, 'tracked': true,
+  'activations': list_transform(list_sort(locs), lambda x: {{'locationId': x, 'available': 0}})}}) AS payload
+FROM (SELECT inventory_item_id, list(location_id) AS locs FROM (
+        SELECT DISTINCT 'inv-' || sku AS inventory_item_id, unnest([{_lst(IN.ACTIVATION_LOCATIONS)}]) AS location_id
+        FROM channel_variants) GROUP BY inventory_item_id)""")
+_BASE = "'firstName': first_name, 'lastName': last_name, 'email': email"
+_ADDR = "'addresses': [{'address1': address, 'city': city}]"
+cte("customer_class", [], SQL["customer_class"])
+q("feed_customer", ["customer_class"], f"""
+SELECT customer_id, class, CASE
+  WHEN class = 'complete' THEN to_json({{{_BASE}, 'phone': phone, {_ADDR}}})
+  WHEN class = 'no_address' THEN to_json({{{_BASE}, 'phone': phone}})
+  WHEN class = 'no_phone' THEN to_json({{{_BASE}, {_ADDR}}})
+  ELSE to_json({{{_BASE}}}) END AS payload
+FROM customer_class""")
+_CARE = "CASE upper(metal_title) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FD.CARE_TEXT.items()) + " ELSE '' END"
+_META = ("[{{'key': 'genero', 'value': 'unisex'}}, {{'key': 'metal', 'value': metal_title}}, "
+         "{{'key': 'cobertura', 'value': 'none'}}, {{'key': 'pedra', 'value': CAST(to_json({pick}) AS VARCHAR)}}, "
+         "{{'key': 'cuidadospeca', 'value': " + _CARE.replace("{", "{{").replace("}", "}}") + "}}]")
+cte("intake_new", ["intake_prepare", "channel_variants", "items"], f"""
+SELECT *, from_json(stones, '["VARCHAR"]') AS sl FROM intake_prepare WHERE code NOT IN (SELECT sku_2 FROM channel_variants
+    WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> {IN.CHANNEL_MISSING_MOD})
+  AND code NOT IN (SELECT code FROM items WHERE NOT active)""")
+_PICK = "CASE WHEN len(sl) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(sl) >= 2 THEN sl[1:2] ELSE sl[1:1] END"
+_SIZED = f"family IN ({_lst(B.SIZED_FAMILIES)})"
+_VARS = (f"CASE WHEN {_SIZED} THEN list_transform(range({B.SIZE_FIRST}, {B.SIZE_LAST + 1}), "
+         "lambda n: {'sku': code || '-' || CAST(n AS VARCHAR), 'option': CAST(n AS VARCHAR)}) "
+         "ELSE [{'sku': code, 'option': 'Default Title'}] END")
+q("feed_create", ["intake_new"], f"""
+SELECT code, CASE WHEN {_SIZED}
+  THEN to_json({{'title': title, 'status': '{FD.PRODUCT_STATUS}', 'collections': ['{FD.FIXED_COLLECTION}', collection_id],
+                 'option': 'Size', 'variants': {_VARS}, 'metafields': {_META.format(pick=_PICK)}}})
+  ELSE to_json({{'title': title, 'status': '{FD.PRODUCT_STATUS}', 'collections': ['{FD.FIXED_COLLECTION}', collection_id],
+                 'variants': {_VARS}, 'metafields': {_META.format(pick=_PICK)}}}) END AS payload
+FROM intake_new""")
+_L = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+_LET = (f"CASE item_key % 4 WHEN 0 THEN {_L(FD.LETTERS_ALL)} WHEN 1 THEN {_L(FD.LETTERS_23)} "
+        f"WHEN 2 THEN {_L(FD.LETTERS_8A)} ELSE {_L(FD.LETTERS_8B)} END")
+_EMPTY_META = "CAST([] AS STRUCT(key VARCHAR, value VARCHAR)[])"
+q("feed_create_letters", ["intake_new"], f"""
+SELECT code, CAST(len({_LET}) AS BIGINT) AS n_variants,
+  to_json({{'title': title, 'status': '{FD.PRODUCT_STATUS}', 'option': 'Style',
+            'variants': list_transform({_LET}, lambda x: {{'sku': code, 'option': x}}),
+            'metafields': CASE WHEN item_key % 4 <= 1 THEN {_META.format(pick="sl[1:1]")} ELSE {_EMPTY_META} END}}) AS payload
+FROM intake_new""")
