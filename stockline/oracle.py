@@ -717,3 +717,5 @@ SELECT code, CAST(len({_LET}) AS BIGINT) AS n_variants,
             'variants': list_transform({_LET}, lambda x: {{'sku': code, 'option': x}}),
             'metafields': CASE WHEN item_key % 4 <= 1 THEN {_META.format(pick="sl[1:1]")} ELSE {_EMPTY_META} END}}) AS payload
 FROM intake_new""")
+
+q("stream_cycle", ["key_changes"], "SELECT order_key, status, price FROM key_changes WHERE change <> 'leave'")

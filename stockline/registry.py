@@ -19,6 +19,7 @@ from .plans import sales as SA
 from .plans import scalars as SC
 from .plans import texts as TX
 from .plans import stock as S
+from .streaming import stream_cycle as _stream_cycle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,3 +124,6 @@ register("response_split")(lambda s, d: FD.response_split(FD.landed_responses(_C
 register("scalar_strings")(SC.scalar_strings)
 register("scalar_bands")(SC.scalar_bands)
 register("scalar_casts")(SC.scalar_casts)
+
+# --------------------------------------------------------------- streaming ----
+register("stream_cycle")(_stream_cycle)

@@ -1,36 +1,64 @@
 """The reference runs on a schedule and diffs each new export against a
-base file. As a stream: each snapshot landing in a folder is a
-micro-batch; ``foreachBatch`` runs the key cycle (C3) against the
-committed base, appends the changes to the outbox and commits the next
-base version. ``trigger(availableNow=True)`` processes what has landed
-and stops, so a scheduler can run it like the batch job; the streaming
-checkpoint (under the shared checkpoint folder) makes a restarted run
-skip snapshots already processed.
+base file. As a stream: snapshots land in a folder as Parquet with a
+``snapshot_id`` column; each micro-batch applies the key cycle (C3) once
+per snapshot it contains, in id order, against the committed base:
+changes are appended to the outbox, then the next base version is
+committed. A snapshot may span many files; nothing limits files per
+trigger, so files listed together are one batch. ``trigger(availableNow=
+True)`` processes what has landed and stops, so a scheduler can run it
+like the batch job; the streaming checkpoint (under the shared checkpoint
+folder) makes a restarted run skip snapshots already processed.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..plans.cycles import SNAPSHOT_KEYS, run_cycle
+from ..plans.cycles import SNAPSHOT_KEYS, run_cycle, snapshots
 from ..session import ensure_checkpoint_dir
 from ..sources import SnapshotStore
 
 
 def start_stream_cycle(spark: SparkSession, snapshot_dir: str, schema: StructType, state_dir: str,
                        outbox_path: str, keys=SNAPSHOT_KEYS, name: str = "stream_cycle") -> StreamingQuery:
-    """Start the cycle over ``snapshot_dir`` (one Parquet file per snapshot,
-    processed in arrival order, one per micro-batch)."""
+    """Start the cycle over ``snapshot_dir``; ``schema`` includes
+    ``snapshot_id``."""
     ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     store = SnapshotStore(spark, state_dir)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        run_cycle(store, batch, outbox_path, keys)
+        batch = batch.persist()
+        try:
+            # the ids of the snapshots in this batch: a handful of values
+            ids = sorted(r[0] for r in batch.select("snapshot_id").distinct().collect())
+            for sid in ids:
+                run_cycle(store, batch.filter(F.col("snapshot_id") == sid).drop("snapshot_id"), outbox_path, keys)
+        finally:
+            batch.unpersist()
 
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(snapshot_dir)
+    src = spark.readStream.schema(schema).parquet(snapshot_dir)
     return (src.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
+
+
+def stream_cycle(spark: SparkSession, d: str, timeout_s: int = 600) -> DataFrame:
+    """Registered form (§2.12): land the base and today's snapshots of the
+    binding (``orders``), run the stream over them and return the
+    committed base — equal to ``cycle_next_base``."""
+    today, base = snapshots(spark, d)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-cycle/{uuid.uuid4().hex}"
+    base.withColumn("snapshot_id", F.lit(1)).write.parquet(f"{root}/snapshots/1")
+    today.withColumn("snapshot_id", F.lit(2)).write.parquet(f"{root}/snapshots/2")
+    schema = spark.read.parquet(f"{root}/snapshots/1").schema
+    q = start_stream_cycle(spark, f"{root}/snapshots/*", schema, f"{root}/state", f"{root}/outbox",
+                           name=f"stream-cycle-{uuid.uuid4().hex}")
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("stream_cycle did not finish")
+    return SnapshotStore(spark, f"{root}/state").read()

@@ -43,9 +43,10 @@ def test_stream_cycle(spark):
     from stockline.streaming import start_stream_cycle
     root = _root(spark)
     snaps = f"{root}/snapshots"
-    schema = "order_key long, status string"
-    spark.createDataFrame([(1, "a"), (2, "b")], schema).coalesce(1).write.parquet(f"{snaps}/d1")
-    spark.createDataFrame([(2, "b"), (3, "c")], schema).coalesce(1).write.parquet(f"{snaps}/d2")
+    schema = "order_key long, status string, snapshot_id int"
+    # snapshot 1 spans two files; both must be applied as one snapshot
+    spark.createDataFrame([(1, "a", 1), (2, "b", 1), (5, "e", 1)], schema).repartition(2).write.parquet(f"{snaps}/d1")
+    spark.createDataFrame([(2, "b", 2), (3, "c", 2)], schema).coalesce(1).write.parquet(f"{snaps}/d2")
     st = spark.read.parquet(f"{snaps}/d1").schema
     q = start_stream_cycle(spark, f"{snaps}/*", st, f"{root}/state", f"{root}/outbox", name=uuid.uuid4().hex)
     q.awaitTermination(120)
@@ -53,7 +54,8 @@ def test_stream_cycle(spark):
     store = SnapshotStore(spark, f"{root}/state")
     assert store.latest() == 2
     assert sorted(r.order_key for r in store.read().collect()) == [2, 3]
-    assert spark.read.parquet(f"{root}/outbox").filter(F.col("change") == "leave").count() == 1
+    out = spark.read.parquet(f"{root}/outbox")
+    assert out.filter(F.col("change") == "enter").count() == 4 and out.filter(F.col("change") == "leave").count() == 2
 
 
 def test_audit_and_ledger_append(spark):
