@@ -55,16 +55,26 @@ def cycle_next_base(today: DataFrame, base: DataFrame, keys=SNAPSHOT_KEYS) -> Da
     return key_changes(today, base, keys).filter(F.col("change") != "leave").drop("change")
 
 
-def run_cycle(store: SnapshotStore, today: DataFrame, outbox_path: str, keys=SNAPSHOT_KEYS) -> int | None:
+def run_cycle(store: SnapshotStore, today: DataFrame, outbox_path: str, keys=SNAPSHOT_KEYS,
+              tag: str | None = None) -> int | None:
     """One scheduled cycle (S9): changes against the committed base go to
     the outbox, then the next base is committed as a new version. With no
-    base yet, today becomes version 1 and everything counts as entering."""
+    base yet, today becomes version 1 and everything counts as entering.
+
+    Retry-safe: the outbox partition is named after the version being
+    produced and overwritten, so a run that failed after writing it and is
+    retried replaces, not duplicates, its changes. A snapshot whose ``tag``
+    equals the latest committed tag was already applied and is skipped
+    (a replayed stream batch)."""
+    if tag is not None and store.latest_tag() == str(tag):
+        return store.latest()
     base = store.read()
     if base is None:
         base = today.filter(F.lit(False))  # no committed base yet: empty, same schema
+    nxt = (store.latest() or 0) + 1
     changes = cycle_diff(today, base, keys)
-    changes.write.mode("append").parquet(outbox_path)
-    return store.commit(cycle_next_base(today, base, keys))
+    changes.write.mode("overwrite").parquet(f"{outbox_path.rstrip('/')}/version={nxt}")
+    return store.commit(cycle_next_base(today, base, keys), tag=None if tag is None else str(tag), version=nxt)
 
 
 def ledger_sets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -56,12 +56,29 @@ class SnapshotStore:
             return self.spark.createDataFrame([], schema) if schema is not None else None
         return self.spark.read.parquet(self.path(v))
 
-    def commit(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version and return its number."""
-        nxt = (self.latest() or 0) + 1
+    def commit(self, df: DataFrame, tag: str | None = None, version: int | None = None) -> int:
+        """Write ``df`` as version ``version`` (default: the next one) and
+        return its number. ``tag`` (e.g. the snapshot id that produced it)
+        is recorded as an empty marker file inside the committed folder."""
+        nxt = (self.latest() or 0) + 1 if version is None else version
         df.write.mode("overwrite").parquet(self.path(nxt))
+        if tag is not None:
+            fs, p = _fs(self.spark, f"{self.path(nxt)}/_tag_{tag}")
+            fs.create(p, True).close()
         return nxt
 
+    def latest_tag(self) -> str | None:
+        """The tag of the latest committed version, if any."""
+        v = self.latest()
+        if v is None:
+            return None
+        fs, p = _fs(self.spark, self.path(v))
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("_tag_"):
+                return name[len("_tag_"):]
+        return None
+
 
 def append_ledger(df: DataFrame, path: str) -> None:
     """Append processed keys to a ledger (S10); readers take the union."""

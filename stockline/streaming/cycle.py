@@ -37,7 +37,8 @@ def start_stream_cycle(spark: SparkSession, snapshot_dir: str, schema: StructTyp
             # the ids of the snapshots in this batch: a handful of values
             ids = sorted(r[0] for r in batch.select("snapshot_id").distinct().collect())
             for sid in ids:
-                run_cycle(store, batch.filter(F.col("snapshot_id") == sid).drop("snapshot_id"), outbox_path, keys)
+                run_cycle(store, batch.filter(F.col("snapshot_id") == sid).drop("snapshot_id"), outbox_path, keys,
+                          tag=str(sid))
         finally:
             batch.unpersist()
 
