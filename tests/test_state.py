@@ -97,3 +97,16 @@ def test_cycle_retry_is_idempotent(spark):
     run_cycle(store, day3, out, tag="3")
     v3 = spark.read.parquet(out).filter("version = 3")
     assert v3.count() == cycle_diff(day3, spark.read.parquet(store.path(2)), ["order_key"]).count()
+
+
+def test_daily_run_writes_outbox_idempotently(spark, sf001):
+    from stockline.jobs import daily_run
+    from stockline.registry import QUERIES
+    root = _root(spark)
+    paths = daily_run(spark, sf001, f"{root}/outbox", "2024-01-01T00")
+    assert [p.split("feed=")[1].split("/")[0] for p in paths] == ["activation", "stock", "price", "flags"]
+    daily_run(spark, sf001, f"{root}/outbox", "2024-01-01T00")  # retry of the same run
+    ob = spark.read.parquet(f"{root}/outbox")
+    assert ob.filter("feed = 'stock'").count() == QUERIES["feed_stock"](spark, sf001).count()
+    assert ob.filter("feed = 'price'").count() == QUERIES["feed_price"](spark, sf001).count()
+    assert ob.select("run_ts").distinct().count() == 1
