@@ -62,18 +62,27 @@ def first_per_base(variants: DataFrame) -> DataFrame:
     return first_per_key(variants, ["sku_2"], ["sku"])
 
 
-def ring_price_feed(variants: DataFrame, items: DataFrame, levels: DataFrame) -> DataFrame:
+def ring_price_feed(variants: DataFrame, items: DataFrame, levels: DataFrame, by: str = "base") -> DataFrame:
     """Price change per sized variant (R8). Ring rows of R6 are reduced to
-    one per base code, then fanned out to every store variant of that base
-    (from the levels, first per sku); non-ring rows pass through; union
-    with priority to the fan-out, first per sku (U3). Reducing before the
-    fan-out keeps it one row per variant instead of all pairs of a base."""
+    one per base code (``by="base"``) or per product (``by="product"``,
+    the reference's second form), then fanned out to every store variant of
+    that base / product (from the levels, first per sku); non-ring rows pass
+    through; union with priority to the fan-out, first per sku (U3).
+    Reducing before the fan-out keeps it one row per variant instead of all
+    pairs within a product."""
     pd_ = price_delta(variants, items)
-    rings = first_per_key(pd_.filter(is_ring(F.col("sku"))), ["sku"], ["variant_id"])
+    key = {"base": "sku", "product": "product_id"}[by]
+    rings = first_per_key(pd_.filter(is_ring(F.col("sku"))), [key], ["variant_id"])
     inv = first_per_key(levels.filter(F.col("variant_sku").isNotNull() & (F.col("variant_sku") != ""))
                         .select("variant_sku", "variant_id", "level_id"), ["variant_sku"], ["level_id"])
-    inv = inv.select("variant_sku", "variant_id", F.substring_index("variant_sku", "-", 1).alias("sku_2"))
-    fan = inv.join(rings.select(F.col("sku").alias("sku_2"), "product_id", "price", "erp_price", "delta"), "sku_2")
+    if by == "base":
+        inv = inv.select("variant_sku", "variant_id", F.substring_index("variant_sku", "-", 1).alias("sku_2"))
+        fan = inv.join(rings.select(F.col("sku").alias("sku_2"), "product_id", "price", "erp_price", "delta"), "sku_2")
+    else:
+        # the levels carry no product id; take it from the store variants
+        pid = variants.select(F.col("variant_id"), "product_id")
+        inv = inv.join(pid, "variant_id", "inner")
+        fan = inv.join(rings.select("product_id", "price", "erp_price", "delta"), "product_id")
     fan = fan.select(F.col("variant_sku").alias("sku"), "variant_id", "product_id", "price", "erp_price", "delta")
     plain = pd_.filter(~is_ring(F.col("sku")))
     return union_priority([fan, plain], ["sku"], ["variant_id"])

@@ -144,3 +144,12 @@ def test_golden_metafield_ids_distinct(spark):
     out = metafield_cleanup(m)
     assert out.count() == 580
     assert out.filter("metafield_id = 'mf0'").first().product_id == "p0"
+
+
+def test_ring_price_feed_forms_agree(spark, sf001):
+    from stockline.plans import bindings as B
+    from stockline.plans.prices import ring_price_feed
+    v, it, lv = B.channel_variants(spark, sf001), B.items(spark, sf001), B.channel_levels(spark, sf001)
+    a = sorted(tuple(r) for r in ring_price_feed(v, it, lv, by="base").collect())
+    b = sorted(tuple(r) for r in ring_price_feed(v, it, lv, by="product").collect())
+    assert a == b and len(a) == 75
