@@ -588,7 +588,7 @@ SELECT 'C' || CAST(k AS VARCHAR) AS customer_id, {_T(x='fn')} AS first_name, {_T
        WHEN address IS NULL THEN '{IN.CUSTOMER_CLASSES[2]}' ELSE '{IN.CUSTOMER_CLASSES[3]}' END AS class
 FROM r""")
 cte("intake_prepare", ["items"], f"""
-SELECT code, title, collection_id, to_json(coalesce(string_split(st, ', '), CAST([] AS VARCHAR[]))) AS stones,
+SELECT code, title, collection_id, CAST(to_json(coalesce(string_split(st, ', '), CAST([] AS VARCHAR[]))) AS VARCHAR) AS stones,
   CAST(coalesce(len(string_split(st, ', ')), 0) AS BIGINT) AS stone_count, metal_title, family, item_key
 FROM (SELECT i.*, {_T(x='i.description')} AS title, {_T(x='i.metal')} AS metal_title,
         CASE WHEN c.model IS NULL THEN NULL ELSE 'col-' || split_part(c.model, '#', 2) END AS collection_id,
@@ -719,3 +719,8 @@ SELECT code, CAST(len({_LET}) AS BIGINT) AS n_variants,
 FROM intake_new""")
 
 q("stream_cycle", ["key_changes"], "SELECT order_key, status, price FROM key_changes WHERE change <> 'leave'")
+
+
+# DuckDB types to_json results as its JSON logical type; Spark returns text.
+for _n in [k for k in SQL if k.startswith("feed_")]:
+    SQL[_n] = f"SELECT * REPLACE (CAST(payload AS VARCHAR) AS payload) FROM ({SQL[_n]})"

@@ -109,6 +109,8 @@ def test_oracle(spark, sf001, con, name):
     cols = sorted(df.columns)
     r = con.sql(SQL[name])
     assert sorted(r.columns) == cols
+    from tools.check import type_diffs
+    assert type_diffs(df, r) == {}
 
     def norm(v):
         return round(v, 6) if isinstance(v, float) else v
