@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from . import op01_decontaminate as op1
+from . import op02_ngram_join as op2
 from . import op03_sentencepiece as op3
 from . import op04_warc as op4
 from . import op05_urls as op5
 from . import op06_quality as op6
 from . import op07_token_counts as op7
+from . import op08_substrings as op8
 from . import op09_toxicity as op9
 from . import op10_language as op10
 from .common import table
@@ -34,6 +36,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,6 +72,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op8.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,5 +85,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.held_out_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_sentencepiece, op4_warc, op5_urls, op6_quality,
-                                   op7_token_counts, op9_toxicity, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_sentencepiece, op4_warc, op5_urls, op6_quality,
+                                   op7_token_counts, op8_substrings, op9_toxicity, op10_language)}
