@@ -21,11 +21,12 @@ A true similarity of 0.8 means a cosine of 0.89 at least and about 10
 different bits expected; the radius of 23 is more than four standard
 deviations above.
 
-Scale: documents are scanned once, their shingles are exploded in a generated
+Scale: the shingles of all documents are exploded in a generated
 loop and joined to the benchmark's without a shuffle while the benchmark has
-at most ``BROADCAST_ROWS`` shingles; beyond that the join is shuffled. Only
-windows that share a shingle are shuffled. Identical items are one item until
-the last join.
+at most ``BROADCAST_ROWS`` shingles; beyond that the join is shuffled. The
+places found (a few numbers each) are kept by a checkpoint; the texts of the
+documents that have one are read again to cut out the windows. Identical items
+are one item until the last join.
 
 Defined results: null or wordless texts and items match nothing; equal items
 are all reported; repeated document rows give one result row per (doc_id,
@@ -40,7 +41,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, small
+from .common import BROADCAST_ROWS, cut, small
 from .op06_quality import windows
 
 SHINGLE = 5
@@ -90,17 +91,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS,
     items = _items(benchmark)
     sizes = [r["k"] for r in items.select("k").distinct().collect()]  # at most SHINGLE values
     anchors = items.select("n", "k", F.posexplode("s").alias("at", "shingle")).distinct()
-    w = docs.filter("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("w"))
+    named = docs.filter("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("w"))
+    hits = None
+    for k in sizes or [SHINGLE]:
+        # the exploded rows carry no array, and explode_outer keeps its input from being computed again in a filter
+        places = (named.select("doc_id", windows("w", k).alias("h"))
+                  .select("doc_id", F.posexplode_outer("h").alias("p", "shingle"))
+                  .join(small(anchors.filter(F.col("k") == k)), "shingle")
+                  .select("doc_id", "n", "k", F.expr("p - at").alias("start")))
+        hits = places if hits is None else hits.unionByName(places)
+    hits = cut(hits.distinct())
+    wanted = hits.groupBy("doc_id", "k").agg(F.collect_list(F.struct("n", "start")).alias("hits"))
+    found = named.join(small(hits.select("doc_id").distinct()), "doc_id", "left_semi")
     wins = None
     for k in sizes or [SHINGLE]:
-        hashed = w.select("doc_id", windows("w", k).alias("h"))
-        hits = (hashed.select("doc_id", "h", F.posexplode_outer("h").alias("p", "shingle"))
-                .join(small(anchors.filter(F.col("k") == k)), "shingle")
-                .select("doc_id", "n", F.expr("n - k + 1").alias("m"), "h", F.expr("p - at").alias("start"))
-                .select("doc_id", "n", "m", "h", F.greatest(F.lit(0), F.least("start", F.size("h") - F.col("m")))
-                        .alias("start"))
-                .select("doc_id", "n", "start", F.expr("slice(h, start + 1, m)").alias("ws")))
-        wins = hits if wins is None else wins.unionByName(hits)
+        hashed = (found.join(wanted.filter(F.col("k") == k), "doc_id")
+                  .select("doc_id", "hits", windows("w", k).alias("h")))
+        cutout = hashed.select("doc_id", F.expr(
+            f"transform(hits, x -> struct(x.n as n, greatest(0, least(x.start, size(h) - (x.n - {k} + 1))) as start, "
+            f"slice(h, greatest(0, least(x.start, size(h) - (x.n - {k} + 1))) + 1, x.n - {k} + 1) as ws))").alias("x"))
+        some = cutout.select("doc_id", F.explode_outer("x").alias("x")).select("doc_id", "x.n", "x.start", "x.ws")
+        wins = some if wins is None else wins.unionByName(some)
     wins = wins.distinct().withColumn("wf", simhash("ws"))
 
     allowed = radius // BLOCKS

@@ -13,10 +13,10 @@ token is pushed and merged once). For clean text the best segment of n tokens
 follows an extreme-value law, P(S > x) = 1 - exp(-K n exp(-lambda x)); lambda
 solves sum p(s) exp(lambda s) = 1 over the token scores of clean training
 documents and K is its maximum-likelihood value on their best segments. The
-evidence of a document is the sum of lambda S - ln(K n) over its segments
-beyond the expected extreme (the best segment's where none is), and a logistic
-curve, fitted on binned evidence of the training documents, turns it into the
-score.
+evidence of a document is the least Poisson probability of its best segments
+under that law, and a logistic curve, fitted on binned evidence, turns it into
+the score. All of this is fitted on one half of the training documents with
+token counts of the other half; the final counts are those of both.
 
 What reaches the driver is bounded by the buckets and bins, not by the corpus.
 
@@ -29,20 +29,25 @@ score is the rate of the labels (0 without); extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points, crc_mod, letters, small, text_slices, texts_of
+from .common import code_points, crc_mod, cut, letters, small, text_slices, texts_of
 
 WORDS = 1 << 20
 STEMS = 1 << 18
 STEM_LETTERS = 4
+#: Buckets whose counts travel to the driver as one dense row.
+PACK = 1 << 13
 WORD_PRIOR = 8.0
 STEM_PRIOR = 20.0
-DRIFT = 1.2
+DRIFT = 1.0
+#: Segments of a document that are counted together at most (their best number is taken).
+MOST_SEGMENTS = 20
 HIGHEST, LOWEST = 5.0, -2.0
 BIN = 0.25
 BINS = 400
@@ -89,23 +94,40 @@ def _tokens(texts: list[str]):
 
 
 def _count_batches(batches):
-    counts = np.zeros((2, WORDS + STEMS), np.int64)
+    """Counts of each half of the documents, by class; the buckets of the
+    second half follow those of the first."""
+    counts = np.zeros((2, 2, WORDS + STEMS), np.int64)
     for batch in text_slices(batches):
         word, stem, text, _, _ = _tokens(texts_of(batch))
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)[text] == 1
-        for y in (0, 1):
-            mine = toxic == bool(y)
-            counts[y, :WORDS] += np.bincount(word[mine], minlength=WORDS)
-            counts[y, WORDS:] += np.bincount(stem[mine], minlength=STEMS)
-    at = np.flatnonzero(counts.any(0))
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[0, at]), pa.array(counts[1, at])],
+        toxic, half = (batch.column(c).to_numpy(zero_copy_only=False)[text] == 1 for c in ("toxic", "half"))
+        for h, y in product((0, 1), (0, 1)):
+            mine = (half == bool(h)) & (toxic == bool(y))
+            if mine.any():
+                counts[h, y, :WORDS] += np.bincount(word[mine], minlength=WORDS)
+                counts[h, y, WORDS:] += np.bincount(stem[mine], minlength=STEMS)
+    clean, toxic = counts[:, 0].ravel(), counts[:, 1].ravel()
+    at = np.flatnonzero((clean > 0) | (toxic > 0))
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(clean[at]), pa.array(toxic[at])],
                                      ["bucket", "clean", "toxic"])
 
 
+def _pack_counts(group: pa.Table) -> pa.Table:
+    """The counts of one block of buckets as two dense arrays."""
+    at = group.column("bucket").to_numpy() % PACK
+    cells = []
+    for name in ("clean", "toxic"):
+        dense = np.zeros(PACK, np.float32)
+        dense[at] = group.column(name).to_numpy()
+        cells.append(pa.array([dense.tobytes()], pa.binary()))
+    return pa.table([group.column("block").slice(0, 1).combine_chunks(), *cells], names=["block", "clean", "toxic"])
+
+
 def _token_scores(word, stem, m: ToxicityModel) -> np.ndarray:
     q = (m.toxic[word] + WORD_PRIOR * m.stem_rate[stem]) / (m.total[word] + WORD_PRIOR)
+    weight = m.total[word] + WORD_PRIOR
+    doubt = np.sqrt(1 / (weight * q * (1 - q)))  # standard deviation of the log-odds
     odds = np.log(q) - np.log1p(-q) - np.log(m.rate / (1 - m.rate))
-    return np.clip(odds - DRIFT, LOWEST, HIGHEST)
+    return np.clip(odds - doubt - DRIFT, LOWEST, HIGHEST)
 
 
 def _maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -150,10 +172,12 @@ def _score_batches(batches, model: ToxicityModel, histogram: bool = False):
 
 
 def _evidence(m: ToxicityModel) -> Column:
-    beyond = f"({m.lam!r}D * s - ln({m.k!r}D * greatest(n, 1)))"
-    return F.expr(f"if(size(segments) = 0, -ln({m.k!r}D * greatest(n, 1)), if({beyond.replace('s -', 'array_max(segments) -')}"
-                  f" <= 0, {beyond.replace('s -', 'array_max(segments) -')}, "
-                  f"aggregate(segments, 0D, (a, s) -> a + greatest(0D, {beyond}))))")
+    """-ln of the Poisson probability of the best r segments (all r up to
+    ``MOST_SEGMENTS``, the best of them): r segments of S or more are expected
+    K n exp(-lambda S) times."""
+    cost = f"ln({m.k!r}D * greatest(n, 1))"
+    return F.expr(f"if(size(segments) = 0, -{cost}, array_max(transform(slice(sort_array(segments, false), 1, {MOST_SEGMENTS}), "
+                  f"(s, i) -> (i + 1) * ({m.lam!r}D * s - {cost}) + ln(factorial(i + 1)))))")
 
 
 def _solve_lambda(tally: np.ndarray) -> float:
@@ -182,38 +206,48 @@ def _logistic(x: np.ndarray, ones: np.ndarray, n: np.ndarray) -> tuple[float, fl
     return a / spread, b - a * middle / spread
 
 
+def _from_counts(counts: np.ndarray) -> ToxicityModel:
+    total = counts.sum(0)
+    rate = (counts[1, :WORDS].sum(dtype=float) + 0.5) / (total[:WORDS].sum(dtype=float) + 1.0)
+    stem_rate = (counts[1, WORDS:] + STEM_PRIOR * rate) / (total[WORDS:] + STEM_PRIOR)
+    return ToxicityModel(counts[1, :WORDS].copy(), total[:WORDS].copy(), stem_rate.astype(np.float32), float(rate))
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Model from the documents that have a label (labels: doc_id, toxic)."""
     known = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    train = docs.select("doc_id", "text").join(small(known), "doc_id").select("text", "toxic")
+    train = (docs.select("doc_id", "text").join(small(known), "doc_id")
+             .select("text", "toxic", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")))
     counts = (train.mapInArrow(_count_batches, "bucket int, clean long, toxic long").groupBy("bucket")
-              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas())
-    both = np.zeros((2, WORDS + STEMS))
-    both[0, counts["bucket"].to_numpy(int)] = counts["clean"].to_numpy(float)
-    both[1, counts["bucket"].to_numpy(int)] = counts["toxic"].to_numpy(float)
-    n_toxic, n = both[1, :WORDS].sum(), both[:, :WORDS].sum()
-    rate = (n_toxic + 0.5) / (n + 1.0)
-    stem_total = both[:, WORDS:].sum(0)
-    model = ToxicityModel(both[1, :WORDS].astype(np.float32), both[:, :WORDS].sum(0).astype(np.float32),
-                          ((both[1, WORDS:] + STEM_PRIOR * rate) / (stem_total + STEM_PRIOR)).astype(np.float32), float(rate))
-    if not 0 < n_toxic < n:
-        model.slope, model.offset = 0.0, float(np.log(rate / (1 - rate))) if n else -30.0
+              .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+              .withColumn("block", (F.col("bucket") / PACK).cast("int")))
+    both = np.zeros((2, 2 * (WORDS + STEMS)), np.float32)
+    for r in counts.groupBy("block").applyInArrow(_pack_counts, "block int, clean binary, toxic binary").toLocalIterator():
+        at = slice(r["block"] * PACK, (r["block"] + 1) * PACK)
+        both[0, at], both[1, at] = np.frombuffer(r["clean"], np.float32), np.frombuffer(r["toxic"], np.float32)
+    both = both.reshape(2, 2, WORDS + STEMS)
+    first, model = _from_counts(both[:, 0]), _from_counts(both.sum(1))
+    n = both[:, :, :WORDS].sum(dtype=float)
+    if not 0 < both[1, :, :WORDS].sum(dtype=float) < n:
+        model.slope, model.offset = 0.0, float(np.log(model.rate / (1 - model.rate))) if n else -30.0
         return model
+    # scores are calibrated on documents that the counts have not seen: weights of one half, documents of the other
+    unseen = train.filter("half = 1").select("text", "toxic")
     tally = np.zeros(BINS)
-    hist = train.mapInArrow(lambda it: _score_batches(it, model, True), "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    hist = unseen.mapInArrow(lambda it: _score_batches(it, first, True), "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     for r in hist.collect():
         tally[r["bin"]] = r["n"]
     model.lam = _solve_lambda(tally)
-    scored = train.mapInArrow(lambda it: _score_batches(it, model), "toxic int, n long, segments array<double>").persist()
+    scored = cut(unseen.mapInArrow(lambda it: _score_batches(it, first), "toxic int, n long, segments array<double>"))
     best = F.coalesce(F.array_max("segments"), F.lit(0.0))
     mean = scored.filter("toxic = 0").agg(F.avg(F.greatest("n", F.lit(1)) * F.exp(-F.lit(model.lam) * best))).first()[0]
     model.k = 1.0 / float(mean or 1.0)
     side = F.least(F.greatest(F.floor(_evidence(model) / BIN), F.lit(-BINS)), F.lit(BINS))
     bins = scored.groupBy(side.alias("x")).agg(F.count("*").alias("n"), F.sum("toxic").alias("ones")).toPandas()
-    scored.unpersist()
-    model.slope, model.offset = _logistic((bins["x"].to_numpy(float) + 0.5) * BIN, bins["ones"].to_numpy(float),
-                                          bins["n"].to_numpy(float))
+    if len(bins):
+        model.slope, model.offset = _logistic((bins["x"].to_numpy(float) + 0.5) * BIN, bins["ones"].to_numpy(float),
+                                              bins["n"].to_numpy(float))
     return model
 
 
