@@ -13,8 +13,8 @@ def _c(x) -> Column:
 
 
 def collapse_ws(x) -> Column:
-    """Trim and collapse every whitespace run to one blank."""
-    return F.regexp_replace(F.trim(_c(x)), r"\s+", " ")
+    """Collapse every whitespace run to one blank, then trim."""
+    return F.trim(F.regexp_replace(_c(x), r"\s+", " "))
 
 
 def concat_blank(*parts) -> Column:
@@ -28,6 +28,13 @@ def split_part(x, delim: str, n: int) -> Column:
     return F.get(F.split(_c(x), re.escape(delim)), n)
 
 
+def zero_pad(x, width: int) -> Column:
+    """Zeros in front up to ``width`` characters; a longer text stays whole
+    (``lpad`` alone would cut it)."""
+    t = _c(x).cast("string")
+    return F.when(F.length(t) >= width, t).otherwise(F.lpad(t, width, "0"))
+
+
 def base_code(sku) -> Column:
     """Base code of a variant sku: the text before the first '-' (sku_2)."""
     return F.substring_index(_c(sku), "-", 1)
@@ -49,8 +56,9 @@ def phone_digits(x) -> Column:
 
 
 def clean_text(x) -> Column:
-    """'nan', NULL, None → ''; otherwise the trimmed text."""
-    t = F.trim(_c(x))
+    """'nan', NULL, None → ''; otherwise the text without whitespace of any
+    kind at its ends (X26)."""
+    t = F.regexp_replace(_c(x), r"^\s+|\s+$", "")
     return F.when(F.lower(t) == "nan", F.lit("")).otherwise(F.coalesce(t, F.lit("")))
 
 

@@ -40,9 +40,9 @@ def row_diff_both(today: DataFrame, base: DataFrame, cols: Sequence[str] | None
 def key_changes(today: DataFrame, base: DataFrame, keys: Sequence[str],
                 status: str = "change") -> DataFrame:
     """Key cycle (C3, J16): 'enter' = today's rows whose key is not in base,
-    'leave' = base rows whose key is not today, 'keep' = today's rows whose
-    key is in both. Value columns come from today when present, else from
-    base, so ``status <> 'leave'`` is the next base (base ∪ enter ∖ leave).
+    'leave' = base rows whose key is not today, 'keep' = base rows whose key
+    is also today. A kept key keeps its base values (the price to restore,
+    say), so ``status <> 'leave'`` is the next base (base ∪ enter ∖ leave).
 
     Semi and anti joins against the *distinct* keys of the other side: they
     never multiply rows, so duplicate keys cannot pair up, and a hot key
@@ -55,7 +55,8 @@ def key_changes(today: DataFrame, base: DataFrame, keys: Sequence[str],
     t_keys = t.select(*keys).distinct()
     b_keys = b.select(*keys).distinct()
     enter = t.join(b_keys, keys, "left_anti").withColumn(status, F.lit("enter"))
-    keep = t.join(b_keys, keys, "left_semi").withColumn(status, F.lit("keep"))
     b_vals = [F.col(c) if c in base.columns else F.lit(None).cast(today.schema[c].dataType).alias(c) for c in vals]
-    leave = (b.join(t_keys, keys, "left_anti").select(*keys, *b_vals).withColumn(status, F.lit("leave")))
+    b = b.select(*keys, *b_vals)
+    keep = b.join(t_keys, keys, "left_semi").withColumn(status, F.lit("keep"))
+    leave = b.join(t_keys, keys, "left_anti").withColumn(status, F.lit("leave"))
     return enter.unionByName(keep).unionByName(leave).select(*keys, *vals, status)

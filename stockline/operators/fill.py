@@ -1,13 +1,14 @@
 """Forward fill within a key (W1), without one task per hot key.
 
 ``last(x, ignorenulls) over (partition by key order by seq)`` puts every
-row of a key into one task. Here the key is cut into sequence buckets:
-(1) fill inside each (key, bucket) window, (2) summarise each bucket by
-its last non-null value — a few rows per bucket, (3) carry the last
-non-null summary of earlier buckets into each bucket with a window over
-the summaries only, (4) join the carry back and take the local value
-when there is one. Step (1) is partitioned by (key, bucket), so a key
-holding a third of the data spreads over many tasks.
+row of a key into one task. Here the rows are range-partitioned by
+(key, seq), so a hot key spreads over as many partitions as its share of
+the rows, and the partition number is fixed by a checkpoint: (1) fill
+inside each (key, partition), (2) summarise it by its last non-null value
+— one row per key and partition that holds it, so the summaries of one
+key are at most as many as partitions, (3) carry the last non-null
+summary of earlier partitions with a window over the summaries, (4) join
+the carry back and take the local value when there is one.
 """
 
 from __future__ import annotations
@@ -17,24 +18,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def ffill_by_key(df: DataFrame, key: str | Sequence[str], seq: str, cols: Sequence[str],
-                 bucket_rows: int = 1_000_000) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """Replace NULLs in ``cols`` with the last non-null value of the same
-    key at a smaller ``seq``. Never without a partition key."""
+    key at a smaller ``seq``. Never without a partition key.
+    ``partitions``: range partitions (spark.sql.shuffle.partitions)."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(cols)
-    b = df.withColumn("_bkt", F.floor(F.col(seq) / F.lit(bucket_rows)))
-    w_local = (Window.partitionBy(*keys, "_bkt").orderBy(seq)
+    ensure_checkpoint_dir(df.sparkSession)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = df.repartitionByRange(n, *keys, seq).withColumn("_part", F.spark_partition_id()).checkpoint()
+    w_local = (Window.partitionBy(*keys, "_part").orderBy(seq)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.last(c, ignorenulls=True).over(w_local).alias(f"_loc_{c}") for c in cols])
-    summary = b.groupBy(*keys, "_bkt").agg(
+    summary = b.groupBy(*keys, "_part").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"_sum_{c}") for c in cols])
-    w_carry = (Window.partitionBy(*keys).orderBy("_bkt")
+    w_carry = (Window.partitionBy(*keys).orderBy("_part")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*keys, "_bkt",
+    carry = summary.select(*keys, "_part",
                            *[F.last(f"_sum_{c}", ignorenulls=True).over(w_carry).alias(f"_car_{c}") for c in cols])
-    j = local.join(carry, [*keys, "_bkt"], "left")
+    j = local.join(carry, [*keys, "_part"], "left")
     out = [F.coalesce(F.col(f"_loc_{c}"), F.col(f"_car_{c}")).alias(c) if c in cols else F.col(c)
            for c in df.columns]
     return j.select(*out)

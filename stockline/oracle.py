@@ -34,7 +34,7 @@ def cte(name: str, deps: list[str], body: str) -> None:
 cte("items", [], f"""
 SELECT p_partkey AS item_key,
   (CASE WHEN p_name LIKE '% ring' THEN 'AN' WHEN p_name LIKE '% rod' THEN 'AL' ELSE 'PX' END)
-    || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code,
+    || CASE WHEN length(CAST(p_partkey AS VARCHAR)) >= 6 THEN CAST(p_partkey AS VARCHAR) ELSE lpad(CAST(p_partkey AS VARCHAR), 6, '0') END AS code,
   (CASE WHEN p_name LIKE '% ring' THEN 'AN' WHEN p_name LIKE '% rod' THEN 'AL' ELSE 'PX' END) AS family,
   (CASE WHEN p_name LIKE '% ring' THEN 'RING' WHEN p_name LIKE '% rod' THEN 'BAND' ELSE p_type END) AS group_name,
   p_brand AS model, p_name AS description, p_type AS type, CAST(p_size AS BIGINT) AS size,
@@ -279,7 +279,7 @@ SELECT {_MASTER} FROM item_base WHERE price > 1 AND final_status = '{C.FINAL_INA
   AND model NOT IN ({_lst(C.INACTIVE_EXCLUDED_MODELS)})""")
 q("price_list", ["items", "stock_lines"], """
 SELECT i.code, i.code || '-' || coalesce(CAST(t.size_code AS VARCHAR), '') AS ref, CAST(trunc(i.price) AS BIGINT) AS price_int
-FROM items i LEFT JOIN (SELECT DISTINCT code, size_code FROM stock_lines) t ON i.code = t.code""")
+FROM items i LEFT JOIN stock_lines t ON i.code = t.code""")
 q("composition_flag", ["items"], f"""
 SELECT DISTINCT i.code, 'Plated' AS formation
 FROM lineitem l JOIN items i ON l.l_partkey = i.item_key
@@ -330,11 +330,11 @@ SELECT variant_id, sku, erp_price, change FROM (
     UNION ALL SELECT variant_id, sku, erp_price, 'compare_at_price', 1 FROM compare_price_delta)) WHERE rn = 1""")
 q("feed_price", ["ring_price_feed"], """
 SELECT sku, variant_id, to_json({'id': variant_id, 'price': printf('%.2f', erp_price)}) AS payload FROM ring_price_feed""")
-_NORM = "coalesce(regexp_replace(trim({x}), '\\s+', ' ', 'g'), '')"
+_NORM = "coalesce(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '')"
 q("text_diff", [], f"""
-WITH s AS (SELECT doc_id AS sku, source AS title,
-             CASE WHEN doc_id % 7 = 0 THEN text || ' extra' ELSE replace(text, ' ', '  ') END AS description,
-             lang AS composition FROM documents),
+WITH s AS (SELECT doc_id AS sku, CASE WHEN doc_id % 11 = 0 THEN source || ' old' ELSE source END AS title,
+             CASE WHEN doc_id % 7 = 0 THEN text || ' extra' ELSE chr(10) || replace(text, ' ', '  ') || chr(9) END AS description,
+             CASE WHEN doc_id % 13 = 0 THEN NULL ELSE lang END AS composition FROM documents),
 e AS (SELECT doc_id AS sku, source AS title, text AS description, lang AS composition FROM documents),
 j AS (SELECT s.sku, s.title, s.description, s.composition,
         {_NORM.format(x='s.title')} <> {_NORM.format(x='e.title')} AS title_diff,
@@ -392,7 +392,7 @@ SELECT 'col-' || CAST(num AS VARCHAR) AS id, model AS title, lower(replace(model
   CASE WHEN num % 2 = 0 THEN 'BEST_SELLING' ELSE 'MANUAL' END AS sort_order
 FROM (SELECT p_brand AS model, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS num, count(*) AS n FROM part GROUP BY p_brand)""")
 q("json_pages", ["json_pages"], "SELECT * FROM json_pages")
-q("page_limit", ["json_pages"], "SELECT * FROM json_pages ORDER BY id LIMIT 250")
+q("page_limit", ["json_pages"], "SELECT * FROM json_pages ORDER BY id LIMIT 10")
 q("lookup_items", ["items", "channel_variants"], """
 SELECT i.code, v.product_id, v.variant_id, v.sku AS variant_sku,
   CASE WHEN v.sku_2 IS NULL THEN NULL ELSE 'https://cdn.example/' || v.sku_2 || '-1.jpg' END AS image_url,
@@ -405,7 +405,14 @@ SELECT g.code, CAST(g.size AS BIGINT) AS size, g.sku, v.variant_id,
 FROM (SELECT code, s.size, code || '-' || CAST(s.size AS VARCHAR) AS sku
       FROM items, (SELECT unnest(range({B.SIZE_FIRST}, {B.SIZE_LAST + 1})) AS size) s
       WHERE family IN ({_lst(B.SIZED_FAMILIES)})) g
-LEFT JOIN channel_variants v ON v.sku = g.sku""")
+LEFT JOIN (SELECT * FROM channel_variants WHERE title <> '22') v ON v.sku = g.sku""")
+q("lookup_sizes_unseen", ["items", "channel_variants"], f"""
+SELECT g.code, CAST(g.size AS BIGINT) AS size, g.sku, v.variant_id,
+  CASE WHEN v.variant_id IS NOT NULL THEN 'inv-' || g.sku END AS inventory_item_id, v.variant_id IS NOT NULL AS found
+FROM (SELECT code, s.size, code || '-' || CAST(s.size AS VARCHAR) AS sku
+      FROM items, (SELECT unnest(range({B.SIZE_FIRST}, {B.SIZE_LAST + 1})) AS size) s
+      WHERE family IN ({_lst(B.SIZED_FAMILIES)}) AND item_key % 3 <> 0) g
+LEFT JOIN (SELECT * FROM channel_variants WHERE title <> '22') v ON v.sku = g.sku""")
 q("ffill_by_key", [], """
 SELECT user_id, event_id, last_value(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS)
   OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
@@ -428,8 +435,8 @@ UNION ALL
 SELECT *, false FROM snap_base b WHERE NOT EXISTS (SELECT 1 FROM snap_today t WHERE {_NSE.format(a='t', b='b')})""")
 cte("key_changes", ["snap_today", "snap_base"], """
 SELECT coalesce(t.order_key, b.order_key) AS order_key,
-  CASE WHEN t.order_key IS NULL THEN b.status ELSE t.status END AS status,
-  CASE WHEN t.order_key IS NULL THEN b.price ELSE t.price END AS price,
+  CASE WHEN b.order_key IS NULL THEN t.status ELSE b.status END AS status,
+  CASE WHEN b.order_key IS NULL THEN t.price ELSE b.price END AS price,
   CASE WHEN b.order_key IS NULL THEN 'enter' WHEN t.order_key IS NULL THEN 'leave' ELSE 'keep' END AS change
 FROM snap_today t FULL JOIN snap_base b ON t.order_key = b.order_key""")
 q("cycle_diff", ["key_changes"], "SELECT * FROM key_changes WHERE change <> 'keep'")
@@ -453,10 +460,11 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id
   FROM channel_variants WHERE product_id IN (SELECT product_id FROM campaign_members)) WHERE rn = 1""")
 q("campaign_candidates", ["campaign_candidates"], "SELECT * FROM campaign_candidates")
 cte("item_stats", [], """
-SELECT l_partkey AS item_key, CAST(trunc(SUM(l_quantity)) AS BIGINT) AS total_inventory, count(*) AS total_variants
-FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_partkey""")
+SELECT l_partkey AS item_key, CAST(CASE WHEN l_partkey % 11 = 0 THEN 0 WHEN l_partkey % 5 = 0 THEN 5 * count(*)
+  ELSE trunc(SUM(l_quantity)) END AS BIGINT) AS total_inventory, count(*) AS total_variants
+FROM lineitem GROUP BY l_partkey""")
 _R = "CAST(total_inventory AS DOUBLE) / CAST(total_variants AS DOUBLE)"
-_FIVE = f"coalesce(round({_R}) % {CP.TARGET_RATIO} = 0, false)"
+_FIVE = f"coalesce({_R} = {CP.TARGET_RATIO}, false)"
 q("campaign_split", ["item_stats"], f"""
 SELECT item_key, total_inventory, total_variants, round({_R}, 4) AS ratio, NOT {_FIVE} AS tagged
 FROM item_stats WHERE total_inventory <> 0""")
@@ -550,18 +558,19 @@ SELECT company,
   group_name AS big_group, model, code,
   CASE WHEN branch = 'b' THEN NULL ELSE 'B' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS barcode,
   CASE WHEN family IN ({_lst(B.SIZED_FAMILIES)}) THEN CAST(10 + l_linenumber % 13 AS VARCHAR) ELSE '' END AS size,
-  CAST(trunc(l_quantity) AS BIGINT) * sgn AS qty,
-  CAST((CASE WHEN branch IN ('c', 'd', 'e') THEN round(tot + dsc, 2) ELSE round(tot, 2) END) * sgn AS DOUBLE) AS net_total,
-  CAST(round(dsc, 2) AS DOUBLE) AS discount,
-  CAST(CASE WHEN branch IN ('c', 'd', 'e') THEN round(CAST(cost AS DECIMAL(15,2)) * CAST(l_quantity AS DECIMAL(15,2)), 2)
-       ELSE round(ext * CAST({SA.COST_RATE} AS DECIMAL(15,2)), 2) END AS DOUBLE) AS cost,
+  CAST(trunc(l_quantity) AS BIGINT) AS qty,
+  CAST(round(CASE WHEN branch IN ('c', 'd', 'e') THEN tot + dsc ELSE tot END, 0) AS BIGINT) AS net_total,
+  CAST(round(dsc, 0) AS BIGINT) AS discount,
+  CAST(CASE WHEN branch IN ('c', 'd', 'e') THEN round(CAST(cost AS DECIMAL(15,2)), 0)
+       ELSE round(ext * CAST({SA.COST_RATE} AS DECIMAL(15,2)), 0) END AS BIGINT) AS cost,
   CAST(CASE WHEN branch = 'a' THEN round(ext, 0) * sgn WHEN branch = 'b' THEN round(ext * (1 + CAST(l_tax AS DECIMAL(15,2))), 0)
        ELSE round(ext, 0) END AS BIGINT) AS gross_total,
   CASE WHEN lk_key IS NOT NULL THEN 'NF' || CAST(l_orderkey AS VARCHAR) END AS invoice_no,
-  concat_ws('-', company, CAST(l_orderkey AS VARCHAR),
-            strftime(CASE WHEN branch = 'd' THEN CAST(l_shipdate AS DATE) ELSE sdate END, '%Y-%m-%d')) AS sale_id,
-  'P' || CAST(l_orderkey AS VARCHAR) AS order_id,
-  CASE WHEN branch = 'e' THEN 'W' || CAST(l_orderkey AS VARCHAR) END AS web_id,
+  'C' || CAST(o_custkey AS VARCHAR) || '-'
+    || strftime(CASE WHEN branch = 'd' THEN CAST(l_shipdate AS DATE) ELSE sdate END, '%Y-%m-%d') AS sale_id,
+  'C' || CAST(o_custkey AS VARCHAR) || '-' || coalesce(CASE WHEN lk_key IS NOT NULL THEN 'NF' || CAST(l_orderkey AS VARCHAR) END, '')
+    AS order_id,
+  CASE WHEN lk_key IS NOT NULL THEN 'W' || CAST(lk_key AS VARCHAR) END AS web_id,
   lk_event AS event
 FROM k ORDER BY sale_date DESC""")
 
@@ -588,13 +597,12 @@ SELECT 'C' || CAST(k AS VARCHAR) AS customer_id, {_T(x='fn')} AS first_name, {_T
        WHEN address IS NULL THEN '{IN.CUSTOMER_CLASSES[2]}' ELSE '{IN.CUSTOMER_CLASSES[3]}' END AS class
 FROM r""")
 cte("intake_prepare", ["items"], f"""
-SELECT code, title, collection_id, CAST(to_json(coalesce(string_split(st, ', '), CAST([] AS VARCHAR[]))) AS VARCHAR) AS stones,
-  CAST(coalesce(len(string_split(st, ', ')), 0) AS BIGINT) AS stone_count, metal_title, family, item_key
+SELECT code, title, collection_id, CAST(to_json(coalesce(string_split(st, ' E '), CAST([] AS VARCHAR[]))) AS VARCHAR) AS stones,
+  CAST(coalesce(len(string_split(st, ' E ')), 0) AS BIGINT) AS stone_count, metal_title, family, item_key
 FROM (SELECT i.*, {_T(x='i.description')} AS title, {_T(x='i.metal')} AS metal_title,
         CASE WHEN c.model IS NULL THEN NULL ELSE 'col-' || split_part(c.model, '#', 2) END AS collection_id,
-        CASE WHEN i.item_key % 3 = 0 THEN NULL WHEN i.item_key % 3 = 1 THEN 'ruby' ELSE 'ruby, pearl' END AS st
-      FROM items i LEFT JOIN (SELECT DISTINCT p_brand AS model FROM part) c ON i.model = c.model
-      WHERE i.item_key % 10 = 0 OR i.item_key % 10 = {IN.CHANNEL_MISSING_MOD})""")
+        CASE WHEN i.item_key % 3 = 0 THEN NULL WHEN i.item_key % 3 = 1 THEN 'ruby' WHEN i.item_key % 2 = 0 THEN 'ruby E pearl' ELSE 'ruby E pearl E onyx' END AS st
+      FROM items i LEFT JOIN (SELECT DISTINCT p_brand AS model FROM part) c ON i.model = c.model)""")
 q("intake_prepare", ["intake_prepare"], "SELECT * FROM intake_prepare")
 q("intake_new", ["intake_prepare", "channel_variants", "items"], f"""
 SELECT * FROM intake_prepare WHERE code NOT IN (SELECT sku_2 FROM channel_variants
@@ -606,7 +614,7 @@ q("publication_plan", ["channel_variants"], f"""
 SELECT product_id, unnest([{_lst(IN.SALES_CHANNELS)}]) AS channel FROM (SELECT DISTINCT product_id FROM channel_variants)""")
 q("feed_stock", ["stock_change_set"], """
 SELECT phase, variant_sku, location_id, to_json({'reason': 'correction', 'name': 'available',
-  'changes': [{'delta': delta, 'inventoryItemId': inventory_item_id, 'locationId': location_id}]}) AS payload
+  'changes': {'delta': delta, 'inventoryItemId': inventory_item_id, 'locationId': location_id}}) AS payload
 FROM stock_change_set""")
 q("feed_delete", ["channel_variants", "items"], """
 SELECT product_id, to_json({'id': product_id}) AS payload FROM (SELECT DISTINCT product_id FROM channel_variants
@@ -644,7 +652,7 @@ SELECT o_orderkey AS order_key, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE
   CASE WHEN o_custkey % 50 = 0 THEN (CASE WHEN o_orderstatus = 'F' THEN 'origin' ELSE 'destination' END) ELSE 'customer' END AS party,
   CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE -o_totalprice END AS signed,
   CAST(CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(10,0)) AS BIGINT) AS price_dec0,
-  lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS char8, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date_text,
+  CASE WHEN length(CAST(o_orderkey AS VARCHAR)) >= 8 THEN CAST(o_orderkey AS VARCHAR) ELSE lpad(CAST(o_orderkey AS VARCHAR), 8, '0') END AS char8, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date_text,
   CAST(o_orderdate AS DATE) < DATE '2001-01-01' AS before_as_of,
   CAST(round(CAST(o_totalprice AS DECIMAL(15,2)) * CAST(0.9 AS DECIMAL(15,2)), 2) AS DOUBLE) AS discounted,
   round(CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_totalprice / CAST(o_orderkey % 4 AS DOUBLE) END, 4) AS ratio,
@@ -664,7 +672,8 @@ FROM items""")
 # ---------------------------------------------------- JSON feeds (P2, P5, P9, P10, P12) ----
 from .plans import feeds as FD  # noqa: E402
 
-_CLEAN = "CASE WHEN lower(trim({x})) = 'nan' THEN '' ELSE coalesce(trim({x}), '') END"
+_STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+_CLEAN = f"CASE WHEN lower({_STRIP}) = 'nan' THEN '' ELSE coalesce({_STRIP}, '') END"
 cte("text_diff", [], SQL["text_diff"])
 q("feed_text", ["text_diff"], f"""
 SELECT sku, to_json({{'id': CAST(sku AS VARCHAR), 'title': {_CLEAN.format(x='new_title')},
@@ -673,7 +682,7 @@ SELECT sku, to_json({{'id': CAST(sku AS VARCHAR), 'title': {_CLEAN.format(x='new
 FROM text_diff""")
 q("feed_activation", ["channel_variants"], f"""
 SELECT inventory_item_id, to_json({{'inventoryItemId': inventory_item_id, 'tracked': true,
-  'activations': list_transform(list_sort(locs), lambda x: {{'locationId': x, 'available': 0}})}}) AS payload
+  'activations': list_transform(list_sort(locs), lambda x: {{'locationId': x, 'activate': true}})}}) AS payload
 FROM (SELECT inventory_item_id, list(location_id) AS locs FROM (
         SELECT DISTINCT 'inv-' || sku AS inventory_item_id, unnest([{_lst(IN.ACTIVATION_LOCATIONS)}]) AS location_id
         FROM channel_variants) GROUP BY inventory_item_id)""")
@@ -695,7 +704,7 @@ cte("intake_new", ["intake_prepare", "channel_variants", "items"], f"""
 SELECT *, from_json(stones, '["VARCHAR"]') AS sl FROM intake_prepare WHERE code NOT IN (SELECT sku_2 FROM channel_variants
     WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> {IN.CHANNEL_MISSING_MOD})
   AND code NOT IN (SELECT code FROM items WHERE NOT active)""")
-_PICK = "CASE WHEN len(sl) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(sl) >= 2 THEN sl[1:2] ELSE sl[1:1] END"
+_PICK = "CASE WHEN len(sl) = 0 THEN CAST([] AS VARCHAR[]) WHEN family = 'AN' AND len(sl) >= 2 THEN sl[1:2] ELSE sl[1:1] END"
 _SIZED = f"family IN ({_lst(B.SIZED_FAMILIES)})"
 _VARS = (f"CASE WHEN {_SIZED} THEN list_transform(range({B.SIZE_FIRST}, {B.SIZE_LAST + 1}), "
          "lambda n: {'sku': code || '-' || CAST(n AS VARCHAR), 'option': CAST(n AS VARCHAR)}) "

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import zero_pad
 from ..sources import read_table
 
 _FRAMES: dict = {}
@@ -92,7 +93,7 @@ def items(spark: SparkSession, d: str) -> DataFrame:
               .when(F.col("p_name").endswith(" rod"), "AL").otherwise("PX"))
     return p.select(
         F.col("p_partkey").alias("item_key"),
-        F.concat(family, F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias("code"),
+        F.concat(family, zero_pad("p_partkey", 6)).alias("code"),
         family.alias("family"),
         F.when(family == "AN", "RING").when(family == "AL", "BAND").otherwise(F.col("p_type")).alias("group_name"),
         F.col("p_brand").alias("model"),

@@ -28,11 +28,9 @@ def campaign_members(spark: SparkSession, d: str) -> DataFrame:
     """Campaign membership (C4, U2, F5): union of the member lists of five
     collections, distinct by product, minus an exclusion list."""
     it = B.items(spark, d)
-    lists = [it.filter(F.col("model").isin(m)).select(_product_id(F.col("item_key")).alias("product_id"))
-             for m in MEMBER_LISTS]
-    u = lists[0]
-    for x in lists[1:]:
-        u = u.unionByName(x)
+    # the lists are selections of one table: one scan with all of them
+    u = (it.filter(F.col("model").isin([m for models in MEMBER_LISTS for m in models]))
+         .select(_product_id(F.col("item_key")).alias("product_id")))
     excl = it.filter(F.col("item_key") % EXCLUDED_PRODUCT_MOD == 0).select(_product_id(F.col("item_key")).alias("product_id"))
     return u.distinct().join(excl, "product_id", "left_anti")
 
@@ -43,18 +41,21 @@ def campaign_candidates(members: DataFrame, variants: DataFrame) -> DataFrame:
     return first_per_key(v, ["product_id"], ["sku"])
 
 
-def item_stock_ratio(spark: SparkSession, d: str, flag: str = "A") -> DataFrame:
-    """Inventory and variant count per item from lines with return flag
-    ``flag`` (binding of totalInventory / totalVariants)."""
-    li = read_table(spark, d, "lineitem").filter(F.col("l_returnflag") == flag)
-    return li.groupBy(F.col("l_partkey").alias("item_key")).agg(
-        F.sum("l_quantity").cast("bigint").alias("total_inventory"),
-        F.count(F.lit(1)).alias("total_variants"))
+def item_stock_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """Inventory and variant count per item from all its lines (binding of
+    totalInventory / totalVariants): five units a variant where
+    key % 5 = 0, none where key % 11 = 0, else the lines' quantity."""
+    li = read_table(spark, d, "lineitem")
+    k, n = F.col("item_key"), F.col("total_variants")
+    return (li.groupBy(F.col("l_partkey").alias("item_key"))
+            .agg(F.sum("l_quantity").cast("bigint").alias("_qty"), F.count(F.lit(1)).alias("total_variants"))
+            .select("item_key", F.when(k % 11 == 0, F.lit(0)).when(k % 5 == 0, n * TARGET_RATIO)
+                    .otherwise(F.col("_qty")).cast("bigint").alias("total_inventory"), "total_variants"))
 
 
 def _ratio_five(ratio: F.Column) -> F.Column:
     # a NULL ratio (no variants) counts as "not 5" (T10)
-    return F.coalesce(F.round(ratio) % TARGET_RATIO == 0, F.lit(False))
+    return F.coalesce(ratio == TARGET_RATIO, F.lit(False))
 
 
 def campaign_split(stats: DataFrame) -> DataFrame:
@@ -89,7 +90,7 @@ def campaign_price(spark: SparkSession, candidates: DataFrame, items: DataFrame)
     lst = F.col("compare_at_price")
     # exact decimal: list × (100 − rate) × 0.01, rounded half-up to cents
     factor = (F.lit(100) - rate).cast("decimal(5,0)") * F.lit(0.01).cast("decimal(3,2)")
-    price = F.round(lst.cast("decimal(12,2)") * factor, 2).cast("double")
+    price = F.round(lst.cast("decimal(18,2)") * factor, 2).cast("double")
     return j.select("sku", "variant_id", "product_id", lst.alias("list_price"), rate.alias("rate"),
                     F.coalesce(F.col("on_order"), F.lit("Nao")).alias("on_order"), price.alias("campaign_price"))
 

@@ -128,10 +128,9 @@ def items_inactive(spark: SparkSession, d: str) -> DataFrame:
 
 def price_list(spark: SparkSession, d: str) -> DataFrame:
     """Price by item × size tag (E1): ``code-size``; an item without tags
-    gets ``code-`` (CONCAT treats NULL as ''). The reference repeats a
-    row per stock tag; tags are combined first, one row per distinct
-    (item, size)."""
-    tags = B.stock_lines(spark, d).groupBy("code", "size_code").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    gets ``code-`` (CONCAT treats NULL as ''). One row per stock tag: a
+    (item, size) with several tags is repeated."""
+    tags = B.stock_lines(spark, d).select("code", "size_code")
     it = B.items(spark, d)
     j = it.join(tags, "code", "left")
     return j.select("code", F.concat(F.col("code"), F.lit("-"), F.coalesce(F.col("size_code").cast("string"), F.lit("")))

@@ -64,9 +64,9 @@ def run_cycle(store: SnapshotStore, today: DataFrame, outbox_path: str, keys=SNA
     Retry-safe: the outbox partition is named after the version being
     produced and overwritten, so a run that failed after writing it and is
     retried replaces, not duplicates, its changes. A snapshot whose ``tag``
-    equals the latest committed tag was already applied and is skipped
-    (a replayed stream batch)."""
-    if tag is not None and store.latest_tag() == str(tag):
+    is at or below the last committed one was already applied and is
+    skipped (a replayed stream batch)."""
+    if tag is not None and store.applied(str(tag)):
         return store.latest()
     base = store.read()
     if base is None:

@@ -17,6 +17,7 @@ LETTERS_8B = ["F", "I", "Q", "U", "W", "X", "Y", "Z"]
 CARE_TEXT = {"GOLD": "Keep away from chemicals; clean with a soft cloth.",
              "SILVER": "Store dry and polish with a silver cloth."}
 PRODUCT_STATUS = "DRAFT"
+RING_FAMILY = "AN"
 FIXED_COLLECTION = "col-new"
 # ---------------------------------------------------------------------------
 
@@ -25,8 +26,8 @@ def feed_stock(changes: DataFrame) -> DataFrame:
     """Quantity adjustment payload per change."""
     payload = F.to_json(F.struct(
         F.lit("correction").alias("reason"), F.lit("available").alias("name"),
-        F.array(F.struct(F.col("delta").alias("delta"), F.col("inventory_item_id").alias("inventoryItemId"),
-                         F.col("location_id").alias("locationId"))).alias("changes")))
+        F.struct(F.col("delta").alias("delta"), F.col("inventory_item_id").alias("inventoryItemId"),
+                 F.col("location_id").alias("locationId")).alias("changes")))
     return changes.select("phase", "variant_sku", "location_id", payload.alias("payload"))
 
 
@@ -40,7 +41,7 @@ def feed_activation(plan: DataFrame) -> DataFrame:
     g = pairs.groupBy("inventory_item_id").agg(F.array_sort(F.collect_list("location_id")).alias("locs"))
     payload = F.to_json(F.struct(
         F.col("inventory_item_id").alias("inventoryItemId"), F.lit(True).alias("tracked"),
-        F.transform("locs", lambda x: F.struct(x.alias("locationId"), F.lit(0).alias("available"))).alias("activations")))
+        F.transform("locs", lambda x: F.struct(x.alias("locationId"), F.lit(True).alias("activate"))).alias("activations")))
     return g.select("inventory_item_id", payload.alias("payload"))
 
 
@@ -64,12 +65,12 @@ def _metafields(row_stones, with_meta=True):
 
 def feed_create(new_items: DataFrame) -> DataFrame:
     """Product creation payload (P9, P11) from one template. Dispatch:
-    sized family → 13 sizes; else one variant. Stones: none, the first
-    two, or the first (a ring with three or more stones keeps two)."""
+    sized family → 13 sizes; else one variant. Stones: a ring carries its
+    first two, any other item its first."""
     stones = F.from_json(F.col("stones"), T.ArrayType(T.StringType()))
     n = F.size(stones)
     sized = F.col("family").isin(B.SIZED_FAMILIES)
-    pick = F.when(n == 0, F.array().cast("array<string>")).when(n >= 2, F.slice(stones, 1, 2)).otherwise(F.slice(stones, 1, 1))
+    pick = F.when(n == 0, F.array().cast("array<string>")).when((F.col("family") == RING_FAMILY) & (n >= 2), F.slice(stones, 1, 2)).otherwise(F.slice(stones, 1, 1))
     sizes = F.when(sized, F.sequence(F.lit(B.SIZE_FIRST), F.lit(B.SIZE_LAST))).otherwise(F.array(F.lit(None).cast("int")))
     variants = F.transform(sizes, lambda s: F.struct(
         F.when(s.isNull(), F.col("code")).otherwise(F.concat(F.col("code"), F.lit("-"), s.cast("string"))).alias("sku"),

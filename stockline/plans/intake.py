@@ -55,9 +55,8 @@ def customer_class(cust: DataFrame) -> DataFrame:
 
 
 def intake(spark: SparkSession, d: str) -> DataFrame:
-    """New-product intake rows (binding): items with key % 10 in (0, 3)."""
-    it = B.items(spark, d)
-    return it.filter((F.col("item_key") % 10 == 0) | (F.col("item_key") % 10 == CHANNEL_MISSING_MOD))
+    """New-product intake rows (binding): every item."""
+    return B.items(spark, d)
 
 
 def intake_prepare(spark: SparkSession, d: str) -> DataFrame:
@@ -68,9 +67,9 @@ def intake_prepare(spark: SparkSession, d: str) -> DataFrame:
                                            F.concat(F.lit("col-"), F.split("model", "#").getItem(1)).alias("collection_id"))
     k = F.col("item_key")
     stones_txt = (F.when(k % 3 == 0, F.lit(None).cast("string")).when(k % 3 == 1, F.lit("ruby"))
-                  .otherwise(F.lit("ruby, pearl")))
+                  .when(k % 2 == 0, F.lit("ruby E pearl")).otherwise(F.lit("ruby E pearl E onyx")))
     j = it.join(coll, it.model == coll.collection_title, "left")
-    stones = F.split(stones_txt, ", ")
+    stones = F.split(stones_txt, " E ")
     return j.select("code", title_case(F.col("description")).alias("title"), "collection_id",
                     F.to_json(F.coalesce(stones, F.array().cast("array<string>"))).alias("stones"),
                     F.coalesce(F.size(stones), F.lit(0)).cast("bigint").alias("stone_count"),

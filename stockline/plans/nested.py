@@ -234,12 +234,17 @@ def product_taxonomy(spark: SparkSession, d: str) -> DataFrame:
                       F.size(p.getField("collections").getField("edges")).cast("bigint").alias("n_collections"))
 
 
-def page_limit(spark: SparkSession, d: str, first: int = 250) -> DataFrame:
+def page_limit(spark: SparkSession, d: str, first: int) -> DataFrame:
     """Page size ``first: N`` (W6): the first N collection rows by id; the
-    limit is the feature (the source truncates at 250 members)."""
+    limit is the feature and has no default."""
     return json_pages(spark, d).orderBy("id").limit(first)
 
 
+def lookup_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Codes looked up in earlier runs (binding): items with key % 3 = 0."""
+    return B.items(spark, d).filter(F.col("item_key") % 3 == 0).select("code")
+
+
 # ------------------------------------------------------------------ lookups --
 def lookup_items(spark: SparkSession, d: str) -> DataFrame:
     """Product lookup (N6): every ERP item × its store variants with the
@@ -261,6 +266,10 @@ def lookup_items(spark: SparkSession, d: str) -> DataFrame:
     return found.unionByName(missing)
 
 
+#: Size whose variants the store lacks (binding).
+LOOKUP_MISSING_SIZE = "22"
+
+
 def lookup_sizes(spark: SparkSession, d: str, ledger: DataFrame | None = None) -> DataFrame:
     """Variant and inventory-item lookup over generated size codes (N7, N8):
     sized items not yet in the ledger × sizes 10–22, joined to store
@@ -270,16 +279,16 @@ def lookup_sizes(spark: SparkSession, d: str, ledger: DataFrame | None = None) -
         it = it.join(ledger.select("code"), "code", "left_anti")
     g = it.select("code", F.explode(F.sequence(F.lit(B.SIZE_FIRST), F.lit(B.SIZE_LAST))).alias("size"))
     g = g.withColumn("sku", F.concat(F.col("code"), F.lit("-"), F.col("size").cast("string")))
-    v = B.channel_variants(spark, d).select("sku", "variant_id")
+    v = B.channel_variants(spark, d).filter(F.col("title") != LOOKUP_MISSING_SIZE).select("sku", "variant_id")
     j = g.join(v, "sku", "left")
     return j.select("code", F.col("size").cast("bigint").alias("size"), "sku", "variant_id",
                     F.when(F.col("variant_id").isNotNull(), F.concat(F.lit("inv-"), F.col("sku"))).alias("inventory_item_id"),
                     F.col("variant_id").isNotNull().alias("found"))
 
 
-def ffill_events(spark: SparkSession, d: str, bucket_rows: int = 64) -> DataFrame:
+def ffill_events(spark: SparkSession, d: str) -> DataFrame:
     """Forward fill (W1) on ``events``: ``value`` kept only on every third
     event, filled down each user's events in id order."""
     ev = read_table(spark, d, "events").select(
         "user_id", "event_id", F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"))
-    return ffill_by_key(ev, "user_id", "event_id", ["value"], bucket_rows=bucket_rows)
+    return ffill_by_key(ev, "user_id", "event_id", ["value"])

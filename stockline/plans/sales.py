@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import concat_blank
 from ..sources import read_table
 from . import bindings as B
 
@@ -24,10 +25,9 @@ WEB_SELLER_SITES = ["S4", "S5"]
 OPERATION = {"a": "SETTLED", "b": "SETTLED_NO_BARCODE", "c": "OPEN_ORDER", "d": "TODAY_STORE", "e": "TODAY_WEB"}
 COST_RATE = 0.6
 # ---------------------------------------------------------------------------
-# Money is DECIMAL(12,2) and rates DECIMAL(4,2): every product below stays
-# within 18 digits, so Spark keeps decimals in a 64-bit long instead of
-# falling back to java.math.BigDecimal for each row.
-MONEY, RATE, QTY = "decimal(12,2)", "decimal(4,2)", "decimal(7,2)"
+# Wide enough for any amount of the ERP: a narrower type would end the job
+# under ANSI on the first larger line.
+MONEY, RATE = "decimal(18,2)", "decimal(4,2)"
 
 COLUMNS = ["company", "operation", "op_number", "sale_date", "customer_id", "customer_name", "seller_id",
            "seller_name", "companion_id", "companion_name", "big_group", "model", "code", "barcode", "size",
@@ -76,7 +76,7 @@ def sales_fact(spark: SparkSession, d: str, as_of: str = "2001-01-01", sort: boo
         "sign": F.when(c("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1)),
         "house": c("o_custkey") % HOUSE_ACCOUNT_MOD == 0,
         "line_date": F.to_date("l_shipdate"),
-        # money in DECIMAL(15,2) as in the ERP, so rounding is exact (no binary ties)
+        # money in decimals as in the ERP, so rounding is exact (no binary ties)
         "ext": c("l_extendedprice").cast(MONEY),
         "dsc_rate": c("l_discount").cast(RATE),
         "tax": c("l_tax").cast(RATE),
@@ -104,6 +104,8 @@ def sales_fact(spark: SparkSession, d: str, as_of: str = "2001-01-01", sort: boo
         "late": br.isin("c", "d", "e"),
     })
     sized = c("family").isin(B.SIZED_FAMILIES)
+    account = F.concat(F.lit("C"), c("o_custkey").cast("string"))
+    invoice = F.when(c("lk_key").isNotNull(), F.concat(F.lit("NF"), c("l_orderkey").cast("string")))
     op_date = F.when(br == "d", c("line_date")).otherwise(c("sale_date"))
     out = j.select(
         "company",
@@ -123,18 +125,18 @@ def sales_fact(spark: SparkSession, d: str, as_of: str = "2001-01-01", sort: boo
         .otherwise(F.concat(F.lit("B"), c("l_orderkey").cast("string"), F.lit("-"),
                             c("l_linenumber").cast("string"))).alias("barcode"),
         F.when(sized, (F.lit(10) + c("l_linenumber") % 13).cast("string")).otherwise(F.lit("")).alias("size"),
-        (c("l_quantity").cast("bigint") * c("sign")).alias("qty"),
-        (F.when(c("late"), F.round(c("total") + c("disc"), 2)).otherwise(F.round(c("total"), 2)) * c("sign"))
-        .cast("double").alias("net_total"),
-        F.round(c("disc"), 2).cast("double").alias("discount"),
-        F.when(c("late"), F.round(c("cost").cast(MONEY) * c("l_quantity").cast(QTY), 2))
-        .otherwise(F.round(c("ext") * F.lit(COST_RATE).cast(RATE), 2)).cast("double").alias("cost"),
+        c("l_quantity").cast("bigint").alias("qty"),
+        # whole amounts, and the sign of the direction on the gross of branch a only
+        F.round(F.when(c("late"), c("total") + c("disc")).otherwise(c("total")), 0).cast("bigint").alias("net_total"),
+        F.round(c("disc"), 0).cast("bigint").alias("discount"),
+        F.when(c("late"), F.round(c("cost").cast(MONEY), 0))
+        .otherwise(F.round(c("ext") * F.lit(COST_RATE).cast(RATE), 0)).cast("bigint").alias("cost"),
         (F.when(br == "a", c("gross") * c("sign")).otherwise(c("gross"))).cast("bigint").alias("gross_total"),
-        F.when(c("lk_key").isNotNull(), F.concat(F.lit("NF"), c("l_orderkey").cast("string"))).alias("invoice_no"),
-        F.concat_ws("-", c("company"), c("l_orderkey").cast("string"), op_date.cast("string"))
-        .alias("sale_id"),
-        F.concat(F.lit("P"), c("l_orderkey").cast("string")).alias("order_id"),
-        F.when(br == "e", F.concat(F.lit("W"), c("l_orderkey").cast("string"))).alias("web_id"),
+        invoice.alias("invoice_no"),
+        # ids of the sale (customer and date) and of the order (customer and invoice, '' where it has none)
+        concat_blank(account, F.lit("-"), op_date).alias("sale_id"),
+        concat_blank(account, F.lit("-"), invoice).alias("order_id"),
+        F.when(c("lk_key").isNotNull(), F.concat(F.lit("W"), c("lk_key").cast("string"))).alias("web_id"),
         c("lk_event").alias("event"),
     )
     return out.orderBy(F.col("sale_date").desc()) if sort else out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clean_text, collapse_ws, concat_blank, split_part, title_case, two_decimals
+from ..functions import clean_text, collapse_ws, concat_blank, split_part, title_case, two_decimals, zero_pad
 from ..sources import read_table
 from . import bindings as B
 
@@ -65,7 +65,7 @@ def scalar_casts(spark: SparkSession, d: str, as_of: str = "2001-01-01") -> Data
         .otherwise("customer").alias("party"),
         F.when(F.col("o_orderstatus") == "F", price).otherwise(-price).alias("signed"),
         price.cast("decimal(15,2)").cast("decimal(10,0)").cast("bigint").alias("price_dec0"),
-        F.lpad(k.cast("string"), 8, "0").alias("char8"),
+        zero_pad(k, 8).alias("char8"),
         F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("date_text"),
         (F.to_date("o_orderdate") < F.lit(as_of).cast("date")).alias("before_as_of"),
         F.round(price.cast("decimal(15,2)") * F.lit(0.9).cast("decimal(15,2)"), 2).cast("double").alias("discounted"),

@@ -17,14 +17,17 @@ def erp_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def store_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Store texts (binding): the same texts with every blank doubled,
-    which must not count as a change, and a word added where key % 7 = 0,
-    which must."""
+    """Store texts (binding): the same texts with every blank doubled and
+    line break and tab around, which must not count as a change; a word
+    added where key % 7 = 0, another title where key % 11 = 0 and no
+    composition where key % 13 = 0, which must."""
     doc = read_table(spark, d, "documents")
     desc = (F.when(F.col("doc_id") % 7 == 0, F.concat(F.col("text"), F.lit(" extra")))
-            .otherwise(F.replace(F.col("text"), F.lit(" "), F.lit("  "))))
-    return doc.select(F.col("doc_id").alias("sku"), F.col("source").alias("title"), desc.alias("description"),
-                      F.col("lang").alias("composition"))
+            .otherwise(F.concat(F.lit("\n"), F.replace(F.col("text"), F.lit(" "), F.lit("  ")), F.lit("\t"))))
+    key = F.col("doc_id")
+    title = F.when(key % 11 == 0, F.concat(F.col("source"), F.lit(" old"))).otherwise(F.col("source"))
+    return doc.select(key.alias("sku"), title.alias("title"), desc.alias("description"),
+                      F.when(key % 13 != 0, F.col("lang")).alias("composition"))
 
 
 def _norm(x):

@@ -23,6 +23,8 @@ from .streaming import stream_cycle as _stream_cycle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Page size of the registered page query, below the number of its rows.
+PAGE_SIZE = 10
 
 
 def register(name: str):
@@ -70,9 +72,11 @@ register("flag_in_stock")(lambda s, d: FL.flag_in_stock(_V(s, d), FL.flag_ordera
 register("ready_list")(lambda s, d: FL.ready_list(S.stock_by_site(s, d), _V(s, d)))
 
 # ------------------------------------------------------------------ nested ----
-for _n in ["jsonl_levels", "jsonl_variants", "jsonl_texts", "jsonl_metafields", "json_pages", "page_limit",
+for _n in ["jsonl_levels", "jsonl_variants", "jsonl_texts", "jsonl_metafields", "json_pages",
            "lookup_items", "lookup_sizes"]:
     register(_n)(getattr(N, _n))
+register("lookup_sizes_unseen")(lambda s, d: N.lookup_sizes(s, d, ledger=N.lookup_ledger(s, d)))
+register("page_limit")(lambda s, d: N.page_limit(s, d, first=PAGE_SIZE))
 register("product_taxonomy")(N.product_taxonomy)
 register("ffill_by_key")(lambda s, d: N.ffill_events(s, d))
 

@@ -66,8 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there (or on the SparkContext) and we
-    only read it. Only when it is unset (local tests) do we create a
-    scratch folder and register it.
+    only read it. Only when it is unset on a local session (tests) do
+    we create a scratch folder and register it; on a cluster that is an
+    error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -76,6 +77,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - remote session or older API
             path = None
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("name a shared folder in spark.checkpoint.dir; only a local session makes its own")
         path = tempfile.mkdtemp(prefix="stockline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", path)

@@ -10,8 +10,9 @@ killed job is ignored and simply rewritten by the retry.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -21,28 +22,40 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _order(tag: str):
+    """Snapshot ids in their order: numbers by value, before other names."""
+    return (0, int(tag), "") if tag.isdigit() else (1, 0, tag)
+
+
 class SnapshotStore:
-    """Versioned Parquet snapshots under ``root``: ``root/v=00000001`` …"""
+    """Versioned Parquet snapshots under ``root``: ``root/v=00000001`` …, or
+    ``root/v=00000001-<tag>`` for one that a snapshot with an id produced:
+    the id is committed with the data, by the same ``_SUCCESS``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def versions(self) -> list[int]:
+    def _committed(self) -> dict[int, str]:
         fs, p = _fs(self.spark, self.root)
         if not fs.exists(p):
-            return []
-        out = []
+            return {}
+        out = {}
         for st in fs.listStatus(p):
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v="):
                 ok = self.spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
                 if fs.exists(ok):
-                    out.append(int(name[2:]))
-        return sorted(out)
+                    out[int(name[2:].partition("-")[0])] = name
+        return out
+
+    def versions(self) -> list[int]:
+        return sorted(self._committed())
 
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
+    def path(self, version: int, tag: str | None = None) -> str:
+        """Folder of a committed version, or the one to write it to."""
+        name = self._committed().get(version) or f"v={version:08d}" + (f"-{tag}" if tag is not None else "")
+        return f"{self.root}/{name}"
 
     def latest(self) -> int | None:
         v = self.versions()
@@ -58,33 +71,29 @@ class SnapshotStore:
 
     def commit(self, df: DataFrame, tag: str | None = None, version: int | None = None) -> int:
         """Write ``df`` as version ``version`` (default: the next one) and
-        return its number. ``tag`` (e.g. the snapshot id that produced it)
-        is recorded as an empty marker file inside the committed folder."""
+        return its number. ``tag`` is the id of the snapshot behind it."""
         nxt = (self.latest() or 0) + 1 if version is None else version
-        df.write.mode("overwrite").parquet(self.path(nxt))
-        if tag is not None:
-            fs, p = _fs(self.spark, f"{self.path(nxt)}/_tag_{tag}")
-            fs.create(p, True).close()
+        df.write.mode("overwrite").parquet(self.path(nxt, tag))
         return nxt
 
     def latest_tag(self) -> str | None:
-        """The tag of the latest committed version, if any."""
-        v = self.latest()
-        if v is None:
-            return None
-        fs, p = _fs(self.spark, self.path(v))
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("_tag_"):
-                return name[len("_tag_"):]
-        return None
+        """The highest snapshot id committed so far, if any."""
+        tags = [t for t in (name.partition("-")[2] for name in self._committed().values()) if t]
+        return max(tags, key=_order, default=None)
+
+    def applied(self, tag: str) -> bool:
+        """Whether a snapshot id is at or below the last committed one."""
+        last = self.latest_tag()
+        return last is not None and _order(tag) <= _order(last)
 
 
-def append_ledger(df: DataFrame, path: str) -> None:
-    """Append processed keys to a ledger (S10); readers take the union."""
-    df.write.mode("append").parquet(path)
+def append_ledger(df: DataFrame, path: str, run_ts: str) -> None:
+    """Add a run's processed keys to a ledger (S10) as the partition of that
+    run, which a retry overwrites; readers take the union."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_ts={quote(run_ts, safe="")}")
 
 
 def write_audit(df: DataFrame, path: str, run_ts: str) -> None:
-    """Run-stamped audit log partitioned by ``run_ts``."""
-    df.withColumn("run_ts", F.lit(run_ts)).write.mode("append").partitionBy("run_ts").parquet(path)
+    """Run-stamped audit log (S7): one partition a run, overwritten by a
+    retry."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_ts={quote(run_ts, safe="")}")

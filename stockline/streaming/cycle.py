@@ -1,13 +1,14 @@
 """The reference runs on a schedule and diffs each new export against a
 base file. As a stream: snapshots land in a folder as Parquet with a
-``snapshot_id`` column; each micro-batch applies the key cycle (C3) once
-per snapshot it contains, in id order, against the committed base:
-changes are appended to the outbox, then the next base version is
-committed. A snapshot may span many files; nothing limits files per
-trigger, so files listed together are one batch. ``trigger(availableNow=
-True)`` processes what has landed and stops, so a scheduler can run it
-like the batch job; the streaming checkpoint (under the shared checkpoint
-folder) makes a restarted run skip snapshots already processed.
+``snapshot_id`` column and, as their mark of completeness, the number of
+rows of the whole snapshot in ``snapshot_rows``. A micro-batch stages the
+rows it has of each snapshot; a snapshot is applied once all its rows are
+staged, however many triggers they took, in id order and against the
+committed base: changes are written to the outbox, then the next base
+version is committed together with the id. Ids at or below the last
+committed one are skipped, so a replay changes nothing.
+``trigger(availableNow=True)`` processes what has landed and stops, so a
+scheduler can run it like the batch job.
 """
 
 from __future__ import annotations
@@ -23,43 +24,53 @@ from ..plans.cycles import SNAPSHOT_KEYS, run_cycle, snapshots
 from ..session import ensure_checkpoint_dir
 from ..sources import SnapshotStore
 
+MARKS = ["snapshot_id", "snapshot_rows"]
+
 
 def start_stream_cycle(spark: SparkSession, snapshot_dir: str, schema: StructType, state_dir: str,
                        outbox_path: str, keys=SNAPSHOT_KEYS, name: str = "stream_cycle") -> StreamingQuery:
-    """Start the cycle over ``snapshot_dir``; ``schema`` includes
-    ``snapshot_id``."""
+    """Start the cycle over ``snapshot_dir``; ``schema`` includes the columns
+    of ``MARKS``."""
     ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     store = SnapshotStore(spark, state_dir)
+    staging = f"{state_dir.rstrip('/')}-staging"
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            # the ids of the snapshots in this batch: a handful of values
-            ids = sorted(r[0] for r in batch.select("snapshot_id").distinct().collect())
-            for sid in ids:
-                run_cycle(store, batch.filter(F.col("snapshot_id") == sid).drop("snapshot_id"), outbox_path, keys,
-                          tag=str(sid))
-        finally:
-            batch.unpersist()
+        # one folder per trigger, overwritten when the trigger is repeated
+        batch.write.mode("overwrite").parquet(f"{staging}/epoch={epoch_id}")
+        last = store.latest_tag()
+        staged = spark.read.schema(schema).parquet(staging)
+        if last is not None and last.isdigit():
+            staged = staged.filter(F.col("snapshot_id") > int(last))
+        # one row per open snapshot: a few numbers
+        ready = (staged.groupBy("snapshot_id").agg(F.count("*").alias("n"), F.max("snapshot_rows").alias("rows"))
+                 .orderBy("snapshot_id").toLocalIterator())
+        for r in ready:
+            if r["n"] < r["rows"]:
+                break  # later snapshots wait for this one
+            run_cycle(store, staged.filter(F.col("snapshot_id") == r["snapshot_id"]).drop(*MARKS, "epoch"), outbox_path,
+                      keys, tag=str(r["snapshot_id"]))
 
     src = spark.readStream.schema(schema).parquet(snapshot_dir)
     return (src.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
-def stream_cycle(spark: SparkSession, d: str, timeout_s: int = 600) -> DataFrame:
+def with_marks(snapshot: DataFrame, snapshot_id: int) -> DataFrame:
+    """The snapshot with its id and its number of rows."""
+    return snapshot.withColumn("snapshot_id", F.lit(snapshot_id)).withColumn("snapshot_rows", F.lit(snapshot.count()))
+
+
+def stream_cycle(spark: SparkSession, d: str) -> DataFrame:
     """Registered form (§2.12): land the base and today's snapshots of the
-    binding (``orders``), run the stream over them and return the
-    committed base — equal to ``cycle_next_base``."""
+    binding (``orders``), run the stream over them to its end and return
+    the committed base — equal to ``cycle_next_base``."""
     today, base = snapshots(spark, d)
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-cycle/{uuid.uuid4().hex}"
-    base.withColumn("snapshot_id", F.lit(1)).write.parquet(f"{root}/snapshots/1")
-    today.withColumn("snapshot_id", F.lit(2)).write.parquet(f"{root}/snapshots/2")
+    with_marks(base, 1).write.parquet(f"{root}/snapshots/1")
+    with_marks(today, 2).write.parquet(f"{root}/snapshots/2")
     schema = spark.read.parquet(f"{root}/snapshots/1").schema
     q = start_stream_cycle(spark, f"{root}/snapshots/*", schema, f"{root}/state", f"{root}/outbox",
                            name=f"stream-cycle-{uuid.uuid4().hex}")
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream_cycle did not finish")
+    q.awaitTermination()
     return SnapshotStore(spark, f"{root}/state").read()

@@ -43,17 +43,16 @@ def test_stream_cycle(spark):
     from stockline.streaming import start_stream_cycle
     root = _root(spark)
     snaps = f"{root}/snapshots"
-    schema = "order_key long, status string, snapshot_id int"
+    schema = "order_key long, status string, snapshot_id int, snapshot_rows long"
     # snapshot 1 spans two files; both must be applied as one snapshot
-    spark.createDataFrame([(1, "a", 1), (2, "b", 1), (5, "e", 1)], schema).repartition(2).write.parquet(f"{snaps}/d1")
-    spark.createDataFrame([(2, "b", 2), (3, "c", 2)], schema).coalesce(1).write.parquet(f"{snaps}/d2")
+    spark.createDataFrame([(1, "a", 1, 3), (2, "b", 1, 3), (5, "e", 1, 3)], schema).repartition(2).write.parquet(f"{snaps}/d1")
+    spark.createDataFrame([(2, "new", 2, 2), (3, "c", 2, 2)], schema).coalesce(1).write.parquet(f"{snaps}/d2")
     st = spark.read.parquet(f"{snaps}/d1").schema
     q = start_stream_cycle(spark, f"{snaps}/*", st, f"{root}/state", f"{root}/outbox", name=uuid.uuid4().hex)
-    q.awaitTermination(120)
-    q.stop()
+    q.awaitTermination()
     store = SnapshotStore(spark, f"{root}/state")
-    assert store.latest() == 2
-    assert sorted(r.order_key for r in store.read().collect()) == [2, 3]
+    assert store.latest() == 2 and store.latest_tag() == "2"
+    assert sorted((r.order_key, r.status) for r in store.read().collect()) == [(2, "b"), (3, "c")]  # a kept key keeps its row
     out = spark.read.parquet(f"{root}/outbox")
     assert out.filter(F.col("change") == "enter").count() == 4 and out.filter(F.col("change") == "leave").count() == 2
 
@@ -66,8 +65,11 @@ def test_audit_and_ledger_append(spark):
     write_audit(df.limit(1), f"{root}/audit", "2024-01-02T00:00:00")
     a = spark.read.parquet(f"{root}/audit")
     assert a.count() == 3 and a.select("run_ts").distinct().count() == 2
-    append_ledger(df.select("sku"), f"{root}/ledger")
-    append_ledger(spark.createDataFrame([("c",)], "sku string"), f"{root}/ledger")
+    for _ in range(2):  # a retry of the same run adds nothing
+        write_audit(df.limit(1), f"{root}/audit", "2024-01-02T00:00:00")
+        append_ledger(df.select("sku"), f"{root}/ledger", "2024-01-01")
+        append_ledger(spark.createDataFrame([("c",)], "sku string"), f"{root}/ledger", "2024-01-02")
+    assert spark.read.parquet(f"{root}/audit").count() == 3
     assert sorted(r.sku for r in spark.read.parquet(f"{root}/ledger").collect()) == ["a", "b", "c"]
 
 
@@ -89,6 +91,8 @@ def test_cycle_retry_is_idempotent(spark):
     # a replayed snapshot is skipped: no new version, no new changes
     assert run_cycle(store, day2, out, tag="2") == 2
     assert spark.read.parquet(out).count() == n
+    assert run_cycle(store, day1, out, tag="1") == 2  # and so is an earlier one
+    assert spark.read.parquet(out).count() == n and store.latest() == 2
     # a run that wrote its outbox but failed before committing, then retried,
     # overwrites the same outbox partition instead of appending twice
     from stockline.plans.cycles import cycle_diff
@@ -110,3 +114,44 @@ def test_daily_run_writes_outbox_idempotently(spark, sf001):
     assert ob.filter("feed = 'stock'").count() == QUERIES["feed_stock"](spark, sf001).count()
     assert ob.filter("feed = 'price'").count() == QUERIES["feed_price"](spark, sf001).count()
     assert ob.select("run_ts").distinct().count() == 1
+
+
+def test_stream_waits_for_the_whole_snapshot(spark):
+    """A snapshot whose files reach two triggers is applied once, whole."""
+    from stockline.streaming import start_stream_cycle
+    root = _root(spark)
+    snaps = f"{root}/snapshots"
+    schema = "order_key long, status string, snapshot_id int, snapshot_rows long"
+    store = SnapshotStore(spark, f"{root}/state")
+
+    def land(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{snaps}/{name}")
+        st = spark.read.parquet(f"{snaps}/{name}").schema
+        start_stream_cycle(spark, f"{snaps}/*", st, f"{root}/state", f"{root}/outbox", name=f"whole-{root[-12:]}").awaitTermination()
+
+    land("a", [(1, "a", 1, 2)])
+    assert store.latest() is None
+    land("b", [(2, "b", 1, 2), (7, "z", 2, 1)])
+    assert sorted(r.order_key for r in store.read().collect()) == [7]
+    out = spark.read.parquet(f"{root}/outbox")
+    assert sorted((r.order_key, r.change) for r in out.collect()) == [(1, "enter"), (1, "leave"), (2, "enter"), (2, "leave"), (7, "enter")]
+
+
+def test_cluster_session_must_name_its_folder():
+    import pytest
+
+    from stockline.session import ensure_checkpoint_dir as ensure
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure(Session())

@@ -154,3 +154,11 @@ def test_s5_csv_with_bom_round_trip(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("price", T.DoubleType())])
     back = sorted((r.id, r.price) for r in read_delimited(spark, out, schema).collect())
     assert back == [("a", 1.5), ("b;c", None)]
+
+
+def test_whitespace_and_padding(spark):
+    """Collapse, then strip every kind of whitespace; padding never cuts."""
+    from stockline.functions import zero_pad
+    assert one(spark, collapse_ws, "\n a \t b\n") == "a b"
+    assert one(spark, clean_text, "\n\tok\t\n") == "ok" and one(spark, clean_text, "\nnan\n") == ""
+    assert one(spark, lambda c: zero_pad(c, 6), "1000001") == "1000001" and one(spark, lambda c: zero_pad(c, 6), "42") == "000042"
