@@ -84,6 +84,12 @@ def _physical(levels: DataFrame, marker: str) -> DataFrame:
     return levels.filter(~F.col("location_name").contains(marker))
 
 
+def _to_zero(levels: DataFrame, cols: list[str]) -> DataFrame:
+    """Changes that take levels to 0; levels at 0 need none."""
+    return levels.filter(F.col("qty") != 0).select(*cols, F.col("qty").alias("store_qty"),
+                                                   F.lit(0).cast("bigint").alias("erp_qty"), (-F.col("qty")).alias("delta"))
+
+
 def physical_changes(levels: DataFrame, erp: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
     """Deltas and zero-outs of physical locations from ONE left join of the
     store levels to ERP stock on (sku, location): matched rows carry
@@ -108,10 +114,12 @@ def stock_delta(levels: DataFrame, erp: DataFrame, marker: str = B.ORDERABLE_MAR
 
 
 def stock_zero_out(levels: DataFrame, erp: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
-    """Store levels with no ERP row go to 0 (R2, J13: the unmatched side of
-    the left join, i.e. the anti join)."""
-    return (physical_changes(levels, erp, marker).filter(~F.col("matched"))
-            .drop("matched", "warehouse_name"))
+    """Store levels with no ERP row go to 0 (R2, J13): an anti join on the
+    distinct ERP keys. The change set shares one left join instead."""
+    lv = _physical(levels, marker).filter(F.col("variant_sku").isNotNull())
+    keys = erp.select(F.col("ref").alias("variant_sku"), F.col("warehouse_id").alias("location_id")).distinct()
+    return _to_zero(lv.join(keys, ["variant_sku", "location_id"], "left_anti"),
+                    ["variant_sku", "inventory_item_id", "location_id", "location_name"])
 
 
 def orderable_sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -169,8 +177,10 @@ def orderable_delta(levels: DataFrame, orderables: DataFrame, marker: str = B.OR
 
 
 def orderable_zero_out(levels: DataFrame, orderables: DataFrame, marker: str = B.ORDERABLE_MARKER) -> DataFrame:
-    """Made-to-order levels with no ERP row go to 0."""
-    return orderable_changes(levels, orderables, marker).filter(~F.col("matched")).drop("matched")
+    """Made-to-order levels with no ERP row go to 0 (R4), as an anti join."""
+    keys = ["variant_sku", "location_id", "metal"]
+    rest = _orderable_store(levels, marker).join(_orderable_erp(orderables).select(*keys), keys, "left_anti")
+    return _to_zero(rest, ["variant_sku", "inventory_item_id", "location_id", "location_name", "metal"])
 
 
 def stock_change_set(levels: DataFrame, erp: DataFrame, orderables: DataFrame,

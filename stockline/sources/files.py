@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ";") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ";",
+                   multi_line: bool = False) -> DataFrame:
     """';'-separated text with a header row. The schema is declared (no
-    inference pass over the data); ``multiLine`` keeps quoted line breaks
-    inside one record; a UTF-8 BOM is stripped by the reader. Columns are
+    inference pass over the data). ``multi_line`` keeps quoted line breaks
+    inside one record, at the price of one task per file; without it a
+    file is split over many tasks. A UTF-8 BOM is stripped by the reader. Columns are
     named by position from the schema, so a duplicated header such as
     ``title`` twice does not matter (T16)."""
     return (spark.read.schema(schema).option("sep", sep).option("header", True)
-            .option("multiLine", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
             .option("enforceSchema", True).csv(path))
 
 

@@ -22,19 +22,14 @@ def read_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     return hit[1]
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str | None = None,
-              lower: int | None = None, upper: int | None = None, num_partitions: int = 64,
-              properties: dict | None = None) -> DataFrame:
-    """An ERP extract over JDBC (S1). With a numeric ``partition_column``
-    the read is split into ``num_partitions`` range queries so executors
-    pull in parallel instead of one connection reading everything."""
+def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str, lower: int, upper: int,
+              num_partitions: int = 64, properties: dict | None = None) -> DataFrame:
+    """An ERP extract over JDBC (S1): ``num_partitions`` range queries on the
+    numeric ``partition_column``, so that executors pull in parallel and no
+    task reads a whole extract. ``lower`` and ``upper`` only set the stride;
+    rows outside them are read too."""
     r = spark.read.format("jdbc").option("url", url)
     for k, v in (properties or {}).items():
         r = r.option(k, v)
-    if partition_column is not None:
-        r = (r.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
-             .option("lowerBound", lower).option("upperBound", upper)
-             .option("numPartitions", num_partitions))
-    else:
-        r = r.option("query", query)
-    return r.load()
+    return (r.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
+            .option("lowerBound", lower).option("upperBound", upper).option("numPartitions", num_partitions).load())

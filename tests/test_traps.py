@@ -86,7 +86,7 @@ def test_t16_csv_multiline_bom_duplicate_header(spark, tmp_path):
     p.write_bytes("﻿id;title;title\n1;\"a\nb\";x\n2;c;y\n".encode("utf-8"))
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("title", T.StringType()),
                            T.StructField("title_1", T.StringType())])
-    rows = read_delimited(spark, str(p), schema).orderBy("id").collect()
+    rows = read_delimited(spark, str(p), schema, multi_line=True).orderBy("id").collect()
     assert len(rows) == 2 and rows[0]["title"] == "a\nb" and rows[0]["id"] == "1" and rows[1]["title_1"] == "y"
 
 
