@@ -45,10 +45,10 @@ STEM_LETTERS = 4
 PACK = 1 << 13
 WORD_PRIOR = 8.0
 STEM_PRIOR = 20.0
-DRIFT = 2.5
+DRIFT = 2.0
 #: Segments of a document that are counted together at most (their best number is taken).
 MOST_SEGMENTS = 5
-HIGHEST, LOWEST = 8.0, -3.5
+HIGHEST, LOWEST = 8.0, -3.0
 BIN = 0.25
 BINS = 400
 
