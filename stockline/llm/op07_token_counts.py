@@ -26,6 +26,7 @@ import functools
 import json
 import os
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,16 +49,40 @@ ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 
 
 @functools.cache
-def _classes() -> np.ndarray:
-    """Class of each code point in the pattern's terms."""
+def _class_ranges(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """First code point and class of each range of equal class, asked of the
+    library itself (its tables may be of another Unicode version): a character
+    that joins a letter, a number or a sign before it is of that class. Only
+    characters that could be a letter, number or space by the newest table
+    are asked."""
+    pre, out = _tokenizer(path).pre_tokenizer, np.full(0x110000, OTHER, np.uint8)
     every = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
-    out = np.full(0x110000, OTHER, np.uint8)
-    for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
-        for m in regex.finditer(pattern, every):
-            out[ord(m[0][0]):ord(m[0][-1]) + 1] = kind if ord(m[0][-1]) - ord(m[0][0]) + 1 == len(m[0]) else OTHER
-            if ord(m[0][-1]) - ord(m[0][0]) + 1 != len(m[0]):  # the run spans the surrogates
-                out[[ord(c) for c in m[0]]] = kind
-    return out
+    chars = np.array([ord(c) for c in regex.findall(r"[\p{L}\p{N}\s\p{Z}\p{Cc}\p{M}]", every)])
+    for part in np.array_split(chars, 64):
+        text = "".join(f"a{c}1{c}!{c} " for c in map(chr, part))
+        starts = np.zeros(len(text) + 1, bool)
+        starts[[a for _, (a, _) in pre.pre_tokenize_str(text)]] = True
+        joins = ~starts[:-1].reshape(-1, 7)[:, [1, 3, 5]]
+        out[part] = np.where(joins[:, 0], LETTER, np.where(joins[:, 1], NUMBER, np.where(joins[:, 2], OTHER, SPACE)))
+    first = np.flatnonzero(np.concatenate([[True], out[1:] != out[:-1]]))
+    return first, out[first]
+
+
+@dataclass(frozen=True, eq=False)
+class Rules:
+    """What splits texts into pre-tokens: special tokens and character
+    classes (as ranges, a few kilobytes for every task)."""
+    special: tuple[str, ...]
+    first: np.ndarray
+    kind: np.ndarray
+
+    @functools.cached_property
+    def classes(self) -> np.ndarray:
+        return np.repeat(self.kind, np.diff(np.append(self.first, 0x110000)))
+
+
+def rules(path: str) -> Rules:
+    return Rules(_special_tokens(path), *_class_ranges(path))
 
 
 @functools.cache
@@ -77,10 +102,10 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _borders(cps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _borders(cps: np.ndarray, starts: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Where tokens start, for texts laid end to end (``starts``: of each
     text, without the end; no text is empty)."""
-    kind = _classes()[cps]
+    kind = classes[cps]
     n = len(cps)
     text_start = np.zeros(n + 1, bool)
     text_start[starts] = text_start[n] = True
@@ -105,9 +130,9 @@ def _borders(cps: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out[:n]
 
 
-def pre_tokens(texts: list[str], special: tuple[str, ...]) -> tuple[pa.StringArray, np.ndarray]:
+def pre_tokens(texts: list[str], rule: Rules) -> tuple[pa.StringArray, np.ndarray]:
     """All pre-tokens of the texts and the text each belongs to."""
-    owner, segments = [], []
+    owner, segments, special = [], [], rule.special
     pattern = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
     whole = []
     for i, t in enumerate(texts):
@@ -123,7 +148,7 @@ def pre_tokens(texts: list[str], special: tuple[str, ...]) -> tuple[pa.StringArr
     cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.array([len(s) for s in segments])
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    at = _borders(cps, starts)
+    at = _borders(cps, starts, rule.classes)
     for k in np.flatnonzero(whole):  # a special token is one token
         at[starts[k] + 1:starts[k] + lengths[k]] = False
     first = np.flatnonzero(at)
@@ -134,7 +159,7 @@ def pre_tokens(texts: list[str], special: tuple[str, ...]) -> tuple[pa.StringArr
     return tokens, np.array(owner)[np.searchsorted(starts, first, side="right") - 1]
 
 
-def _count_batches(batches, special):
+def _count_batches(batches, rule):
     held: dict[str, int] = {}
 
     def packed():
@@ -142,7 +167,7 @@ def _count_batches(batches, special):
                                           ["token", "n"])
 
     for batch in text_slices(batches):
-        tokens, _ = pre_tokens(texts_of(batch), special)
+        tokens, _ = pre_tokens(texts_of(batch), rule)
         counts = tokens.value_counts()
         for token, n in zip(counts.field(0).to_pylist(), counts.field(1).to_pylist()):
             held[token] = held.get(token, 0) + n
@@ -165,20 +190,20 @@ def _piece_batches(batches, path):
 
 def distinct_pre_tokens(docs: DataFrame, path: str) -> DataFrame:
     """token, n (times in all texts), pieces: one row per distinct pre-token."""
-    special = _special_tokens(path)
-    counted = (docs.select("text").mapInArrow(lambda it: _count_batches(it, special), "token string, n long")
+    rule = rules(path)
+    counted = (docs.select("text").mapInArrow(lambda it: _count_batches(it, rule), "token string, n long")
                .groupBy("token").agg(F.sum("n").alias("n")))
     return counted.mapInArrow(lambda it: _piece_batches(it, path), "token string, n long, pieces int")
 
 
-def _frequency_batches(batches, special, head: pa.Table):
+def _frequency_batches(batches, rule, head: pa.Table):
     """For each row the tokens of the head summed, and its other tokens with
     their number. The first row of a text carries the sum; a text without
     other tokens has one row under a key of its own."""
     frequent = head.column("token").combine_chunks()
     head_pieces = head.column("pieces").to_numpy()
     for batch in text_slices(batches):
-        tokens, owner = pre_tokens(texts_of(batch), special)
+        tokens, owner = pre_tokens(texts_of(batch), rule)
         rows = batch.num_rows
         coded = tokens.dictionary_encode()
         codes, values = coded.indices.to_numpy(), coded.dictionary
@@ -206,7 +231,7 @@ def _frequency_batches(batches, special, head: pa.Table):
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, head: int = HEAD) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs``."""
-    spark, special = docs.sparkSession, _special_tokens(path)
+    spark, rule = docs.sparkSession, rules(path)
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
     distinct_pre_tokens(docs, path).write.parquet(folder)
     pieces = spark.read.schema("token string, n long, pieces int").parquet(folder)
@@ -225,7 +250,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, head: int = HEAD)
                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     frequencies = rows.mapInArrow(
-        lambda it: _frequency_batches(it, special, top),
+        lambda it: _frequency_batches(it, rule, top),
         f"doc_id {kind}, text_hash long, n_bytes long, token string, n int, base long, copies int")
     summed = (frequencies.join(rest, "token", "left").groupBy("doc_id", "text_hash", "n_bytes")
               .agg(F.sum(F.col("base") + F.col("n") * F.coalesce("pieces", F.lit(0))).alias("total"),

@@ -175,9 +175,10 @@ def _evidence(m: ToxicityModel) -> Column:
     """-ln of the Poisson probability of the best r segments (all r up to
     ``MOST_SEGMENTS``, the best of them): r segments of S or more are expected
     K n exp(-lambda S) times."""
-    cost = f"ln({m.k!r}D * greatest(n, 1))"
-    return F.expr(f"if(size(segments) = 0, -{cost}, array_max(transform(slice(sort_array(segments, false), 1, {MOST_SEGMENTS}), "
-                  f"(s, i) -> (i + 1) * ({m.lam!r}D * s - {cost}) + ln(factorial(i + 1)))))")
+    cost = f"ln(greatest(1D, {m.k!r}D * n))"  # at least one segment of no score is expected
+    return F.expr(f"if(size(segments) = 0, 0D, greatest(0D, array_max(transform("
+                  f"slice(sort_array(segments, false), 1, {MOST_SEGMENTS}), "
+                  f"(s, i) -> (i + 1) * ({m.lam!r}D * s - {cost}) + ln(factorial(i + 1))))))")
 
 
 def _solve_lambda(tally: np.ndarray) -> float:
