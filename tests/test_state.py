@@ -103,17 +103,35 @@ def test_cycle_retry_is_idempotent(spark):
     assert v3.count() == cycle_diff(day3, spark.read.parquet(store.path(2)), ["order_key"]).count()
 
 
-def test_daily_run_writes_outbox_idempotently(spark, sf001):
-    from stockline.jobs import daily_run
+def test_daily_run(spark, sf001):
+    """Retries add nothing; flags are sent only where they differ from the last run."""
+    from dataclasses import replace
+
+    from stockline.jobs import bound_extracts, daily_run
     from stockline.registry import QUERIES
     root = _root(spark)
-    paths = daily_run(spark, sf001, f"{root}/outbox", "2024-01-01T00")
+    x = bound_extracts(spark, sf001)
+
+    def run(extracts, run_ts):
+        return daily_run(spark, extracts, f"{root}/outbox", run_ts, f"{root}/state")
+
+    def flags(run_ts):
+        return spark.read.parquet(f"{root}/outbox/feed=flags/run_ts={run_ts}").count()
+
+    paths = run(x, "2024-01-01T00")
     assert [p.split("feed=")[1].split("/")[0] for p in paths] == ["activation", "stock", "price", "flags"]
-    daily_run(spark, sf001, f"{root}/outbox", "2024-01-01T00")  # retry of the same run
+    first = flags("2024-01-01T00")
+    run(x, "2024-01-01T00")  # retry of the same run
     ob = spark.read.parquet(f"{root}/outbox")
     assert ob.filter("feed = 'stock'").count() == QUERIES["feed_stock"](spark, sf001).count()
     assert ob.filter("feed = 'price'").count() == QUERIES["feed_price"](spark, sf001).count()
-    assert ob.select("run_ts").distinct().count() == 1
+    assert ob.select("run_ts").distinct().count() == 1 and flags("2024-01-01T00") == first > 0
+    run(x, "2024-01-02T00")  # nothing changed
+    assert flags("2024-01-02T00") == 0
+    one = F.col("item_key") == x.items.agg(F.min("item_key")).first()[0]
+    changed = x.items.withColumn("type", F.when(one, F.lit("NEW")).otherwise(F.col("type")))
+    run(replace(x, items=changed), "2024-01-03T00")
+    assert flags("2024-01-03T00") == 1
 
 
 def test_stream_waits_for_the_whole_snapshot(spark):
