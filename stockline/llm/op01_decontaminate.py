@@ -88,9 +88,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS,
                  similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, start_word, n_words, hamming, similarity: for each
     document and each benchmark item it contains, the best window."""
-    items = _items(benchmark)
+    items = cut(_items(benchmark))  # used five times below
     sizes = [r["k"] for r in items.select("k").distinct().collect()]  # at most SHINGLE values
-    anchors = items.select("n", "k", F.posexplode("s").alias("at", "shingle")).distinct()
+    anchors = cut(items.select("n", "k", F.posexplode("s").alias("at", "shingle")).distinct())
     named = docs.filter("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("w"))
     hits = None
     for k in sizes or [SHINGLE]:
@@ -112,7 +112,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS,
             f"slice(h, greatest(0, least(x.start, size(h) - (x.n - {k} + 1))) + 1, x.n - {k} + 1) as ws))").alias("x"))
         some = cutout.select("doc_id", F.explode_outer("x").alias("x")).select("doc_id", "x.n", "x.start", "x.ws")
         wins = some if wins is None else wins.unionByName(some)
-    wins = wins.distinct().withColumn("wf", simhash("ws"))
+    wins = cut(wins.distinct().withColumn("wf", simhash("ws")))
 
     allowed = radius // BLOCKS
     width = BITS // BLOCKS
