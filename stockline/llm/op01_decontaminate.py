@@ -51,9 +51,12 @@ BLOCKS = 8
 RADIUS = 23
 
 
-def _words(text: Column) -> Column:
-    t = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+def _with_words(df: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``w``, the words of the text. Two projections,
+    so that the cleaned text is computed once for both of its uses."""
+    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+    return df.select(*keep, clean.alias("_t")).select(
+        *keep, F.when(F.col("_t") == "", F.array().cast("array<string>")).otherwise(F.split("_t", " ")).alias("w"))
 
 
 def simhash(shingles: str) -> Column:
@@ -77,7 +80,7 @@ def _numbered(shingles: str) -> Column:
 
 def _items(benchmark: DataFrame) -> DataFrame:
     """Distinct items: text_id, n (words), k (shingle size), s (shingles), f."""
-    w = (benchmark.select(_words(F.col("text")).alias("w")).filter("size(w) > 0").distinct()
+    w = (_with_words(benchmark).filter("size(w) > 0").distinct()
          .withColumn("n", F.size("w")).withColumn("k", F.least(F.lit(SHINGLE), "n")))
     s = F.coalesce(*[F.when(F.col("k") == k, windows("w", k)) for k in range(1, SHINGLE + 1)])
     return (w.withColumn("s", s).withColumn("text_id", F.xxhash64("w")).withColumn("f", simhash("s"))
@@ -91,7 +94,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS,
     items = cut(_items(benchmark))  # used five times below
     sizes = [r["k"] for r in items.select("k").distinct().collect()]  # at most SHINGLE values
     anchors = cut(items.select("n", "k", F.posexplode("s").alias("at", "shingle")).distinct())
-    named = docs.filter("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("w"))
+    named = _with_words(docs.filter("doc_id IS NOT NULL"), "doc_id")
     hits = None
     for k in sizes or [SHINGLE]:
         # the exploded rows carry no array, and explode_outer keeps its input from being computed again in a filter
@@ -133,7 +136,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS,
     best = (sets.withColumn("similarity", alike).filter(F.col("similarity") >= similarity)
             .groupBy("doc_id", "text_id")
             .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n", "hamming")).alias("b")))
-    names = (benchmark.select("item_id", _words(F.col("text")).alias("w")).filter("size(w) > 0")
+    names = (_with_words(benchmark, "item_id").filter("size(w) > 0")
              .select("item_id", F.xxhash64("w").alias("text_id")).distinct())
     return (best.join(small(names), "text_id")
             .select("doc_id", "item_id", (-F.col("b.back")).alias("start_word"), F.col("b.n").alias("n_words"),
