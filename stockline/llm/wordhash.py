@@ -6,10 +6,10 @@ window of words, costs a subtraction and a multiplication."""
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
+#: Bytes hashed together.
+BYTES_AT_ONCE = 1 << 20
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, 9, 10, 11, 12, 13]] = True
@@ -23,23 +23,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64."""
-    inverse = pow(base, -1, 1 << 64)
+#: Powers kept by a Python worker for each base (32 MB with their inverses);
+#: longer inputs compute their own.
+KEPT_POWERS = 1 << 21
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64, for n values of i at least."""
+    kept = _POWERS.get(base)
+    if kept is not None and len(kept[0]) >= n:
+        return kept
+    size = 1 << max(16, int(n).bit_length())
     out = []
-    for b in (base, inverse):
+    for b in (base, pow(base, -1, 1 << 64)):
         p = np.full(size, b, np.uint64)
         p[0] = 1
         out.append(np.cumprod(p))
+    if size <= KEPT_POWERS:
+        _POWERS[base] = (out[0], out[1])
     return out[0], out[1]
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    return _powers(base, size) if size <= 1 << 24 else _powers.__wrapped__(base, size)
-
-
 def prefix_sums(values: np.ndarray, base: int) -> np.ndarray:
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values.astype(np.uint64) * powers(base, len(values))[0][:len(values)], out=out[1:])
@@ -57,20 +62,37 @@ class Words:
     def __init__(self, texts: list[str], lower: bool = False):
         encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
         joined = b"\n".join(encoded) + b"\n"
-        data = np.frombuffer(joined, np.uint8)
         self.raw = joined
-        inside = ~_SEPARATOR[data]
-        edge = np.diff(inside.astype(np.int8), prepend=0)
-        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        sums = prefix_sums(_LOWER[data] if lower else data, BYTE_BASE)
-        hashed = between(sums, self.start, self.end, BYTE_BASE)
-        self.hash = mix(hashed + (self.end - self.start).astype(np.uint64) * np.uint64(WORD_BASE))
+        data = np.frombuffer(joined, np.uint8)
+        found = [self._scan(data[a:b], a, lower) for a, b in self._cuts(data)]
+        self.start, self.end, self.hash = (np.concatenate(x) for x in zip(*found))
         text_start = np.cumsum([0] + [len(e) + 1 for e in encoded])
         self.first = np.searchsorted(self.start, text_start)  # first word of each text, and the total
         self.n = np.diff(self.first)
         self.text = np.repeat(np.arange(len(texts)), self.n)
         self.place = np.arange(len(self.start)) - np.repeat(self.first[:-1], self.n)  # of a word in its text
 
+    @staticmethod
+    def _cuts(data: np.ndarray):
+        """Ranges of about ``BYTES_AT_ONCE`` bytes that end after a separator."""
+        at = 0
+        while at < len(data):
+            end = min(at + BYTES_AT_ONCE, len(data))
+            while end < len(data) and not _SEPARATOR[data[end - 1]]:
+                after = np.flatnonzero(_SEPARATOR[data[end:end + BYTES_AT_ONCE]])
+                end = end + int(after[0]) + 1 if len(after) else min(end + BYTES_AT_ONCE, len(data))
+            yield at, end
+            at = end
+
+    @staticmethod
+    def _scan(data: np.ndarray, base: int, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        inside = ~_SEPARATOR[data]
+        edge = np.diff(inside.astype(np.int8), prepend=0)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = prefix_sums(_LOWER[data] if lower else data, BYTE_BASE)
+        hashed = between(sums, start, end, BYTE_BASE)
+        return start + base, end + base, mix(hashed + (end - start).astype(np.uint64) * np.uint64(WORD_BASE))
+
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First word (index) and hash of every run of ``k`` words of a text."""
         at = np.flatnonzero(self.place + k <= np.repeat(self.n, self.n))
