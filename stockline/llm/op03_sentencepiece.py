@@ -344,7 +344,7 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
 
     def run(batches):
         model = piece_model(path)
-        for batch in text_slices(batches, column, 8_000_000):
+        for batch in text_slices(batches, column, 4_000_000):
             kept = [n for n in batch.schema.names if n != ids]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), model.encode(batch.column(column))],
                                              [*kept, ids])
@@ -359,8 +359,8 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", column: str = "decoded"
     def run(batches):
         model = piece_model(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 kept = [n for n in part.schema.names if n != column]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), model.decode(part.column(ids))],
                                                  [*kept, column])
