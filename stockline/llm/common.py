@@ -3,6 +3,8 @@ numpy view of Arrow text batches used inside tasks."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]+"
 
 #: Characters handled together inside a task; a longer text is taken alone.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,32 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def release() -> None:
+    """Hand memory that is free inside this Python worker back to the system:
+    workers outlive their tasks and share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(function):
+    """A function of one Arrow table that releases memory when it is done."""
+    def run(group):
+        out = function(group)
+        release()
+        return out
+    return run
+
+
+def releasing_both(function):
+    """The same for a function of two co-grouped tables."""
+    def run(left, right):
+        out = function(left, right)
+        release()
+        return out
+    return run
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = CHARS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows whose texts hold at most ``limit``
@@ -61,6 +89,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             end = max(at + 1, int(np.searchsorted(total, base + limit, side="right")))
             yield batch.slice(at, end - at)
             at = end
+        release()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shuffle_partitions, text_slices, texts_of
+from .common import cut, releasing, shuffle_partitions, text_slices, texts_of
 from .graph import components
 from .wordhash import Words, between, mix, part_of, prefix_sums, runs, unpack, WORD_BASE
 
@@ -74,7 +74,7 @@ def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _pack_batches(batches, parts: int):
     seen: set[int] = set()
-    for batch in text_slices(batches, limit=4_000_000):
+    for batch in text_slices(batches, limit=2_000_000):
         keys = batch.column("k").to_numpy(zero_copy_only=False)
         new = []
         for i, k in enumerate(keys.tolist()):
@@ -321,8 +321,8 @@ def shared_shingles(texts: DataFrame) -> DataFrame:
     """k, n, alone, shingles for every distinct text (k, text)."""
     parts = shuffle_partitions(texts.sparkSession)
     packed = texts.mapInArrow(lambda it: _pack_batches(it, parts), PACKED)
-    counted = packed.groupBy("part").applyInArrow(lambda g: _count_part(g, parts), ANSWER)
-    return counted.groupBy("bucket").applyInArrow(_assemble, "k long, n long, alone long, shingles array<long>")
+    counted = packed.groupBy("part").applyInArrow(releasing(lambda g: _count_part(g, parts)), ANSWER)
+    return counted.groupBy("bucket").applyInArrow(releasing(lambda g: _assemble(g)), "k long, n long, alone long, shingles array<long>")
 
 
 def linked_texts(sets: DataFrame) -> DataFrame:
@@ -349,12 +349,12 @@ def linked_texts(sets: DataFrame) -> DataFrame:
     rows = sides.join(chunks, "chunk").join(possible, "k")
     return (rows.select(F.pmod("unit", F.lit(4 * shuffle_partitions(sets.sparkSession))).alias("g"), "unit", "side", "k", "n",
                         "alone", "shingles")
-            .groupBy("g").applyInArrow(_verify, "k long, root long, links long"))
+            .groupBy("g").applyInArrow(releasing(lambda g: _verify(g)), "k long, root long, links long"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (different texts linked with
-    the document's) for every row of ``docs``."""
+def _members(docs: DataFrame) -> DataFrame:
+    """doc_id, k (hash of the text), n, n_links and least (the least id of the
+    component, null without a shingle) for every row."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("k"))
     sets = cut(shared_shingles(docs.filter("text IS NOT NULL").select("text", F.xxhash64("text").alias("k"))))
     links = cut(linked_texts(sets))
@@ -364,7 +364,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .select("k", "n", F.coalesce("root", "k").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     members = keyed.join(texts, "k", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     least = members.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return members.join(least, "root", "left").select(
+    return members.join(least, "root", "left").select("doc_id", "k", "n", "n_links", F.when(F.col("n") > 0, F.col("least")).alias("least"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (different texts linked with
+    the document's) for every row of ``docs``."""
+    return _members(docs).select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
@@ -372,8 +378,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Pipeline stage: of each component the row with the least id stays (one
-    row of equal rows); rows without an id stay."""
-    lost = near_duplicates(docs).filter("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti").select(docs.columns)
-    named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(kept.filter("doc_id IS NULL"))
+    row of equal rows); rows without an id stay. Rows are told apart by id and
+    text, so an id that stands for two texts loses only the linked one."""
+    lost = _members(docs).filter("least < doc_id").select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct()
+    keyed = docs.select(*docs.columns, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_k"))
+    kept = keyed.join(lost, ["_id", "_k"], "left_anti")
+    named = kept.filter("_id IS NOT NULL").dropDuplicates(["_id", "_k"])
+    return named.unionByName(kept.filter("_id IS NULL")).select(docs.columns)

@@ -32,11 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import release, text_slices
 
 LONG = 48
-#: Distinct words whose ids a Python worker remembers (about 10 MB).
-KNOWN = 250_000
+#: Distinct words whose ids a Python worker remembers (about 8 MB).
+KNOWN = 200_000
 NO_PAIR = np.iinfo(np.int32).max
 MARK = "▁"
 UNITS = re.compile(" +[^ ]*")
@@ -344,7 +344,7 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
 
     def run(batches):
         model = piece_model(path)
-        for batch in text_slices(batches, column, 4_000_000):
+        for batch in text_slices(batches, column, 2_000_000):
             kept = [n for n in batch.schema.names if n != ids]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), model.encode(batch.column(column))],
                                              [*kept, ids])
@@ -364,5 +364,6 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", column: str = "decoded"
                 kept = [n for n in part.schema.names if n != column]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), model.decode(part.column(ids))],
                                                  [*kept, column])
+            release()
 
     return docs.mapInArrow(run, schema)

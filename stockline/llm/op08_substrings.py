@@ -35,14 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shuffle_partitions
+from .common import releasing, releasing_both, shuffle_partitions
 from .wordhash import WORD_BASE, Words, between, mix, part_of, prefix_sums, runs, unpack
 
 WINDOW = 50
 BLOCK = 25
-BUCKETS_PER_PARTITION = 2
-#: Words handled together in a bucket; a longer document is taken alone.
-WORDS_AT_ONCE = 1_500_000
+BUCKETS_PER_PARTITION = 3
 BUCKET = "_bucket"
 
 
@@ -233,13 +231,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     kinds = to_arrow_schema(schema)
     dealt = docs.withColumn(BUCKET, F.pmod(F.xxhash64("doc_id", "text"), F.lit(BUCKETS_PER_PARTITION * parts)).cast("int"))
-    probes = dealt.groupBy(BUCKET).applyInArrow(lambda g: _probe(g, parts), PACKED)
-    marks = probes.groupBy("part").applyInArrow(_match, MARKED)
+    probes = dealt.groupBy(BUCKET).applyInArrow(releasing(lambda g: _probe(g, parts)), PACKED)
+    marks = probes.groupBy("part").applyInArrow(releasing(lambda g: _match(g)), MARKED)
     windows = (dealt.groupBy(BUCKET).cogroup(marks.groupBy(BUCKET))
-               .applyInArrow(lambda g, m: _extend(g, m, parts), CANDIDATES))
-    earlier = windows.groupBy("part").applyInArrow(_earliest, EARLIER)
+               .applyInArrow(releasing_both(lambda g, m: _extend(g, m, parts)), CANDIDATES))
+    earlier = windows.groupBy("part").applyInArrow(releasing(lambda g: _earliest(g)), EARLIER)
     return (dealt.groupBy(BUCKET).cogroup(earlier.groupBy(BUCKET))
-            .applyInArrow(lambda g, e: _cut(g, e, names, kinds), schema))
+            .applyInArrow(releasing_both(lambda g, e: _cut(g, e, names, kinds)), schema))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ def ascii_lower(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
 
 
-def join_brute_force(rows):
+def join_rows(rows):
     sets = []
     for _, t in rows:
         w = WORD.findall(ascii_lower(t or ""))
@@ -35,8 +35,15 @@ def join_brute_force(rows):
     for a, (i, _) in enumerate(rows):
         if i is not None:
             least[find(a)] = min(least.get(find(a), i), i)
-    return sorted(((i, len(sets[a]), least.get(find(a)) if sets[a] else i, len(links[a]))
-                   for a, (i, _) in enumerate(rows)), key=str)
+    return [(i, len(sets[a]), least.get(find(a)) if sets[a] else i, len(links[a])) for a, (i, _) in enumerate(rows)]
+
+
+def join_components(rows):
+    return [c for _, _, c, _ in join_rows(rows)]
+
+
+def join_brute_force(rows):
+    return sorted(join_rows(rows), key=str)
 
 
 def test_join_against_brute_force(spark):
@@ -60,9 +67,10 @@ def test_join_stage_keeps_one_row_of_each_group(spark):
     docs = frame(spark, rows).withColumn("k", F.lit(1)).withColumn("n", F.lit("x"))
     kept = one_of_each(docs)
     assert kept.columns == docs.columns
-    expected = {i for i, _, c, _ in join_brute_force(rows) if c == i and i is not None}
-    ids = [r.doc_id for r in kept.collect()]
-    assert set(ids) - {None} == expected and len(ids) == len(set(ids))
+    component = dict(zip(rows, join_components(rows)))
+    expected = {row for row, c in component.items() if row[0] is None or c == row[0]}
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert set(got) == expected and len(got) == len(set(got))
 
 
 def test_empty_tables(spark):
