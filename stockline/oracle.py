@@ -601,7 +601,7 @@ SELECT code, title, collection_id, CAST(to_json(coalesce(string_split(st, ' E ')
   CAST(coalesce(len(string_split(st, ' E ')), 0) AS BIGINT) AS stone_count, metal_title, family, item_key
 FROM (SELECT i.*, {_T(x='i.description')} AS title, {_T(x='i.metal')} AS metal_title,
         CASE WHEN c.model IS NULL THEN NULL ELSE 'col-' || split_part(c.model, '#', 2) END AS collection_id,
-        CASE WHEN i.item_key % 3 = 0 THEN NULL WHEN i.item_key % 3 = 1 THEN 'ruby' WHEN i.item_key % 2 = 0 THEN 'ruby E pearl' ELSE 'ruby E pearl E onyx' END AS st
+        CASE WHEN i.item_key % 3 = 0 THEN NULL WHEN i.item_key % 3 = 1 THEN 'ruby' WHEN i.item_key % 20 < 10 THEN 'ruby E pearl' ELSE 'ruby E pearl E onyx' END AS st
       FROM items i LEFT JOIN (SELECT DISTINCT p_brand AS model FROM part) c ON i.model = c.model)""")
 q("intake_prepare", ["intake_prepare"], "SELECT * FROM intake_prepare")
 q("intake_new", ["intake_prepare", "channel_variants", "items"], f"""

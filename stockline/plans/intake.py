@@ -67,7 +67,7 @@ def intake_prepare(spark: SparkSession, d: str) -> DataFrame:
                                            F.concat(F.lit("col-"), F.split("model", "#").getItem(1)).alias("collection_id"))
     k = F.col("item_key")
     stones_txt = (F.when(k % 3 == 0, F.lit(None).cast("string")).when(k % 3 == 1, F.lit("ruby"))
-                  .when(k % 2 == 0, F.lit("ruby E pearl")).otherwise(F.lit("ruby E pearl E onyx")))
+                  .when(k % 20 < 10, F.lit("ruby E pearl")).otherwise(F.lit("ruby E pearl E onyx")))
     j = it.join(coll, it.model == coll.collection_title, "left")
     stones = F.split(stones_txt, " E ")
     return j.select("code", title_case(F.col("description")).alias("title"), "collection_id",
