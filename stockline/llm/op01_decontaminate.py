@@ -4,10 +4,11 @@ Texts are lower-cased and split into runs of letters and digits. A shingle is
 a run of five words (a shorter item is one shingle of its own length). For a
 benchmark item of L words the windows of a document are its runs of L words:
 
-1. Lossless narrowing: a window that shares no shingle with the benchmark has
-   similarity 0. Shingle hashes of all documents are joined to those of the
-   benchmark; a hit at word p of an item's shingle o puts the item-sized window
-   at p - o (clipped to the text).
+1. Lossless narrowing: two bags of m and v shingles with similarity 0.8 share
+   0.8 (m + v) / 1.8 or more. Shingle hashes of all documents are joined to
+   those of the benchmark; a slide over the sorted places found for one item
+   size gives every start whose window holds that many of them, wherever they
+   stand in the item. A text shorter than the item is one window.
 2. Each such window and each item gets a 64-bit SimHash over its shingles,
    each counted as often as it occurs.
 3. Multi-index search: the fingerprint is cut into ``BLOCKS`` blocks. Two
@@ -24,7 +25,7 @@ deviations above.
 Scale: the shingles of all documents are exploded in a generated
 loop and joined to the benchmark's without a shuffle while the benchmark has
 at most ``BROADCAST_ROWS`` shingles; beyond that the join is shuffled. The
-places found (a few numbers each) are kept by a checkpoint; the texts of the
+starts found (a few numbers each) are kept by a checkpoint; the texts of the
 documents that have one are read again to cut out the windows. Identical items
 are one item until the last join.
 
@@ -87,33 +88,46 @@ def _items(benchmark: DataFrame) -> DataFrame:
             .select("text_id", "n", "k", "s", "f"))
 
 
+def _starts(hits: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, len, k, n, v (shingles of a window) and starts: every start whose
+    window holds as many of the places p as the similarity needs."""
+    places = (hits.groupBy("doc_id", "len", "k", "n").agg(F.sort_array(F.collect_set("p")).alias("ps"))
+              .withColumn("v", F.expr("least(n - k + 1, len)"))
+              .withColumn("need", F.ceil(similarity * (F.expr("n - k + 1") + F.col("v")) / (1 + similarity) - 1e-9).cast("int"))
+              .filter("size(ps) >= need"))
+    # starts whose first place is ps[i]: after ps[i - 1], and not so early that ps[i + need - 1] lies beyond the window
+    runs = ("filter(transform(sequence(0, size(ps) - need), i -> struct("
+            "greatest(0, if(i = 0, 0, ps[i - 1] + 1), ps[i + need - 1] - v + 1) as a, least(ps[i], len - v) as b)), x -> x.a <= x.b)")
+    return (places.withColumn("starts", F.expr(f"flatten(transform({runs}, x -> sequence(x.a, x.b)))"))
+            .filter("size(starts) > 0").select("doc_id", "len", "k", "n", "v", "starts"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS,
                  similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, start_word, n_words, hamming, similarity: for each
     document and each benchmark item it contains, the best window."""
     items = cut(_items(benchmark))  # used five times below
     sizes = [r["k"] for r in items.select("k").distinct().collect()]  # at most SHINGLE values
-    anchors = cut(items.select("n", "k", F.posexplode("s").alias("at", "shingle")).distinct())
+    anchors = cut(items.select("n", "k", F.explode("s").alias("shingle")).distinct())
     named = _with_words(docs.filter("doc_id IS NOT NULL"), "doc_id")
     hits = None
     for k in sizes or [SHINGLE]:
         # the exploded rows carry no array, and explode_outer keeps its input from being computed again in a filter
         places = (named.select("doc_id", windows("w", k).alias("h"))
-                  .select("doc_id", F.posexplode_outer("h").alias("p", "shingle"))
+                  .select("doc_id", F.size("h").alias("len"), F.posexplode_outer("h").alias("p", "shingle"))
                   .join(small(anchors.filter(F.col("k") == k)), "shingle")
-                  .select("doc_id", "n", "k", F.expr("p - at").alias("start")))
+                  .select("doc_id", "len", "n", "k", "p"))
         hits = places if hits is None else hits.unionByName(places)
-    hits = cut(hits.distinct())
-    wanted = hits.groupBy("doc_id", "k").agg(F.collect_list(F.struct("n", "start")).alias("hits"))
-    found = named.join(small(hits.select("doc_id").distinct()), "doc_id", "left_semi")
+    starts = cut(_starts(hits, similarity))
+    wanted = starts.groupBy("doc_id", "len", "k").agg(F.collect_list(F.struct("n", "v", "starts")).alias("hits"))
+    found = named.join(small(starts.select("doc_id").distinct()), "doc_id", "left_semi")
     wins = None
     for k in sizes or [SHINGLE]:
-        hashed = (found.join(wanted.filter(F.col("k") == k), "doc_id")
-                  .select("doc_id", "hits", windows("w", k).alias("h")))
-        cutout = hashed.select("doc_id", F.expr(
-            f"transform(hits, x -> struct(x.n as n, greatest(0, least(x.start, size(h) - (x.n - {k} + 1))) as start, "
-            f"slice(h, greatest(0, least(x.start, size(h) - (x.n - {k} + 1))) + 1, x.n - {k} + 1) as ws))").alias("x"))
-        some = cutout.select("doc_id", F.explode_outer("x").alias("x")).select("doc_id", "x.n", "x.start", "x.ws")
+        hashed = (found.select("doc_id", windows("w", k).alias("h")).withColumn("len", F.size("h"))
+                  .join(wanted.filter(F.col("k") == k), ["doc_id", "len"]))
+        some = (hashed.select("doc_id", "h", F.explode_outer("hits").alias("x"))
+                .select("doc_id", "h", "x.n", "x.v", F.explode_outer("x.starts").alias("start"))
+                .select("doc_id", "n", "start", F.expr("slice(h, start + 1, v)").alias("ws")))
         wins = some if wins is None else wins.unionByName(some)
     wins = cut(wins.distinct().withColumn("wf", simhash("ws")))
 

@@ -58,6 +58,22 @@ def test_against_brute_force(spark):
     assert len(found) == len(got) and found == brute_force(docs, items)
 
 
+def test_moved_sentences(spark):
+    """Items whose sentences change places lie on no diagonal of one shingle."""
+    rnd = random.Random(21)
+    items = [(i, [f"i{i}x{j}" for j in range(60)]) for i in range(6)]
+    noise = [f"n{i}" for i in range(300)]
+    docs = []
+    for i, x in items:
+        for d, (a, b, c) in enumerate([(x[30:], x[:30], []), (x[40:], x[:40], []), (x[:30], ["one"], x[30:]), (x[35:], x[:35], x[:20])]):
+            docs.append((10 * i + d, " ".join(rnd.choices(noise, k=90) + a + b + c + rnd.choices(noise, k=40 * (d % 2)))))
+    docs += [(900, " ".join(items[0][1][30:] + items[0][1][:30])), (901, " ".join(items[1][1][:55])), (902, " ".join(items[2][1][:20]))]
+    items = [(i, " ".join(x)) for i, x in items]
+    want = brute_force(docs, items)
+    got = op1.contaminated(frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in got} == want and (0, 0) in want and (900, 0) in want
+
+
 def test_stage_and_empty_tables(spark):
     docs, items = corpus()
     frame_ = frame(spark, docs).withColumn("similarity", F.lit("x"))
