@@ -1,8 +1,10 @@
 """Exact Jaccard self-join on word shingles with prefix filtering.
 
-A document is the set of its distinct shingles (three words, A-Z lower-cased);
-two link when 100 * intersection >= 90 * union. Equal texts are one text from
-the first task on, so a group of copies is never compared with itself.
+A document is the set of its distinct shingles (A-Z lower-cased); two link
+when 100 * intersection >= 90 * union for the three words and the ratio of
+``NGRAM_JOIN``; other rules are a number of words and a ratio of integers.
+Equal texts are one text from the first task on, so a group of copies is never
+compared with itself.
 
 1. Each task hashes the shingles of its distinct texts and sends them, packed
    by hash range, to the part that counts in how many texts each occurs.
@@ -23,13 +25,15 @@ Shingles are compared by 48 bits of their hash together with their frequency,
 equal texts by their 64-bit hash.
 
 Defined results: null and wordless texts have no shingle and link with
-nothing, not even with each other; a text of one or two words is one shingle;
+nothing, not even with each other; a text with fewer words than a shingle is one;
 repeated rows are copies; a null id takes part but is never a component id;
 ties do not arise (links are decided on integers); extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +43,6 @@ from .common import cut, releasing, shuffle_partitions, text_slices, texts_of
 from .graph import components
 from .wordhash import Words, between, mix, part_of, prefix_sums, runs, unpack, WORD_BASE
 
-SHINGLE = 3
 CHUNK = 512
 CHUNK_SHINGLES = 1_000_000
 SUFFIX_RANGES = 16
@@ -50,12 +53,33 @@ LOW48 = np.uint64((1 << 48) - 1)
 PACKED = "part int, low binary, mid binary, owner binary, keys binary, meta_keys binary, meta_n binary"
 
 
-def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+class Rule(NamedTuple):
+    """Words of a shingle and the least Jaccard similarity, num / den."""
+    shingle: int
+    num: int
+    den: int
+
+    def least_common(self, n, m):
+        """Shingles that two linked texts of n and m shingles must share at least."""
+        return -(-self.num * (n + m) // (self.num + self.den))
+
+    def prefix(self, n):
+        """Shingles of a text of n of which a partner must share one."""
+        return n - (self.num * n + self.den - 1) // self.den + 1
+
+
+#: The rule of the query op2_ngram_join.
+NGRAM_JOIN = Rule(3, 90, 100)
+#: The rule of near-duplicate stages.
+NEAR_DUPLICATE = Rule(5, 80, 100)
+
+
+def _shingles(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (hash, text), sorted by hash."""
     w = Words(texts, lower=True)
-    at, h = w.windows(SHINGLE)
+    at, h = w.windows(size)
     text = w.text[at]
-    few = np.flatnonzero((w.n > 0) & (w.n < SHINGLE))
+    few = np.flatnonzero((w.n > 0) & (w.n < size))
     if len(few):
         sums = prefix_sums(w.hash, WORD_BASE)
         whole = mix(between(sums, w.first[few], w.first[few + 1], WORD_BASE) + w.n[few].astype(np.uint64))
@@ -72,7 +96,7 @@ def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h, text
 
 
-def _pack_batches(batches, parts: int):
+def _pack_batches(batches, parts: int, size: int):
     seen: set[int] = set()
     for batch in text_slices(batches, limit=2_000_000):
         keys = batch.column("k").to_numpy(zero_copy_only=False)
@@ -84,7 +108,7 @@ def _pack_batches(batches, parts: int):
         if not new:
             continue
         keys = keys[new]
-        h, text = _shingles(texts_of(batch.take(pa.array(new))))
+        h, text = _shingles(texts_of(batch.take(pa.array(new))), size)
         n = np.bincount(text, minlength=len(new))
         border = np.searchsorted(part_of(h, parts), np.arange(parts + 1))
         home = np.mod(keys, parts)
@@ -154,12 +178,7 @@ def _count_part(group: pa.Table, buckets: int) -> pa.Table:
                                         ["bucket", "counts", "keys", "shingles", "meta_keys", "meta_n"])])
 
 
-def least_common(n, m=None):
-    """Shingles that two linked texts of n and m shingles must share at least."""
-    return -(-9 * (n + m) // 19)
-
-
-def _assemble(group: pa.Table) -> pa.Table:
+def _assemble(group: pa.Table, rule: Rule) -> pa.Table:
     """k, n and, where a partner is possible, the shared shingles rare first."""
     counts = unpack(group.column("counts").to_pylist(), np.int32)
     keys = np.repeat(unpack(group.column("keys").to_pylist(), np.int64), counts)
@@ -169,17 +188,13 @@ def _assemble(group: pa.Table) -> pa.Table:
     k, at = np.unique(unpack(group.column("meta_keys").to_pylist(), np.int64), return_index=True)
     n = unpack(group.column("meta_n").to_pylist(), np.int64)[at]
     a, b = np.searchsorted(keys, k), np.searchsorted(keys, k, side="right")
-    prefix = n - (9 * n + 9) // 10 + 1
+    prefix = rule.prefix(n)
     alone = n - (b - a)
     lists = [shingles[x:y] if s < p and y > x else None for x, y, s, p in zip(a, b, alone, prefix)]
     return pa.table({"k": pa.array(k), "n": pa.array(n), "alone": pa.array(alone),
                      "shingles": pa.array(lists, pa.list_(pa.int64()))})
 
 
-def _prefix(n: int, alone: int) -> int:
-    return n - (9 * n + 9) // 10 + 1 - alone
-
-
 class _Side:
     def __init__(self, rows: dict):
         self.k = np.array(rows["k"], np.int64)
@@ -188,13 +203,13 @@ class _Side:
         self.shingles = [np.asarray(s, np.int64) for s in rows["shingles"]]
 
 
-def _candidates(x: _Side, y: _Side, same: bool) -> tuple[np.ndarray, np.ndarray]:
+def _candidates(x: _Side, y: _Side, same: bool, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (index in x, index in y) that share a prefix shingle and pass the
     length, positional and suffix filters."""
     def prefixes(side, which):
         out = []
         for i, s in enumerate(side.shingles):
-            p = s[:max(0, _prefix(int(side.n[i]), int(side.alone[i])))]
+            p = s[:max(0, rule.prefix(int(side.n[i])) - int(side.alone[i]))]
             out.append(np.stack([p, np.full(len(p), i), np.arange(len(p)) + side.alone[i], np.full(len(p), which)]))
         return np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)
 
@@ -219,8 +234,8 @@ def _candidates(x: _Side, y: _Side, same: bool) -> tuple[np.ndarray, np.ndarray]
         met[np.ix_(da, db)] = True
         i, j = np.nonzero(fresh)
         nx, ny = x.n[da[i]], y.n[db[j]]
-        fits = 10 * np.minimum(nx, ny) >= 9 * np.maximum(nx, ny)
-        fits &= 1 + np.minimum(nx - pa_[i], ny - pb[j]) - 1 >= least_common(nx, ny)
+        fits = rule.den * np.minimum(nx, ny) >= rule.num * np.maximum(nx, ny)
+        fits &= 1 + np.minimum(nx - pa_[i], ny - pb[j]) - 1 >= rule.least_common(nx, ny)
         out.append((da[i[fits]], db[j[fits]]))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -237,7 +252,7 @@ def _candidates(x: _Side, y: _Side, same: bool) -> tuple[np.ndarray, np.ndarray]
     fits = np.zeros(len(i), bool)
     for a in range(0, len(i), 100_000):
         b = slice(a, a + 100_000)
-        fits[b] = np.minimum(sx[i[b]], sy[j[b]]).sum(1) >= least_common(x.n[i[b]], y.n[j[b]])
+        fits[b] = np.minimum(sx[i[b]], sy[j[b]]).sum(1) >= rule.least_common(x.n[i[b]], y.n[j[b]])
     return i[fits], j[fits]
 
 
@@ -283,7 +298,7 @@ def _stars(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         root = after
 
 
-def _verify(group: pa.Table) -> pa.Table:
+def _verify(group: pa.Table, rule: Rule) -> pa.Table:
     """Links of the units (pairs of chunks) in one group: k, root, links."""
     out = []
     units = group.column("unit").to_numpy()
@@ -302,11 +317,11 @@ def _verify(group: pa.Table) -> pa.Table:
 
         x = part(0)
         y = x if same else part(1)
-        i, j = _candidates(x, y, same)
+        i, j = _candidates(x, y, same, rule)
         if not len(i):
             continue
         both = _common(x, y, i, j)
-        linked = 19 * both >= 9 * (x.n[i] + y.n[j])
+        linked = both >= rule.least_common(x.n[i], y.n[j])
         if not linked.any():
             continue
         left, right = x.k[i[linked]], y.k[j[linked]]
@@ -317,18 +332,18 @@ def _verify(group: pa.Table) -> pa.Table:
     return pa.concat_tables([empty, *out])
 
 
-def shared_shingles(texts: DataFrame) -> DataFrame:
+def shared_shingles(texts: DataFrame, rule: Rule = NGRAM_JOIN) -> DataFrame:
     """k, n, alone, shingles for every distinct text (k, text)."""
     parts = shuffle_partitions(texts.sparkSession)
-    packed = texts.mapInArrow(lambda it: _pack_batches(it, parts), PACKED)
+    packed = texts.mapInArrow(lambda it: _pack_batches(it, parts, rule.shingle), PACKED)
     counted = packed.groupBy("part").applyInArrow(releasing(lambda g: _count_part(g, parts)), ANSWER)
-    return counted.groupBy("bucket").applyInArrow(releasing(lambda g: _assemble(g)), "k long, n long, alone long, shingles array<long>")
+    return counted.groupBy("bucket").applyInArrow(releasing(lambda g: _assemble(g, rule)), "k long, n long, alone long, shingles array<long>")
 
 
-def linked_texts(sets: DataFrame) -> DataFrame:
+def linked_texts(sets: DataFrame, rule: Rule = NGRAM_JOIN) -> DataFrame:
     """Star edges and numbers of links of the texts in ``sets``."""
     possible = sets.filter("shingles IS NOT NULL")
-    prefix = F.expr("slice(shingles, 1, cast(n - floor((9 * n + 9) / 10) + 1 - alone as int))")
+    prefix = F.expr(f"slice(shingles, 1, cast(n - ({rule.num} * n + {rule.den - 1}) div {rule.den} + 1 - alone as int))")
     postings = possible.select("k", F.size("shingles").alias("w"), F.explode(prefix).alias("s"))
     shared = postings.groupBy("s").agg(F.count("*").alias("c"), F.min("k").alias("hub")).filter("c > 1")
     postings = cut(postings.join(shared.select("s", "hub"), "s"))
@@ -349,15 +364,15 @@ def linked_texts(sets: DataFrame) -> DataFrame:
     rows = sides.join(chunks, "chunk").join(possible, "k")
     return (rows.select(F.pmod("unit", F.lit(4 * shuffle_partitions(sets.sparkSession))).alias("g"), "unit", "side", "k", "n",
                         "alone", "shingles")
-            .groupBy("g").applyInArrow(releasing(lambda g: _verify(g)), "k long, root long, links long"))
+            .groupBy("g").applyInArrow(releasing(lambda g: _verify(g, rule)), "k long, root long, links long"))
 
 
-def _members(docs: DataFrame) -> DataFrame:
+def _members(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, k (hash of the text), n, n_links and least (the least id of the
     component, null without a shingle) for every row."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("k"))
-    sets = cut(shared_shingles(docs.filter("text IS NOT NULL").select("text", F.xxhash64("text").alias("k"))))
-    links = cut(linked_texts(sets))
+    sets = cut(shared_shingles(docs.filter("text IS NOT NULL").select("text", F.xxhash64("text").alias("k")), rule))
+    links = cut(linked_texts(sets, rule))
     roots = components(links.select(F.col("k").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("k").agg(F.sum("links").alias("n_links"))
     texts = (sets.select("k", "n").join(roots.withColumnRenamed("node", "k"), "k", "left").join(degree, "k", "left")
@@ -367,20 +382,20 @@ def _members(docs: DataFrame) -> DataFrame:
     return members.join(least, "root", "left").select("doc_id", "k", "n", "n_links", F.when(F.col("n") > 0, F.col("least")).alias("least"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, rule: Rule = NGRAM_JOIN) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (different texts linked with
     the document's) for every row of ``docs``."""
-    return _members(docs).select(
+    return _members(docs, rule).select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, rule: Rule = NGRAM_JOIN) -> DataFrame:
     """Pipeline stage: of each component the row with the least id stays (one
     row of equal rows); rows without an id stay. Rows are told apart by id and
     text, so an id that stands for two texts loses only the linked one."""
-    lost = _members(docs).filter("least < doc_id").select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct()
+    lost = _members(docs, rule).filter("least < doc_id").select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct()
     keyed = docs.select(*docs.columns, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_k"))
     kept = keyed.join(lost, ["_id", "_k"], "left_anti")
     named = kept.filter("_id IS NOT NULL").dropDuplicates(["_id", "_k"])

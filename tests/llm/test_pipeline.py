@@ -45,6 +45,38 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         assert r.ids == library.encode(r.text) and r.n_tokens == len(r.ids) and r.round_trip
 
 
+def test_near_duplicates_by_five_words(spark):
+    """The stage against brute force: five-word shingles, Jaccard 0.8 or more."""
+    import random
+
+    from helpers import near_corpus
+    rnd = random.Random(9)
+    w = [f"v{i}" for i in range(400)]
+    rows = near_corpus(n=60) + [(600, " ".join(w))]
+    for i, n in ((601, 8), (602, 9), (603, 10)):  # five-word 0.817, 0.796 and 0.777 with the first
+        rows.append((i, " ".join(f"x{i}y{j}" if j in range(20, 20 + 40 * n, 40) else v for j, v in enumerate(w))))
+    rows += [(604, "four words are one"), (605, "Four words ARE one"), (606, " ".join(rnd.choices(w, k=30)))]
+    sets = []
+    for _, t in rows:
+        x = WORD.findall((t or "").lower())
+        sets.append({tuple(x[k:k + 5]) for k in range(len(x) - 4)} if len(x) > 4 else ({tuple(x)} if x else set()))
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for g, (i, _), s in zip(group, rows, sets):
+        if i is not None and s:
+            least[g] = min(i, least.get(g, i))
+    want = {row for row, g, s in zip(rows, group, sets) if row[0] is None or not s or least[g] == row[0]}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert {i for i, _ in want} & {600, 601, 602, 603, 604, 605} == {600, 602, 603, 604}
+
+
 def test_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "repeated_passages", "decontaminate", "encode"]
     assert corpus_pipeline.ORACLE_SQL is None
