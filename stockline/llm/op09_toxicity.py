@@ -46,8 +46,6 @@ PACK = 1 << 13
 WORD_PRIOR = 8.0
 STEM_PRIOR = 20.0
 DRIFT = 2.0
-#: Segments of a document that are counted together at most (their best number is taken).
-MOST_SEGMENTS = 5
 HIGHEST, LOWEST = 8.0, -3.0
 BIN = 0.25
 BINS = 400
@@ -172,13 +170,13 @@ def _score_batches(batches, model: ToxicityModel, histogram: bool = False):
 
 
 def _evidence(m: ToxicityModel) -> Column:
-    """-ln of the Poisson probability of the best r segments (all r up to
-    ``MOST_SEGMENTS``, the best of them): r segments of S or more are expected
-    K n exp(-lambda S) times."""
+    """-ln of the Poisson probability of the best r segments (every r, the
+    best of them): r segments of S or more are expected K n exp(-lambda S) times."""
     cost = f"ln(greatest(1D, {m.k!r}D * n))"  # at least one segment of no score is expected
-    return F.expr(f"if(size(segments) = 0, 0D, greatest(0D, array_max(transform("
-                  f"slice(sort_array(segments, false), 1, {MOST_SEGMENTS}), "
-                  f"(s, i) -> (i + 1) * ({m.lam!r}D * s - {cost}) + ln(factorial(i + 1))))))")
+    # f is ln(r!) as a running sum
+    return F.expr(f"aggregate(sort_array(segments, false), named_struct('r', 0D, 'f', 0D, 'best', 0D), (a, s) -> named_struct("
+                  f"'r', a.r + 1D, 'f', a.f + ln(a.r + 1D), 'best', "
+                  f"greatest(a.best, (a.r + 1D) * ({m.lam!r}D * s - {cost}) + a.f + ln(a.r + 1D))), a -> a.best)")
 
 
 def _solve_lambda(tally: np.ndarray) -> float:

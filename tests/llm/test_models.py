@@ -125,6 +125,19 @@ def test_toxic_documents(spark):
     assert (by[1000], by[1001], by[1002], by[1003], by[1004]) == (0, 0, 0, 1, 0)
 
 
+def test_evidence_of_every_number_of_segments(spark):
+    """Thirty passages, none of them significant alone; and more than factorial() can take."""
+    m = op9.ToxicityModel(None, None, None, 0.1, lam=1.0, k=1.0)
+    rows = [(10_000, [7.7] * 30), (10_000, [7.7] * 5), (10_000, [12.0, 3.0]), (5, []), (100_000, [9.0] * 500 + [1.0] * 2_000)]
+    got = [r[0] for r in spark.createDataFrame(rows, "n long, segments array<double>").select(op9._evidence(m)).collect()]
+
+    def evidence(n, s):
+        s = sorted(s, reverse=True)
+        return max([0.0] + [(r + 1) * (x - math.log(n)) + math.lgamma(r + 2) for r, x in enumerate(s)])
+
+    assert got == pytest.approx([evidence(*r) for r in rows]) and got[0] > 25 and got[1] == 0 and got[4] > 1000
+
+
 def test_toxic_passages(spark):
     rows, labels = toxic_corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
