@@ -1,38 +1,37 @@
 """Quality rules: base counts, then a hashed n-gram likelihood ratio.
 
-Unigrams and bigrams of lower-cased words are hashed to ``BUCKETS`` buckets.
-Two multinomials are counted over the whole corpus: one of the trusted target
-(documents labelled good), one of all documents. The score of a document is
-the sum of log(target / raw) over its n-grams divided by their number; every
-document at or above the threshold passes. The threshold lies ``margin`` below
-the mean score of the trusted documents, in units of nats an n-gram.
-
-Only DataFrame functions are used: the counts are an explode and a map-side
-combined sum into at most ``2 * BUCKETS`` rows, whatever the corpus; the
-weights, ``BUCKETS`` numbers, go back as one array literal, so scoring needs
-no join and no shuffle.
+Two multinomials of unigrams and bigrams of lower-cased words are counted over
+the whole corpus: one of the trusted target (documents labelled good), one of
+all documents. A corpus of at most ``BUCKETS`` distinct n-grams is hashed to
+``BUCKETS`` buckets; in a larger one every n-gram, by its 64-bit hash, has its
+own counts, so the model grows with the corpus. The score of a document is the
+sum of log(target / raw) over its n-grams divided by their number; every
+document at or above the threshold passes. The threshold is the score that all
+but ``MISSED`` of the trusted documents reach when their own n-grams are taken
+off the target counts (a document does not vouch for itself); with a ``margin``
+it lies so many nats an n-gram below the mean score of the trusted documents.
+
+Only DataFrame functions are used. The counts are a table; n-grams are joined
+to it by a size-checked broadcast, else by a shuffle, and summed per document.
 
 Defined results: null, empty or blank texts have no words, fail the base rule
 and score 0; repeated rows are judged one by one; without trusted documents
-all weights are 0 and only the base rule decides; extra columns are ignored.
+all scores are 0 and only the base rule decides; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import json
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, small, words
+from .common import BLANKS, cut, small, words
 
 BUCKETS = 10_000
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 SMOOTHING = 1.0
-#: Nats an n-gram below the mean of the trusted documents.
-MARGIN = 0.5
+#: Share of the trusted documents that may lie below the threshold.
+MISSED = 0.01
 
 
 def windows(w: str, k: int) -> Column:
@@ -69,49 +68,69 @@ def base_counts(docs: DataFrame) -> DataFrame:
             .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))))
 
 
-def _grams(df: DataFrame) -> DataFrame:
-    """Adds ``g``, the buckets of the unigrams and bigrams of ``w``."""
-    low = df.withColumn("_l", F.transform("w", F.lower))
-    return low.withColumn("g", F.expr(
-        f"concat(transform(_l, x -> cast(pmod(xxhash64(x), {BUCKETS}) as int)), "
-        f"if(size(_l) >= 2, transform(sequence(1, size(_l) - 1), i -> cast(pmod(xxhash64(_l[i - 1], _l[i]), {BUCKETS})"
-        " as int)), cast(array() as array<int>)))")).drop("_l")
+def _grams(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep``, n_w (words) and b, the hash of one unigram or
+    bigram a row (null without words)."""
+    low = docs.select(*keep, F.transform(words(F.col("text")), F.lower).alias("_l"))
+    grams = low.select(*keep, F.size("_l").alias("n_w"), F.expr(
+        "concat(transform(_l, x -> xxhash64(x)), if(size(_l) >= 2, transform(sequence(1, size(_l) - 1), "
+        "i -> xxhash64(_l[i - 1], _l[i])), cast(array() as array<bigint>)))").alias("g"))
+    # explode_outer: explode would put size(g) > 0, with all of g in it, below the projections
+    return grams.select(*keep, "n_w", F.explode_outer("g").alias("b"))
+
+
+def _bucket(size: int) -> Column:
+    """The n-gram itself, or its bucket while all of them fit into ``BUCKETS``."""
+    return F.pmod(F.col("b"), F.lit(BUCKETS)) if size == BUCKETS else F.col("b")
 
 
-def weights(docs: DataFrame, trusted: DataFrame) -> list[float]:
-    """log(target / raw) of each bucket. ``trusted``: doc_id of the target."""
+def weights(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, int]:
+    """b, target (count), rest (weight less the log of the target count) and
+    weight, log(target / raw), of each n-gram or bucket; none without a
+    target. Also the size of the model. ``trusted``: doc_id of the target."""
     ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_t", F.lit(1)))
-    grams = _grams(docs.select("doc_id", words(F.col("text")).alias("w"))).select("doc_id", "g")
-    # explode_outer: explode would put size(g) > 0, with all of g in it, below the projections
-    counts = (grams.join(ids, "doc_id", "left").select("_t", F.explode_outer("g").alias("b")).filter("b IS NOT NULL")
-              .groupBy("b", "_t")
-              .agg(F.count("*").alias("n")).groupBy("b")
-              .agg(F.sum("n").alias("raw"), F.sum(F.col("n") * F.coalesce("_t", F.lit(0))).alias("target")).collect())
-    raw, target = sum(r["raw"] for r in counts), sum(r["target"] for r in counts)
-    out = [0.0] * BUCKETS
+    counts = cut(_grams(docs.join(ids, "doc_id", "left"), "_t").filter("b IS NOT NULL").groupBy("b", "_t")
+                 .agg(F.count("*").alias("n")).groupBy("b")
+                 .agg(F.sum("n").alias("raw"), F.sum(F.col("n") * F.coalesce("_t", F.lit(0))).alias("target")))
+    size, raw, target = counts.agg(F.count("*"), F.sum("raw"), F.sum("target")).first()
+    size = max(size, BUCKETS)
+    if size == BUCKETS:
+        counts = counts.groupBy(_bucket(size).alias("b")).agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     if not target:
-        return out
-    for r in counts:
-        p = (r["target"] + SMOOTHING) / (target + SMOOTHING * BUCKETS)
-        q = (r["raw"] + SMOOTHING) / (raw + SMOOTHING * BUCKETS)
-        out[r["b"]] = math.log(p / q)
-    return out
+        counts = counts.limit(0)
+    rest = F.log((raw or 0) + F.lit(SMOOTHING * size)) - F.log(F.lit((target or 0) + SMOOTHING * size)) - F.log(F.col("raw") + SMOOTHING)
+    return (counts.withColumn("rest", rest).withColumn("weight", F.log(F.col("target") + SMOOTHING) + F.col("rest"))
+            .select("b", "target", "rest", "weight")), size
+
+
+def _scored(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
+    """_k (hash of id and text), doc_id, n_w and score of every distinct row."""
+    grams = _grams(docs, "_k", "doc_id").withColumn("b", _bucket(size))
+    return (grams.join(small(table.select("b", "weight")), "b", "left").groupBy("_k", "doc_id", "n_w")
+            .agg(F.coalesce(F.sum("weight") / F.count("b"), F.lit(0.0)).alias("score")))
 
 
-def _scored(df: DataFrame, weight: list[float]) -> DataFrame:
-    """Adds ``score``; needs ``w``."""
-    table = F.from_json(F.lit(json.dumps(weight)), "array<double>")
-    total = F.aggregate("g", F.lit(0.0), lambda acc, b: acc + F.get(table, b))
-    return _grams(df).withColumn("score", F.when(F.size("g") > 0, total / F.size("g")).otherwise(0.0)).drop("g")
+def _left_out(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
+    """score of each document of the target as if it were none of it."""
+    own = _grams(docs, "_k").withColumn("b", _bucket(size)).groupBy("_k", "n_w", "b").agg(F.count("*").alias("n"))
+    weight = F.log(F.greatest(F.col("target") - F.col("n"), F.lit(0)) + SMOOTHING) + F.col("rest")
+    return (own.filter("n_w >= 10").join(small(table), "b").groupBy("_k")
+            .agg((F.sum(F.col("n") * weight) / F.sum("n")).alias("score")))
 
 
-def judge_quality(docs: DataFrame, trusted: DataFrame, margin: float = MARGIN) -> DataFrame:
+def judge_quality(docs: DataFrame, trusted: DataFrame, margin: float | None = None) -> DataFrame:
     """doc_id, the base counts, base_failed, score and kept for every row of
     ``docs`` (doc_id, text). ``trusted``: doc_id of the trusted documents."""
-    docs = docs.select("doc_id", "text")
-    weight = weights(docs, trusted)
+    docs = docs.select("doc_id", "text").withColumn("_k", F.xxhash64("doc_id", "text"))
+    table, size = weights(docs, trusted)
+    scores = cut(_scored(docs, table, size))
     ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct())
-    with_words = docs.join(ids, "doc_id", "left_semi").select(words(F.col("text")).alias("w")).filter("size(w) >= 10")
-    mean = _scored(with_words, weight).agg(F.avg("score")).first()[0] or 0.0
-    out = _scored(base_counts(docs), weight).drop("w", "text")
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(mean - margin)))
+    if margin is None:
+        left_out = _left_out(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["_k"]), table, size)
+        least = left_out.agg(F.percentile_approx("score", MISSED)).first()[0] or 0.0
+    else:
+        rows = docs.select("doc_id", "_k").join(ids, "doc_id", "left_semi")
+        mean = rows.join(scores.select("_k", "n_w", "score"), "_k").filter("n_w >= 10").agg(F.avg("score")).first()[0]
+        least = (mean or 0.0) - margin
+    out = base_counts(docs).drop("w", "text").join(small(scores.select("_k", "score")), "_k", "left").drop("_k")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))

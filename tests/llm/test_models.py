@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from collections import Counter
 from itertools import product
 
 import numpy as np
@@ -212,6 +213,29 @@ def test_quality_against_brute_force(spark):
         quality_brute_force(rows, trusted, 0.1)
 
 
+def test_quality_model_grows_with_the_corpus(spark):
+    """Every n-gram has its own counts past BUCKETS, and junk falls at both sizes."""
+    for n in (300, 1500):
+        rnd = random.Random(n)
+        good, junk = ([f"{c}{i}" for i in range(n)] for c in "gj")
+        rows = [(i, " ".join(rnd.choices(junk if i % 10 == 0 else good, k=60))) for i in range(n)]
+        trusted = {i for i in range(n) if i % 3 == 1 and i % 10}
+        raw, target = Counter(), Counter()
+        split = {}
+        for i, t in rows:
+            w = t.split()
+            split[i] = w + list(zip(w, w[1:]))
+            raw.update(split[i])
+            target.update(split[i] if i in trusted else [])
+        assert len(raw) > op6.BUCKETS
+        shift = math.log((raw.total() + len(raw)) / (target.total() + len(raw)))
+        want = {i: shift + sum(math.log((target[x] + 1) / (raw[x] + 1)) for x in g) / len(g) for i, g in split.items()}
+        got = op6.judge_quality(frame(spark, rows), spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()
+        assert {r.doc_id: r.score for r in got} == pytest.approx(want)
+        assert not any(r.kept for r in got if r.doc_id % 10 == 0)
+        assert np.mean([r.kept for r in got if r.doc_id % 10 and not r.base_failed]) > 0.9
+
+
 def test_quality_without_trusted_or_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long")
