@@ -89,9 +89,8 @@ def weights(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, int]:
     weight, log(target / raw), of each n-gram or bucket; none without a
     target. Also the size of the model. ``trusted``: doc_id of the target."""
     ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_t", F.lit(1)))
-    counts = cut(_grams(docs.join(ids, "doc_id", "left"), "_t").filter("b IS NOT NULL").groupBy("b", "_t")
-                 .agg(F.count("*").alias("n")).groupBy("b")
-                 .agg(F.sum("n").alias("raw"), F.sum(F.col("n") * F.coalesce("_t", F.lit(0))).alias("target")))
+    counts = cut(_grams(docs.join(ids, "doc_id", "left"), "_t").filter("b IS NOT NULL").groupBy("b")
+                 .agg(F.count("*").alias("raw"), F.count("_t").alias("target")))
     size, raw, target = counts.agg(F.count("*"), F.sum("raw"), F.sum("target")).first()
     size = max(size, BUCKETS)
     if size == BUCKETS:
@@ -104,9 +103,9 @@ def weights(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _scored(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
-    """_k (hash of id and text), doc_id, n_w and score of every distinct row."""
-    grams = _grams(docs, "_k", "doc_id").withColumn("b", _bucket(size))
-    return (grams.join(small(table.select("b", "weight")), "b", "left").groupBy("_k", "doc_id", "n_w")
+    """_k (hash of id and text) and score of every distinct row."""
+    grams = _grams(docs, "_k").select("_k", _bucket(size).alias("b"))
+    return (grams.join(small(table.select("b", "weight")), "b", "left").groupBy("_k")
             .agg(F.coalesce(F.sum("weight") / F.count("b"), F.lit(0.0)).alias("score")))
 
 
@@ -129,8 +128,8 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, margin: float | None = No
         left_out = _left_out(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["_k"]), table, size)
         least = left_out.agg(F.percentile_approx("score", MISSED)).first()[0] or 0.0
     else:
-        rows = docs.select("doc_id", "_k").join(ids, "doc_id", "left_semi")
-        mean = rows.join(scores.select("_k", "n_w", "score"), "_k").filter("n_w >= 10").agg(F.avg("score")).first()[0]
+        rows = docs.join(ids, "doc_id", "left_semi").filter(F.size(words(F.col("text"))) >= 10).select("_k")
+        mean = rows.join(scores, "_k").agg(F.avg("score")).first()[0]
         least = (mean or 0.0) - margin
     out = base_counts(docs).drop("w", "text").join(small(scores.select("_k", "score")), "_k", "left").drop("_k")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))
