@@ -19,6 +19,9 @@ from . import op07_token_counts as op7
 from . import op08_substrings as op8
 from . import op09_toxicity as op9
 from . import op10_language as op10
+from . import op11_fingerprints as op11
+from . import op12_negatives as op12
+from . import op13_whitening as op13
 from .common import table
 from .sql import SQL  # noqa: F401  re-exported
 
@@ -85,5 +88,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.held_out_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.edited_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = op12.scaled(table(spark, sf_dir, "embeddings"), 256, changed)
+    return op12.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.whiten(op13.usable(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_sentencepiece, op4_warc, op5_urls, op6_quality,
-                                   op7_token_counts, op8_substrings, op9_toxicity, op10_language)}
+                                   op7_token_counts, op8_substrings, op9_toxicity, op10_language, op11_fingerprints,
+                                   op12_negatives, op13_whitening)}

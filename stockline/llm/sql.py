@@ -1,8 +1,9 @@
 """DuckDB SQL of the queries that SQL can express.
 
-The language model, toxicity, quality, decontamination, SentencePiece and
-token-count queries have none: hashing, learning and merging are not SQL; the
-tests hold them against brute force or the library."""
+The language model, toxicity, quality, decontamination, SentencePiece,
+token-count, fingerprint and whitening queries have none: hashing, learning,
+merging and eigenvectors are not SQL; the tests hold them against brute force or
+the library."""
 
 from __future__ import annotations
 
@@ -96,4 +97,21 @@ SELECT d.doc_id, len(w)::BIGINT n_words, (SELECT count(*) FROM gone WHERE gone.d
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op2_ngram_join": OP2, "op4_warc": OP4, "op5_urls": _op5(), "op8_substrings": OP8}
+OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+             list_sum(list_transform(list_zip(a.x, r.x), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INT
+           AS "rank", s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY "rank" <= 3
+"""
+
+SQL: dict[str, str] = {"op2_ngram_join": OP2, "op4_warc": OP4, "op5_urls": _op5(), "op8_substrings": OP8, "op12_negatives": OP12}
