@@ -31,17 +31,42 @@ def cte(name: str, deps: list[str], body: str) -> None:
     CTES[name] = (deps, body)
 
 
-cte("items", [], f"""
-SELECT p_partkey AS item_key,
-  (CASE WHEN p_name LIKE '% ring' THEN 'AN' WHEN p_name LIKE '% rod' THEN 'AL' ELSE 'PX' END)
-    || CASE WHEN length(CAST(p_partkey AS VARCHAR)) >= 6 THEN CAST(p_partkey AS VARCHAR) ELSE lpad(CAST(p_partkey AS VARCHAR), 6, '0') END AS code,
-  (CASE WHEN p_name LIKE '% ring' THEN 'AN' WHEN p_name LIKE '% rod' THEN 'AL' ELSE 'PX' END) AS family,
+_SIZED = "(p_name LIKE '% ring' OR p_name LIKE '% rod')"
+_FAMILY = "(CASE WHEN p_name LIKE '% ring' THEN 'AN' WHEN p_name LIKE '% rod' THEN 'AL' ELSE 'PX' END)"
+_CODES = ["group_code", "subgroup_code", "colour_code", "sub_level", "price_table", "size_label", "note_1", "note_2", "class_code",
+          "line_code"]
+
+
+def _pad6(x: str) -> str:
+    return f"CASE WHEN length(CAST({x} AS VARCHAR)) >= 6 THEN CAST({x} AS VARCHAR) ELSE lpad(CAST({x} AS VARCHAR), 6, '0') END"
+
+
+cte("erp_items", [], f"""
+SELECT p_partkey AS item_key, {_FAMILY} || {_pad6("p_partkey")} AS code, {_FAMILY} AS family,
   (CASE WHEN p_name LIKE '% ring' THEN 'RING' WHEN p_name LIKE '% rod' THEN 'BAND' ELSE p_type END) AS group_name,
   p_brand AS model, p_name AS description, p_type AS type, CAST(p_size AS BIGINT) AS size,
   (CASE WHEN p_type IN ({_lst(B.SILVER_TYPES)}) THEN 'SILVER' ELSE 'GOLD' END) AS metal,
   (p_size % 3 = 0) AS orderable, (p_size % 5 <> 0) AS active,
-  CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * p_size, 2) AS DOUBLE) AS price, p_retailprice AS cost
-FROM part""")
+  CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * p_size, 2) AS DOUBLE) AS price, p_retailprice AS cost,
+  CASE WHEN {_SIZED} THEN {_FAMILY} ELSE p_type END AS group_code,
+  'G' || CAST(p_size % {B.SUBGROUPS} AS VARCHAR) AS subgroup_code,
+  lpad(CAST(p_partkey % {B.COLOUR_CODES} AS VARCHAR), 2, '0') AS colour_code,
+  'N' || CAST(p_partkey % 4 AS VARCHAR) AS sub_level, 'T' || CAST(p_size % 4 AS VARCHAR) AS price_table,
+  CASE WHEN {_SIZED} THEN '' ELSE CAST(p_size AS VARCHAR) END AS size_label, 'Ref. ' || p_brand AS note_1,
+  CASE WHEN p_partkey % 6 <> 0 THEN 'Lot ' || CAST(p_partkey % 100 AS VARCHAR) END AS note_2,
+  'C' || CAST(p_partkey % 3 AS VARCHAR) AS class_code, substr(p_type, 1, 3) AS line_code,
+  '{B.FINISHED_GROUP}' AS goods_group
+FROM part UNION ALL
+SELECT -s_suppkey, 'MP' || {_pad6("s_suppkey")}, 'MP', 'RAW', 'Brand#1', s_name, 'RAW', 0, 'GOLD', true, true, s_acctbal, s_acctbal,
+  {", ".join("''" for _ in _CODES)}, CASE WHEN s_acctbal < 0 THEN 'SV' ELSE 'MP' END FROM supplier""")
+
+cte("items", ["erp_items"], f"SELECT * FROM erp_items WHERE goods_group = '{B.FINISHED_GROUP}'")
+
+cte("colours", [], "SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS colour_code, n_name AS colour_desc FROM nation")
+
+cte("subgroups", ["erp_items"], f"""
+SELECT DISTINCT group_code AS g, subgroup_code AS sg, group_code || ' / ' || subgroup_code AS subgroup_desc FROM erp_items
+WHERE subgroup_code <> 'G{B.SUBGROUPS - 1}'""")
 
 cte("collections", [], """
 SELECT DISTINCT p_brand AS model, 'COLLECTION ' || upper(p_brand) AS collection_desc FROM part""")
@@ -99,7 +124,7 @@ SELECT 'var-' || sku AS variant_id, sku, coalesce(CAST(size_code AS VARCHAR), 'D
   CAST(item_key % 6 AS BIGINT) AS inventory_quantity, 'prod-' || CAST(item_key AS VARCHAR) AS product_id,
   description AS product_title, CAST(n_var * (item_key % 6) AS BIGINT) AS total_inventory, CAST(n_var AS BIGINT) AS total_variants,
   CAST(item_key % 4 AS BIGINT) AS media_count, code AS sku_2
-FROM (SELECT i.*, s.size_code,
+FROM (SELECT i.* REPLACE (trunc(i.price) AS price), s.size_code,
         CASE WHEN i.family IN ({_lst(B.SIZED_FAMILIES)}) THEN i.code || '-' || CAST(s.size_code AS VARCHAR) ELSE i.code END AS sku,
         CASE WHEN i.family IN ({_lst(B.SIZED_FAMILIES)}) THEN {B.SIZE_LAST - B.SIZE_FIRST + 1} ELSE 1 END AS n_var
       FROM items i, LATERAL (SELECT unnest(CASE WHEN i.family IN ({_lst(B.SIZED_FAMILIES)})
@@ -241,8 +266,8 @@ def _bands() -> str:
     return "(CASE " + " ".join(arms) + " ELSE '' END)"
 
 
-cte("item_base", ["items", "collections", "shop_stock"], f"""
-SELECT i.*, c.collection_desc, s.stock_qty,
+cte("item_base", ["items", "collections", "shop_stock", "colours", "subgroups"], f"""
+SELECT i.*, c.collection_desc, s.stock_qty, colours.colour_desc, subgroup_desc,
   CAST(trunc(i.price) AS BIGINT) AS price_int, {_bands()} AS price_band,
   CASE WHEN i.orderable THEN '{C.YES}' ELSE '{C.NO}' END AS orderable_text,
   CASE WHEN i.active THEN '{C.ACTIVE_TXT}' ELSE '{C.INACTIVE_TXT}' END AS status_text,
@@ -250,22 +275,26 @@ SELECT i.*, c.collection_desc, s.stock_qty,
   CASE WHEN i.orderable THEN '{C.FINAL_ACTIVE}' WHEN s.stock_qty > 0 THEN '{C.FINAL_ACTIVE}' ELSE '{C.FINAL_INACTIVE}' END AS final_status,
   CASE WHEN c.collection_desc LIKE '%{C.COLLECTION_WORD}%' THEN replace(c.collection_desc, '{C.COLLECTION_WORD}', '')
        ELSE c.collection_desc END AS collection
-FROM items i JOIN collections c ON i.model = c.model LEFT JOIN shop_stock s ON i.code = s.code""")
+FROM items i JOIN collections c ON i.model = c.model LEFT JOIN shop_stock s ON i.code = s.code
+LEFT JOIN colours ON colours.colour_code = i.colour_code LEFT JOIN subgroups ON g = i.group_code AND sg = i.subgroup_code""")
 _MASTER = ", ".join(C.MASTER_COLS)
 q("item_master", ["item_base"], f"SELECT {_MASTER} FROM item_base WHERE price > 1 ORDER BY model, group_name, code")
 q("item_export_full", ["item_base"], f"""
-SELECT model, collection, family AS group_code, group_name, type AS subgroup_code, code, description,
+SELECT model, collection, group_code, group_name, subgroup_code, subgroup_desc, code, description,
   round(CASE WHEN cost = 0 THEN NULL ELSE price / cost END, 2) AS markup, round(cost, 2) AS cost,
-  CAST(round(price, 0) AS BIGINT) AS price_dec, price_band, '{C.FINISHED_GROUP}' AS goods_group, metal,
+  CAST(round(price, 0) AS BIGINT) AS price_dec, price_band, goods_group, metal,
+  colour_code, colour_desc, sub_level, price_table, size_label,
   '{C.PHOTO_BASE_URL}' || code || '.JPG' AS photo_url, orderable_text, status_text, stock, final_status,
-  CAST(DATE '1995-01-01' + CAST(item_key % 3650 AS INTEGER) AS DATE) AS inclusion_date, round(size * CAST(0.37 AS DOUBLE), 2) AS weight
-FROM item_base""")
+  CAST(DATE '1995-01-01' + CAST(item_key % 3650 AS INTEGER) AS DATE) AS inclusion_date, round(size * CAST(0.37 AS DOUBLE), 2) AS weight, class_code, line_code
+FROM item_base WHERE colour_desc IS NOT NULL AND subgroup_desc IS NOT NULL""")
 TITLE = ("array_to_string(list_transform(range(1, length({x}) + 1), lambda i: CASE WHEN i = 1 OR NOT regexp_matches("
          "substr(lower({x}), i - 1, 1), '\\p{{L}}') THEN upper(substr(lower({x}), i, 1)) ELSE substr(lower({x}), i, 1) END), '')")
 q("item_texts", ["item_base"], f"""
-SELECT {_MASTER}, {TITLE.format(x='description')} AS title, d.text AS description_text, d.lang,
-  concat_ws(' ', type, metal) AS composition
-FROM item_base b LEFT JOIN documents d ON d.doc_id = b.item_key WHERE price > 1""")
+SELECT {_MASTER}, {TITLE.format(x='description')} AS title,
+  {TITLE.format(x="(type || ' ' || description)")} AS title_2, d.text AS description_text, d.lang,
+  e.text AS description_text_2, e.lang AS lang_2, concat_ws(' ', type, metal) AS composition, sub_level AS cluster
+FROM item_base b LEFT JOIN documents d ON d.doc_id = b.item_key
+LEFT JOIN documents e ON e.doc_id = b.item_key + {C.SECOND_TEXT} WHERE price > 1""")
 q("item_seo", ["item_base"], f"""
 SELECT {_MASTER}, collection,
   CASE group_name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.TAXONOMY.items())} ELSE '{C.TAXONOMY_DEFAULT}' END AS taxonomy_code,
@@ -295,14 +324,15 @@ cte("price_sides", ["channel_variants"], """
 SELECT sku_2 AS sku, variant_id, product_id, price, compare_at_price FROM channel_variants
 WHERE product_id IS NOT NULL AND product_id <> ''""")
 q("price_sides", ["price_sides"], "SELECT * FROM price_sides")
-cte("price_delta", ["price_sides", "items"], """
+cte("erp_prices", ["items"], "SELECT code, trunc(price) AS price FROM items WHERE price > 1")
+cte("price_delta", ["price_sides", "erp_prices"], """
 SELECT v.sku, v.variant_id, v.product_id, v.price, i.price AS erp_price, round(i.price - v.price, 2) AS delta
-FROM price_sides v LEFT JOIN items i ON i.code = v.sku
+FROM price_sides v LEFT JOIN erp_prices i ON i.code = v.sku
 WHERE (round(i.price - v.price, 2) <> 0 OR v.price IS NULL) AND i.price IS NOT NULL""")
 q("price_delta", ["price_delta"], "SELECT * FROM price_delta")
-cte("compare_price_delta", ["price_sides", "items"], """
+cte("compare_price_delta", ["price_sides", "erp_prices"], """
 SELECT v.sku, v.variant_id, v.product_id, i.price AS compare_at_price, i.price AS erp_price, round(i.price - v.price, 2) AS delta
-FROM price_sides v LEFT JOIN items i ON i.code = v.sku
+FROM price_sides v LEFT JOIN erp_prices i ON i.code = v.sku
 WHERE i.price IS NOT NULL AND (v.compare_at_price IS NULL OR v.compare_at_price <> i.price)""")
 q("compare_price_delta", ["compare_price_delta"], "SELECT * FROM compare_price_delta")
 q("split_ring_items", ["channel_variants"], f"""
@@ -520,33 +550,54 @@ SELECT *, to_json({{'ownerId': owner_id, 'namespace': namespace, 'key': key, 'ty
 from .plans import sales as SA  # noqa: E402
 
 _SITE = "('S' || CAST(l_suppkey % 6 AS VARCHAR))"
-_COMPANY = f"coalesce(nullif({_case(_SITE, {k: v[1] for k, v in B.SITE_WAREHOUSE.items()})}, ''), 'WEB')"
+
+
+def _arm(values: list) -> str:
+    """The value that the order key picks from a list."""
+    return f"([{_lst(values) if isinstance(values[0], str) else ', '.join(map(str, values))}])[l_orderkey % {len(values)} + 1]"
+
+
+_COMPANY = f"coalesce(nullif({_case('l.site', {k: v[1] for k, v in B.SITE_WAREHOUSE.items()})}, ''), 'WEB')"
 q("sales_fact", ["items"], f"""
 WITH lk AS (SELECT o_orderkey AS lk_key, o_custkey AS lk_cust, o_orderdate AS lk_date, o_orderpriority AS lk_event
             FROM orders WHERE o_orderpriority IN ({_lst(SA.LOOKUP_PRIORITIES)})),
-j AS (SELECT l.*, o.o_custkey, o.o_orderstatus, i.code, i.family, i.group_name, i.model, i.cost,
+r AS (SELECT l.*, o.o_custkey, o.o_orderstatus, l_shipdate < TIMESTAMP '2001-01-01' AS before,
+        l_shipdate < TIMESTAMP '2001-01-01' AND (l_linestatus = 'F' OR o_orderstatus NOT IN ('O', 'P')) AS settled,
+        l_shipdate < TIMESTAMP '2001-01-01' AND l_linestatus <> 'F' AND o_orderstatus <> 'O' AS odd
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+t AS (SELECT *, CASE WHEN odd AND NOT settled THEN {_arm(SA.NOT_SALES)} WHEN odd THEN {_arm([k[0] for k in SA.LEFT_OUT])}
+                     WHEN settled THEN '{SA.SALE}'
+                     WHEN before THEN CASE WHEN l_orderkey % 2 = 0 THEN '{SA.ADVANCE}' ELSE '{SA.WEB_ORDER}' END
+                     ELSE {_arm(SA.TODAY_OPERATIONS)} END AS op,
+        CASE WHEN odd THEN {_arm([k[1] for k in SA.LEFT_OUT])} ELSE 1 END AS op_type,
+        CASE WHEN odd AND {_arm([k[2] or '' for k in SA.LEFT_OUT])} <> '' THEN {_arm([k[2] or '' for k in SA.LEFT_OUT])}
+             ELSE {_SITE} END AS site FROM r),
+u AS (SELECT *, CASE
+        WHEN settled AND l_extendedprice <> 0 AND site <> '{SA.CLOSED_SITE}' AND op NOT IN ({_lst([SA.ADVANCE, *SA.NOT_SALES])})
+          AND op_type NOT IN (91, 92) THEN CASE WHEN l_linenumber % 2 = 0 AND l_orderkey <> 0 THEN 'a' ELSE 'b' END
+        WHEN settled THEN NULL
+        WHEN before AND l_extendedprice <> 0 AND site <> '{SA.CLOSED_SITE}' AND op IN ({_lst(SA.OPEN_OPERATIONS)}) THEN 'c'
+        WHEN before OR op NOT IN ({_lst(SA.TODAY_OPERATIONS)}) THEN NULL
+        WHEN site = '{SA.WEB_SITE}' THEN 'e'
+        WHEN l_extendedprice <> 0 AND site <> '{SA.CLOSED_SITE}' THEN 'd' END AS branch FROM t),
+j AS (SELECT l.*, i.code, i.family, i.group_name, i.model, i.cost,
         c.c_name, c.c_nationkey, n.n_name, s.s_name, lk.*,
-        CASE WHEN l_shipdate < TIMESTAMP '2001-01-01' THEN
-               CASE WHEN l_linestatus = 'F' AND l_linenumber % 2 = 0 THEN 'a' WHEN l_linestatus = 'F' THEN 'b'
-                    WHEN o_orderstatus = 'O' THEN 'c' END
-             ELSE CASE WHEN l_suppkey % 6 <> 0 THEN 'd' ELSE 'e' END END AS branch,
         CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS sgn,
-        o.o_custkey % {SA.HOUSE_ACCOUNT_MOD} = 0 AS house,
+        l.o_custkey % {SA.HOUSE_ACCOUNT_MOD} = 0 AS house,
         coalesce(CAST(lk.lk_date AS DATE), CAST(l.l_shipdate AS DATE)) AS sdate,
         CAST(l_extendedprice AS DECIMAL(15,2)) AS ext,
         CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2))) AS tot,
         CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(15,2)) AS dsc,
-        ({_SITE} IN ({_lst(SA.WEB_SELLER_SITES)}) OR s.s_name IS NULL) AS web_seller,
+        (l.site IN ({_lst(SA.WEB_SELLER_SITES)}) OR s.s_name IS NULL) AS web_seller,
         {_COMPANY} AS company
-      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-      JOIN items i ON l.l_partkey = i.item_key
-      LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+      FROM u l JOIN items i ON l.l_partkey = i.item_key
+      LEFT JOIN customer c ON l.o_custkey = c.c_custkey
       LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
       LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-      LEFT JOIN lk ON l.l_orderkey = lk.lk_key AND o.o_custkey = lk.lk_cust),
+      LEFT JOIN lk ON l.l_orderkey = lk.lk_key AND l.o_custkey = lk.lk_cust WHERE l.branch IS NOT NULL),
 k AS (SELECT *, CASE WHEN branch = 'b' OR l_returnflag = 'R' THEN 'S' || CAST(l_suppkey AS VARCHAR)
                      ELSE 'N' || CAST(c_nationkey AS VARCHAR) END AS cpty
-      FROM j WHERE branch IS NOT NULL AND (branch = 'e' OR l_extendedprice <> 0))
+      FROM j)
 SELECT company,
   CASE branch {" ".join(f"WHEN '{a}' THEN '{b}'" for a, b in SA.OPERATION.items())} END AS operation,
   l_orderkey AS op_number, sdate AS sale_date,

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import zero_pad
+from ..operators.exclusions import Rule, keep
 from ..sources import read_table
 
 _FRAMES: dict = {}
 
 
-def _landed(fn):
-    """Store-side roles arrive in production as landed exports. Build the
+def landed(fn):
+    """Extracts and store-side roles arrive in production as landed exports. Build the
     binding once per (session, table folder), write it as Parquet to the
     shared checkpoint folder and read it back: every query then scans the
     landed snapshot instead of re-deriving it, and the lineage is cut on
@@ -82,17 +83,25 @@ SIZED_FAMILIES = ["AN", "AL"]
 CHANNEL_CUTOFF = "1999-06-01"
 # Sites whose stock the item extracts leave out (the "four sites" set).
 OTHER_SITES = ["S4", "S5"]
+FINISHED_GROUP = "PA"
+ITEM_RULES = [Rule("finished", "goods_group", "eq", FINISHED_GROUP)]
+# Subgroups of a group, and colour codes that items carry (25 of them known).
+SUBGROUPS, COLOUR_CODES = 7, 30
 # ---------------------------------------------------------------------------
 
 
 @_per_session
-def items(spark: SparkSession, d: str) -> DataFrame:
-    """Item master role (sljpro) from ``part``."""
+def erp_items(spark: SparkSession, d: str) -> DataFrame:
+    """The whole item table (sljpro): finished goods from ``part``; raw
+    materials and services, which no extract wants, from ``supplier``."""
     p = read_table(spark, d, "part")
     family = (F.when(F.col("p_name").endswith(" ring"), "AN")
               .when(F.col("p_name").endswith(" rod"), "AL").otherwise("PX"))
-    return p.select(
-        F.col("p_partkey").alias("item_key"),
+    sized = family.isin(SIZED_FAMILIES)
+    key = F.col("p_partkey")
+    price = F.round(F.col("p_retailprice").cast("decimal(12,2)") * F.col("p_size"), 2).cast("double")
+    goods = p.select(
+        key.alias("item_key"),
         F.concat(family, zero_pad("p_partkey", 6)).alias("code"),
         family.alias("family"),
         F.when(family == "AN", "RING").when(family == "AL", "BAND").otherwise(F.col("p_type")).alias("group_name"),
@@ -103,9 +112,68 @@ def items(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("p_type").isin(SILVER_TYPES), "SILVER").otherwise("GOLD").alias("metal"),
         (F.col("p_size") % 3 == 0).alias("orderable"),
         (F.col("p_size") % 5 != 0).alias("active"),
-        F.round(F.col("p_retailprice").cast("decimal(12,2)") * F.col("p_size"), 2).cast("double").alias("price"),
+        price.alias("price"),
         F.col("p_retailprice").alias("cost"),
-    )
+        # codes of the dimensions and the other attributes of the item card
+        F.when(sized, family).otherwise(F.col("p_type")).alias("group_code"),
+        F.concat(F.lit("G"), (F.col("p_size") % SUBGROUPS).cast("string")).alias("subgroup_code"),
+        F.lpad((key % COLOUR_CODES).cast("string"), 2, "0").alias("colour_code"),
+        F.concat(F.lit("N"), (key % 4).cast("string")).alias("sub_level"),
+        F.concat(F.lit("T"), (F.col("p_size") % 4).cast("string")).alias("price_table"),
+        F.when(sized, F.lit("")).otherwise(F.col("p_size").cast("string")).alias("size_label"),
+        F.concat(F.lit("Ref. "), F.col("p_brand")).alias("note_1"),
+        F.when(key % 6 != 0, F.concat(F.lit("Lot "), (key % 100).cast("string"))).alias("note_2"),
+        F.concat(F.lit("C"), (key % 3).cast("string")).alias("class_code"),
+        F.substring("p_type", 1, 3).alias("line_code"),
+        F.lit(FINISHED_GROUP).alias("goods_group"))
+    s = read_table(spark, d, "supplier")
+    raw = s.select(
+        (-F.col("s_suppkey")).alias("item_key"), F.concat(F.lit("MP"), zero_pad("s_suppkey", 6)).alias("code"),
+        F.lit("MP").alias("family"), F.lit("RAW").alias("group_name"), F.lit("Brand#1").alias("model"),
+        F.col("s_name").alias("description"), F.lit("RAW").alias("type"), F.lit(0).cast("bigint").alias("size"),
+        F.lit("GOLD").alias("metal"), F.lit(True).alias("orderable"), F.lit(True).alias("active"),
+        F.col("s_acctbal").alias("price"), F.col("s_acctbal").alias("cost"),
+        *[F.lit("").alias(c) for c in goods.columns[13:-1]],
+        F.when(F.col("s_acctbal") < 0, "SV").otherwise("MP").alias("goods_group"))
+    return goods.unionByName(raw)
+
+
+@_per_session
+def items(spark: SparkSession, d: str) -> DataFrame:
+    """Finished goods (F2): every ERP extract reads the items through this."""
+    return keep(erp_items(spark, d), ITEM_RULES, "finished")
+
+
+@_per_session
+def groups(spark: SparkSession, d: str) -> DataFrame:
+    """Group dimension (sljgru)."""
+    return erp_items(spark, d).select("group_code", F.col("group_name").alias("group_desc")).distinct()
+
+
+@_per_session
+def subgroups(spark: SparkSession, d: str) -> DataFrame:
+    """Subgroup dimension (sljsgru) with its composite key; the last subgroup of
+    each group has no row."""
+    pairs = erp_items(spark, d).select("group_code", "subgroup_code").distinct()
+    return (pairs.filter(F.col("subgroup_code") != f"G{SUBGROUPS - 1}")
+            .withColumn("subgroup_desc", F.concat_ws(" / ", "group_code", "subgroup_code")))
+
+
+@_per_session
+def colours(spark: SparkSession, d: str) -> DataFrame:
+    """Colour dimension (sljcor) from ``nation``; some item codes have no row."""
+    n = read_table(spark, d, "nation")
+    return n.select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("colour_code"), F.col("n_name").alias("colour_desc"))
+
+
+@_per_session
+def parties(spark: SparkSession, d: str) -> DataFrame:
+    """Party table (sljcli): customers, suppliers and accounts of nations."""
+    def side(name, prefix, key, label):
+        return read_table(spark, d, name).select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("party_id"),
+                                                 F.col(label).alias("name"))
+    return (side("customer", "C", "c_custkey", "c_name").unionByName(side("supplier", "S", "s_suppkey", "s_name"))
+            .unionByName(side("nation", "N", "n_nationkey", "n_name")))
 
 
 @_per_session
@@ -151,7 +219,7 @@ def site_warehouse_name(site):
     return case_map(site, {k: v[1] for k, v in SITE_WAREHOUSE.items()}, "")
 
 
-@_landed
+@landed
 def channel_levels(spark: SparkSession, d: str) -> DataFrame:
     """Store inventory levels (variant × location), flat.
 
@@ -199,13 +267,14 @@ def _times(price, factor: str):
     return F.round(price.cast("decimal(12,2)") * F.lit(factor).cast("decimal(3,1)"), 2).cast("double")
 
 
-@_landed
+@landed
 def channel_variants(spark: SparkSession, d: str) -> DataFrame:
     """Store variants (product_test_Sku): every item, sized families
     exploded to sizes 10–22. Price NULL for key % 50 = 0, ERP price × 1.1
     for key % 7 = 0, else the ERP price; list price NULL for key % 11 = 0,
-    ERP price where key % 3 <> 0, else ERP price × 1.2."""
-    it = items(spark, d)
+    ERP price where key % 3 <> 0, else ERP price × 1.2. The ERP price is the
+    item extract's, a whole number."""
+    it = items(spark, d).withColumn("price", F.col("price").cast("bigint").cast("double"))
     sized = F.col("family").isin(SIZED_FAMILIES)
     e = it.select("*", F.explode(F.when(sized, F.sequence(F.lit(SIZE_FIRST), F.lit(SIZE_LAST)))
                                  .otherwise(F.array(F.lit(None).cast("int")))).alias("size_code"))

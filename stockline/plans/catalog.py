@@ -26,13 +26,14 @@ PRICE_BANDS = {
 YES, NO = "Sim", "Nao"
 ACTIVE_TXT, INACTIVE_TXT = "Ativo", "Inativo"
 FINAL_ACTIVE, FINAL_INACTIVE = "ATIVO", "INATIVO"
-FINISHED_GROUP = "PA"
 COLLECTION_WORD = "COLLECTION"
 # ---- fixed values of the binding ------------------------------------------
 TAXONOMY = {"RING": "340", "BAND": "342", "LARGE": "339", "SMALL": "337", "PROMO": "336"}
 TAXONOMY_DEFAULT = "331"
 KEYWORD = "gear"
 PHOTO_BASE_URL = "https://photos.example/items/"
+# Documents that far apart are an item's texts in two languages.
+SECOND_TEXT = 100
 ACTIVE_EXCLUDED_MODELS = [f"Brand#{n}" for n in range(15, 26)]
 INACTIVE_EXCLUDED_MODELS = [f"Brand#{n}" for n in range(19, 26)]
 COMPOSITION_EXCLUDED = ["PX000007", "PX000011"]
@@ -46,10 +47,16 @@ def shop_stock(spark: SparkSession, d: str) -> DataFrame:
     return sl.groupBy("code").agg(F.sum("qty").cast("bigint").alias("stock_qty"))
 
 
-def _item_base(spark: SparkSession, d: str) -> DataFrame:
-    it = B.items(spark, d)
-    coll = B.collections(spark, d)
-    j = it.join(coll, "model", "inner").join(shop_stock(spark, d), "code", "left")
+def _item_base(spark: SparkSession, d: str, known_only: bool = False) -> DataFrame:
+    """Finished items with their dimensions: collection (inner), colour, group
+    and subgroup (left; inner with ``known_only``, J1, J2). The subgroup has a
+    composite key, joined as two equalities (J5)."""
+    how = "inner" if known_only else "left"
+    it = B.items(spark, d).drop("group_name")
+    j = (it.join(B.collections(spark, d), "model", "inner").join(B.colours(spark, d), "colour_code", how)
+         .join(B.groups(spark, d).withColumnRenamed("group_desc", "group_name"), "group_code", how)
+         .join(B.subgroups(spark, d), ["group_code", "subgroup_code"], how)
+         .join(shop_stock(spark, d), "code", "left"))
     stock = F.col("stock_qty")
     final = (F.when(F.col("orderable"), FINAL_ACTIVE).when(stock > 0, FINAL_ACTIVE).otherwise(FINAL_INACTIVE))
     return j.select(
@@ -66,43 +73,47 @@ def _item_base(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-MASTER_COLS = ["model", "group_name", "code", "description", "price_int", "price_band", "metal",
-               "orderable_text", "status_text", "stock", "final_status"]
+MASTER_COLS = ["model", "group_name", "subgroup_desc", "code", "description", "price_int", "price_band", "metal",
+               "colour_code", "colour_desc", "price_table", "note_1", "note_2", "orderable_text", "status_text",
+               "stock", "final_status"]
 
 
 def item_master(spark: SparkSession, d: str, sort: bool = True) -> DataFrame:
-    """Item master (E2): 11 columns, price > 1, sorted by model, group, code."""
+    """Item master (E2): 17 columns, price > 1, sorted by model, group, code."""
     out = _item_base(spark, d).filter(F.col("price") > 1).select(*MASTER_COLS)
     return out.orderBy("model", "group_name", "code") if sort else out
 
 
 def item_export_full(spark: SparkSession, d: str) -> DataFrame:
-    """Item master, full (E3): cost, markup, codes, photo URL, weight and
-    inclusion date; no price floor."""
-    b = _item_base(spark, d)
+    """Item master, full (E3): every dimension joined inner (J1), with cost,
+    markup, codes, photo URL, weight and inclusion date; no price floor."""
+    b = _item_base(spark, d, known_only=True)
     return b.select(
-        "model", "collection", F.col("family").alias("group_code"), "group_name",
-        F.col("type").alias("subgroup_code"), "code", "description",
+        "model", "collection", "group_code", "group_name", "subgroup_code", "subgroup_desc", "code", "description",
         F.round(F.try_divide(F.col("price"), F.col("cost")), 2).alias("markup"),
         F.round(F.col("cost"), 2).alias("cost"),
         F.round(F.col("price"), 0).cast("bigint").alias("price_dec"),
-        "price_band", F.lit(FINISHED_GROUP).alias("goods_group"), "metal",
+        "price_band", "goods_group", "metal", "colour_code", "colour_desc", "sub_level", "price_table", "size_label",
         F.concat(F.lit(PHOTO_BASE_URL), F.col("code"), F.lit(".JPG")).alias("photo_url"),
         "orderable_text", "status_text", "stock", "final_status",
         F.date_add(F.lit("1995-01-01").cast("date"), (F.col("item_key") % 3650).cast("int")).alias("inclusion_date"),
-        F.round(F.col("size") * F.lit(0.37), 2).alias("weight"),
+        F.round(F.col("size") * F.lit(0.37), 2).alias("weight"), "class_code", "line_code",
     )
 
 
 def item_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Item texts (E4): E2 + title, whole description text and its
-    language, composition."""
+    """Item texts (E4): E2 + titles and whole descriptions in two languages,
+    composition and cluster."""
     b = _item_base(spark, d).filter(F.col("price") > 1)
-    docs = read_table(spark, d, "documents").select(F.col("doc_id").alias("item_key"), "text", "lang")
-    j = b.join(docs, "item_key", "left")
+    docs = read_table(spark, d, "documents")
+    first = docs.select(F.col("doc_id").alias("item_key"), F.col("text").alias("description_text"), "lang")
+    second = docs.select((F.col("doc_id") - SECOND_TEXT).alias("item_key"), F.col("text").alias("description_text_2"),
+                         F.col("lang").alias("lang_2"))
+    j = b.join(first, "item_key", "left").join(second, "item_key", "left")
     return j.select(*MASTER_COLS, title_case(F.col("description")).alias("title"),
-                    F.col("text").alias("description_text"), "lang",
-                    F.concat_ws(" ", F.col("type"), F.col("metal")).alias("composition"))
+                    title_case(F.concat_ws(" ", "type", "description")).alias("title_2"),
+                    "description_text", "lang", "description_text_2", "lang_2",
+                    F.concat_ws(" ", F.col("type"), F.col("metal")).alias("composition"), F.col("sub_level").alias("cluster"))
 
 
 def item_seo(spark: SparkSession, d: str) -> DataFrame:

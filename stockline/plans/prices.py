@@ -20,7 +20,10 @@ def price_sides(variants: DataFrame) -> DataFrame:
 
 
 def erp_prices(items: DataFrame) -> DataFrame:
-    return items.filter(F.col("code") != "").select(F.col("code").alias("sku"), F.col("price").alias("erp_price"))
+    """ERP side: the price as the item extract has it, a whole number above 1."""
+    whole = F.col("price").cast("bigint").cast("double")
+    return (items.filter((F.col("code") != "") & (F.col("price") > 1))
+            .select(F.col("code").alias("sku"), whole.alias("erp_price")))
 
 
 def price_delta(variants: DataFrame, items: DataFrame) -> DataFrame:
