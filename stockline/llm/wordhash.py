@@ -1,15 +1,15 @@
 """Word hashes and packed rows for operators that compare word sequences.
 
 Words are runs of bytes other than blanks (``[^\\x20\\x09-\\x0D]+`` in UTF-8).
-Hashes are polynomials modulo 2**64 over prefix sums, so every word, and every
-window of words, costs a subtraction and a multiplication."""
+Hashes are polynomials modulo 2**64: of words over prefix sums of a slice of
+bytes, of windows of words by doubling, so that no table grows with the text."""
 
 from __future__ import annotations
 
 import numpy as np
 
 #: Bytes hashed together.
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, 9, 10, 11, 12, 13]] = True
@@ -23,9 +23,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-#: Powers kept by a Python worker for each base (32 MB with their inverses);
-#: longer inputs compute their own.
-KEPT_POWERS = 1 << 21
+#: Powers kept by a Python worker for a base (8 MB with their inverses); longer
+#: inputs (a word beyond a slice) compute their own.
+KEPT_POWERS = 1 << 19
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -56,6 +56,23 @@ def between(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) ->
     return (sums[end] - sums[start]) * powers(base, len(sums))[1][start]
 
 
+def window_hash(values: np.ndarray, k: int, base: int) -> np.ndarray:
+    """Hash of the k values from each place on, as ``between`` gives it."""
+    n = len(values) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, covered = np.zeros(n, np.uint64), 0
+    run, length = values.astype(np.uint64), 1  # runs of ``length`` values
+    while True:
+        if k & length:
+            out += run[covered:covered + n] * np.uint64(pow(base, covered, 1 << 64))
+            covered += length
+        if covered == k:
+            return out
+        run = run[:-length] + run[length:] * np.uint64(pow(base, length, 1 << 64))
+        length *= 2
+
+
 class Words:
     """Words of several texts: hash, text, and bytes span of each word."""
 
@@ -69,8 +86,8 @@ class Words:
         text_start = np.cumsum([0] + [len(e) + 1 for e in encoded])
         self.first = np.searchsorted(self.start, text_start)  # first word of each text, and the total
         self.n = np.diff(self.first)
-        self.text = np.repeat(np.arange(len(texts)), self.n)
-        self.place = np.arange(len(self.start)) - np.repeat(self.first[:-1], self.n)  # of a word in its text
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), self.n)
+        self.place = (np.arange(len(self.start)) - np.repeat(self.first[:-1], self.n)).astype(np.int32)  # of a word in its text
 
     @staticmethod
     def _cuts(data: np.ndarray):
@@ -96,8 +113,7 @@ class Words:
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First word (index) and hash of every run of ``k`` words of a text."""
         at = np.flatnonzero(self.place + k <= np.repeat(self.n, self.n))
-        sums = prefix_sums(self.hash, WORD_BASE)
-        return at, mix(between(sums, at, at + k, WORD_BASE))
+        return at, mix(window_hash(self.hash, k, WORD_BASE)[at])
 
 
 def part_of(h: np.ndarray, parts: int) -> np.ndarray:
