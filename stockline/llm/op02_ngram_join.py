@@ -7,7 +7,9 @@ Equal texts are one text from the first task on, so a group of copies is never
 compared with itself.
 
 1. Each task hashes the shingles of its distinct texts and sends them, packed
-   by hash range, to the part that counts in how many texts each occurs.
+   by hash range, to the part that counts in how many texts each occurs; there
+   is a part for each ``PART_BYTES`` of text (spark.sql.shuffle.partitions at
+   least), so that what a task holds does not follow that setting.
 2. The parts answer with the shingles that occur in two texts or more. A text
    orders its shingles rare first (frequency, then hash); those of one text
    only come first and match nothing. A text whose prefix, n - ceil(0.9 n) + 1
@@ -27,7 +29,9 @@ equal texts by their 64-bit hash.
 Defined results: null and wordless texts have no shingle and link with
 nothing, not even with each other; a text with fewer words than a shingle is one;
 repeated rows are copies; a null id takes part but is never a component id;
-ties do not arise (links are decided on integers); extra columns are ignored.
+ties do not arise (links are decided on integers); texts of any length are taken
+whole; an empty table gives an empty result; extra columns are ignored
+(``one_of_each`` keeps them, whatever their names).
 """
 
 from __future__ import annotations
@@ -41,8 +45,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, releasing, shuffle_partitions, text_slices, texts_of
 from .graph import components
-from .wordhash import Words, between, mix, part_of, prefix_sums, runs, unpack, WORD_BASE
+from .wordhash import WORD_BASE, Words, mix, part_of, runs, unpack
 
+#: Text whose shingles make a part, on average.
+PART_BYTES = 16 << 20
 CHUNK = 512
 CHUNK_SHINGLES = 1_000_000
 SUFFIX_RANGES = 16
@@ -81,8 +87,10 @@ def _shingles(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     text = w.text[at]
     few = np.flatnonzero((w.n > 0) & (w.n < size))
     if len(few):
-        sums = prefix_sums(w.hash, WORD_BASE)
-        whole = mix(between(sums, w.first[few], w.first[few + 1], WORD_BASE) + w.n[few].astype(np.uint64))
+        ends = np.append(w.hash, np.zeros(size, np.uint64))  # words past a short text count as nothing
+        whole = sum((np.where(j < w.n[few], ends[w.first[few] + j], 0) * np.uint64(pow(WORD_BASE, j, 1 << 64)) for j in range(size)),
+                    np.zeros(len(few), np.uint64))
+        whole = mix(whole + w.n[few].astype(np.uint64))
         h, text = np.concatenate([h, whole]), np.concatenate([text, few])
     order = np.argsort(h)
     h, text = h[order], text[order]
@@ -334,7 +342,8 @@ def _verify(group: pa.Table, rule: Rule) -> pa.Table:
 
 def shared_shingles(texts: DataFrame, rule: Rule = NGRAM_JOIN) -> DataFrame:
     """k, n, alone, shingles for every distinct text (k, text)."""
-    parts = shuffle_partitions(texts.sparkSession)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(shuffle_partitions(texts.sparkSession), -(-size // PART_BYTES))
     packed = texts.mapInArrow(lambda it: _pack_batches(it, parts, rule.shingle), PACKED)
     counted = packed.groupBy("part").applyInArrow(releasing(lambda g: _count_part(g, parts)), ANSWER)
     return counted.groupBy("bucket").applyInArrow(releasing(lambda g: _assemble(g, rule)), "k long, n long, alone long, shingles array<long>")
@@ -395,8 +404,9 @@ def one_of_each(docs: DataFrame, rule: Rule = NGRAM_JOIN) -> DataFrame:
     """Pipeline stage: of each component the row with the least id stays (one
     row of equal rows); rows without an id stay. Rows are told apart by id and
     text, so an id that stands for two texts loses only the linked one."""
-    lost = _members(docs, rule).filter("least < doc_id").select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct()
-    keyed = docs.select(*docs.columns, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_k"))
-    kept = keyed.join(lost, ["_id", "_k"], "left_anti")
-    named = kept.filter("_id IS NOT NULL").dropDuplicates(["_id", "_k"])
-    return named.unionByName(kept.filter("_id IS NULL")).select(docs.columns)
+    i, k = ("_" * max(map(len, docs.columns)) + c for c in ("id", "k"))  # longer than any name
+    lost = _members(docs, rule).filter("least < doc_id").select(F.col("doc_id").alias(i), F.col("k").alias(k)).distinct()
+    keyed = docs.select("*", F.col("doc_id").alias(i), F.xxhash64("text").alias(k))
+    kept = keyed.join(lost, [i, k], "left_anti")
+    named = kept.filter(F.col(i).isNotNull()).dropDuplicates([i, k])
+    return named.unionByName(kept.filter(F.col(i).isNull())).drop(i, k).select([f"`{c}`" for c in docs.columns])
