@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points, crc_mod, letters, text_slices, texts_of
+from .common import BLANKS, code_points, crc_mod, letters, text_slices, texts_of
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -34,6 +34,8 @@ SWITCH = 12.0
 #: A script belongs to a language that writes at least this share of its letters in it.
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
+#: Share of a text's characters that must be letters for its language to be told.
+LEAST_LETTERS = 0.1
 NOT_A_CANDIDATE = -60.0
 
 #: Blocks of the Unicode standard by script.
@@ -284,20 +286,30 @@ def held_out_languages(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFr
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
-    """Pipeline stage: the documents with a language (those without a letter
-    or text go). The columns of ``docs`` are kept; the mask is computed beside
-    the text, so nothing is shuffled."""
+def accepted(docs: DataFrame, model: LanguageModel | None = None, least: float = LEAST_LETTERS) -> DataFrame:
+    """Pipeline stage: the documents whose language can be told. A document goes
+    if its text has no letter, or if the letters of its spans are less than
+    ``least`` of its characters other than blanks (signs, numbers and markup
+    with a stray word). Without a model (no row is labelled) every text with
+    enough letters stays. The columns of ``docs`` are kept; the mask is computed
+    beside the text, so nothing is shuffled."""
     model = model or learn(docs)
     schema = docs.schema
 
     def keep(batches):
-        for batch in batches:
-            for part in text_slices([batch]):
-                found = _labelled_words(texts_of(part), model)
-                mask = np.zeros(part.num_rows, bool)
-                if found is not None:
-                    mask[np.unique(found[0])] = True
-                yield part.filter(pa.array(mask))
+        for part in text_slices(batches):
+            texts = texts_of(part)
+            found = _labelled_words(texts, model)
+            if found is not None:
+                in_spans = np.bincount(found[0], weights=found[2], minlength=len(texts))
+            else:
+                in_spans = np.array([_letters_of(t) for t in texts], float)
+            signs = np.array([len(t) - sum(map(t.count, BLANKS)) for t in texts], float)
+            yield part.filter(pa.array((in_spans > 0) & (in_spans >= least * signs)))
 
     return docs.mapInArrow(keep, schema)
+
+
+def _letters_of(text: str) -> int:
+    cps, _ = code_points([text])
+    return int(letters()[cps].sum())

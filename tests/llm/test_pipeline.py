@@ -18,6 +18,11 @@ def write(spark, folder, name, rows, schema):
     spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
 
 
+def lettered(text):
+    n = sum(c.isalpha() for c in text)
+    return n > 0 and n >= 0.1 * sum(c not in " \t\n\x0b\x0c\r" for c in text)
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import sentencepiece
     library = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
@@ -32,7 +37,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     write(spark, tmp_path, "benchmark", bench, "item_id long, text string")
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
 
-    docs = [(r[0], r[1]) for r in rows if any(c.isalpha() for c in r[1] or "")]
+    docs = [(r[0], r[1]) for r in rows if lettered(r[1] or "")]
     least = {i: c for i, _, c, _ in join_brute_force(docs)}
     docs = [(i, t) for i, t in docs if i is None or least[i] == i]
     cut = {i: (n, gone, kept) for i, n, gone, kept in repeats_brute_force(docs)}
@@ -77,6 +82,46 @@ def test_near_duplicates_by_five_words(spark):
     assert {i for i, _ in want} & {600, 601, 602, 603, 604, 605} == {600, 602, 603, 604}
 
 
+LANGUAGE_ROWS = [(1, "some words of a text", "en"), (2, "des mots d'un texte", "fr"), (3, "#" * 10_000 + " a", None), (4, None, "en"),
+                 (5, "", "en"), (6, "12 34 !?", "en"), (7, "日本語のテキスト", None), (8, "1234567 abc", None), (9, "x " * 60_000, None)]
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_language_stage(spark, labelled):
+    rows = [(i, t, lang if labelled else None) for i, t, lang in LANGUAGE_ROWS]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).withColumn("lang_pred", F.lit("x"))
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 7, 8, 9]
+
+
+CLASHING = ["n_words", "n_removed", "kept", "_bucket", "_id", "_k", "k", "n", "ids", "decoded", "n_tokens", "round_trip", "part",
+            "low", "h", "least", "root", "at", "c0", "c1", "_kept", "length", "start"]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_carry_columns_of_any_name(spark, stage):
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(1, f"one {passage}", "en"), (2, f"two {passage} three", "en"), (3, "a third text", None), (4, "A third text", "en"),
+            (5, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    extra = {c: F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in CLASHING}
+    function = dict(corpus_pipeline.STAGES)[stage]
+    plain = function(spark, docs, SF)
+    wide = function(spark, docs.withColumns(extra), SF)
+    carried = [c for c in CLASHING if stage != "encode" or c not in corpus_pipeline.ENCODED]
+    assert wide.columns == [*docs.columns, *carried, *plain.columns[3:]]
+    assert sorted(wide.select(plain.columns).collect(), key=str) == sorted(plain.collect(), key=str)
+    for r in wide.collect():
+        assert all(r[c] == f"{c} {r.doc_id}" for c in carried)
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_without_rows(spark, stage):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, n_chars int")
+    assert dict(corpus_pipeline.STAGES)[stage](spark, docs, SF).collect() == []
+
+
 def test_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "repeated_passages", "decontaminate", "encode"]
     assert corpus_pipeline.ORACLE_SQL is None
@@ -84,14 +129,14 @@ def test_stages():
 
 def test_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert set(SQL) <= names and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     r = con.sql(SQL[name])
     names, rows = r.columns, r.fetchall()
