@@ -1,22 +1,27 @@
 """Quality rules: base counts, then a hashed n-gram likelihood ratio.
 
 Two multinomials of unigrams and bigrams of lower-cased words are counted over
-the whole corpus: one of the trusted target (documents labelled good), one of
-all documents. A corpus of at most ``BUCKETS`` distinct n-grams is hashed to
-``BUCKETS`` buckets; in a larger one every n-gram, by its 64-bit hash, has its
-own counts, so the model grows with the corpus. The score of a document is the
-sum of log(target / raw) over its n-grams divided by their number; every
-document at or above the threshold passes. The threshold is the score that all
-but ``MISSED`` of the trusted documents reach when their own n-grams are taken
-off the target counts (a document does not vouch for itself); with a ``margin``
-it lies so many nats an n-gram below the mean score of the trusted documents.
-
-Only DataFrame functions are used. The counts are a table; n-grams are joined
-to it by a size-checked broadcast, else by a shuffle, and summed per document.
+the whole corpus, hashed to buckets: one of the trusted target (documents
+labelled good), one of all documents. The number of buckets is the power of two
+at or above 2^12 times the fourth root of the corpus's bytes, one rule for all
+sizes (2^18 for 2 MB, 2^20 for 1 GB, 2^24 for 100 TB), so the model grows with
+the corpus and stays small enough to be sent to every task. The score of a
+document is the sum of log(target / raw) over its n-grams divided by their
+number; every document at or above the threshold passes. The threshold is the
+score that all but ``MISSED`` of the trusted documents reach when their own
+n-grams are taken off the target counts (a document does not vouch for itself).
+
+Only DataFrame functions are used. Each task sums its n-grams by bucket before
+anything is shuffled, so a task sends a bucket once at most. Weights are whole
+numbers (2^-``FRACTION`` nats), so that sums do not depend on their order, and
+the threshold is an exact order statistic: the verdicts are the same however
+the rows are dealt.
 
 Defined results: null, empty or blank texts have no words, fail the base rule
-and score 0; repeated rows are judged one by one; without trusted documents
-all scores are 0 and only the base rule decides; extra columns are ignored.
+and score 0; repeated rows are judged one by one; texts of any length are taken
+whole; equal scores are on the same side of the threshold; without trusted
+documents all scores are 0 and only the base rule decides; an empty table gives
+an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, cut, small, words
 
-BUCKETS = 10_000
+#: Bits of the weights' fraction.
+FRACTION = 24
+#: Buckets up to which the model is broadcast (about 1.2 GB); 4 PB of text.
+BROADCAST_BUCKETS = 1 << 24
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 SMOOTHING = 1.0
@@ -68,68 +76,91 @@ def base_counts(docs: DataFrame) -> DataFrame:
             .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))))
 
 
-def _grams(docs: DataFrame, *keep: str) -> DataFrame:
-    """The columns ``keep``, n_w (words) and b, the hash of one unigram or
+def buckets_for(n_bytes: int) -> int:
+    """Buckets for a corpus: the power of two from 2^12 * n_bytes^(1/4) on."""
+    need, out = 4096 * max(n_bytes, 1) ** 0.25, 4096
+    while out < need:
+        out *= 2
+    return out
+
+
+def _grams(docs: DataFrame, size: int, *keep: str) -> DataFrame:
+    """The columns ``keep``, n_w (words) and b, the bucket of one unigram or
     bigram a row (null without words)."""
     low = docs.select(*keep, F.transform(words(F.col("text")), F.lower).alias("_l"))
     grams = low.select(*keep, F.size("_l").alias("n_w"), F.expr(
-        "concat(transform(_l, x -> xxhash64(x)), if(size(_l) >= 2, transform(sequence(1, size(_l) - 1), "
-        "i -> xxhash64(_l[i - 1], _l[i])), cast(array() as array<bigint>)))").alias("g"))
+        f"concat(transform(_l, x -> pmod(xxhash64(x), {size}L)), if(size(_l) >= 2, transform(sequence(1, size(_l) - 1), "
+        f"i -> pmod(xxhash64(_l[i - 1], _l[i]), {size}L)), cast(array() as array<bigint>)))").alias("g"))
     # explode_outer: explode would put size(g) > 0, with all of g in it, below the projections
     return grams.select(*keep, "n_w", F.explode_outer("g").alias("b"))
 
 
-def _bucket(size: int) -> Column:
-    """The n-gram itself, or its bucket while all of them fit into ``BUCKETS``."""
-    return F.pmod(F.col("b"), F.lit(BUCKETS)) if size == BUCKETS else F.col("b")
+def _whole(weight: Column) -> Column:
+    return F.round(weight * F.lit(float(1 << FRACTION))).cast("long")
 
 
-def weights(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, int]:
+def weights(docs: DataFrame, trusted: DataFrame, size: int) -> DataFrame:
     """b, target (count), rest (weight less the log of the target count) and
-    weight, log(target / raw), of each n-gram or bucket; none without a
-    target. Also the size of the model. ``trusted``: doc_id of the target."""
+    weight, log(target / raw) as a whole number, of each bucket in use; none
+    without a target. ``trusted``: doc_id of the target."""
     ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_t", F.lit(1)))
-    counts = cut(_grams(docs.join(ids, "doc_id", "left"), "_t").filter("b IS NOT NULL").groupBy("b")
+    counts = cut(_grams(docs.join(ids, "doc_id", "left"), size, "_t").filter("b IS NOT NULL").groupBy("b")
                  .agg(F.count("*").alias("raw"), F.count("_t").alias("target")))
-    size, raw, target = counts.agg(F.count("*"), F.sum("raw"), F.sum("target")).first()
-    size = max(size, BUCKETS)
-    if size == BUCKETS:
-        counts = counts.groupBy(_bucket(size).alias("b")).agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
         counts = counts.limit(0)
-    rest = F.log((raw or 0) + F.lit(SMOOTHING * size)) - F.log(F.lit((target or 0) + SMOOTHING * size)) - F.log(F.col("raw") + SMOOTHING)
-    return (counts.withColumn("rest", rest).withColumn("weight", F.log(F.col("target") + SMOOTHING) + F.col("rest"))
-            .select("b", "target", "rest", "weight")), size
+    rest = F.log(F.lit((raw or 0) + SMOOTHING * size)) - F.log(F.lit((target or 0) + SMOOTHING * size)) - F.log(F.col("raw") + SMOOTHING)
+    return (counts.withColumn("rest", rest).withColumn("weight", _whole(F.log(F.col("target") + SMOOTHING) + F.col("rest")))
+            .select("b", "target", "rest", "weight"))
+
+
+def _mean(total: Column, n: Column) -> Column:
+    return F.coalesce(total / n / float(1 << FRACTION), F.lit(0.0))
 
 
 def _scored(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
     """_k (hash of id and text) and score of every distinct row."""
-    grams = _grams(docs, "_k").select("_k", _bucket(size).alias("b"))
-    return (grams.join(small(table.select("b", "weight")), "b", "left").groupBy("_k")
-            .agg(F.coalesce(F.sum("weight") / F.count("b"), F.lit(0.0)).alias("score")))
+    grams = _grams(docs, size, "_k").select("_k", "b")
+    return (grams.join(small(table.select("b", "weight"), BROADCAST_BUCKETS), "b", "left").groupBy("_k")
+            .agg(_mean(F.sum("weight"), F.count("weight")).alias("score")))
 
 
 def _left_out(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
     """score of each document of the target as if it were none of it."""
-    own = _grams(docs, "_k").withColumn("b", _bucket(size)).groupBy("_k", "n_w", "b").agg(F.count("*").alias("n"))
-    weight = F.log(F.greatest(F.col("target") - F.col("n"), F.lit(0)) + SMOOTHING) + F.col("rest")
-    return (own.filter("n_w >= 10").join(small(table), "b").groupBy("_k")
-            .agg((F.sum(F.col("n") * weight) / F.sum("n")).alias("score")))
-
-
-def judge_quality(docs: DataFrame, trusted: DataFrame, margin: float | None = None) -> DataFrame:
+    own = _grams(docs, size, "_k").filter("n_w >= 10").groupBy("_k", "b").agg(F.count("*").alias("n"))
+    weight = _whole(F.log(F.greatest(F.col("target") - F.col("n"), F.lit(0)) + SMOOTHING) + F.col("rest"))
+    return (own.join(small(table.select("b", "target", "rest"), BROADCAST_BUCKETS), "b").groupBy("_k")
+            .agg(_mean(F.sum(F.col("n") * weight), F.sum("n")).alias("score")))
+
+
+def order_statistic(scores: DataFrame, part: float) -> float | None:
+    """The score that ``part`` of the rows lie below, exactly: the row at place
+    floor(part * n) of the sorted scores. An approximate percentile on either
+    side leaves a few of 10,000 rows to be sorted."""
+    n = scores.count()
+    if not n:
+        return None
+    place = int(part * n)
+    low, high = scores.agg(F.percentile_approx("score", F.array(*[F.lit(min(max(part + d, 0.0), 1.0)) for d in (-5e-4, 5e-4)]),
+                                               F.lit(10_000))).first()[0]
+    while True:
+        below, inside = scores.agg(F.count_if(F.col("score") < low), F.count_if(F.col("score").between(low, high))).first()
+        if below <= place < below + inside:
+            break
+        low, high = scores.agg(F.min("score"), F.max("score")).first()  # the percentile missed: sort them all
+    near = scores.filter(F.col("score").between(low, high)).orderBy("score").limit(place - below + 1)
+    return near.agg(F.max("score")).first()[0]
+
+
+def judge_quality(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, score and kept for every row of
     ``docs`` (doc_id, text). ``trusted``: doc_id of the trusted documents."""
     docs = docs.select("doc_id", "text").withColumn("_k", F.xxhash64("doc_id", "text"))
-    table, size = weights(docs, trusted)
+    size = buckets_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    table = cut(weights(docs, trusted, size))
     scores = cut(_scored(docs, table, size))
     ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct())
-    if margin is None:
-        left_out = _left_out(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["_k"]), table, size)
-        least = left_out.agg(F.percentile_approx("score", MISSED)).first()[0] or 0.0
-    else:
-        rows = docs.join(ids, "doc_id", "left_semi").filter(F.size(words(F.col("text"))) >= 10).select("_k")
-        mean = rows.join(scores, "_k").agg(F.avg("score")).first()[0]
-        least = (mean or 0.0) - margin
-    out = base_counts(docs).drop("w", "text").join(small(scores.select("_k", "score")), "_k", "left").drop("_k")
+    left_out = cut(_left_out(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["_k"]), table, size))
+    least = order_statistic(left_out, MISSED) or 0.0
+    out = base_counts(docs).drop("w", "text").join(small(scores), "_k", "left").drop("_k")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))
