@@ -352,6 +352,22 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
     return docs.mapInArrow(run, schema)
 
 
+def encode_and_decode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of a text column and the text that they stand for,
+    by one pass of one Python worker a task."""
+    new = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]
+    schema = T.StructType([*[f for f in docs.schema.fields if f.name not in (ids, decoded)], *new])
+
+    def run(batches):
+        model = piece_model(path)
+        for batch in text_slices(batches, column, 2_000_000):
+            kept = [n for n in batch.schema.names if n not in (ids, decoded)]
+            found = model.encode(batch.column(column))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), found, model.decode(found)], [*kept, ids, decoded])
+
+    return docs.mapInArrow(run, schema)
+
+
 def decode(docs: DataFrame, path: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """``docs`` with the text that a column of ids stands for."""
     schema = T.StructType([*[f for f in docs.schema.fields if f.name != column], T.StructField(column, T.StringType())])

@@ -46,7 +46,7 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = op3.decode(op3.encode(docs, path).select("doc_id", "ids"), path)
+    out = op3.encode_and_decode(docs, path)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
