@@ -359,7 +359,8 @@ SELECT variant_id, sku, erp_price, change FROM (
     SELECT variant_id, sku, erp_price, 'price' AS change, 0 AS src FROM price_delta
     UNION ALL SELECT variant_id, sku, erp_price, 'compare_at_price', 1 FROM compare_price_delta)) WHERE rn = 1""")
 q("feed_price", ["ring_price_feed"], """
-SELECT sku, variant_id, to_json({'id': variant_id, 'price': printf('%.2f', erp_price)}) AS payload FROM ring_price_feed""")
+SELECT sku, variant_id, to_json({'productId': product_id, 'variants': [{'id': variant_id, 'price': printf('%.2f', erp_price)}]})
+  AS payload FROM ring_price_feed""")
 _NORM = "coalesce(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '')"
 q("text_diff", [], f"""
 WITH s AS (SELECT doc_id AS sku, CASE WHEN doc_id % 11 = 0 THEN source || ' old' ELSE source END AS title,
@@ -473,7 +474,7 @@ q("cycle_diff", ["key_changes"], "SELECT * FROM key_changes WHERE change <> 'kee
 q("cycle_next_base", ["key_changes"], "SELECT order_key, status, price FROM key_changes WHERE change <> 'leave'")
 q("ledger_todo", ["items"], "SELECT code FROM items WHERE item_key % 4 <> 0 AND item_key % 9 <> 0")
 q("ledger_append", ["items"], """
-SELECT code FROM items WHERE item_key % 4 = 0 UNION ALL SELECT code FROM items WHERE item_key % 4 <> 0 AND item_key % 9 <> 0""")
+SELECT code FROM items WHERE item_key % 4 = 0 AND item_key % 9 <> 0 UNION ALL SELECT code FROM items WHERE item_key % 4 <> 0 AND item_key % 9 <> 0""")
 q("audit_log", ["stock_delta"], "SELECT *, '2024-01-01T00:00:00' AS run_ts FROM stock_delta")
 q("csv_roundtrip", ["channel_variants"], "SELECT * FROM channel_variants")
 
@@ -514,36 +515,52 @@ LEFT JOIN (VALUES {_RULES}) r(model, rate, on_order) ON r.model = i.model
 WHERE NOT coalesce(i.description LIKE '%{CP.EXCLUDED_TITLE_WORD}%', false)""")
 q("campaign_price", ["campaign_price"], "SELECT * FROM campaign_price")
 q("feed_campaign_price", ["campaign_price"], """
-SELECT variant_id, 'apply' AS mode, to_json({'id': variant_id, 'price': printf('%.2f', campaign_price),
-  'compareAtPrice': printf('%.2f', list_price)}) AS payload FROM campaign_price WHERE list_price IS NOT NULL
+SELECT variant_id, 'apply' AS mode, to_json({'input': {'id': variant_id, 'price': printf('%.2f', campaign_price)}}) AS payload
+FROM campaign_price WHERE list_price IS NOT NULL
 UNION ALL
-SELECT variant_id, 'restore', to_json({'id': variant_id, 'price': printf('%.2f', list_price)})
+SELECT variant_id, 'restore', to_json({'input': {'id': variant_id, 'price': printf('%.2f', list_price)}})
 FROM campaign_price WHERE list_price IS NOT NULL""")
 cte("metafield_cleanup", ["items"], """
 SELECT 'mf-' || CAST(item_key AS VARCHAR) || '-' || sfx AS metafield_id, 'prod-' || CAST(item_key AS VARCHAR) AS product_id,
   CASE sfx WHEN 'c' THEN 'composition' ELSE 'metal' END AS key
 FROM items, (VALUES ('c'), ('m')) k(sfx) WHERE item_key % 9 <> 0""")
 q("metafield_cleanup", ["metafield_cleanup"], "SELECT * FROM metafield_cleanup")
-q("feed_flags", ["flag_orderable", "channel_variants", "stock_by_site", "items", "badge_removal", "metafield_cleanup"], f"""
+cte("campaign_split", ["item_stats"], f"""
+SELECT item_key, NOT {_FIVE} AS tagged FROM item_stats WHERE total_inventory <> 0""")
+q("feed_flags", ["flag_orderable", "channel_variants", "stock_by_site", "items", "badge_removal", "metafield_cleanup", "campaign_split",
+                 "campaign_members", "item_stats"], f"""
 WITH fis AS (SELECT v.variant_id, CASE WHEN (NOT f.is_orderable AND v.inventory_quantity = 0)
                 OR (f.is_orderable AND v.inventory_quantity = {B.ORDERABLE_QTY}) THEN false ELSE true END AS in_stock
              FROM channel_variants v JOIN flag_orderable f ON v.variant_id = f.variant_id),
 fv AS (SELECT sku_2, sku, product_id FROM (SELECT *, row_number() OVER (PARTITION BY sku_2 ORDER BY sku) AS rn
        FROM channel_variants) WHERE rn = 1),
 rl AS (SELECT DISTINCT fv.product_id FROM (SELECT DISTINCT code FROM stock_by_site) c JOIN fv ON c.code = fv.sku_2),
+ip AS (SELECT *, 'prod-' || CAST(item_key AS VARCHAR) AS pid FROM items),
 u AS (SELECT variant_id AS owner_id, 'custom' AS namespace, 'orderable' AS key, 'boolean' AS type,
         CASE WHEN is_orderable THEN 'true' ELSE 'false' END AS value FROM flag_orderable
       UNION ALL SELECT variant_id, 'custom', 'in_stock', 'boolean', CASE WHEN in_stock THEN 'true' ELSE 'false' END FROM fis
       UNION ALL SELECT product_id, 'custom', 'ready_to_ship', 'boolean', 'true' FROM rl
-      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'composition', 'single_line_text_field', type FROM items
-      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'metal', 'single_line_text_field',
-                       upper(substr(metal, 1, 1)) || lower(substr(metal, 2)) FROM items
-      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'template_suffix', 'single_line_text_field',
-                       '{CP.TEMPLATE_SUFFIX}' FROM items
-      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'badges', 'list.single_line_text_field', '[]'
-                FROM badge_removal
+      UNION ALL SELECT pid, 'custom', 'composition', '{CP.LINE_TEXT}', type FROM ip
+      UNION ALL SELECT pid, 'custom', 'metal', '{CP.LINE_TEXT}', upper(substr(metal, 1, 1)) || lower(substr(metal, 2)) FROM ip
+      UNION ALL SELECT pid, 'custom', 'template_suffix', '{CP.LINE_TEXT}', '{CP.TEMPLATE_SUFFIX}' FROM ip
+      UNION ALL SELECT pid, 'custom', 'categoria', '{CP.LINE_TEXT}', group_name FROM ip
+      UNION ALL SELECT pid, 'custom', 'tags', 'tags', '{CP.TAG}' FROM ip
+      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'badges', '{CP.LIST_TEXT}', '[""]' FROM badge_removal
+      UNION ALL SELECT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'badges', '{CP.LIST_TEXT}', '["{CP.BADGE}"]'
+                FROM campaign_split WHERE tagged
+      UNION ALL SELECT product_id, 'custom', 'sale', 'boolean', 'true' FROM campaign_members
+      UNION ALL SELECT DISTINCT 'prod-' || CAST(item_key AS VARCHAR), 'custom', 'sale', 'boolean', 'false' FROM item_stats
+                WHERE 'prod-' || CAST(item_key AS VARCHAR) NOT IN (SELECT product_id FROM campaign_members)
       UNION ALL SELECT metafield_id, 'custom', 'metafield_delete', 'delete', product_id FROM metafield_cleanup)
-SELECT *, to_json({{'ownerId': owner_id, 'namespace': namespace, 'key': key, 'type': type, 'value': value}}) AS payload FROM u""")
+SELECT *, CASE
+  WHEN key IN ({_lst(CP.OWNER_UPDATES)}) THEN CAST(to_json({{'input': {{'metafields': [{{'namespace': namespace, 'key': key, 'type': type,
+    'value': value}}], 'id': owner_id}}}}) AS VARCHAR)
+  WHEN key = 'tags' THEN CAST(to_json({{'input': {{'id': owner_id, 'tags': value}}}}) AS VARCHAR)
+  ELSE CAST(to_json({{'ownerId': owner_id, 'namespace': namespace, 'key': key, 'type': type, 'value': value}}) AS VARCHAR) END AS payload
+FROM u""")
+q("feed_metafield_lookup", ["badge_removal"], """
+SELECT product_id, key, to_json({'id': product_id, 'key': key, 'name': 'custom'}) AS payload
+FROM (SELECT 'prod-' || CAST(item_key AS VARCHAR) AS product_id, unnest(['badges', 'sale']) AS key FROM badge_removal)""")
 
 
 # ------------------------------------------------------------------- sales ----
@@ -634,6 +651,9 @@ q("customer_class", [], f"""
 WITH c AS (SELECT c.c_custkey AS k, c.c_name, n.n_name,
              CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN '119' || CAST(c_custkey AS VARCHAR) || '.0'
                   ELSE CAST(5511900000000 + c_custkey AS VARCHAR) || '.0' END AS phone_raw,
+             'P' || CAST(c_nationkey AS VARCHAR) AS province_code, '{IN.COUNTRY}' AS country_code,
+             CASE WHEN length(CAST(c_custkey AS VARCHAR)) >= 8 THEN CAST(c_custkey AS VARCHAR)
+                  ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS zip,
              CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE 'Street ' || CAST(c_custkey AS VARCHAR) END AS address
            FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
 p AS (SELECT *, CASE WHEN phone_raw IS NULL THEN NULL
@@ -642,22 +662,39 @@ p AS (SELECT *, CASE WHEN phone_raw IS NULL THEN NULL
 r AS (SELECT *, coalesce(length(phone), 0) AS plen FROM p)
 SELECT 'C' || CAST(k AS VARCHAR) AS customer_id, {_T(x='fn')} AS first_name, {_T(x="split_part(c_name, '#', 2)")} AS last_name,
   lower({_T(x='fn')}) || CAST(k AS VARCHAR) || '@example.com' AS email, phone, CAST(plen AS BIGINT) AS phone_len, address,
-  {_T(x='n_name')} AS city,
+  {_T(x='n_name')} AS city, province_code, country_code, zip,
   CASE WHEN plen <= {IN.SHORT_PHONE_MAX} AND address IS NULL THEN '{IN.CUSTOMER_CLASSES[0]}'
        WHEN plen <= {IN.SHORT_PHONE_MAX} THEN '{IN.CUSTOMER_CLASSES[1]}'
        WHEN address IS NULL THEN '{IN.CUSTOMER_CLASSES[2]}' ELSE '{IN.CUSTOMER_CLASSES[3]}' END AS class
 FROM r""")
+def _own(x: str) -> str:
+    for found, written in IN.BRAND_CASING:
+        x = f"regexp_replace({x}, '(?i){found}', '{written}', 'g')"
+    return x
+
+
+_PLAIN = f"i.family NOT IN ({_lst(B.SIZED_FAMILIES)})"
 cte("intake_prepare", ["items"], f"""
-SELECT code, title, collection_id, CAST(to_json(coalesce(string_split(st, ' E '), CAST([] AS VARCHAR[]))) AS VARCHAR) AS stones,
-  CAST(coalesce(len(string_split(st, ' E ')), 0) AS BIGINT) AS stone_count, metal_title, family, item_key
-FROM (SELECT i.*, {_T(x='i.description')} AS title, {_T(x='i.metal')} AS metal_title,
+SELECT code, title, collection, collection_id, category, product_type,
+  CAST(to_json(coalesce(string_split(st, ' E '), CAST([] AS VARCHAR[]))) AS VARCHAR) AS stones,
+  CAST(coalesce(len(string_split(st, ' E ')), 0) AS BIGINT) AS stone_count, coating, metal_title, handle, category_id,
+  description_html, price_text, new_label AS size_label, n_listed, family, item_key
+FROM (SELECT i.*, {_own(_T(x='i.description'))} AS title, {_own(_T(x='i.model'))} AS collection, {_T(x='i.metal')} AS metal_title,
+        {_T(x='i.group_name')} AS category, {_T(x='i.type')} AS product_type,
+        {_T(x="(CASE WHEN i.item_key % 5 = 0 THEN 'gold bath' ELSE 'none' END)")} AS coating,
+        {_T(x="(replace(i.description, ' ', '-') || '-' || i.code)")} AS handle,
+        CASE i.group_name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.TAXONOMY.items())} ELSE '{C.TAXONOMY_DEFAULT}' END AS category_id,
+        '<p>' || i.description || '</p>' AS description_html, CAST(CAST(trunc(i.price) AS BIGINT) AS VARCHAR) AS price_text,
+        CASE WHEN {_PLAIN} AND i.item_key % 11 = 5 THEN CAST(i.size AS VARCHAR) ELSE '' END AS new_label,
+        CAST(CASE WHEN i.item_key % 13 < 2 THEN 2 + i.item_key % 13 ELSE 0 END AS INTEGER) AS n_listed,
         CASE WHEN c.model IS NULL THEN NULL ELSE 'col-' || split_part(c.model, '#', 2) END AS collection_id,
-        CASE WHEN i.item_key % 3 = 0 THEN NULL WHEN i.item_key % 3 = 1 THEN 'ruby' WHEN i.item_key % 20 < 10 THEN 'ruby E pearl' ELSE 'ruby E pearl E onyx' END AS st
+        CASE WHEN i.item_key % 3 = 0 THEN NULL WHEN i.item_key % 3 = 1 THEN 'Ruby' WHEN i.item_key % 20 < 10 THEN 'Ruby E Pearl'
+             ELSE 'Ruby E Pearl E Onyx' END AS st
       FROM items i LEFT JOIN (SELECT DISTINCT p_brand AS model FROM part) c ON i.model = c.model)""")
 q("intake_prepare", ["intake_prepare"], "SELECT * FROM intake_prepare")
 q("intake_new", ["intake_prepare", "channel_variants", "items"], f"""
 SELECT * FROM intake_prepare WHERE code NOT IN (SELECT sku_2 FROM channel_variants
-    WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> {IN.CHANNEL_MISSING_MOD})
+    WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> {B.MISSING_PRODUCT})
   AND code NOT IN (SELECT code FROM items WHERE NOT active)""")
 q("activation_plan", ["channel_variants"], f"""
 SELECT 'inv-' || sku AS inventory_item_id, sku, unnest([{_lst(IN.ACTIVATION_LOCATIONS)}]) AS location_id FROM channel_variants""")
@@ -668,7 +705,7 @@ SELECT phase, variant_sku, location_id, to_json({'reason': 'correction', 'name':
   'changes': {'delta': delta, 'inventoryItemId': inventory_item_id, 'locationId': location_id}}) AS payload
 FROM stock_change_set""")
 q("feed_delete", ["channel_variants", "items"], """
-SELECT product_id, to_json({'id': product_id}) AS payload FROM (SELECT DISTINCT product_id FROM channel_variants
+SELECT product_id, to_json({'input': {'id': product_id}}) AS payload FROM (SELECT DISTINCT product_id FROM channel_variants
   WHERE sku_2 IN (SELECT code FROM items WHERE NOT active))""")
 q("response_split", ["stock_change_set"], """
 SELECT variant_sku, location_id, CASE WHEN delta < -50 THEN 'rejected' ELSE 'applied' END AS status,
@@ -727,9 +764,10 @@ _STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 _CLEAN = f"CASE WHEN lower({_STRIP}) = 'nan' THEN '' ELSE coalesce({_STRIP}, '') END"
 cte("text_diff", [], SQL["text_diff"])
 q("feed_text", ["text_diff"], f"""
-SELECT sku, to_json({{'id': CAST(sku AS VARCHAR), 'title': {_CLEAN.format(x='new_title')},
-  'descriptionHtml': {_CLEAN.format(x='new_description')},
-  'metafield': {{'namespace': 'custom', 'key': 'composition', 'value': {_CLEAN.format(x='new_composition')}}}}}) AS payload
+SELECT sku, to_json({{'input': {{'id': 'prod-' || CAST(sku AS VARCHAR), 'title': {_CLEAN.format(x='new_title')},
+  'descriptionHtml': {_CLEAN.format(x='new_description')}}},
+  'metafields': [{{'ownerId': 'prod-' || CAST(sku AS VARCHAR), 'namespace': 'custom', 'key': 'composicao_text',
+    'type': 'multi_line_text_field', 'value': {_CLEAN.format(x='new_composition')}}}]}}) AS payload
 FROM text_diff""")
 q("feed_activation", ["channel_variants"], f"""
 SELECT inventory_item_id, to_json({{'inventoryItemId': inventory_item_id, 'tracked': true,
@@ -737,47 +775,79 @@ SELECT inventory_item_id, to_json({{'inventoryItemId': inventory_item_id, 'track
 FROM (SELECT inventory_item_id, list(location_id) AS locs FROM (
         SELECT DISTINCT 'inv-' || sku AS inventory_item_id, unnest([{_lst(IN.ACTIVATION_LOCATIONS)}]) AS location_id
         FROM channel_variants) GROUP BY inventory_item_id)""")
-_BASE = "'firstName': first_name, 'lastName': last_name, 'email': email"
-_ADDR = "'addresses': [{'address1': address, 'city': city}]"
+_CONSENT = f"{{'marketingState': '{FD.CONSENT[0]}', 'marketingOptInLevel': '{FD.CONSENT[1]}'}}"
+_BASE = f"'firstName': first_name, 'lastName': last_name, 'email': email, 'emailMarketingConsent': {_CONSENT}"
+_ADDR = ("'addresses': {'address1': address, 'city': city, 'provinceCode': province_code, 'countryCode': country_code, 'zip': zip}")
+_PHONE = f"'phone': phone, 'smsMarketingConsent': {_CONSENT}"
+_CODE = (f"'metafields': {{'key': '{FD.CLIENT_CODE}', 'type': '{FD.LINE_TEXT}', 'value': customer_id, "
+         f"'namespace': '{FD.NAMESPACE}'}}")
 cte("customer_class", [], SQL["customer_class"])
 q("feed_customer", ["customer_class"], f"""
 SELECT customer_id, class, CASE
-  WHEN class = 'complete' THEN to_json({{{_BASE}, 'phone': phone, {_ADDR}}})
-  WHEN class = 'no_address' THEN to_json({{{_BASE}, 'phone': phone}})
-  WHEN class = 'no_phone' THEN to_json({{{_BASE}, {_ADDR}}})
-  ELSE to_json({{{_BASE}}}) END AS payload
+  WHEN class = 'complete' THEN to_json({{'input': {{{_BASE}, {_ADDR}, {_PHONE}, {_CODE}}}}})
+  WHEN class = 'no_address' THEN to_json({{'input': {{{_BASE}, {_PHONE}, {_CODE}}}}})
+  WHEN class = 'no_phone' THEN to_json({{'input': {{{_BASE}, {_ADDR}, {_CODE}}}}})
+  ELSE to_json({{'input': {{{_BASE}, {_CODE}}}}}) END AS payload
 FROM customer_class""")
+q("feed_customer_delete", ["customer_class"], """
+SELECT customer_id, to_json({'input': {'id': customer_id}}) AS payload FROM customer_class WHERE class = 'no_phone_no_address'""")
 _CARE = "CASE upper(metal_title) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FD.CARE_TEXT.items()) + " ELSE '' END"
-_META = ("[{{'key': 'genero', 'value': 'unisex'}}, {{'key': 'metal', 'value': metal_title}}, "
-         "{{'key': 'cobertura', 'value': 'none'}}, {{'key': 'pedra', 'value': CAST(to_json({pick}) AS VARCHAR)}}, "
-         "{{'key': 'cuidadospeca', 'value': " + _CARE.replace("{", "{{").replace("}", "}}") + "}}]")
+
+def _meta(pick: str) -> str:
+    def field(key, kind, value):
+        return f"{{'key': '{key}', 'namespace': '{FD.NAMESPACE}', 'type': '{kind}', 'value': {value}}}"
+    stone = field("pedra", FD.LIST_TEXT, f"'[\"' || array_to_string({pick}, '\", \"') || '\"]'")
+    first = [field("genero", FD.LIST_TEXT, f"'[\"{FD.GENDER}\"]'"), field("metal", FD.LINE_TEXT, "metal_title"),
+             field("cobertura", FD.LINE_TEXT, "coating")]
+    care = field("cuidadospeca", FD.LONG_TEXT, _CARE)
+    return f"(CASE WHEN len({pick}) > 0 THEN [{', '.join([*first, stone, care])}] ELSE [{', '.join([*first, care])}] END)"
+
+
+def _product(title: str, option: str | None, variants: str, meta: str | None) -> str:
+    return (f"CAST(to_json({{'input': {{'title': {title}, 'descriptionHtml': description_html, 'productCategory': "
+            f"{{'productTaxonomyNodeId': '{FD.CATEGORY_PREFIX}' || category_id}}, 'productType': product_type, "
+            f"'status': '{FD.PRODUCT_STATUS}', 'handle': handle, 'collectionsToJoin': ['{FD.FIXED_COLLECTION}', collection_id], "
+            f"'seo': {{'title': {title}}}, " + (f"'options': {option}, " if option else "") + f"'variants': {variants}"
+            + (f", 'metafields': {meta}" if meta else "") + "}}) AS VARCHAR)")
+
+
 cte("intake_new", ["intake_prepare", "channel_variants", "items"], f"""
 SELECT *, from_json(stones, '["VARCHAR"]') AS sl FROM intake_prepare WHERE code NOT IN (SELECT sku_2 FROM channel_variants
-    WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> {IN.CHANNEL_MISSING_MOD})
+    WHERE CAST(split_part(product_id, '-', 2) AS BIGINT) % 10 <> {B.MISSING_PRODUCT})
   AND code NOT IN (SELECT code FROM items WHERE NOT active)""")
-_PICK = "CASE WHEN len(sl) = 0 THEN CAST([] AS VARCHAR[]) WHEN family = 'AN' AND len(sl) >= 2 THEN sl[1:2] ELSE sl[1:1] END"
-_SIZED = f"family IN ({_lst(B.SIZED_FAMILIES)})"
-_VARS = (f"CASE WHEN {_SIZED} THEN list_transform(range({B.SIZE_FIRST}, {B.SIZE_LAST + 1}), "
-         "lambda n: {'sku': code || '-' || CAST(n AS VARCHAR), 'option': CAST(n AS VARCHAR)}) "
-         "ELSE [{'sku': code, 'option': 'Default Title'}] END")
+_SHAPE_VARIANTS = {
+    "sizes": (f"list_transform(range({B.SIZE_FIRST}, {B.SIZE_LAST + 1}), lambda n: {{'sku': code || '-' || CAST(n AS VARCHAR), "
+              "'price': price_text, 'options': CAST(n AS VARCHAR)})"),
+    "label": "[{'sku': code, 'price': price_text, 'options': size_label}]", "plain": "[{'sku': code, 'price': price_text}]"}
+_arms = [(name, fits, _product("title", f"'{option}'" if option else None, _SHAPE_VARIANTS[kind], _meta(f"sl[1:{stones}]")))
+         for name, fits, option, kind, stones in FD.SHAPES]
 q("feed_create", ["intake_new"], f"""
-SELECT code, CASE WHEN {_SIZED}
-  THEN to_json({{'title': title, 'status': '{FD.PRODUCT_STATUS}', 'collections': ['{FD.FIXED_COLLECTION}', collection_id],
-                 'option': 'Size', 'variants': {_VARS}, 'metafields': {_META.format(pick=_PICK)}}})
-  ELSE to_json({{'title': title, 'status': '{FD.PRODUCT_STATUS}', 'collections': ['{FD.FIXED_COLLECTION}', collection_id],
-                 'variants': {_VARS}, 'metafields': {_META.format(pick=_PICK)}}}) END AS payload
+SELECT code, CASE {" ".join(f"WHEN {fits} THEN '{name}'" for name, fits, _ in _arms)} END AS shape,
+  CASE {" ".join(f"WHEN {fits} THEN {body}" for _, fits, body in _arms)} END AS payload
 FROM intake_new""")
 _L = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 _LET = (f"CASE item_key % 4 WHEN 0 THEN {_L(FD.LETTERS_ALL)} WHEN 1 THEN {_L(FD.LETTERS_23)} "
         f"WHEN 2 THEN {_L(FD.LETTERS_8A)} ELSE {_L(FD.LETTERS_8B)} END")
-_EMPTY_META = "CAST([] AS STRUCT(key VARCHAR, value VARCHAR)[])"
+_LETTERED = f"list_transform({_LET}, lambda x: {{'sku': code, 'price': price_text, 'options': x}})"
 q("feed_create_letters", ["intake_new"], f"""
-SELECT code, CAST(len({_LET}) AS BIGINT) AS n_variants,
-  to_json({{'title': title, 'status': '{FD.PRODUCT_STATUS}', 'option': 'Style',
-            'variants': list_transform({_LET}, lambda x: {{'sku': code, 'option': x}}),
-            'metafields': CASE WHEN item_key % 4 <= 1 THEN {_META.format(pick="sl[1:1]")} ELSE {_EMPTY_META} END}}) AS payload
+SELECT code, CAST(len({_LET}) AS BIGINT) AS n_variants, CASE
+  WHEN item_key % 4 <= 1 THEN {_product("title", "'Style'", _LETTERED, _meta("sl[1:1]"))}
+  ELSE {_product("title", "'Style'", _LETTERED, None)} END AS payload
 FROM intake_new""")
-
+_LISTING = (f"list_transform(list_slice({_L(IN.LISTED_SIZES)}, 1, n_listed), "
+            "lambda x: {'sku': code || '-' || x, 'price': price_text, 'options': x})")
+q("feed_create_listed", ["intake_new"], f"""
+SELECT code, n_listed, {_product("split_part(title || ' - ' || product_type, ' - ', 1)", "'Size'", _LISTING,
+                                 _meta("sl[1:CASE WHEN stone_count = 2 THEN 2 ELSE least(1, stone_count) END]"))} AS payload
+FROM intake_new WHERE n_listed > 0""")
+
+q("cycle_bucketed", ["key_changes"], "SELECT order_key, status, price FROM key_changes WHERE change <> 'leave'")
+q("outbox_loop", ["stock_change_set"], """
+SELECT variant_sku || '@' || location_id AS key,
+  CAST(CASE WHEN delta < -50 THEN 3 WHEN delta % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+  CASE WHEN delta < -50 THEN 'dead' ELSE 'done' END AS state,
+  CASE WHEN delta < -50 OR delta % 3 = 0 THEN 'Quantity below limit' END AS message
+FROM (SELECT DISTINCT variant_sku, location_id, inventory_item_id, delta FROM stock_change_set)""")
 q("stream_cycle", ["key_changes"], "SELECT order_key, status, price FROM key_changes WHERE change <> 'leave'")
 
 

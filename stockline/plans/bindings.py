@@ -297,3 +297,16 @@ def channel_variants(spark: SparkSession, d: str) -> DataFrame:
         (k % 4).cast("bigint").alias("media_count"),
         F.col("code").alias("sku_2"),
     )
+
+
+#: Size whose variants the store lacks, and products it lacks (key % 10).
+MISSING_SIZE, MISSING_PRODUCT = "22", 3
+
+
+@_per_session
+def store_index(spark: SparkSession, d: str) -> DataFrame:
+    """Every store variant with the marks that lookups read: whether the
+    store's product list has its product, and its size list the variant."""
+    key = F.substring_index("product_id", "-", -1).cast("bigint")
+    return channel_variants(spark, d).withColumns({"in_products": key % 10 != MISSING_PRODUCT,
+                                                   "in_sizes": F.col("title") != MISSING_SIZE})

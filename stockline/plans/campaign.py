@@ -96,14 +96,14 @@ def campaign_price(spark: SparkSession, candidates: DataFrame, items: DataFrame)
 
 
 def feed_campaign_price(prices: DataFrame) -> DataFrame:
-    """Campaign price and restore payloads (P4), one row per mode."""
+    """Campaign price and restore payloads (P4), one row per mode, from one
+    pass over the prices."""
     p = prices.filter(F.col("list_price").isNotNull())
-    apply = p.select("variant_id", F.lit("apply").alias("mode"), F.to_json(F.struct(
-        F.col("variant_id").alias("id"), two_decimals(F.col("campaign_price")).alias("price"),
-        two_decimals(F.col("list_price")).alias("compareAtPrice"))).alias("payload"))
-    restore = p.select("variant_id", F.lit("restore").alias("mode"), F.to_json(F.struct(
-        F.col("variant_id").alias("id"), two_decimals(F.col("list_price")).alias("price"))).alias("payload"))
-    return apply.unionByName(restore)
+    modes = F.explode(F.array(F.struct(F.lit("apply").alias("mode"), two_decimals(F.col("campaign_price")).alias("price")),
+                              F.struct(F.lit("restore").alias("mode"), two_decimals(F.col("list_price")).alias("price"))))
+    p = p.select("variant_id", modes.alias("m")).select("variant_id", "m.mode", "m.price")
+    return p.select("variant_id", "mode", F.to_json(F.struct(
+        F.struct(F.col("variant_id").alias("id"), "price").alias("input"))).alias("payload"))
 
 
 def metafield_cleanup(metafields: DataFrame) -> DataFrame:
@@ -112,38 +112,77 @@ def metafield_cleanup(metafields: DataFrame) -> DataFrame:
     return first_per_key(m.select("metafield_id", "product_id", "key"), ["metafield_id"], ["product_id"])
 
 
-def flag_rows(owner: F.Column, key: str, value: F.Column, type_: str = "boolean") -> list:
-    return [owner.alias("owner_id"), F.lit("custom").alias("namespace"), F.lit(key).alias("key"),
-            F.lit(type_).alias("type"), value.alias("value")]
+TEMPLATE_SUFFIX = "product-custom"
+BADGE = "Entregamos antes do Natal"
+TAG = "Ouro_Branco_Diamantes"
+LINE_TEXT, LIST_TEXT = "single_line_text_field", "list.single_line_text_field"
+#: Keys whose payload is an update of the product that owns the field.
+OWNER_UPDATES = ["badges", "sale", "categoria"]
 
 
-TEMPLATE_SUFFIX = "product-custom"
+def _flag(owner: F.Column, key: str, kind: str, value: F.Column) -> F.Column:
+    return F.struct(owner.alias("owner_id"), F.lit("custom").alias("namespace"), F.lit(key).alias("key"), F.lit(kind).alias("type"),
+                    value.cast("string").alias("value"))
+
+
+def _flags(df: DataFrame, *flags: F.Column) -> DataFrame:
+    """The flags of every row of ``df``, in one pass over it."""
+    return df.select(F.explode(F.array(*flags)).alias("f")).select("f.*")
+
+
+def _truth(c: str) -> F.Column:
+    return F.when(F.col(c), "true").otherwise("false")
 
 
 def feed_flags(orderable: DataFrame, in_stock: DataFrame, ready: DataFrame, items: DataFrame,
-               badges: DataFrame | None = None, metafields: DataFrame | None = None) -> DataFrame:
+               badges: DataFrame | None = None, metafields: DataFrame | None = None,
+               tagged: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
     """One parametrised flag feed (P6–P8): (owner, namespace, key, type,
-    value) rows for orderable, in-stock and ready-to-ship flags (P6),
-    badge clear and metafield delete (P7), composition, metal and
-    template (P8), each with its payload."""
-    b = lambda c: F.when(c, "true").otherwise("false")
-    text = "single_line_text_field"
+    value) rows for orderable, in-stock and ready-to-ship flags and the sale
+    flag of products that join (``members``) or leave a campaign (P6), badges
+    set (``tagged``) and cleared and metafields deleted (P7), composition,
+    metal, template, category and tags (P8), each with its payload."""
+    variant, product = F.col("variant_id"), _product_id(F.col("item_key"))
     parts = [
-        orderable.select(*flag_rows(F.col("variant_id"), "orderable", b(F.col("is_orderable")))),
-        in_stock.select(*flag_rows(F.col("variant_id"), "in_stock", b(F.col("in_stock")))),
-        ready.select(*flag_rows(F.col("product_id"), "ready_to_ship", F.lit("true"))),
-        items.select(*flag_rows(_product_id(F.col("item_key")), "composition", F.col("type"), text)),
-        items.select(*flag_rows(_product_id(F.col("item_key")), "metal", F.initcap(F.col("metal")), text)),
-        items.select(*flag_rows(_product_id(F.col("item_key")), "template_suffix", F.lit(TEMPLATE_SUFFIX), text)),
+        _flags(orderable, _flag(variant, "orderable", "boolean", _truth("is_orderable"))),
+        _flags(in_stock, _flag(variant, "in_stock", "boolean", _truth("in_stock"))),
+        _flags(ready, _flag(F.col("product_id"), "ready_to_ship", "boolean", F.lit("true"))),
+        _flags(items, _flag(product, "composition", LINE_TEXT, F.col("type")),
+               _flag(product, "metal", LINE_TEXT, F.initcap("metal")),
+               _flag(product, "template_suffix", LINE_TEXT, F.lit(TEMPLATE_SUFFIX)),
+               _flag(product, "categoria", LINE_TEXT, F.col("group_name")), _flag(product, "tags", "tags", F.lit(TAG))),
     ]
     if badges is not None:
-        parts.append(badges.select(*flag_rows(_product_id(F.col("item_key")), "badges", F.lit("[]"),
-                                              "list.single_line_text_field")))
+        parts.append(_flags(badges, _flag(product, "badges", LIST_TEXT, F.lit('[""]'))))
+    if tagged is not None:
+        parts.append(_flags(tagged, _flag(product, "badges", LIST_TEXT, F.lit(f'["{BADGE}"]'))))
+    if members is not None:
+        parts.append(_flags(members, _flag(F.col("product_id"), "sale", "boolean", _truth("joins"))))
     if metafields is not None:
-        parts.append(metafields.select(*flag_rows(F.col("metafield_id"), "metafield_delete", F.col("product_id"),
-                                                  "delete")))
+        parts.append(_flags(metafields, _flag(F.col("metafield_id"), "metafield_delete", "delete", F.col("product_id"))))
     u = parts[0]
     for x in parts[1:]:
         u = u.unionByName(x)
-    payload = F.to_json(F.struct(F.col("owner_id").alias("ownerId"), "namespace", "key", "type", "value"))
+    field = F.struct("namespace", "key", "type", "value")
+    payload = (F.when(F.col("key").isin(OWNER_UPDATES), F.to_json(F.struct(F.struct(
+        F.array(field).alias("metafields"), F.col("owner_id").alias("id")).alias("input"))))
+        .when(F.col("key") == "tags", F.to_json(F.struct(F.struct(F.col("owner_id").alias("id"), F.col("value").alias("tags")).alias("input"))))
+        .otherwise(F.to_json(F.struct(F.col("owner_id").alias("ownerId"), "namespace", "key", "type", "value"))))
     return u.withColumn("payload", payload)
+
+
+def sale_changes(members: DataFrame, stats: DataFrame) -> DataFrame:
+    """Products of which the sale flag is set (campaign members) or removed
+    (products with stock statistics that are no members)."""
+    products = stats.select(_product_id(F.col("item_key")).alias("product_id")).distinct()
+    joins = members.select("product_id").distinct()
+    leaves = products.join(joins, "product_id", "left_anti")
+    return joins.withColumn("joins", F.lit(True)).unionByName(leaves.withColumn("joins", F.lit(False)))
+
+
+def feed_metafield_lookup(badges: DataFrame) -> DataFrame:
+    """Lookups of the metafields that a clean-up needs the id of."""
+    keys = F.explode(F.array(F.lit("badges"), F.lit("sale")))
+    p = badges.select(_product_id(F.col("item_key")).alias("product_id"), keys.alias("key"))
+    return p.select("product_id", "key", F.to_json(F.struct(
+        F.col("product_id").alias("id"), "key", F.lit("custom").alias("name"))).alias("payload"))

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from ..operators import key_changes, row_diff, row_diff_both
 from ..session import ensure_checkpoint_dir
-from ..sources import SnapshotStore, read_delimited, read_table, write_delimited
+from ..sources import BucketedBase, SnapshotStore, read_delimited, read_table, write_delimited
 from . import bindings as B
+from .feeds import first_error, response_of
 
 SNAPSHOT_KEYS = ["order_key"]
 
@@ -77,12 +78,47 @@ def run_cycle(store: SnapshotStore, today: DataFrame, outbox_path: str, keys=SNA
     return store.commit(cycle_next_base(today, base, keys), tag=None if tag is None else str(tag), version=nxt)
 
 
+def run_bucketed_cycle(base: BucketedBase, today: DataFrame, outbox_path: str, tag: str | None = None) -> list[int]:
+    """One scheduled cycle (S9, C3) over a base kept in buckets; the buckets it
+    rewrote. The join exchanges today's rows only; the changes go to the outbox
+    partition of the new version (overwritten by a retry), and the base's
+    changed buckets are made from it and their own old rows."""
+    if tag is not None and base.manifest.applied(str(tag)):
+        return []
+    out = f"{outbox_path.rstrip('/')}/version={base.version() + 1}"
+    key_changes(today, base.read(), base.keys).filter(F.col("change") != "keep").write.mode("overwrite").parquet(out)
+    changes = base.spark.read.parquet(out)
+    changed = sorted(r[0] for r in changes.select(base.bucket_of()).distinct().collect())  # at most one number a bucket
+    columns = base.schema.fieldNames()
+    stay = base.read(changed).join(changes.filter("change = 'leave'").select(*base.keys).distinct(), base.keys, "left_anti")
+    base.rewrite(stay.select(*columns).unionByName(changes.filter("change = 'enter'").select(*columns)), changed,
+                 tag=None if tag is None else str(tag))
+    return changed
+
+
+def bucketed_next_base(spark: SparkSession, d: str, buckets: int | None = None) -> DataFrame:
+    """Registered form: the binding's base is laid in buckets, today's cycle is
+    run over it and the committed base is read; equal to ``cycle_next_base``."""
+    today, old = snapshots(spark, d)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bucketed/{uuid.uuid4().hex}"
+    # with fewer buckets than shuffle partitions Spark would exchange both sides
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = BucketedBase(spark, f"{root}/base", today.schema, SNAPSHOT_KEYS, n)
+    run_bucketed_cycle(base, old, f"{root}/outbox", tag="1")
+    run_bucketed_cycle(base, today, f"{root}/outbox", tag="2")
+    return base.read()
+
+
 def ledger_sets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(input, done, failed) for the idempotent work list (binding): input
-    is every item code, done is key % 4 = 0, failed is key % 9 = 0."""
+    """(input, done, failed) for the idempotent work list: input is every item
+    code; done and failed are read from the landed responses to the codes that
+    were sent (binding: keys divisible by 4 or 9, the latter rejected)."""
     it = B.items(spark, d).select("code", "item_key")
-    return (it.select("code"), it.filter(F.col("item_key") % 4 == 0).select("code"),
-            it.filter(F.col("item_key") % 9 == 0).select("code"))
+    k = F.col("item_key")
+    answers = it.filter((k % 4 == 0) | (k % 9 == 0)).select("code", response_of(k % 9 == 0).alias("response"))
+    settled = answers.select("code", first_error(F.col("response")).alias("message"))
+    return (it.select("code"), settled.filter("message IS NULL").select("code"),
+            settled.filter("message IS NOT NULL").select("code"))
 
 
 def ledger_todo(todo_input: DataFrame, done: DataFrame, failed: DataFrame | None = None, key: str = "code") -> DataFrame:

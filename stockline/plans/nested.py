@@ -248,28 +248,27 @@ def lookup_ledger(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------------ lookups --
 def lookup_items(spark: SparkSession, d: str) -> DataFrame:
     """Product lookup (N6): every ERP item × its store variants with the
-    product's first image; items the store lacks get one explicit row
-    with status 'not in channel'. Products exist for key % 10 <> 3.
+    product's first image; items the store's product list lacks get one
+    explicit row with status 'not in channel'.
 
     The variants (many per code) are the streamed side of an inner join
     to the unique items, so a hot code can be split by AQE's skew join;
     items without variants come from an anti join against distinct codes."""
     it = B.items(spark, d).select("item_key", "code")
-    v = B.channel_variants(spark, d).filter(F.substring_index("product_id", "-", -1).cast("bigint") % 10 != 3)
-    prod = v.select(F.col("sku_2").alias("code"), "product_id", F.col("variant_id"), F.col("sku").alias("variant_sku"),
+    v = B.store_index(spark, d)
+    prod = v.select(F.col("sku_2").alias("code"), "in_products", "product_id", F.col("variant_id"), F.col("sku").alias("variant_sku"),
                     F.concat(F.lit("https://cdn.example/"), F.col("sku_2"), F.lit("-1.jpg")).alias("image_url"))
-    found = prod.join(it.select("code"), "code", "inner").withColumn("status", F.lit("found"))
-    missing = (it.select("code").join(prod.select("code").distinct(), "code", "left_anti")
+    listed = prod.withColumnRenamed("code", "store_code")
+    same = (F.col("code") == F.col("store_code")) & F.col("in_products")
+    found = (listed.join(it.select("code"), same, "inner").withColumn("status", F.lit("found"))
+             .select("code", "product_id", "variant_id", "variant_sku", "image_url", "status"))
+    missing = (it.select("code").join(listed.select("store_code", "in_products").distinct(), same, "left_anti")
                .select("code", *[F.lit(None).cast("string").alias(c) for c in
                                  ["product_id", "variant_id", "variant_sku", "image_url"]],
                        F.lit("not in channel").alias("status")))
     return found.unionByName(missing)
 
 
-#: Size whose variants the store lacks (binding).
-LOOKUP_MISSING_SIZE = "22"
-
-
 def lookup_sizes(spark: SparkSession, d: str, ledger: DataFrame | None = None) -> DataFrame:
     """Variant and inventory-item lookup over generated size codes (N7, N8):
     sized items not yet in the ledger × sizes 10–22, joined to store
@@ -279,8 +278,8 @@ def lookup_sizes(spark: SparkSession, d: str, ledger: DataFrame | None = None) -
         it = it.join(ledger.select("code"), "code", "left_anti")
     g = it.select("code", F.explode(F.sequence(F.lit(B.SIZE_FIRST), F.lit(B.SIZE_LAST))).alias("size"))
     g = g.withColumn("sku", F.concat(F.col("code"), F.lit("-"), F.col("size").cast("string")))
-    v = B.channel_variants(spark, d).filter(F.col("title") != LOOKUP_MISSING_SIZE).select("sku", "variant_id")
-    j = g.join(v, "sku", "left")
+    v = B.store_index(spark, d).select(F.col("sku").alias("store_sku"), "variant_id", "in_sizes")
+    j = g.join(v, (F.col("sku") == F.col("store_sku")) & F.col("in_sizes"), "left")
     return j.select("code", F.col("size").cast("bigint").alias("size"), "sku", "variant_id",
                     F.when(F.col("variant_id").isNotNull(), F.concat(F.lit("inv-"), F.col("sku"))).alias("inventory_item_id"),
                     F.col("variant_id").isNotNull().alias("found"))

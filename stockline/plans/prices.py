@@ -102,7 +102,8 @@ def price_change_priority(variants: DataFrame, items: DataFrame) -> DataFrame:
 
 def feed_price(changes: DataFrame) -> DataFrame:
     """Variant price payload (P3): price as fixed two-decimal text."""
-    payload = F.to_json(F.struct(F.col("variant_id").alias("id"), two_decimals(F.col("erp_price")).alias("price")))
+    variant = F.struct(F.col("variant_id").alias("id"), two_decimals(F.col("erp_price")).alias("price"))
+    payload = F.to_json(F.struct(F.col("product_id").alias("productId"), F.array(variant).alias("variants")))
     return changes.select("sku", "variant_id", payload.alias("payload"))
 
 

@@ -51,10 +51,13 @@ def text_diff(store: DataFrame, erp: DataFrame) -> DataFrame:
 
 
 def feed_text(diff: DataFrame) -> DataFrame:
-    """Title, description and composition payload (P5) with cleaned text."""
+    """Title, description and composition payload (P5) with cleaned text; the
+    composition is a metafield of the product."""
+    product = F.concat(F.lit("prod-"), F.col("sku").cast("string"))
     payload = F.to_json(F.struct(
-        F.col("sku").cast("string").alias("id"), clean_text(F.col("new_title")).alias("title"),
-        clean_text(F.col("new_description")).alias("descriptionHtml"),
-        F.struct(F.lit("custom").alias("namespace"), F.lit("composition").alias("key"),
-                 clean_text(F.col("new_composition")).alias("value")).alias("metafield")))
+        F.struct(product.alias("id"), clean_text(F.col("new_title")).alias("title"),
+                 clean_text(F.col("new_description")).alias("descriptionHtml")).alias("input"),
+        F.array(F.struct(product.alias("ownerId"), F.lit("custom").alias("namespace"), F.lit("composicao_text").alias("key"),
+                         F.lit("multi_line_text_field").alias("type"),
+                         clean_text(F.col("new_composition")).alias("value"))).alias("metafields")))
     return diff.select("sku", payload.alias("payload"))

@@ -14,6 +14,7 @@ from .plans import feeds as FD
 from .plans import flags as FL
 from .plans import intake as IN
 from .plans import nested as N
+from .plans import outbox as OB
 from .plans import prices as P
 from .plans import sales as SA
 from .plans import scalars as SC
@@ -85,6 +86,7 @@ register("row_diff")(lambda s, d: CY.cycle_row_diff(*CY.snapshots(s, d)))
 register("cycle_flags")(lambda s, d: CY.cycle_flags(*CY.snapshots(s, d)))
 register("cycle_diff")(lambda s, d: CY.cycle_diff(*CY.snapshots(s, d)))
 register("cycle_next_base")(lambda s, d: CY.cycle_next_base(*CY.snapshots(s, d)))
+register("cycle_bucketed")(CY.bucketed_next_base)
 register("ledger_todo")(lambda s, d: CY.ledger_todo(*CY.ledger_sets(s, d)))
 register("ledger_append")(lambda s, d: CY.ledger_append(
     CY.ledger_sets(s, d)[1], CY.ledger_todo(*CY.ledger_sets(s, d))))
@@ -106,7 +108,10 @@ register("feed_flags")(lambda s, d: CP.feed_flags(
     FL.flag_orderable(B.channel_levels(s, d)),
     FL.flag_in_stock(_V(s, d), FL.flag_orderable(B.channel_levels(s, d))),
     FL.ready_list(S.stock_by_site(s, d), _V(s, d)), B.items(s, d),
-    CP.badge_removal(CP.item_stock_ratio(s, d), B.items(s, d)), CP.metafield_cleanup(N.jsonl_metafields(s, d))))
+    CP.badge_removal(CP.item_stock_ratio(s, d), B.items(s, d)), CP.metafield_cleanup(N.jsonl_metafields(s, d)),
+    CP.campaign_split(CP.item_stock_ratio(s, d)).filter("tagged"),
+    CP.sale_changes(CP.campaign_members(s, d), CP.item_stock_ratio(s, d))))
+register("feed_metafield_lookup")(lambda s, d: CP.feed_metafield_lookup(CP.badge_removal(CP.item_stock_ratio(s, d), B.items(s, d))))
 
 # ------------------------------------------------------------------- sales ----
 register("sales_fact")(lambda s, d: SA.sales_fact(s, d))
@@ -122,6 +127,9 @@ register("feed_stock")(lambda s, d: FD.feed_stock(_CS(s, d)))
 register("feed_activation")(lambda s, d: FD.feed_activation(IN.activation_plan(_V(s, d))))
 register("feed_create")(lambda s, d: FD.feed_create(IN.intake_new(s, d)))
 register("feed_create_letters")(lambda s, d: FD.feed_create_letters(IN.intake_new(s, d)))
+register("feed_create_listed")(lambda s, d: FD.feed_create_listed(IN.intake_new(s, d), IN.LISTED_SIZES))
+register("feed_customer_delete")(lambda s, d: FD.feed_customer_delete(IN.customer_class(IN.customers(s, d))))
+register("outbox_loop")(lambda s, d: OB.outbox_loop(s, _CS(s, d)))
 register("feed_customer")(lambda s, d: FD.feed_customer(IN.customer_class(IN.customers(s, d))))
 register("feed_delete")(lambda s, d: FD.feed_delete(_V(s, d), B.items(s, d)))
 register("response_split")(lambda s, d: FD.response_split(FD.landed_responses(_CS(s, d))))

@@ -1,9 +1,10 @@
 """Sources and sinks: tables, delimited files, JSON Lines, landed API
 pages, versioned state, ledgers and audit logs."""
 
+from .bucketed import BucketedBase
 from .tables import read_table, read_jdbc
 from .files import read_delimited, write_delimited, read_jsonl, parse_json_lines
 from .state import SnapshotStore, append_ledger, write_audit
 
 __all__ = ["read_table", "read_jdbc", "read_delimited", "write_delimited", "read_jsonl",
-           "parse_json_lines", "SnapshotStore", "append_ledger", "write_audit"]
+           "parse_json_lines", "BucketedBase", "SnapshotStore", "append_ledger", "write_audit"]
