@@ -27,7 +27,7 @@ from .plans import flags as FL
 from .plans import intake as IN
 from .plans import prices as P
 from .plans import stock as S
-from .sources import SnapshotStore
+from .sources import SnapshotStore, read_jdbc_even
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,22 @@ def daily_feeds(x: Extracts) -> list[tuple[str, DataFrame]]:
     ]
 
 
+#: Relations that a run reads, and the key that cuts each into parts.
+RELATIONS = {"part": "p_partkey", "supplier": "s_suppkey", "lineitem": "l_orderkey", "orders": "o_orderkey",
+             "customer": "c_custkey", "nation": "n_nationkey"}
+
+
+def land_relations(spark: SparkSession, url: str, folder: str, parts: int = 64, properties: dict | None = None,
+                   relations: dict[str, str] | None = None, read=read_jdbc_even) -> list[str]:
+    """Extract the relations over JDBC, in parts of about equal size, and land
+    each as Parquet in ``folder``; the paths. A repeated run lands them anew."""
+    paths = []
+    for name, key in (relations or RELATIONS).items():
+        paths.append(f"{folder.rstrip('/')}/{name}.parquet")
+        read(spark, url, name, key, parts, properties).write.mode("overwrite").parquet(paths[-1])
+    return paths
+
+
 #: Feeds that send only rows that differ from the last run.
 DIFFED = ["flags"]
 
@@ -97,8 +113,11 @@ def main() -> None:
     ap.add_argument("--outbox", required=True)
     ap.add_argument("--run-ts", required=True)
     ap.add_argument("--state", required=True)
+    ap.add_argument("--jdbc-url", help="land the relations from this database in the tables folder first")
     a = ap.parse_args()
     spark = SparkSession.builder.appName("stockline-daily").getOrCreate()
+    if a.jdbc_url:
+        land_relations(spark, a.jdbc_url, a.tables)
     for p in daily_run(spark, bound_extracts(spark, a.tables), a.outbox, a.run_ts, a.state):
         print(p)
 

@@ -841,6 +841,32 @@ SELECT code, n_listed, {_product("split_part(title || ' - ' || product_type, ' -
                                  _meta("sl[1:CASE WHEN stone_count = 2 THEN 2 ELSE least(1, stone_count) END]"))} AS payload
 FROM intake_new WHERE n_listed > 0""")
 
+from .plans import pages as PG  # noqa: E402
+
+_CHAIN = f"""
+WITH k AS (SELECT 'customers' AS kind, c_custkey - (SELECT min(c_custkey) FROM customer) AS k FROM customer
+           UNION ALL SELECT 'members', item_key - (SELECT min(item_key) FROM items) FROM items
+           UNION ALL SELECT 'inventory', item_key - (SELECT min(item_key) FROM items) FROM items),
+p AS (SELECT kind, k // {PG.PAGE_ROWS} AS number, count(*) AS n FROM k GROUP BY 1, 2),
+l AS (SELECT *, kind = '{PG.LOST_PAGE[0]}' AND number = {PG.LOST_PAGE[1]} AS lost, max(number) OVER (PARTITION BY kind) AS last FROM p)"""
+q("page_chains", ["items"], _CHAIN + """
+SELECT kind, CAST(count(*) FILTER (NOT lost) AS BIGINT) AS pages, CAST(sum(n) FILTER (NOT lost) AS BIGINT) AS rows,
+  coalesce(string_agg(kind || '-' || CAST(number AS VARCHAR), ',' ORDER BY number) FILTER (lost), '') AS missing,
+  count(*) FILTER (lost) = 0 AS whole
+FROM l GROUP BY kind""")
+_LOST = f"(item_key - (SELECT min(item_key) FROM items)) // {PG.PAGE_ROWS} = {PG.LOST_PAGE[1]}"
+q("page_members", ["items"], f"""
+SELECT 'customers' AS kind, 'cust-' || CAST(c_custkey AS VARCHAR) AS id, c_name AS label,
+  'c' || CAST(c_custkey AS VARCHAR) || '@example.com' AS extra FROM customer
+UNION ALL SELECT 'members', 'prod-' || CAST(item_key AS VARCHAR), description, model FROM items
+UNION ALL SELECT 'inventory', 'inv-' || code, code, 'true' FROM items WHERE NOT ({_LOST})""")
+q("jsonl_quarantine", ["channel_variants"], """
+WITH l AS (SELECT product_id, inventory_quantity AS q, media_count AS m,
+  CAST(to_json({'variant_id': variant_id, 'product_id': product_id, 'quantity': inventory_quantity}) AS VARCHAR) AS line FROM channel_variants),
+b AS (SELECT product_id, CASE WHEN q = 3 AND m = 1 THEN substr(line, 1, 20)
+                              WHEN q = 4 AND m = 2 THEN replace(line, '"quantity":4', '"quantity":"four"') END AS bad FROM l)
+SELECT CASE WHEN bad IS NULL THEN 'read' ELSE 'broken' END AS status, coalesce(bad, product_id) AS what, count(*) AS n
+FROM b GROUP BY 1, 2""")
 q("cycle_bucketed", ["key_changes"], "SELECT order_key, status, price FROM key_changes WHERE change <> 'leave'")
 q("outbox_loop", ["stock_change_set"], """
 SELECT variant_sku || '@' || location_id AS key,

@@ -291,3 +291,25 @@ def ffill_events(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events").select(
         "user_id", "event_id", F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"))
     return ffill_by_key(ev, "user_id", "event_id", ["value"])
+
+
+def jsonl_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Registered form of the checked reader (S6): the store variants landed as
+    JSON Lines of which some are cut short or hold a text for a number; rows
+    read per product, and the broken lines set aside."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources import read_jsonl_checked
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarantine/{uuid.uuid4().hex}"
+    line = F.to_json(F.struct("variant_id", "product_id", F.col("inventory_quantity").alias("quantity")))
+    q = F.col("inventory_quantity")
+    landed = (F.when((q == 3) & (F.col("media_count") == 1), F.substring(line, 1, 20))
+              .when((q == 4) & (F.col("media_count") == 2), F.replace(line, F.lit('"quantity":4'), F.lit('"quantity":"four"'))).otherwise(line))
+    B.channel_variants(spark, d).select(landed.alias("value")).write.text(f"{root}/lines")
+    schema = T.StructType([T.StructField("variant_id", T.StringType()), T.StructField("product_id", T.StringType()),
+                           T.StructField("quantity", T.LongType())])
+    good = read_jsonl_checked(spark, f"{root}/lines", schema, f"{root}/bad", most_bad=0.5)
+    bad = spark.read.parquet(f"{root}/bad").select(F.lit("broken").alias("status"), F.col("line").alias("what"))
+    return (good.select(F.lit("read").alias("status"), F.col("product_id").alias("what")).unionByName(bad)
+            .groupBy("status", "what").agg(F.count("*").alias("n")))

@@ -222,12 +222,12 @@ def variant_stock_split(levels: DataFrame, marker: str = B.ORDERABLE_MARKER) ->
 
 def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
     """Report counts (A8, A9): rows, distinct codes and distinct refs of the
-    ERP extract and of the store levels, one row per source."""
-    s = stock_by_site(spark, d)
-    lv = B.channel_levels(spark, d)
-    a = s.agg(F.lit("erp").alias("source"), F.count(F.lit(1)).alias("n_rows"),
-              F.countDistinct("code").alias("n_codes"), F.countDistinct("ref").alias("n_refs"))
-    b = lv.agg(F.lit("store").alias("source"), F.count(F.lit(1)).alias("n_rows"),
-               F.countDistinct(F.substring_index("variant_sku", "-", 1)).alias("n_codes"),
-               F.countDistinct("variant_sku").alias("n_refs"))
-    return a.unionByName(b)
+    ERP extract and of the store levels, one row per source. Rows are counted
+    per (code, ref) first, so only one row of each is expanded for the two
+    distinct counts."""
+    def counts(source: str, df: DataFrame, code: F.Column, ref: str) -> DataFrame:
+        pairs = df.select(code.alias("code"), F.col(ref).alias("ref")).groupBy("code", "ref").agg(F.count("*").alias("n"))
+        return pairs.agg(F.lit(source).alias("source"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                         F.countDistinct("code").alias("n_codes"), F.countDistinct("ref").alias("n_refs"))
+    return counts("erp", stock_by_site(spark, d), F.col("code"), "ref").unionByName(
+        counts("store", B.channel_levels(spark, d), F.substring_index("variant_sku", "-", 1), "variant_sku"))

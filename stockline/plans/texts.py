@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean_text, collapse_ws
+from ..session import ensure_checkpoint_dir
 from ..sources import read_table
 
 
@@ -34,20 +35,47 @@ def _norm(x):
     return F.coalesce(collapse_ws(x), F.lit(""))
 
 
-def text_diff(store: DataFrame, erp: DataFrame) -> DataFrame:
+COLUMNS = ["title", "description", "composition"]
+#: Keys with a difference up to which they are broadcast to the texts (about 150 MB).
+BROADCAST_KEYS = 500_000
+
+
+def _prints(texts: DataFrame, side: str) -> DataFrame:
+    """sku, the 128-bit fingerprint of each normalised text and whether there
+    is any text: rows of a fixed size, whatever the texts' length."""
+    any_text = F.lit(False)
+    for c in COLUMNS:
+        any_text = any_text | F.col(c).isNotNull()
+    return texts.select("sku", *[F.unhex(F.md5(_norm(F.col(c)))).alias(f"{side}_{c}") for c in COLUMNS],
+                        any_text.alias(f"{side}_any"))
+
+
+def text_diff(store: DataFrame, erp: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Text diff (R9): store ⟕ ERP on sku; whitespace-normalised compare
     (T13: a missing text equals ''); keep rows with any difference and at
-    least one ERP text. Whole texts are compared, never prefixes."""
-    e = erp.select("sku", *[F.col(c).alias(f"erp_{c}") for c in ["title", "description", "composition"]])
-    j = store.join(e, "sku", "left")
-    flags = {c: _norm(F.col(c)) != _norm(F.col(f"erp_{c}")) for c in ["title", "description", "composition"]}
-    out = j.select("sku", "title", "description", "composition", *[flags[c].alias(f"{c}_diff") for c in flags],
-                   F.col("erp_title").alias("new_title"), F.col("erp_description").alias("new_description"),
-                   F.col("erp_composition").alias("new_composition"))
-    any_diff = F.col("title_diff") | F.col("description_diff") | F.col("composition_diff")
-    has_erp = (F.col("new_title").isNotNull() | F.col("new_description").isNotNull()
-               | F.col("new_composition").isNotNull())
-    return out.filter(any_diff & has_erp)
+    least one ERP text. Whole texts are compared, never prefixes.
+
+    The texts' fingerprints are joined first; whole texts are then read only for
+    the keys that differ: those keys are broadcast to both sides if their
+    checked number allows it, so that equal texts are never shuffled, else
+    joined by a shuffle. Fingerprints are part of the key, so repeated rows of a
+    sku meet as in the plain join."""
+    flags = {c: F.col(f"s_{c}") != F.col(f"e_{c}") for c in COLUMNS}
+    met = _prints(store, "s").join(_prints(erp, "e").filter("e_any"), "sku")
+    differing = met.filter(flags["title"] | flags["description"] | flags["composition"]).select(
+        "sku", *[f"{side}_{c}" for side in "se" for c in COLUMNS]).distinct()
+    ensure_checkpoint_dir(store.sparkSession)
+    differing = differing.checkpoint()
+    if differing.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        differing = F.broadcast(differing)
+
+    def whole(texts: DataFrame, side: str) -> DataFrame:
+        near = texts.join(differing.select("sku"), "sku", "left_semi")
+        return near.select("sku", *COLUMNS, *[F.unhex(F.md5(_norm(F.col(c)))).alias(f"{side}_{c}") for c in COLUMNS])
+
+    new = whole(erp, "e").select("sku", *[F.col(c).alias(f"new_{c}") for c in COLUMNS], *[f"e_{c}" for c in COLUMNS])
+    pairs = whole(store, "s").join(differing, ["sku", *[f"s_{c}" for c in COLUMNS]]).join(new, ["sku", *[f"e_{c}" for c in COLUMNS]])
+    return pairs.select("sku", *COLUMNS, *[flags[c].alias(f"{c}_diff") for c in COLUMNS], *[f"new_{c}" for c in COLUMNS])
 
 
 def feed_text(diff: DataFrame) -> DataFrame:

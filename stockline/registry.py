@@ -15,6 +15,7 @@ from .plans import flags as FL
 from .plans import intake as IN
 from .plans import nested as N
 from .plans import outbox as OB
+from .plans import pages as PG
 from .plans import prices as P
 from .plans import sales as SA
 from .plans import scalars as SC
@@ -78,6 +79,9 @@ for _n in ["jsonl_levels", "jsonl_variants", "jsonl_texts", "jsonl_metafields",
     register(_n)(getattr(N, _n))
 register("lookup_sizes_unseen")(lambda s, d: N.lookup_sizes(s, d, ledger=N.lookup_ledger(s, d)))
 register("page_limit")(lambda s, d: N.page_limit(s, d, first=PAGE_SIZE))
+register("jsonl_quarantine")(N.jsonl_quarantine)
+register("page_chains")(PG.page_chains)
+register("page_members")(PG.page_members)
 register("product_taxonomy")(N.product_taxonomy)
 register("ffill_by_key")(lambda s, d: N.ffill_events(s, d))
 

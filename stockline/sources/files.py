@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ";",
@@ -41,3 +41,38 @@ def parse_json_lines(lines: DataFrame, schema: StructType, col: str = "value") -
     responses, or lines produced inside a plan): ``from_json`` then
     expand the struct."""
     return lines.select(F.from_json(F.col(col), schema).alias("_j")).select("_j.*")
+
+
+class TooManyBadLines(ValueError):
+    """More lines could not be read than the run allows."""
+
+
+def read_jsonl_checked(spark: SparkSession, path: str, schema: StructType, quarantine: str | None = None,
+                       most_bad: float = 0.0) -> DataFrame:
+    """JSON Lines of which broken lines are set aside instead of lost.
+
+    A line that is no JSON of the declared types goes to the table
+    ``quarantine`` (file, block: start of the file's part that holds it, line)
+    and not into the result; blank lines are none of either. If more than the
+    share ``most_bad`` of the lines is broken, the run stops with
+    ``TooManyBadLines``, the broken lines being in the table by then."""
+    good, bad, n = split_json_lines(spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")), schema)
+    if quarantine is not None:
+        bad.write.mode("overwrite").parquet(quarantine)
+    counts = n.first()
+    if counts["bad"] > most_bad * (counts["good"] + counts["bad"]):
+        raise TooManyBadLines(f"{counts['bad']} of {counts['good'] + counts['bad']} lines of {path} are broken")
+    return good
+
+
+def split_json_lines(lines: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows of the lines that can be read, broken lines, one row with the
+    numbers of both) of lines with the columns value, file and block."""
+    marked = StructType([*schema.fields, StructField("_broken", StringType())])
+    parsed = lines.filter(F.trim("value") != "").withColumn("_j", F.from_json(
+        "value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    broken = F.col("_j").isNull() | F.col("_j._broken").isNotNull()
+    good = parsed.filter(~broken).select(*[F.col(f"_j.`{f.name}`").alias(f.name) for f in schema.fields])
+    bad = parsed.filter(broken).select("file", "block", F.col("value").alias("line"))
+    return good, bad, parsed.agg(F.count_if(~broken).alias("good"), F.count_if(broken).alias("bad"))
