@@ -51,7 +51,7 @@ def daily_feeds(x: Extracts) -> list[tuple[str, DataFrame]]:
     """(feed name, rows with a ``payload`` column) in apply order."""
     orderable = FL.flag_orderable(x.levels)
     return [
-        ("activation", FD.feed_activation(IN.activation_plan(x.variants))),
+        ("activation", FD.feed_activation(x.variants, IN.ACTIVATION_LOCATIONS)),
         ("stock", FD.feed_stock(S.stock_change_set(x.levels, x.erp_stock, x.orderables))),
         ("price", P.feed_price(P.ring_price_feed(x.variants, x.items, x.levels))),
         ("flags", CP.feed_flags(orderable, FL.flag_in_stock(x.variants, orderable),

@@ -78,13 +78,22 @@ def badge_removal(stats: DataFrame, items: DataFrame) -> DataFrame:
     return j.select("item_key", "orderable", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def campaign_price(spark: SparkSession, candidates: DataFrame, items: DataFrame) -> DataFrame:
-    """Campaign pricing (C8): a title keyword excludes; listed models get
-    their rate, others the default 10 % off the list price."""
-    rules = F.broadcast(spark.createDataFrame(CAMPAIGN_RULES, "model string, rate int, on_order string"))
-    c = candidates.join(items.select(F.col("code").alias("sku_2"), "model", "description"), "sku_2", "inner")
+def campaign_rules(items: DataFrame) -> DataFrame:
+    """The rule table of the campaign (binding): sku_2, rate and on_order of
+    every item of the models in ``CAMPAIGN_RULES``."""
+    listed = [F.when(F.col("model") == m, F.struct(F.lit(r).alias("rate"), F.lit(o).alias("on_order"))) for m, r, o in CAMPAIGN_RULES]
+    return (items.filter(F.col("model").isin([m for m, _, _ in CAMPAIGN_RULES]))
+            .select(F.col("code").alias("sku_2"), F.coalesce(*listed).alias("r")).select("sku_2", "r.rate", "r.on_order"))
+
+
+def campaign_price(spark: SparkSession, candidates: DataFrame, items: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """Campaign pricing (C8): a title keyword excludes; skus in the rule table
+    get their rate, others the default 10 % off the list price. The rule table
+    may be as long as the item list, so it is joined by key without a hint."""
+    rules = campaign_rules(items) if rules is None else rules
+    c = candidates.join(items.select(F.col("code").alias("sku_2"), "description"), "sku_2", "inner")
     c = c.filter(~F.coalesce(F.col("description").contains(EXCLUDED_TITLE_WORD), F.lit(False)))
-    j = c.join(rules, "model", "left")
+    j = c.join(rules, "sku_2", "left")
     rate = F.coalesce(F.col("rate"), F.lit(DEFAULT_RATE)).cast("bigint")
     # the rule prices off the list price only; a missing list price stays missing
     lst = F.col("compare_at_price")

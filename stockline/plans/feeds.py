@@ -46,18 +46,13 @@ def feed_stock(changes: DataFrame) -> DataFrame:
     return changes.select("phase", "variant_sku", "location_id", payload.alias("payload"))
 
 
-def feed_activation(plan: DataFrame) -> DataFrame:
-    """Tracking on and activation per inventory item (P2): the item's
-    locations collected (at most the fixed list, so the group is bounded)
-    and sorted for a stable payload."""
-    # de-duplicate (item, location) first: the collected group is then at
-    # most the fixed location list even if an item's rows arrive as copies
-    pairs = plan.select("inventory_item_id", "location_id").distinct()
-    g = pairs.groupBy("inventory_item_id").agg(F.array_sort(F.collect_list("location_id")).alias("locs"))
-    payload = F.to_json(F.struct(
-        F.col("inventory_item_id").alias("inventoryItemId"), F.lit(True).alias("tracked"),
-        F.transform("locs", lambda x: F.struct(x.alias("locationId"), F.lit(True).alias("activate"))).alias("activations")))
-    return g.select("inventory_item_id", payload.alias("payload"))
+def feed_activation(variants: DataFrame, locations: list[str]) -> DataFrame:
+    """Tracking on and activation per inventory item (P2): the fixed list of
+    locations, sorted for a stable payload, for every item once."""
+    listed = F.array(*[F.struct(F.lit(x).alias("locationId"), F.lit(True).alias("activate")) for x in sorted(locations)])
+    items = variants.select(F.concat(F.lit("inv-"), F.col("sku")).alias("inventory_item_id")).distinct()
+    return items.select("inventory_item_id", F.to_json(F.struct(
+        F.col("inventory_item_id").alias("inventoryItemId"), F.lit(True).alias("tracked"), listed.alias("activations"))).alias("payload"))
 
 
 def _care(metal):

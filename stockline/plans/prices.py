@@ -73,22 +73,26 @@ def ring_price_feed(variants: DataFrame, items: DataFrame, levels: DataFrame, by
     through; union with priority to the fan-out, first per sku (U3).
     Reducing before the fan-out keeps it one row per variant instead of all
     pairs within a product."""
-    pd_ = price_delta(variants, items)
+    ring = is_ring(F.col("sku"))
     key = {"base": "sku", "product": "product_id"}[by]
-    rings = first_per_key(pd_.filter(is_ring(F.col("sku"))), [key], ["variant_id"])
-    inv = first_per_key(levels.filter(F.col("variant_sku").isNotNull() & (F.col("variant_sku") != ""))
+    # one evaluation of the price changes, routed by a column: rings are reduced
+    # to one row per key and fan out below, other rows pass through the join
+    changes = price_delta(variants, items).withColumn("_ring", ring)
+    route = F.when(F.col("_ring"), F.col(key)).otherwise(F.col("sku"))
+    changes = first_per_key(changes.withColumn("_route", route), ["_ring", "_route"], ["variant_id"])
+    inv = first_per_key(levels.filter(F.col("variant_sku").isNotNull() & is_ring(F.col("variant_sku")))
                         .select("variant_sku", "variant_id", "level_id"), ["variant_sku"], ["level_id"])
     if by == "base":
-        inv = inv.select("variant_sku", "variant_id", F.substring_index("variant_sku", "-", 1).alias("sku_2"))
-        fan = inv.join(rings.select(F.col("sku").alias("sku_2"), "product_id", "price", "erp_price", "delta"), "sku_2")
+        inv = inv.withColumn("_key", F.substring_index("variant_sku", "-", 1))
     else:
         # the levels carry no product id; take it from the store variants
-        pid = variants.select(F.col("variant_id"), "product_id")
-        inv = inv.join(pid, "variant_id", "inner")
-        fan = inv.join(rings.select("product_id", "price", "erp_price", "delta"), "product_id")
-    fan = fan.select(F.col("variant_sku").alias("sku"), "variant_id", "product_id", "price", "erp_price", "delta")
-    plain = pd_.filter(~is_ring(F.col("sku")))
-    return union_priority([fan, plain], ["sku"], ["variant_id"])
+        inv = inv.join(variants.select("variant_id", F.col("product_id").alias("_key")), "variant_id", "inner")
+    inv = inv.select("_key", "variant_sku", F.col("variant_id").alias("_variant"))
+    fan = changes.join(inv, F.col("_ring") & (F.col("_route") == F.col("_key")), "left")
+    fan = fan.filter(~F.col("_ring") | F.col("variant_sku").isNotNull())
+    out = fan.select(F.coalesce("variant_sku", "sku").alias("sku"), F.coalesce("_variant", "variant_id").alias("variant_id"),
+                     "product_id", "price", "erp_price", "delta", (~F.col("_ring")).alias("_late"))
+    return first_per_key(out, ["sku"], ["_late", "variant_id"]).drop("_late")
 
 
 def price_change_priority(variants: DataFrame, items: DataFrame) -> DataFrame:

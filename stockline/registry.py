@@ -128,7 +128,7 @@ register("intake_new")(IN.intake_new)
 register("activation_plan")(lambda s, d: IN.activation_plan(_V(s, d)))
 register("publication_plan")(lambda s, d: IN.publication_plan(_V(s, d)))
 register("feed_stock")(lambda s, d: FD.feed_stock(_CS(s, d)))
-register("feed_activation")(lambda s, d: FD.feed_activation(IN.activation_plan(_V(s, d))))
+register("feed_activation")(lambda s, d: FD.feed_activation(_V(s, d), IN.ACTIVATION_LOCATIONS))
 register("feed_create")(lambda s, d: FD.feed_create(IN.intake_new(s, d)))
 register("feed_create_letters")(lambda s, d: FD.feed_create_letters(IN.intake_new(s, d)))
 register("feed_create_listed")(lambda s, d: FD.feed_create_listed(IN.intake_new(s, d), IN.LISTED_SIZES))
