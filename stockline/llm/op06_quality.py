@@ -61,8 +61,8 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "word_chars": F.length(F.array_join("w", "")).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_h": windows("w", WINDOW),
-    })
+        "_x": F.expr("transform(w, x -> xxhash64(x))"),
+    }).withColumn("_h", windows("_x", WINDOW))
     # windows found twice or more: neighbours in the sorted list of (hash, place)
     sorted_ = hashed.withColumn("_s", F.expr(
         "if(size(array_distinct(_h)) = size(_h), null, sort_array(transform(_h, (x, i) -> struct(x as h, i as p))))"))
@@ -72,7 +72,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     covered = f"aggregate(_p, 0L, (n, p) -> n, n -> n) + {WINDOW} + aggregate(sequence(1, size(_p) - 1), 0L, " \
               f"(n, i) -> n + least({WINDOW}, _p[i] - _p[i - 1]))"
     repeated = F.expr(f"if(_p is null, 0L, {covered})").cast("long")
-    return (places.withColumn("n_repeat_words", repeated).drop("_lines", "_h", "_s", "_p")
+    return (places.withColumn("n_repeat_words", repeated).drop("_lines", "_x", "_h", "_s", "_p")
             .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))))
 
 
@@ -84,27 +84,32 @@ def buckets_for(n_bytes: int) -> int:
     return out
 
 
-def _grams(docs: DataFrame, size: int, *keep: str) -> DataFrame:
-    """The columns ``keep``, n_w (words) and b, the bucket of one unigram or
-    bigram a row (null without words)."""
-    low = docs.select(*keep, F.transform(words(F.col("text")), F.lower).alias("_l"))
-    grams = low.select(*keep, F.size("_l").alias("n_w"), F.expr(
+def _split(docs: DataFrame, size: int, *keep: str) -> DataFrame:
+    """The columns ``keep``, n_w (words) and g, the buckets of the unigrams and
+    bigrams of each row."""
+    # lower-casing the text gives the words that lower-casing each would: blanks end a word's context
+    low = docs.select(*keep, words(F.lower("text")).alias("_l"))
+    return low.select(*keep, F.size("_l").alias("n_w"), F.expr(
         f"concat(transform(_l, x -> pmod(xxhash64(x), {size}L)), if(size(_l) >= 2, transform(sequence(1, size(_l) - 1), "
         f"i -> pmod(xxhash64(_l[i - 1], _l[i]), {size}L)), cast(array() as array<bigint>)))").alias("g"))
+
+
+def _grams(docs: DataFrame, size: int, *keep: str) -> DataFrame:
+    """The columns ``keep`` and b, the bucket of one unigram or bigram a row
+    (null without words)."""
     # explode_outer: explode would put size(g) > 0, with all of g in it, below the projections
-    return grams.select(*keep, "n_w", F.explode_outer("g").alias("b"))
+    return _split(docs, size, *keep).select(*keep, F.explode_outer("g").alias("b"))
 
 
 def _whole(weight: Column) -> Column:
     return F.round(weight * F.lit(float(1 << FRACTION))).cast("long")
 
 
-def weights(docs: DataFrame, trusted: DataFrame, size: int) -> DataFrame:
+def weights(docs: DataFrame, size: int) -> DataFrame:
     """b, target (count), rest (weight less the log of the target count) and
     weight, log(target / raw) as a whole number, of each bucket in use; none
-    without a target. ``trusted``: doc_id of the target."""
-    ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_t", F.lit(1)))
-    counts = cut(_grams(docs.join(ids, "doc_id", "left"), size, "_t").filter("b IS NOT NULL").groupBy("b")
+    without a target. ``_t`` marks the documents of the target."""
+    counts = cut(_grams(docs, size, "_t").filter("b IS NOT NULL").groupBy("b")
                  .agg(F.count("*").alias("raw"), F.count("_t").alias("target")))
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
@@ -119,18 +124,25 @@ def _mean(total: Column, n: Column) -> Column:
 
 
 def _scored(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
-    """_k (hash of id and text) and score of every distinct row."""
-    grams = _grams(docs, size, "_k").select("_k", "b")
-    return (grams.join(small(table.select("b", "weight"), BROADCAST_BUCKETS), "b", "left").groupBy("_k")
-            .agg(_mean(F.sum("weight"), F.count("weight")).alias("score")))
-
-
-def _left_out(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
-    """score of each document of the target as if it were none of it."""
-    own = _grams(docs, size, "_k").filter("n_w >= 10").groupBy("_k", "b").agg(F.count("*").alias("n"))
-    weight = _whole(F.log(F.greatest(F.col("target") - F.col("n"), F.lit(0)) + SMOOTHING) + F.col("rest"))
-    return (own.join(small(table.select("b", "target", "rest"), BROADCAST_BUCKETS), "b").groupBy("_k")
-            .agg(_mean(F.sum(F.col("n") * weight), F.sum("n")).alias("score")))
+    """_k (hash of id and text), score and, of the target's documents of ten
+    words and more, left_out, the score as if the document were none of the
+    target, of every distinct row; one pass. ``_t`` marks the target.
+
+    Only left_out needs to know how often a document has a bucket: there the
+    sorted buckets are taken run by run, in the row, without a shuffle."""
+    own = F.col("_t").isNotNull() & (F.col("n_w") >= 10)
+    split = _split(docs, size, "_k", "_t").withColumn("_own", own)
+    split = split.withColumn("_s", F.when(F.col("_own"), F.sort_array("g")))
+    split = split.withColumn("_f", F.expr("if(_own, filter(sequence(0, size(_s) - 1), i -> i = 0 or _s[i] <> _s[i - 1]), null)"))
+    pairs = F.expr("if(_own, transform(_f, (p, j) -> struct(_s[p] as b, cast(coalesce(get(_f, j + 1), size(_s)) - p as bigint) as n)), "
+                   "transform(g, b -> struct(b as b, 1L as n)))")
+    grams = split.select("_k", "_own", F.explode_outer(pairs).alias("p")).select("_k", "_own", "p.b", "p.n")
+    met = grams.join(small(table, BROADCAST_BUCKETS), "b", "left")
+    without = _whole(F.log(F.greatest(F.col("target") - F.col("n"), F.lit(0)) + SMOOTHING) + F.col("rest"))
+    return (met.groupBy("_k").agg(
+        _mean(F.sum(F.col("n") * F.col("weight")), F.sum(F.when(F.col("weight").isNotNull(), F.col("n")))).alias("score"),
+        (F.sum(F.when(F.col("_own"), F.col("n") * without)) / F.sum(F.when(F.col("_own") & F.col("target").isNotNull(), F.col("n")))
+         / float(1 << FRACTION)).alias("left_out")))
 
 
 def order_statistic(scores: DataFrame, part: float) -> float | None:
@@ -157,10 +169,10 @@ def judge_quality(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     ``docs`` (doc_id, text). ``trusted``: doc_id of the trusted documents."""
     docs = docs.select("doc_id", "text").withColumn("_k", F.xxhash64("doc_id", "text"))
     size = buckets_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    table = cut(weights(docs, trusted, size))
+    ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_t", F.lit(1)))
+    docs = docs.join(ids, "doc_id", "left")
+    table = cut(weights(docs, size))
     scores = cut(_scored(docs, table, size))
-    ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct())
-    left_out = cut(_left_out(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["_k"]), table, size))
-    least = order_statistic(left_out, MISSED) or 0.0
-    out = base_counts(docs).drop("w", "text").join(small(scores), "_k", "left").drop("_k")
+    least = order_statistic(scores.filter("left_out IS NOT NULL").select(F.col("left_out").alias("score")), MISSED) or 0.0
+    out = base_counts(docs).drop("w", "text", "_t").join(small(scores.select("_k", "score")), "_k", "left").drop("_k")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))
