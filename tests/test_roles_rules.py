@@ -186,3 +186,41 @@ def test_erp_price_is_whole_and_above_one(spark):
     from stockline.plans import prices as P
     items = spark.createDataFrame([("A", 10.9), ("B", 1.0), ("C", 0.5), ("", 7.0), ("D", 1.5)], "code string, price double")
     assert {tuple(r) for r in P.erp_prices(items).collect()} == {("A", 10.0), ("D", 1.0)}
+
+
+# ---- arms that the given tables do not reach ---------------------------------
+
+@pytest.fixture(scope="module")
+def sparse_tables(spark, sf001, tmp_path_factory):
+    """The tables with items without stock lines and lines without quantity."""
+    d = tmp_path_factory.mktemp("sparse")
+    for name in ("part", "supplier", "lineitem", "orders", "nation", "customer", "documents"):
+        df = spark.read.parquet(f"{sf001}/{name}.parquet")
+        if name == "lineitem":
+            df = df.filter("l_partkey % 7 <> 0").withColumn(
+                "l_quantity", F.when(F.col("l_partkey") % 5 == 0, F.lit(0.0)).otherwise(F.col("l_quantity")))
+        df.write.parquet(str(d / f"{name}.parquet"))
+    return str(d)
+
+
+def test_arms_of_items_without_stock(spark, sparse_tables):
+    assert C.items_inactive(spark, sparse_tables).count() > 0
+    assert {r[0] for r in C.item_master(spark, sparse_tables).select("final_status").distinct().collect()} == {"ATIVO", "INATIVO"}
+    stock = S.stock_by_site(spark, sparse_tables)
+    assert {r[0] for r in stock.select("unlimited_quantity").distinct().collect()} == {True, False}
+    assert stock.filter("unlimited_quantity AND total_quantity > 0").count() == 0
+    assert S.stock_by_site(spark, sparse_tables, literal_unlimited=True).filter("unlimited_quantity").count() == 0
+    split = S.variant_stock_split(B.channel_levels(spark, sparse_tables))
+    assert {r[0] for r in split.select("zero_stock").distinct().collect()} == {True, False}
+
+
+def test_sorted_sales_fact(spark, sf001):
+    """The reference's order, newest first."""
+    dates = [r[0] for r in SA.sales_fact(spark, sf001, sort=True).select("sale_date").collect()]
+    assert dates == sorted(dates, reverse=True) and len(set(dates)) > 10
+
+
+def test_ring_prices_evaluate_the_changes_once(spark, sf001):
+    from stockline.plans import prices as P
+    df = P.ring_price_feed(B.channel_variants(spark, sf001), B.items(spark, sf001), B.channel_levels(spark, sf001))
+    assert plan(df).count("p_retailprice") and plan(df).split("== Initial Plan ==")[0].count("/part.parquet") == 1
