@@ -84,21 +84,23 @@ def buckets_for(n_bytes: int) -> int:
     return out
 
 
-def _split(docs: DataFrame, size: int, *keep: str) -> DataFrame:
-    """The columns ``keep``, n_w (words) and g, the buckets of the unigrams and
-    bigrams of each row."""
+def _tokens(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and _l, the words in lower case."""
     # lower-casing the text gives the words that lower-casing each would: blanks end a word's context
-    low = docs.select(*keep, words(F.lower("text")).alias("_l"))
-    return low.select(*keep, F.size("_l").alias("n_w"), F.expr(
-        f"concat(transform(_l, x -> pmod(xxhash64(x), {size}L)), if(size(_l) >= 2, transform(sequence(1, size(_l) - 1), "
-        f"i -> pmod(xxhash64(_l[i - 1], _l[i]), {size}L)), cast(array() as array<bigint>)))").alias("g"))
+    return docs.select(*keep, words(F.lower("text")).alias("_l"))
 
 
 def _grams(docs: DataFrame, size: int, *keep: str) -> DataFrame:
-    """The columns ``keep`` and b, the bucket of one unigram or bigram a row
-    (null without words)."""
-    # explode_outer: explode would put size(g) > 0, with all of g in it, below the projections
-    return _split(docs, size, *keep).select(*keep, F.explode_outer("g").alias("b"))
+    """The columns ``keep`` and b, the bucket of one unigram or bigram a row.
+
+    Each word comes with the next one before it is hashed, so that hashing is
+    compiled; a lambda over the array would be interpreted."""
+    following = F.expr("slice(_l, 2, greatest(size(_l) - 1, 0))").alias("_n")
+    # explode_outer: explode would put size(_l) > 0, with all of _l in it, below the projections
+    pairs = _tokens(docs, *keep).select(*keep, F.explode_outer(F.arrays_zip(F.col("_l").alias("_a"), following)).alias("_p"))
+    return pairs.select(*keep, "_p._a", "_p._n").select(*keep, F.expr(
+        f"stack(2, if(_a IS NULL, NULL, pmod(xxhash64(_a), {size}L)), if(_n IS NULL, NULL, pmod(xxhash64(_a, _n), {size}L))) AS b"
+    )).filter("b IS NOT NULL")
 
 
 def _whole(weight: Column) -> Column:
@@ -109,8 +111,11 @@ def weights(docs: DataFrame, size: int) -> DataFrame:
     """b, target (count), rest (weight less the log of the target count) and
     weight, log(target / raw) as a whole number, of each bucket in use; none
     without a target. ``_t`` marks the documents of the target."""
-    counts = cut(_grams(docs, size, "_t").filter("b IS NOT NULL").groupBy("b")
-                 .agg(F.count("*").alias("raw"), F.count("_t").alias("target")))
+    # the bucket's bytes stand right before the counts: a row of the shuffle is then one run of bytes and one of zeros
+    shift = 64 - 8 * (((size - 1).bit_length() + 7) // 8)
+    counts = cut(_grams(docs, size, "_t").groupBy(F.shiftleft("b", shift).alias("_b"))
+                 .agg(F.count("*").alias("raw"), F.count("_t").alias("target"))
+                 .select(F.shiftrightunsigned("_b", shift).alias("b"), "raw", "target"))
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
         counts = counts.limit(0)
@@ -123,6 +128,14 @@ def _mean(total: Column, n: Column) -> Column:
     return F.coalesce(total / n / float(1 << FRACTION), F.lit(0.0))
 
 
+def _split(docs: DataFrame, size: int, *keep: str) -> DataFrame:
+    """The columns ``keep``, n_w (words) and g, the buckets of the unigrams and
+    bigrams of each row."""
+    return _tokens(docs, *keep).select(*keep, F.size("_l").alias("n_w"), F.expr(
+        f"concat(transform(_l, x -> pmod(xxhash64(x), {size}L)), if(size(_l) >= 2, transform(sequence(1, size(_l) - 1), "
+        f"i -> pmod(xxhash64(_l[i - 1], _l[i]), {size}L)), cast(array() as array<bigint>)))").alias("g"))
+
+
 def _scored(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
     """_k (hash of id and text), score and, of the target's documents of ten
     words and more, left_out, the score as if the document were none of the
@@ -171,8 +184,8 @@ def judge_quality(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     size = buckets_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     ids = small(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_t", F.lit(1)))
     docs = docs.join(ids, "doc_id", "left")
-    table = cut(weights(docs, size))
-    scores = cut(_scored(docs, table, size))
+    model = weights(docs, size)  # a projection of counts that are written already
+    scores = cut(_scored(docs, model, size))
     least = order_statistic(scores.filter("left_out IS NOT NULL").select(F.col("left_out").alias("score")), MISSED) or 0.0
     out = base_counts(docs).drop("w", "text", "_t").join(small(scores.select("_k", "score")), "_k", "left").drop("_k")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))
