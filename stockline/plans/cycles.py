@@ -112,11 +112,15 @@ def bucketed_next_base(spark: SparkSession, d: str, buckets: int | None = None)
 def ledger_sets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(input, done, failed) for the idempotent work list: input is every item
     code; done and failed are read from the landed responses to the codes that
-    were sent (binding: keys divisible by 4 or 9, the latter rejected)."""
+    were sent (binding: keys divisible by 4 in a run that applied them, keys
+    divisible by 9 in one that rejected them). A code sent in both runs has an
+    entry in either ledger."""
     it = B.items(spark, d).select("code", "item_key")
-    k = F.col("item_key")
-    answers = it.filter((k % 4 == 0) | (k % 9 == 0)).select("code", response_of(k % 9 == 0).alias("response"))
-    settled = answers.select("code", first_error(F.col("response")).alias("message"))
+
+    def run(every: int, rejected: bool) -> DataFrame:
+        return it.filter(F.col("item_key") % every == 0).select("code", response_of(F.lit(rejected)).alias("response"))
+
+    settled = run(4, False).unionByName(run(9, True)).select("code", first_error(F.col("response")).alias("message"))
     return (it.select("code"), settled.filter("message IS NULL").select("code"),
             settled.filter("message IS NOT NULL").select("code"))
 

@@ -73,6 +73,19 @@ def test_audit_and_ledger_append(spark):
     assert sorted(r.sku for r in spark.read.parquet(f"{root}/ledger").collect()) == ["a", "b", "c"]
 
 
+def test_ledger_append_keeps_applied_codes_that_a_later_run_rejected(spark, sf001):
+    from stockline.plans import bindings as B
+    from stockline.plans import cycles as CY
+    keys = {r.code: r.item_key for r in B.items(spark, sf001).select("code", "item_key").collect()}
+    todo, done, failed = CY.ledger_sets(spark, sf001)
+    both = {c for c, k in keys.items() if k % 36 == 0}
+    assert both
+    assert sorted(r.code for r in done.collect()) == sorted(c for c, k in keys.items() if k % 4 == 0)
+    assert sorted(r.code for r in failed.collect()) == sorted(c for c, k in keys.items() if k % 9 == 0)
+    ledger = sorted(r.code for r in CY.ledger_append(done, CY.ledger_todo(todo, done, failed)).collect())
+    assert ledger == sorted(c for c, k in keys.items() if k % 4 == 0 or k % 9 != 0)
+
+
 def test_j8_header_key_unique(spark, sf001):
     """The order header self-join (J8) is dropped because the key is unique."""
     o = spark.read.parquet(f"{sf001}/orders.parquet")
