@@ -12,7 +12,8 @@ never removed as copies of others, an empty table gives an empty result, and
 extra columns of any name are carried along; those named ids, n_tokens or
 round_trip are replaced by the last stage's.
 
-1. language: documents whose letters show no language go (see ``op10.accepted``).
+1. language: documents whose letters show no language go, and those with no
+   language for half of their letters (see ``op10.accepted``).
 2. near_duplicates: one document of each group of linked texts stays (Jaccard
    of 0.8 or more on five-word shingles).
 3. repeated_passages: words of repeated passages of 50 words and more go, but

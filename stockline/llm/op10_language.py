@@ -36,6 +36,8 @@ SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 #: Share of a text's characters that must be letters for its language to be told.
 LEAST_LETTERS = 0.1
+#: Share of a text's letters that must be in spans of its main language.
+LEAST_SHARE = 0.5
 NOT_A_CANDIDATE = -60.0
 
 #: Blocks of the Unicode standard by script.
@@ -254,13 +256,20 @@ def language_spans(docs: DataFrame, model: LanguageModel) -> DataFrame:
         lambda it: _spans_in(it, model), "doc_id long, start long, end long, n_letters long, lang string")
 
 
+def _letters_by_language(texts: list[str], model: LanguageModel) -> np.ndarray | None:
+    """Letters of each text (row) in the spans of each language (column); None
+    if no text has a letter or the model no language."""
+    if (found := _labelled_words(texts, model)) is None:
+        return None
+    text, _, length, label = found
+    n, k = len(texts), len(model.languages)
+    return np.bincount(text * k + label, weights=length, minlength=n * k).reshape(n, k)
+
+
 def _identify_in(batches, model: LanguageModel):
     for batch in text_slices(batches):
-        n, k = batch.num_rows, len(model.languages)
-        best, share = np.full(n, -1), np.zeros(n)
-        if (found := _labelled_words(texts_of(batch), model)) is not None:
-            text, _, length, label = found
-            tally = np.bincount(text * k + label, weights=length, minlength=n * k).reshape(n, k)
+        best, share = np.full(batch.num_rows, -1), np.zeros(batch.num_rows)
+        if (tally := _letters_by_language(texts_of(batch), model)) is not None:
             total = tally.sum(1)
             best = np.where(total > 0, tally.argmax(1), -1)
             share = tally.max(1) / np.maximum(total, 1)
@@ -286,26 +295,27 @@ def held_out_languages(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFr
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, model: LanguageModel | None = None, least: float = LEAST_LETTERS) -> DataFrame:
+def accepted(docs: DataFrame, model: LanguageModel | None = None, least: float = LEAST_LETTERS,
+             share: float = LEAST_SHARE) -> DataFrame:
     """Pipeline stage: the documents whose language can be told. A document goes
-    if its text has no letter, or if the letters of its spans are less than
-    ``least`` of its characters other than blanks (signs, numbers and markup
-    with a stray word). Without a model (no row is labelled) every text with
-    enough letters stays. The columns of ``docs`` are kept; the mask is computed
-    beside the text, so nothing is shuffled."""
+    if its text has no letter, if its letters are less than ``least`` of its
+    characters other than blanks (signs, numbers and markup with a stray word),
+    or if the spans of no language hold ``share`` of its letters (a medley of
+    languages). Without a model (no row is labelled) every text with enough
+    letters stays. The columns of ``docs`` are kept; the mask is computed beside
+    the text, so nothing is shuffled."""
     model = model or learn(docs)
     schema = docs.schema
 
     def keep(batches):
         for part in text_slices(batches):
             texts = texts_of(part)
-            found = _labelled_words(texts, model)
-            if found is not None:
-                in_spans = np.bincount(found[0], weights=found[2], minlength=len(texts))
-            else:
-                in_spans = np.array([_letters_of(t) for t in texts], float)
+            tally = _letters_by_language(texts, model)
+            if tally is None:
+                tally = np.array([[_letters_of(t)] for t in texts], float).reshape(-1, 1)
+            n, main = tally.sum(1), tally.max(1)
             signs = np.array([len(t) - sum(map(t.count, BLANKS)) for t in texts], float)
-            yield part.filter(pa.array((in_spans > 0) & (in_spans >= least * signs)))
+            yield part.filter(pa.array((n > 0) & (n >= least * signs) & (main >= share * n)))
 
     return docs.mapInArrow(keep, schema)
 

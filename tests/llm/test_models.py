@@ -79,6 +79,15 @@ def test_language_stage(spark, language_model):
     assert kept.columns == docs.columns and {r.n_letters for r in kept.collect()} == {1, 4}
 
 
+def test_language_stage_goes_by_the_spans(spark, language_model):
+    """A medley of three languages goes; with one for half of its letters it stays, as without labels."""
+    a, b, c = "the cat and the other dog were there", "собака и кот были там", "die katze und der hund sind hier"
+    docs = spark.createDataFrame([(1, f"{a}. {b}, {c}"), (2, f"{a}. {b}, {a}"), (3, f"{b}, {c} {c}")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in op10.accepted(docs, language_model).collect()) == [2, 3]
+    unlabelled = op10.learn(spark.createDataFrame([("x", None)], "text string, lang string"))
+    assert sorted(r.doc_id for r in op10.accepted(docs, unlabelled).collect()) == [1, 2, 3]
+
+
 # ---- toxicity ---------------------------------------------------------------
 def test_maximal_segments():
     """Ruzzo and Tompa: no proper part or extension of a segment scores as high, and they are disjoint."""
