@@ -34,6 +34,14 @@ def test_first_per_key_combines_before_shuffle(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_first_per_key_deals_rows_before_it_sorts(spark):
+    from stockline.operators import first_per_key
+    df = spark.createDataFrame([("k", i, "x") for i in range(10)], "k string, o int, v string")
+    plan = physical(first_per_key(df, ["k"], ["o"]))
+    partial, dealt = plan.index("partial_min"), plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert partial < dealt and "ENSURE_REQUIREMENTS" in plan[:partial]
+
+
 def test_stock_delta_single_join_and_pushdown(spark, sf001):
     df = QUERIES["stock_delta"](spark, sf001)
     plan = physical(df)
