@@ -37,8 +37,17 @@ def row_diff_both(today: DataFrame, base: DataFrame, cols: Sequence[str] | None
     return add.unionByName(rem)
 
 
+#: Rows of either side in a task of the key cycle.
+ROWS_A_TASK = 500_000
+
+
+def parts_of(*sides: DataFrame, rows_a_task: int = ROWS_A_TASK) -> int:
+    """Parts that hold ``rows_a_task`` rows of the largest side each."""
+    return max(1, *[-(-side.count() // rows_a_task) for side in sides])
+
+
 def key_changes(today: DataFrame, base: DataFrame, keys: Sequence[str],
-                status: str = "change") -> DataFrame:
+                status: str = "change", parts: int | None = None) -> DataFrame:
     """Key cycle (C3, J16): 'enter' = today's rows whose key is not in base,
     'leave' = base rows whose key is not today, 'keep' = base rows whose key
     is also today. A kept key keeps its base values (the price to restore,
@@ -47,11 +56,18 @@ def key_changes(today: DataFrame, base: DataFrame, keys: Sequence[str],
     Semi and anti joins against the *distinct* keys of the other side: they
     never multiply rows, so duplicate keys cannot pair up, and a hot key
     collapses map-side before the shuffle. NULL keys are dropped first: they
-    never match (T6)."""
+    never match (T6).
+
+    ``parts``: number of parts of the joins (see ``parts_of``), which keeps a
+    task's sorts and sets of keys small at any size; Spark merges parts by
+    their compressed bytes, and keys compress to a few bytes. The keys are then
+    made distinct behind the shuffle. Not for a base that is kept in buckets."""
     keys = list(keys)
     vals = [c for c in today.columns if c not in keys]
     t = today.dropna(subset=keys)
     b = base.dropna(subset=keys)
+    if parts and parts > 1:
+        t, b = t.repartition(parts, *keys), b.repartition(parts, *keys)
     t_keys = t.select(*keys).distinct()
     b_keys = b.select(*keys).distinct()
     enter = t.join(b_keys, keys, "left_anti").withColumn(status, F.lit("enter"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import key_changes, row_diff, row_diff_both
+from ..operators import ROWS_A_TASK, key_changes, parts_of, row_diff, row_diff_both
 from ..session import ensure_checkpoint_dir
 from ..sources import BucketedBase, SnapshotStore, read_delimited, read_table, write_delimited
 from . import bindings as B
@@ -46,14 +46,19 @@ def cycle_flags(today: DataFrame, base: DataFrame) -> DataFrame:
     return row_diff_both(today, base, flag="is_active")
 
 
-def cycle_diff(today: DataFrame, base: DataFrame, keys=SNAPSHOT_KEYS) -> DataFrame:
-    """Keys entering and leaving."""
-    return key_changes(today, base, keys).filter(F.col("change") != "keep")
+def _parts(today: DataFrame, base: DataFrame, rows_a_task: int | None) -> int | None:
+    return parts_of(today, base, rows_a_task=rows_a_task) if rows_a_task else None
 
 
-def cycle_next_base(today: DataFrame, base: DataFrame, keys=SNAPSHOT_KEYS) -> DataFrame:
+def cycle_diff(today: DataFrame, base: DataFrame, keys=SNAPSHOT_KEYS, rows_a_task: int | None = None) -> DataFrame:
+    """Keys entering and leaving (C3); ``rows_a_task`` bounds the rows of a
+    task of the joins."""
+    return key_changes(today, base, keys, parts=_parts(today, base, rows_a_task)).filter(F.col("change") != "keep")
+
+
+def cycle_next_base(today: DataFrame, base: DataFrame, keys=SNAPSHOT_KEYS, rows_a_task: int | None = None) -> DataFrame:
     """Next base = base ∪ enter ∖ leave."""
-    return key_changes(today, base, keys).filter(F.col("change") != "leave").drop("change")
+    return key_changes(today, base, keys, parts=_parts(today, base, rows_a_task)).filter(F.col("change") != "leave").drop("change")
 
 
 def run_cycle(store: SnapshotStore, today: DataFrame, outbox_path: str, keys=SNAPSHOT_KEYS,
@@ -73,9 +78,9 @@ def run_cycle(store: SnapshotStore, today: DataFrame, outbox_path: str, keys=SNA
     if base is None:
         base = today.filter(F.lit(False))  # no committed base yet: empty, same schema
     nxt = (store.latest() or 0) + 1
-    changes = cycle_diff(today, base, keys)
+    changes = cycle_diff(today, base, keys, ROWS_A_TASK)
     changes.write.mode("overwrite").parquet(f"{outbox_path.rstrip('/')}/version={nxt}")
-    return store.commit(cycle_next_base(today, base, keys), tag=None if tag is None else str(tag), version=nxt)
+    return store.commit(cycle_next_base(today, base, keys, ROWS_A_TASK), tag=None if tag is None else str(tag), version=nxt)
 
 
 def run_bucketed_cycle(base: BucketedBase, today: DataFrame, outbox_path: str, tag: str | None = None) -> list[int]:

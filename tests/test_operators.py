@@ -120,6 +120,21 @@ def test_key_changes_duplicate_keys_do_not_pair(spark):
     assert got == {"keep": 200, "enter": 1, "leave": 1}  # the base rows are kept
 
 
+def test_cycles_hold_a_bounded_number_of_rows_in_a_task(spark):
+    from stockline.plans.cycles import cycle_diff, cycle_next_base
+    today = spark.createDataFrame([(i, f"t{i}") for i in range(0, 4000) if i % 10], "k int, v string").repartition(4)
+    base = spark.createDataFrame([(i, f"b{i}") for i in range(0, 4000) if i % 10 != 1], "k int, v string").repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for cycle, least in ((cycle_diff, 30), (cycle_next_base, 30)):
+            small, plain = cycle(today, base, ["k"], rows_a_task=200), cycle(today, base, ["k"])
+            assert sorted(map(tuple, small.collect())) == sorted(map(tuple, plain.collect()))
+            tasks = small.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert len(tasks) >= least and max(r["count"] for r in tasks) < 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_row_diff_hot_copies(spark):
     today = spark.createDataFrame([("hot", 1)] * 500 + [("new", 2)] * 3, "k string, v int")
     base = spark.createDataFrame([("hot", 1)] * 400, "k string, v int")
