@@ -89,7 +89,7 @@ register("ffill_by_key")(lambda s, d: N.ffill_events(s, d))
 register("row_diff")(lambda s, d: CY.cycle_row_diff(*CY.snapshots(s, d)))
 register("cycle_flags")(lambda s, d: CY.cycle_flags(*CY.snapshots(s, d)))
 register("cycle_diff")(lambda s, d: CY.cycle_diff(*CY.snapshots(s, d), rows_a_task=CY.ROWS_A_TASK))
-register("cycle_next_base")(lambda s, d: CY.cycle_next_base(*CY.snapshots(s, d)))
+register("cycle_next_base")(lambda s, d: CY.cycle_next_base(*CY.snapshots(s, d), rows_a_task=CY.ROWS_A_TASK))
 register("cycle_bucketed")(CY.bucketed_next_base)
 register("ledger_todo")(lambda s, d: CY.ledger_todo(*CY.ledger_sets(s, d)))
 register("ledger_append")(lambda s, d: CY.ledger_append(
