@@ -13,6 +13,7 @@ otherwise; an attempt without a response counts as not made.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,14 +70,21 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path)
 
 
+def land(df: DataFrame, path: str) -> DataFrame:
+    """The rows written to ``path`` and read again; a retry writes them anew."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_outbox(spark: SparkSession, wanted: DataFrame, respond, path: str, run_ts: str,
                max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """One run: send what is left (the rows given to ``respond``, which lands
     the responses), settle it and put the attempts into the run's partition. A
     run that is repeated sends what it sent: its own partition is left out of
-    the ledger it starts from."""
+    the ledger it starts from. What is sent is landed beside the ledger first,
+    so it is worked out once and not again for the responses."""
     before = read_ledger(spark, path).filter(F.col("run_ts") < run_ts)
-    sent = to_send(wanted, before, max_attempts)
+    sent = land(to_send(wanted, before, max_attempts), f"{path.rstrip('/')}-sent/run_ts={quote(run_ts, safe='')}")
     append_ledger(settle(sent, respond(sent)), path, run_ts)
     return read_ledger(spark, path)
 
@@ -96,7 +104,8 @@ def landed_answers(run: int, floor: int = -50):
 def outbox_loop(spark: SparkSession, change_set: DataFrame, runs: int = 4) -> DataFrame:
     """Runs of the loop over the stock feed, then the state of every change."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/outbox/{uuid.uuid4().hex}"
-    wanted = changes(feed_stock(change_set), "stock", "variant_sku", "location_id")
+    # landed once: every run would work out the change set again
+    wanted = land(changes(feed_stock(change_set), "stock", "variant_sku", "location_id"), f"{path}-wanted")
     ledger = read_ledger(spark, path)
     for run in range(1, runs + 1):
         ledger = run_outbox(spark, wanted, landed_answers(run), path, f"2024-01-0{run}")

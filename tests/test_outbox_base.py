@@ -134,6 +134,22 @@ def test_outbox_retries_up_to_a_limit_and_settles_by_payload(spark):
     assert {r.key for r in OB.to_send(wanted(spark, [("b", "2"), ("a", "2"), ("c", "1c")]), ledger, 2).collect()} == {"a", "b"}
 
 
+def test_what_a_run_sends_is_worked_out_once(spark):
+    path, seen = root_of(spark), []
+
+    def respond(sent):
+        seen.append((sent.inputFiles(), sorted(r.key for r in sent.collect())))
+        return answer({"a": None})(sent)
+
+    todo = wanted(spark, [("a", "1"), ("b", "1b")])
+    runs = ["01", "01", "02"]  # a repeated run lands what it sends anew
+    for run in runs:
+        OB.run_outbox(spark, todo, respond, path, run)
+    assert all(files and all(f"-sent/run_ts={run}/" in f for f in files) for (files, _), run in zip(seen, runs))
+    assert [keys for _, keys in seen] == [["a", "b"], ["a", "b"], ["b"]]
+    assert [(r.key, r.attempts) for r in OB.states(OB.read_ledger(spark, path)).collect()] == [("a", 1)]
+
+
 def test_unreadable_and_repeated_responses(spark):
     sent = wanted(spark, [("a", "1"), ("b", "2")])
     h = {r.key: r.payload_hash for r in sent.collect()}
