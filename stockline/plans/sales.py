@@ -6,7 +6,8 @@ are disjoint by their predicates, so here the inputs are joined once and
 a ``branch`` column picks, per row, which branch's expressions apply:
 one scan and one set of join shuffles instead of five, with the same
 rows as the UNION ALL. What a branch takes and leaves out is a rule table
-(``SALES_RULES``); the party table is joined once for all of its roles.
+(``SALES_RULES``); the party table is joined once for the roles
+of the orders and once for those of the lines.
 Dimension tables join by key; AQE broadcasts them only when their measured
 size is small.
 """
@@ -129,15 +130,18 @@ def sales_fact(spark: SparkSession, d: str, as_of: str = "2001-01-01", sort: boo
     the fact is consumed as a set."""
     it = B.items(spark, d).select("item_key", "code", "family", "group_name", "model", "cost")
     c = F.col
-    # the order side is enriched before the much larger lines join it
-    j = (with_branch(sales_lines(spark, d), sales_rules(as_of))
-         .join(order_headers(spark, d), c("l_orderkey") == c("o_orderkey"), "inner")
-         .join(it, c("l_partkey") == c("item_key"), "inner"))
+    # the order side is enriched, with the parties in its roles too, before the
+    # much larger lines join it; the keys of the lines' roles are in their scan
+    parties = B.parties(spark, d)
+    headers = join_roles(order_headers(spark, d), parties, "party_id", {
+        "customer": "account", "companion": "companion_id", "origin": "origin_id"}, ["name"])
+    lines = with_branch(sales_lines(spark, d), sales_rules(as_of))
     supplier = F.concat(F.lit("S"), c("l_suppkey").cast("string"))
-    j = j.withColumns({"destination_id": supplier, "seller_key": supplier})
-    j = join_roles(j, B.parties(spark, d), "party_id", {
-        "customer": "account", "companion": "companion_id", "origin": "origin_id", "destination": "destination_id",
-        "seller": "seller_key"}, ["name"])
+    party_keys = {"destination_id": supplier, "seller_key": supplier}
+    j = (lines.join(headers, c("l_orderkey") == c("o_orderkey"), "inner")
+         .join(it, c("l_partkey") == c("item_key"), "inner").withColumns(party_keys))
+    j = join_roles(j, parties, "party_id", {"destination": "destination_id", "seller": "seller_key"}, ["name"],
+                   asked=lines.withColumns(party_keys))
 
     # Each derived value is computed once in its own projection stage and
     # referenced by name afterwards, so no expression is re-evaluated inside

@@ -54,6 +54,20 @@ def test_roles_exchange_the_dimension_once(spark):
     assert text.count("LogicalRDD [id#") == 3  # the fact twice, the dimension once
 
 
+def test_roles_that_ask_for_few_rows_of_a_large_dimension_are_broadcast(spark):
+    """``seller`` has four keys of fifty, ``buyer`` has all: the first does not go through the exchange of the second."""
+    fact = spark.createDataFrame([(i, f"P{i % 50}", f"P{i % 5}" if i % 4 else None) for i in range(200)], "id int, buyer string, seller string")
+    dim = spark.createDataFrame([(f"P{i}", f"name {i}") for i in range(1, 50)], "party string, name string")
+    both = join_roles(fact, dim, "party", {"seller": "seller", "buyer": "buyer"}, ["name"], 10)
+    assert both.columns == [*fact.columns, "seller_name", "buyer_name"]
+    name = {f"P{i}": f"name {i}" for i in range(1, 50)}
+    assert Counter(map(tuple, both.collect())) == Counter((*r, name.get(r.seller), name.get(r.buyer)) for r in fact.collect())
+    few = join_roles(fact, dim, "party", {"seller": "seller"}, ["name"], 10, asked=fact.select("seller"))
+    text = few._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LogicalRDD [id#") == 2 and "strategy=broadcast" in text  # the rows, and the keys of the broadcast side
+    assert Counter(map(tuple, few.collect())) == Counter((*r, name.get(r.seller)) for r in fact.collect())
+
+
 def test_roles_without_rows(spark):
     fact, dim = role_frames(spark)
     for rows in (0, 10):
