@@ -42,7 +42,8 @@ def join_roles(fact: DataFrame, dim: DataFrame, key: str, roles: dict[str, str],
     for column in dict.fromkeys(roles.values()):
         found = dim.select(key, *attrs).join(asked.select(F.col(column).alias(key)).distinct(), key, "left_semi")
         if found.limit(broadcast_rows + 1).count() <= broadcast_rows:
-            few[column] = found
+            # one row a key, as from the exchange below
+            few[column] = found.groupBy(key).agg(F.max(F.struct(*attrs)).alias("_found")).select(key, "_found.*")
     for role, column in roles.items():
         if column in few:
             side = F.broadcast(few[column].select(F.col(key).alias(f"_key_{role}"), *[F.col(a).alias(f"{role}_{a}") for a in attrs]))

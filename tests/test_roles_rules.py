@@ -66,6 +66,8 @@ def test_roles_that_ask_for_few_rows_of_a_large_dimension_are_broadcast(spark):
     text = few._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("LogicalRDD [id#") == 2 and "strategy=broadcast" in text  # the rows, and the keys of the broadcast side
     assert Counter(map(tuple, few.collect())) == Counter((*r, name.get(r.seller)) for r in fact.collect())
+    twice = join_roles(fact, dim.union(dim), "party", {"seller": "seller"}, ["name"], 10)
+    assert Counter(map(tuple, twice.collect())) == Counter((*r, name.get(r.seller)) for r in fact.collect())
 
 
 def test_roles_without_rows(spark):
