@@ -252,6 +252,33 @@ def test_quality_does_not_depend_on_partitions(spark):
     assert one == many
 
 
+def test_quality_counts_in_few_tasks(spark, monkeypatch):
+    """A counting task sends up to all buckets, so the tasks follow the bytes, not the input's partitions."""
+    seen, real = [], op6._grams
+    monkeypatch.setattr(op6, "_grams", lambda docs, size, *keep: seen.append((keep, docs.rdd.getNumPartitions())) or real(docs, size, *keep))
+    judged(spark, quality_rows(60), {1, 2, 3}, 64)
+    cores = spark.sparkContext.defaultParallelism
+    assert [n for keep, n in seen if keep == ("_t",)] == [cores]
+    docs = frame(spark, quality_rows(60), parts=64)
+    a_wave = cores * op6.TASK_BYTES * 4096
+    assert [op6.dealt(docs, n, 4096).rdd.getNumPartitions() for n in (0, a_wave, a_wave + 1, 100 * a_wave)] == [cores, cores, 2 * cores, 64]
+
+
+def test_quality_counts_what_a_document_has_again(spark):
+    rows = [(1, "go " * 300 + "a b c a b"), (2, " ".join(f"w{i}" for i in range(900)) * 2), (3, "a a a"), (4, ""), (5, "b b b b b b b b b b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tokens = op6._tokens(docs, "doc_id").selectExpr("*", "size(_l) >= 10 and doc_id <> 5 as _own")
+    got = {r.doc_id: {x.b: x.n for x in r._r} for r in op6._repeats(tokens, 4096).collect()}
+    want = {i: {b: n for b, n in Counter(grams(t, 4096)).items() if n > 1} if i in (1, 2) else {} for i, t in rows}
+    assert got == want and got[1] and got[2]
+
+
+def test_quality_words_are_those_of_the_word_rule(spark):
+    texts = [None, "", " \n\t", "a", "\x0b a\r\nb\x0c", "\u00a0 a\u2003b \x1c", "  x  y  "]
+    got = frame(spark, list(enumerate(texts))).select("doc_id", op6.split_words(F.col("text")).alias("w")).collect()
+    assert {r.doc_id: r.w for r in got} == {i: WORD.findall(t or "") for i, t in enumerate(texts)}
+
+
 def test_quality_model_grows_with_the_corpus():
     sizes = [op6.buckets_for(n) for n in (0, 1, 10 ** 3, 2 * 10 ** 6, 10 ** 9, 10 ** 14)]
     assert sizes == sorted(sizes) and sizes[0] == 4096 and sizes[3:] == [1 << 18, 1 << 20, 1 << 24]
